@@ -33,26 +33,26 @@ def state_region_rollup(t: Roles) -> DataFrame:
 @query("control_totals_state", "SELECT STATE, "
        + ", ".join(HOUSEHOLD_COLS + PERSON_COLS) + " FROM state_controls")
 def control_totals_state(t: Roles) -> DataFrame:
-    return t.prepared()["STATE"]
+    return t.prepared("STATE")["STATE"]
 
 
 @query("control_totals_region", "SELECT 1 AS REGION, "
        + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in HOUSEHOLD_COLS + PERSON_COLS)
        + " FROM state_controls")
 def control_totals_region(t: Roles) -> DataFrame:
-    return t.prepared()["REGION"]
+    return t.prepared("REGION")["REGION"]
 
 
 @query("control_totals_bg", "SELECT COUNTY, BG, TRACT, STATE, NAME, 1 AS REGION, "
        + ", ".join([*_BG_LIST, "P_NON_UNIVERSITY", "P_NON_WORKER"]) + " FROM bg_controls")
 def control_totals_bg(t: Roles) -> DataFrame:
-    return t.prepared()["BG"]
+    return t.prepared("BG")["BG"]
 
 
 @query("remainder_control", "SELECT COUNTY, TRACT, STATE, 1 AS REGION, P_MODE_AUTO_OTHER, "
        "P_MODE_TRANSIT, P_MODE_WALK_BIKE, P_MODE_WFH, P_MODE_NA FROM tract_controls")
 def remainder_control(t: Roles) -> DataFrame:
-    return t.prepared()["TRACT"]
+    return t.prepared("TRACT")["TRACT"]
 
 
 @query("remainder_negative", "SELECT BG, P_NON_UNIVERSITY AS remainder, "
@@ -60,7 +60,7 @@ def remainder_control(t: Roles) -> DataFrame:
        "UNION ALL SELECT BG, P_NON_WORKER, 'P_NON_WORKER' FROM bg_controls "
        "WHERE P_NON_WORKER <= 0")
 def remainder_negative(t: Roles) -> DataFrame:
-    bg = t.prepared()["BG"]
+    bg = t.prepared("BG")["BG"]
     parts = [
         targets.negative_remainders(bg, name, ["BG"]).select(
             "BG", F.col(name).alias("remainder"), F.lit(name).alias("name"))

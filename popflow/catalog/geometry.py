@@ -23,7 +23,9 @@ def _lattice(key: str) -> tuple[str, str, str]:
     """Corner and state of the lattice cell of a polygon number."""
     col, row = f"({key} % 400)", f"CAST(floor({key} / 400) AS BIGINT)"
     state = f"concat('0', CAST(1 + CAST(floor({col} / 10) AS BIGINT) % 2 AS STRING))"
-    return f"(-100.0 + {col} * 0.02)", f"(30.0 + {row} * 0.02)", state
+    side = "CAST(0.02 AS DOUBLE)"
+    return (f"(CAST(-100 AS DOUBLE) + {col} * {side})", f"(CAST(30 AS DOUBLE) + {row} * {side})",
+            state)
 
 
 _ZX, _ZY, _ZSTATE = _lattice("s_suppkey")
@@ -32,8 +34,8 @@ _PX, _PY, _PSTATE = _lattice(_CELL)
 POINT = {
     "point_id": "c_custkey",
     "STATEFP": _PSTATE,
-    "lon": f"{_PX} + ((c_custkey * 7919) % 1009) / 1009.0 * 0.02",
-    "lat": f"{_PY} + ((c_custkey * 104729) % 1013) / 1013.0 * 0.02",
+    "lon": f"{_PX} + ((c_custkey * 7919) % 1009) / CAST(1009 AS DOUBLE) * CAST(0.02 AS DOUBLE)",
+    "lat": f"{_PY} + ((c_custkey * 104729) % 1013) / CAST(1013 AS DOUBLE) * CAST(0.02 AS DOUBLE)",
 }
 _ZONE_ID = f"concat({_ZSTATE}, lpad(CAST(s_suppkey AS STRING), 5, '0'))"
 
@@ -58,15 +60,8 @@ _OFFSETS = ", ".join(
 
 
 _GEO = f"""
-points AS (SELECT c_custkey AS point_id, {_PSTATE} AS STATEFP,
-  CAST(-100 AS DOUBLE) + ({_CELL} % 400) * CAST(0.02 AS DOUBLE)
-    + ((c_custkey * 7919) % 1009) / CAST(1009 AS DOUBLE) * CAST(0.02 AS DOUBLE) AS lon,
-  CAST(30 AS DOUBLE) + CAST(floor({_CELL} / 400) AS BIGINT) * CAST(0.02 AS DOUBLE)
-    + ((c_custkey * 104729) % 1013) / CAST(1013 AS DOUBLE) * CAST(0.02 AS DOUBLE) AS lat
-  FROM customer),
-corners AS (SELECT {_ZONE_ID} AS GEOID, {_ZSTATE} AS STATEFP,
-  CAST(-100 AS DOUBLE) + (s_suppkey % 400) * CAST(0.02 AS DOUBLE) AS bx,
-  CAST(30 AS DOUBLE) + CAST(floor(s_suppkey / 400) AS BIGINT) * CAST(0.02 AS DOUBLE) AS by_
+points AS (SELECT {", ".join(f"{e} AS {n}" for n, e in POINT.items())} FROM customer),
+corners AS (SELECT {_ZONE_ID} AS GEOID, {_ZSTATE} AS STATEFP, {_ZX} AS bx, {_ZY} AS by_
   FROM supplier),
 offsets(ax, ay, cx, cy) AS (VALUES {_OFFSETS}),
 edges AS (SELECT GEOID, STATEFP, bx + CAST(ax AS DOUBLE) AS x0, by_ + CAST(ay AS DOUBLE) AS y0,

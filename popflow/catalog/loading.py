@@ -105,13 +105,13 @@ def link_listing(t: Roles) -> DataFrame:
 @query("file_name_parse", rf"""
 WITH links AS ({_LINKS}),
 named AS (SELECT url, href, regexp_replace(href, '([^/])\.[^./]*$', '\1') AS stem FROM links)
-SELECT url, href, stem, upper(right(stem, 2)) AS tail, split_part(stem, '/', 2) AS first_piece,
+SELECT url, href, stem, lower(right(stem, 2)) AS tail, split_part(stem, '/', 2) AS first_piece,
        rtrim(href) LIKE '%s' AS ends_s
 FROM named""")
 def file_name_parse(t: Roles) -> DataFrame:
     stem = text.strip_extension("href")
     return listing.links(t.table("pages")).select(
-        "url", "href", stem.alias("stem"), F.upper(F.right(stem, F.lit(2))).alias("tail"),
+        "url", "href", stem.alias("stem"), F.lower(F.right(stem, F.lit(2))).alias("tail"),
         F.coalesce(text.name_piece(stem, 2, "/"), F.lit("")).alias("first_piece"),
         F.endswith(F.rtrim("href"), F.lit("s")).alias("ends_s"))
 

@@ -9,7 +9,7 @@ from popflow.catalog.registry import query
 from popflow.catalog.roles import BG_CONTROLS, Roles, row_sum
 from popflow.functions.geoid import compose_geoids
 from popflow.operators import ordering, rebase as ops, targets
-from popflow.plans import rebase
+from popflow.plans.rebase import rebase_controls, rebase_seeds
 from popflow.specs import (
     BG_PERSON_COLS, ESTIMATED_VARIABLES, FIXED_RENAMES, HOUSEHOLD_COLS, MODE_COLS, PERSON_COLS,
 )
@@ -139,7 +139,7 @@ def _rounded(cols: list[str], left: str, right: str = "r") -> str:
        + " FROM bg_scaled")
 def controls_scale_zone(t: Roles) -> DataFrame:
     scaled = ops.scale_controls(
-        ops.ordered_projection(t.prepared()["BG"]), _bg_factors(t), "BG",
+        ops.ordered_projection(t.prepared("BG")["BG"]), _bg_factors(t), "BG",
         HOUSEHOLD_COLS, BG_PERSON_COLS)
     return scaled.select(
         "BG", "STATE", *[F.round(c, 6).alias(c) for c in HOUSEHOLD_COLS + BG_PERSON_COLS])
@@ -152,7 +152,7 @@ def controls_scale_parent(t: Roles) -> DataFrame:
     hh1, hh5, per1, per5 = surveys(t)
     _, hh = ops.zone_and_state_factors(hh1, hh5, "WGTP", "ADJ_FACTOR_HH")
     _, per = ops.zone_and_state_factors(per1, per5, "PWGTP", "ADJ_FACTOR_PER")
-    scaled = ops.scale_by_state(t.prepared()["STATE"], hh, per, HOUSEHOLD_COLS, PERSON_COLS)
+    scaled = ops.scale_by_state(t.prepared("STATE")["STATE"], hh, per, HOUSEHOLD_COLS, PERSON_COLS)
     return scaled.select(
         "STATE", *[F.round(c, 6).alias(c) for c in HOUSEHOLD_COLS + PERSON_COLS])
 
@@ -174,7 +174,7 @@ SELECT BG, round(H_TOTAL, 4) AS h_exact, round(P_TOTAL, 4) AS p_exact,
        CAST(round_even(P_NON_WORKER, 0) AS BIGINT) AS P_NON_WORKER FROM adjusted""")
 def ratio_adjust_round(t: Roles) -> DataFrame:
     cols = ["H_TOTAL", "P_TOTAL", "P_NON_WORKER"]
-    prepared = t.prepared()
+    prepared = t.prepared("BG", "STATE")
     hh1, hh5, per1, per5 = surveys(t)
     _, hh = ops.zone_and_state_factors(hh1, hh5, "WGTP", "ADJ_FACTOR_HH")
     _, per = ops.zone_and_state_factors(per1, per5, "PWGTP", "ADJ_FACTOR_PER")
@@ -195,14 +195,18 @@ def ratio_adjust_round(t: Roles) -> DataFrame:
     return ops.round_controls(named, cols)
 
 
-def _rebased(t: Roles) -> dict[str, DataFrame]:
-    hh1, hh5, per1, per5 = surveys(t)
+def _rebased_seeds(t: Roles) -> tuple[DataFrame, DataFrame]:
     seeds = compose_geoids(
         t.hh().select("SERIALNO", "ST", "PUMA", "WGTP").withColumnsRenamed(FIXED_RENAMES))
     persons = compose_geoids(
         t.per().select("SERIALNO", "SPORDER", "ST", "PUMA", "PWGTP", "AGEP")
         .withColumnsRenamed(FIXED_RENAMES))
-    return rebase(seeds, persons, t.prepared(), t.xwalk(), hh1, hh5, per1, per5, t.acs1())
+    return rebase_seeds(seeds, persons, *surveys(t), t.acs1())
+
+
+def _rebased_controls(t: Roles) -> dict[str, DataFrame]:
+    return rebase_controls(
+        t.prepared("BG", "TRACT", "STATE"), t.xwalk(), *surveys(t), t.acs1())
 
 
 _SEED_SQL = """
@@ -215,7 +219,7 @@ FROM scaled s JOIN acs1_targets a ON a.STATE = s.STATE"""
 , seeds AS (SELECT SERIALNO, ST AS STATE, {_PUMA} AS PUMA, WGTP FROM hh)"""
        + _SEED_SQL.format(w="WGTP", f="hf", cols="SERIALNO", total="H_TOTAL"))
 def rebase_seed_households(t: Roles) -> DataFrame:
-    return _rebased(t)["seed_households"].select(
+    return _rebased_seeds(t)[0].select(
         "SERIALNO", "STATE", "PUMA", F.round("WGTP", 4).alias("WGTP"))
 
 
@@ -223,7 +227,7 @@ def rebase_seed_households(t: Roles) -> DataFrame:
 , seeds AS (SELECT SERIALNO, SPORDER, AGEP, ST AS STATE, {_PUMA} AS PUMA, PWGTP FROM per)"""
        + _SEED_SQL.format(w="PWGTP", f="pf", cols="SERIALNO, SPORDER, AGEP", total="P_TOTAL"))
 def rebase_seed_persons(t: Roles) -> DataFrame:
-    return _rebased(t)["seed_persons"].select(
+    return _rebased_seeds(t)[1].select(
         "SERIALNO", "SPORDER", "AGEP", "STATE", "PUMA", F.round("PWGTP", 4).alias("PWGTP"))
 
 
@@ -231,20 +235,20 @@ def rebase_seed_persons(t: Roles) -> DataFrame:
        + _rounded(HOUSEHOLD_COLS + BG_PERSON_COLS, "b")
        + " FROM bg_scaled b JOIN ratios r USING (STATE)")
 def rebase_controls_bg(t: Roles) -> DataFrame:
-    return _rebased(t)["control_totals_BG"].drop("REGION")
+    return _rebased_controls(t)["control_totals_BG"].drop("REGION")
 
 
 @query("rebase_controls_tract", _REBASED + " SELECT c.COUNTY, c.TRACT, c.STATE, "
        + _rounded(MODE_COLS, "c") + " FROM tract_scaled c JOIN ratios r USING (STATE)")
 def rebase_controls_tract(t: Roles) -> DataFrame:
-    return _rebased(t)["control_totals_TRACT"].drop("REGION")
+    return _rebased_controls(t)["control_totals_TRACT"].drop("REGION")
 
 
 @query("rebase_controls_state", _REBASED + " SELECT s.STATE, "
        + _rounded(HOUSEHOLD_COLS + PERSON_COLS, "s")
        + " FROM state_scaled s JOIN ratios r USING (STATE)")
 def rebase_controls_state(t: Roles) -> DataFrame:
-    return _rebased(t)["control_totals_STATE"]
+    return _rebased_controls(t)["control_totals_STATE"]
 
 
 @query("rebase_controls_region", _REBASED + " SELECT 1 AS REGION, "
@@ -252,7 +256,7 @@ def rebase_controls_state(t: Roles) -> DataFrame:
                    for c in HOUSEHOLD_COLS + PERSON_COLS)
        + " FROM state_scaled s JOIN ratios r USING (STATE)")
 def rebase_controls_region(t: Roles) -> DataFrame:
-    return _rebased(t)["scaled_control_totals_meta"]
+    return _rebased_controls(t)["scaled_control_totals_meta"]
 
 
 @query("keep_first_zone", """

@@ -13,6 +13,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from popflow.functions.columns import sums
 from popflow.sources.microdata import fill_sentinel
 from popflow.specs import ESTIMATED_VARIABLES, MODE_COLS, PUMS_HH, PUMS_PER
 
@@ -223,7 +224,7 @@ class Roles:
 
     def acs_tract(self) -> DataFrame:
         return self.acs_bg().groupBy("state", "county", "tract").agg(
-            F.min("puma").alias("puma"), *[F.sum(f).alias(f) for f in TRACT_FIELDS])
+            F.min("puma").alias("puma"), *sums(TRACT_FIELDS))
 
     def xwalk(self) -> DataFrame:
         from popflow.functions.geoid import compose_geoids
@@ -237,13 +238,15 @@ class Roles:
     def acs1(self) -> DataFrame:
         """One row per state with every published one-year variable."""
         return self.acs_bg().groupBy(F.col("state").cast("bigint").alias("STATE")).agg(
-            *[F.nullif(F.sum(f) % 9973, F.lit(0).cast("bigint")).alias(f) for f in FIELDS])
+            *[F.expr(f"nullif(sum({f}) % 9973, 0) AS {f}") for f in FIELDS])
 
-    def prepared(self) -> dict[str, DataFrame]:
-        """Control totals made by the preparation job."""
+    def prepared(self, *wanted: str) -> dict[str, DataFrame]:
+        """Control totals made by the preparation job, as the tables later jobs read."""
         from popflow.plans.prepare import prepare_targets
+        from popflow.session import cut
         bg = self.acs_bg_raw(BG_CONTROLS).drop("puma").withColumnRenamed(
             "block_group", "block group")
         tract = self.acs_tract().drop("puma")
-        return prepare_targets({"BG": bg, "TRACT": tract},
-                               {"BG": BG_CONTROLS, "TRACT": TRACT_CONTROLS})
+        tables = prepare_targets({"BG": bg, "TRACT": tract},
+                                 {"BG": BG_CONTROLS, "TRACT": TRACT_CONTROLS})
+        return {name: cut(tables[name]) for name in wanted or tables}

@@ -63,7 +63,7 @@ SELECT PUMA, CAST(sum(H_TOTAL) AS BIGINT) AS H_TOTAL, CAST(sum(P_TOTAL) AS BIGIN
 FROM bg_controls JOIN xwalk USING (BG) GROUP BY PUMA""")
 def controls_to_seed_zone(t: Roles) -> DataFrame:
     return ops.controls_to_zone(
-        t.prepared()["BG"], t.xwalk(), "BG", "PUMA", ["H_TOTAL", "P_TOTAL"])
+        t.prepared("BG")["BG"], t.xwalk(), "BG", "PUMA", ["H_TOTAL", "P_TOTAL"])
 
 
 @query("scale_to_parent", """
@@ -75,7 +75,7 @@ SELECT TRACT, BG, round(H_TOTAL * (g.h / nullif(s.h, 0)), 6) AS H_TOTAL,
        round(P_TOTAL * (g.p / nullif(s.p, 0)), 6) AS P_TOTAL
 FROM z JOIN s USING (TRACT) JOIN g USING (TRACT)""")
 def scale_to_parent(t: Roles) -> DataFrame:
-    zones = t.prepared()["BG"].select(
+    zones = t.prepared("BG")["BG"].select(
         "TRACT", "BG", F.col("H_TOTAL").cast("double").alias("H_TOTAL"),
         F.col("P_TOTAL").cast("double").alias("P_TOTAL"))
     goals = zones.groupBy("TRACT").agg(
@@ -169,7 +169,7 @@ def _summary(t: Roles) -> DataFrame:
     controls = [c for c in CONTROLS if c.target in _SUMMARY_TARGETS]
     inc = ops.incidence(keyed(t.hh()), keyed(t.per()), controls)
     weights = _copies(t).withColumn("zone", F.floor(F.col("hh_id") / 30).cast("bigint"))
-    published = t.prepared()["BG"].withColumn("zone", F.col("TRACT") % 1000000).groupBy(
+    published = t.prepared("BG")["BG"].withColumn("zone", F.col("TRACT") % 1000000).groupBy(
         "zone").agg(*[F.sum(_FIELDS[x]).alias(_FIELDS[x]) for x in _SUMMARY_TARGETS])
     return ops.summarize(weights, inc, published, "zone", _SUMMARY_TARGETS, _FIELDS, "n")
 
@@ -217,7 +217,7 @@ def rake_weights(t: Roles) -> DataFrame:
 
 def _children(t: Roles) -> DataFrame:
     """Block groups of each seed zone with their household controls."""
-    bg = t.prepared()["BG"].join(t.xwalk().select("BG", "PUMA"), "BG")
+    bg = t.prepared("BG")["BG"].join(t.xwalk().select("BG", "PUMA"), "BG")
     return bg.withColumn("PUMA", F.col("PUMA") % 100000)
 
 

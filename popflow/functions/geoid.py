@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popflow.functions.columns import as_col
+from popflow.functions.columns import as_col, quoted, replaced
 from popflow.specs import GEOID_LEN, GEOID_STRUCTURE
 
 
-def _part(name: str, digits: int) -> Column:
-    value = F.pmod(F.col(name).cast("bigint"), F.lit(10**digits))
-    missing = F.raise_error(F.lit(f"geoid part {name} has missing values"))
-    return F.when(F.col(name).isNull(), missing.cast("bigint")).otherwise(value)
+def _part(name: str, digits: int) -> str:
+    c = quoted(name)
+    return (f"CASE WHEN {c} IS NULL THEN raise_error('geoid part {name} has missing values') "
+            f"ELSE pmod(CAST({c} AS BIGINT), {10**digits}L) END")
 
 
 def compose_geoids(
@@ -33,11 +33,11 @@ def compose_geoids(
         lacking = [p for p in structure[name] if p not in df.columns]
         if lacking:
             raise ValueError(f"{name} needs the columns {lacking}")
-        value = F.lit(0).cast("bigint")
+        value = "0L"
         for part in structure[name]:
-            value = value * F.lit(10 ** lens[part]) + _part(part, lens[part])
+            value = f"({value}) * {10 ** lens[part]}L + {_part(part, lens[part])}"
         composed[name] = value
-    return df.withColumns(composed)
+    return df.selectExpr(*replaced(df, composed))
 
 
 def zfill(c: str | Column, width: int) -> Column:

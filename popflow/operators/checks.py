@@ -7,22 +7,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popflow.functions.columns import is_close
+from popflow.functions.columns import is_close, quoted
 from popflow.specs import CHECK_RTOL, CONTROLS, TOTAL_TARGETS, Control
 
 
 def _unpivoted(row: DataFrame, meta: Mapping[str, Sequence[str]], value: str) -> DataFrame:
-    """A one-row table of named counts as (names of meta..., value) rows."""
+    """A one-row table with one column per target as (meta..., value) rows."""
     entries = [
-        F.struct(*[F.lit(v).alias(k) for k, v in zip(meta, values)], F.col(name).alias(value))
-        for name, values in _by_name(meta).items()
+        ", ".join([*[f"'{v}'" for v in values], quoted(values[0])])
+        for values in zip(*meta.values())
     ]
-    return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-
-
-def _by_name(meta: Mapping[str, Sequence[str]]) -> dict[str, tuple[str, ...]]:
-    keys = list(meta)
-    return {values[0]: values for values in zip(*[meta[k] for k in keys])}
+    return row.selectExpr(
+        f"stack({len(entries)}, {', '.join(entries)}) AS ({', '.join(meta)}, {value})")
 
 
 def _meta(controls: Sequence[Control]) -> dict[str, list[str]]:
@@ -42,7 +38,7 @@ def control_counts(
         mine = [c for c in controls if c.seed_table == table]
         if not mine:
             continue
-        row = df.agg(*[F.count_if(F.expr(c.expression)).alias(c.target) for c in mine])
+        row = df.agg(*[F.expr(f"count_if({c.expression}) AS {c.target}") for c in mine])
         part = _unpivoted(row, _meta(mine), "n")
         counts = part if counts is None else counts.unionByName(part)
     return counts
@@ -85,7 +81,8 @@ def check_targets(
         mine = [c for c in controls if c.geography == geography and c.control_field in df.columns]
         if not mine:
             continue
-        row = df.agg(*[F.sum(c.control_field).cast("double").alias(c.target) for c in mine])
+        row = df.agg(*[
+            F.expr(f"CAST(sum({c.control_field}) AS DOUBLE) AS {c.target}") for c in mine])
         meta = _meta(mine) | {"geography": [c.geography for c in mine]}
         part = _unpivoted(row, meta, "value")
         sums = part if sums is None else sums.unionByName(part)

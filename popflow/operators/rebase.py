@@ -10,7 +10,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popflow.functions.columns import null_skipping_sum, ratio, round_to_long
+from popflow.functions.columns import (
+    null_skipping_sum, quoted, ratio, ratio_sql, replaced, round_to_long,
+)
 from popflow.operators.ordering import keep_first
 from popflow.specs import CONTROL_ORDER, ESTIMATED_VARIABLES
 
@@ -50,8 +52,8 @@ def apply_factor(
 ) -> DataFrame:
     """Scale ``cols`` by the factor of their zone; unmatched rows get ``default`` or null."""
     joined = df.join(factors, [on] if isinstance(on, str) else list(on), "left")
-    by = F.col(factor) if default is None else F.coalesce(factor, F.lit(float(default)))
-    return joined.withColumns({c: F.col(c) * by for c in cols}).select(*df.columns)
+    by = factor if default is None else f"coalesce({factor}, {float(default)}D)"
+    return joined.selectExpr(*replaced(df, {c: f"{quoted(c)} * {by}" for c in cols}))
 
 
 def zone_factors(
@@ -82,9 +84,9 @@ def scale_controls(
     """
     joined = zones.join(factors, [zone] if isinstance(zone, str) else list(zone), "left")
     filled = joined.fillna(1).fillna("1")
-    scaled = {c: F.col(c) * F.col("ADJ_FACTOR_HH") for c in hh_cols if c in zones.columns}
-    scaled |= {c: F.col(c) * F.col("ADJ_FACTOR_PER") for c in per_cols if c in zones.columns}
-    return filled.withColumns(scaled).select(*zones.columns)
+    scaled = {c: f"{quoted(c)} * ADJ_FACTOR_HH" for c in hh_cols}
+    scaled |= {c: f"{quoted(c)} * ADJ_FACTOR_PER" for c in per_cols}
+    return filled.selectExpr(*replaced(zones, scaled))
 
 
 def scale_by_state(
@@ -103,11 +105,11 @@ def derive_targets(
     keys: Sequence[str] = ("STATE",),
 ) -> DataFrame:
     """One-year controls as sums of published variables, a missing variable counting as 1."""
-    sums = [
-        null_skipping_sum([F.col(v).cast("bigint") for v in variables], fill=1).alias(control)
+    totals = [
+        f"CAST({null_skipping_sum(variables, fill=1)} AS BIGINT) AS {quoted(control)}"
         for control, variables in mapping.items()
     ]
-    return wide.select(*keys, *sums)
+    return wide.selectExpr(*keys, *totals)
 
 
 def match_total(
@@ -143,11 +145,11 @@ def control_ratios(
     both = [c for c in cols if c in targets.columns and c in totals.columns]
     joined = targets.alias("t").join(totals.alias("c"), key)
     ratios = [
-        (ratio(F.col(f"t.{c}"), F.col(f"c.{c}")) if c in both
-         else F.lit(None).cast("double")).alias(c)
+        (ratio_sql(f"t.{quoted(c)}", f"c.{quoted(c)}") if c in both else "CAST(NULL AS DOUBLE)")
+        + f" AS {quoted(c)}"
         for c in cols
     ]
-    return joined.select(key, *ratios)
+    return joined.selectExpr(key, *ratios)
 
 
 def ratio_adjust(
@@ -160,14 +162,11 @@ def ratio_adjust(
         if c in ratios.columns and c != on and c not in exclude
         and (include is None or c in include)
     ]
-    renamed = ratios.select(on, *[F.col(c).alias(f"__{c}") for c in cols])
-    return (
-        df.join(renamed, on, "left")
-        .withColumns({c: F.col(c) * F.col(f"__{c}") for c in cols})
-        .select(*df.columns)
-    )
+    renamed = ratios.selectExpr(on, *[f"{quoted(c)} AS {quoted('__' + c)}" for c in cols])
+    return df.join(renamed, on, "left").selectExpr(
+        *replaced(df, {c: f"{quoted(c)} * {quoted('__' + c)}" for c in cols}))
 
 
 def round_controls(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Round the controls half to even as bigint; a null control raises."""
-    return df.withColumns({c: round_to_long(c) for c in cols if c in df.columns})
+    return df.selectExpr(*replaced(df, {c: round_to_long(c) for c in cols}))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from popflow.functions.geoid import compose_geoids
 from popflow.operators.targets import drop_empty_zones
+from popflow.session import cut
 from popflow.specs import ARC_METERS, CROSSWALK_RENAMES, NEAREST_CAP_M, REGION
 
 # WGS 84 first eccentricity squared.
@@ -226,11 +227,13 @@ def nearest_any(
     zone_id: str = "GEOID",
 ) -> DataFrame:
     """The nearest zone at any distance: the reach grows for the points still unmatched."""
-    found, left, reach = [], points, first_m
+    found, left, reach = [], cut(points), first_m
     for _ in range(steps):
-        hit = nearest(left, zones, reach, by, point_id, zone_id)
+        hit = cut(nearest(left, zones, reach, by, point_id, zone_id))
         found.append(hit)
-        left = left.join(hit.select(point_id), point_id, "left_anti")
+        left = cut(left.join(hit.select(point_id), point_id, "left_anti"))
+        if left.isEmpty():
+            break
         reach *= factor
     return reduce(DataFrame.unionByName, found)
 
@@ -252,9 +255,10 @@ def assign_zones(
 
     Zones that no PUMA of the state reaches within the cap are dropped.
     """
-    points = centroids(zones, keep=("GEOID", "STATEFP")).withColumnRenamed("GEOID", "point_id")
+    points = cut(
+        centroids(zones, keep=("GEOID", "STATEFP")).withColumnRenamed("GEOID", "point_id"))
     areas = pumas.select(F.col("GEOID").alias("PUMA"), "STATEFP", "rings")
-    inside = within(points, areas, cell_deg, zone_id="PUMA")
+    inside = cut(within(points, areas, cell_deg, zone_id="PUMA"))
     orphans = points.join(inside.select("point_id"), "point_id", "left_anti")
     by_distance = nearest(orphans, areas, max_m, zone_id="PUMA").select("point_id", "PUMA")
     links = inside.unionByName(by_distance).withColumnRenamed("point_id", "GEOID")
@@ -298,6 +302,7 @@ def dedupe_crosswalk(
     within the cap; otherwise only the rows already in the nearest PUMA stay. ``zone_points``
     has the composed zone id, ``STATEFP``, ``lon`` and ``lat``; ``pumas`` has the composed PUMA.
     """
+    xwalk = cut(xwalk)
     unclear = ambiguous_zones(xwalk, zone).select(zone)
     points = zone_points.join(unclear, zone, "left_semi").withColumnRenamed(zone, "point_id")
     areas = pumas.withColumnRenamed("PUMA", "__near")

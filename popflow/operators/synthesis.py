@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from popflow.functions.columns import ratio
+from popflow.functions.columns import quoted, ratio, ratio_sql, replaced, sums
 from popflow.operators.ordering import rank_rows, running_total
 from popflow.session import cut
 from popflow.specs import (
@@ -31,15 +31,14 @@ def incidence(
     """
     mine = [c for c in controls if c.seed_table == "households"]
     theirs = [c for c in controls if c.seed_table == "persons"]
-    flags = [F.expr(c.expression).cast("bigint").alias(c.target) for c in mine]
-    households = hh.filter(F.col("WGTP") > 0).select(key, *keep, *flags)
+    flags = [f"CAST({c.expression} AS BIGINT) AS {c.target}" for c in mine]
+    households = hh.filter(F.col("WGTP") > 0).selectExpr(key, *keep, *flags)
     if theirs:
         counts = per.groupBy(key).agg(
-            *[F.count_if(F.expr(c.expression)).alias(c.target) for c in theirs])
+            *[F.expr(f"count_if({c.expression}) AS {c.target}") for c in theirs])
         households = households.join(counts, key, "left")
-    zero = F.lit(0).cast("bigint")
-    return households.select(
-        key, *keep, *[F.coalesce(c.target, zero).alias(c.target) for c in controls])
+    return households.selectExpr(
+        key, *keep, *[f"coalesce({c.target}, 0L) AS {c.target}" for c in controls])
 
 
 def signatures(
@@ -50,7 +49,7 @@ def signatures(
 
     ``signature`` is a hash for reference; grouping compares the incidence itself.
     """
-    x = F.array(*[F.col(t).cast("bigint") for t in targets])
+    x = F.expr(f"array({', '.join(f'CAST({t} AS BIGINT)' for t in targets)})")
     return (
         inc.groupBy(by, x.alias("x"))
         .agg(F.count(F.lit(1)).alias("n_households"), F.sum(weight).alias("weight"),
@@ -64,7 +63,7 @@ def controls_to_zone(
 ) -> DataFrame:
     """Child controls summed to the zone the crosswalk assigns them to."""
     link = xwalk.select(child, zone).distinct()
-    return controls.join(link, child).groupBy(zone).agg(*[F.sum(c).alias(c) for c in cols])
+    return controls.join(link, child).groupBy(zone).agg(*sums(cols))
 
 
 # --------------------------------------------------------------------------
@@ -169,15 +168,16 @@ def rake_weights(
     k = len(targets)
     imp = [float((importance or {}).get(t, 1000.0)) for t in targets]
     zone_type = inc.schema[by].dataType.simpleString()
-    x = F.array(*[F.col(t).cast("double") for t in targets])
+    x = F.expr(f"array({', '.join(f'CAST({t} AS DOUBLE)' for t in targets)})")
 
     merged = cut(
         inc.select(F.col(by).alias("zone"), x.alias("x"), F.col(weight).cast("double").alias("w"))
         .groupBy("zone", "x").agg(F.sum("w").alias("w0"))
         .repartitionByRange("zone", F.xxhash64("x"))
     )
-    goal = F.array(*[F.coalesce(F.col(t).cast("double"), F.lit(0.0)) for t in targets])
-    weights = F.array(*[F.lit(v) for v in imp])
+    goal = F.expr(
+        f"array({', '.join(f'coalesce(CAST({t} AS DOUBLE), 0D)' for t in targets)})")
+    weights = F.expr(f"array({', '.join(f'{v}D' for v in imp)})")
     zeros = F.array_repeat(F.lit(0.0), k)
     state = cut(
         controls.select(F.col(by).alias("zone"), goal.alias("goal"))
@@ -220,14 +220,12 @@ def scale_to_parent(
     df: DataFrame, cols: Sequence[str], parent: str, totals: DataFrame
 ) -> DataFrame:
     """Scale zone columns so that their sums meet the parent's columns of the same name."""
-    sums = df.groupBy(parent).agg(*[F.sum(c).alias(f"__sum_{c}") for c in cols])
-    goals = totals.select(parent, *[F.col(c).alias(f"__goal_{c}") for c in cols])
-    factors = goals.join(sums, parent).select(
-        parent, *[ratio(f"__goal_{c}", f"__sum_{c}").alias(f"__f_{c}") for c in cols])
-    return (
-        df.join(factors, parent, "left")
-        .withColumns({c: F.col(c) * F.col(f"__f_{c}") for c in cols}).select(*df.columns)
-    )
+    current = df.groupBy(parent).agg(*sums(cols))
+    factors = totals.alias("t").join(current.alias("c"), parent).selectExpr(
+        parent, *[f"{ratio_sql(f't.{quoted(c)}', f'c.{quoted(c)}')} AS {quoted('__' + c)}"
+                  for c in cols])
+    return df.join(factors, parent, "left").selectExpr(
+        *replaced(df, {c: f"{quoted(c)} * {quoted('__' + c)}" for c in cols}))
 
 
 # --------------------------------------------------------------------------
@@ -331,7 +329,10 @@ def allocate_to_children(
     Returns one row per household and child: ``key``, ``by``, ``child`` and ``weight``.
     """
     cats = list(cell_controls)
-    cell_totals = weights.groupBy(by, *cats).agg(F.sum(weight).alias("goal"))
+    weights = cut(weights.select(by, *cats, key, weight))
+    child_controls = cut(child_controls.select(
+        by, child, total, *[c for columns in cell_controls.values() for c in columns.values()]))
+    cell_totals = cut(weights.groupBy(by, *cats).agg(F.sum(weight).alias("goal")))
     links = child_controls.select(by, child)
     # Cells are combinations of a fixed set of categories, so this grows with the children.
     table = links.join(cell_totals, by).select(
@@ -364,7 +365,7 @@ def allocate_to_children(
         .select(by, child, *cats, (F.col("goal") * F.coalesce(
             F.try_divide(F.col("__size"), F.col("__sizes")), 1 / F.col("__m"))).alias("n"))
     )
-    quota = (
+    quota = cut(
         fitted.join(shared.select(by, *cats).distinct(), [by, *cats], "left_anti")
         .select(by, child, *cats, "n").unionByName(shared)
         .join(cell_totals, [by, *cats])
@@ -374,8 +375,9 @@ def allocate_to_children(
     offered = slots(
         places.select(by, *cats, child, "places"), "places", [child], [by, *cats], spread=True)
     wanted = slots(weights.select(by, *cats, key, weight), weight, [key], [by, *cats])
-    matched = wanted.select(by, *cats, "slot", key).join(
-        offered.select(by, *cats, "slot", child), [by, *cats, "slot"])
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (by, *cats, "slot")]
+    matched = wanted.alias("a").join(offered.alias("b"), same).select(
+        F.col(f"a.{by}").alias(by), key, child)
     return matched.groupBy(key, by, child).agg(F.count(F.lit(1)).alias(weight))
 
 
@@ -397,10 +399,10 @@ def summarize(
     """
     results = (
         weights.select(key, zone, weight).join(inc.select(key, *targets), key)
-        .groupBy(zone).agg(*[F.sum(F.col(weight) * F.col(t)).alias(f"{t}_result") for t in targets])
+        .groupBy(zone).agg(*[F.expr(f"sum({weight} * {t}) AS {t}_result") for t in targets])
     )
-    published = controls.select(
-        zone, *[F.col(fields[t]).alias(f"{t}_control") for t in targets])
+    published = controls.selectExpr(
+        zone, *[f"{fields[t]} AS {t}_control" for t in targets])
     cols = [c for t in targets for c in (f"{t}_control", f"{t}_result")]
     return published.join(results, zone, "left").select(F.col(zone).alias("id"), *cols)
 
@@ -413,7 +415,7 @@ def super_summary(
     cols = [c for t in targets for c in (f"{t}_control", f"{t}_result")]
     return (
         summary.join(link, F.col("id") == F.col(child))
-        .groupBy(F.col(parent).alias("id")).agg(*[F.sum(c).alias(c) for c in cols])
+        .groupBy(F.col(parent).alias("id")).agg(*sums(cols))
     )
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popflow.functions.columns import null_skipping_sum
+from popflow.functions.columns import null_skipping_sum, quoted, sums
 from popflow.functions.geoid import compose_geoids
 from popflow.specs import FIXED_RENAMES, GEOID_STRUCTURE, REGION, REMAINDERS, Remainder
 
@@ -48,16 +48,16 @@ def aggregate_controls(zones: DataFrame, agg: Mapping[str, Sequence[str]]) -> Da
     A field may feed several controls.
     """
     consumed = {f for fields in agg.values() for f in fields} - set(agg)
-    kept = [F.col(c) for c in zones.columns if c not in consumed and c not in agg]
-    sums = [null_skipping_sum(fields).alias(control) for control, fields in agg.items()]
-    return zones.select(*kept, *sums)
+    kept = [quoted(c) for c in zones.columns if c not in consumed and c not in agg]
+    totals = [f"{null_skipping_sum(fields)} AS {quoted(c)}" for c, fields in agg.items()]
+    return zones.selectExpr(*kept, *totals)
 
 
 def rollup_totals(
     zones: DataFrame, controls: Sequence[str], state: str = "state"
 ) -> DataFrame:
     """State totals and, in the row where ``state`` is null, the regional total."""
-    return zones.rollup(state).agg(*[F.sum(c).alias(c) for c in controls])
+    return zones.rollup(state).agg(*sums(controls))
 
 
 def state_and_region_totals(
@@ -65,12 +65,12 @@ def state_and_region_totals(
 ) -> tuple[DataFrame, DataFrame]:
     """Totals of all controls by state and over the region, from tables of several geographies."""
     by_state = [
-        df.groupBy(state).agg(*[F.sum(c).alias(c) for c in controls])
+        df.groupBy(state).agg(*sums(controls))
         for df, controls in tables.values() if controls
     ]
     states = reduce(lambda a, b: a.join(b, state, "full_outer"), by_state)
     controls = [c for c in states.columns if c != state]
-    region = states.agg(*[F.sum(c).alias(c) for c in controls]).select(
+    region = states.agg(*sums(controls)).select(
         F.lit(REGION).alias("REGION"), *controls)
     return states.withColumnRenamed(state, "STATE"), region
 
@@ -105,15 +105,15 @@ def remainder_control(
     keys = list(keys)
 
     if add_geo == sub_geo == spec.geography:
-        sides = target.groupBy(*keys).agg(
-            F.sum(null_skipping_sum(spec.add)).alias("__add"),
-            F.sum(null_skipping_sum(spec.subtract)).alias("__sub"))
-    else:
-        added = tables[add_geo].groupBy(*keys).agg(
-            F.sum(null_skipping_sum(spec.add)).alias("__add"))
-        taken = tables[sub_geo].groupBy(*keys).agg(
-            F.sum(null_skipping_sum(spec.subtract)).alias("__sub"))
-        sides = added.join(taken, keys, "full_outer")
+        # Zones are unique rows of their table, so nothing has to be summed or joined.
+        return target.selectExpr(
+            "*", f"{null_skipping_sum(spec.add)} - ({null_skipping_sum(spec.subtract)}) "
+                 f"AS {quoted(name)}")
+    added = tables[add_geo].groupBy(*keys).agg(
+        F.expr(f"sum({null_skipping_sum(spec.add)}) AS __add"))
+    taken = tables[sub_geo].groupBy(*keys).agg(
+        F.expr(f"sum({null_skipping_sum(spec.subtract)}) AS __sub"))
+    sides = added.join(taken, keys, "full_outer")
     remainder = sides.select(*keys, (F.col("__add") - F.col("__sub")).alias(name))
     return target.join(remainder, keys).select(*target.columns, name)
 
@@ -138,4 +138,4 @@ def drop_empty_zones(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
         if f.dataType.typeName() in ("integer", "long", "double", "float", "short")
         and f.name not in ignore
     ]
-    return df.filter(null_skipping_sum(numeric) != 0)
+    return df.filter(f"{null_skipping_sum(numeric)} <> 0")

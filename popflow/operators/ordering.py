@@ -8,7 +8,7 @@ is one row per (partition, group).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,38 +37,46 @@ def _placed(df: DataFrame, by: Sequence[str], order: Sequence[str | Column]) ->
     })
 
 
-def _carried(per_part: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Total of ``value`` in the earlier partitions of the same group.
+def _carried(
+    per_part: DataFrame, by: Sequence[str], value: str, totals: Sequence[str]
+) -> DataFrame:
+    """Total of ``value`` in the earlier partitions of the same group, and the group's ``totals``.
 
     The window sees at most one row per range partition and group.
     """
-    window = (
+    earlier = (
         Window.partitionBy(*by).orderBy(_PART)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     zero = F.lit(0).cast(per_part.schema[value].dataType)
-    return per_part.withColumn(_CARRY, F.coalesce(F.sum(value).over(window), zero))
+    carried = per_part.withColumns({
+        _CARRY: F.coalesce(F.sum(value).over(earlier), zero),
+        **{t: F.sum(t).over(Window.partitionBy(*by)) for t in totals},
+    })
+    # Without groups this is one row per range partition.
+    return carried if by else F.broadcast(carried)
 
 
 def rank_rows(
-    df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = (), out: str = "rank"
+    df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = (), out: str = "rank",
+    totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """1-based ``row_number`` over ``order`` inside each ``by`` group.
 
     ``order`` should end in a unique column, which makes the result repeatable and lets ties be
-    split between tasks. ``by`` columns must not be null.
+    split between tasks. ``by`` columns must not be null. ``totals`` maps further output columns
+    to SQL summed over the group; they travel with the rank at no extra shuffle.
     """
-    by = list(by)
+    by, totals = list(by), totals or {}
     rows = _placed(df, by, order)
     per_part = rows.groupBy(*by, _PART).agg(
-        F.count(F.lit(1)).alias(_SIZE), F.min(_ROW).alias(_FIRST))
-    carried = _carried(per_part, by, _SIZE).drop(_SIZE)
-    if not by:
-        carried = F.broadcast(carried)  # one row per range partition
-    ranked = rows.join(carried, [*by, _PART])
+        F.count(F.lit(1)).alias(_SIZE), F.min(_ROW).alias(_FIRST),
+        *[F.expr(f"sum({e}) AS {t}") for t, e in totals.items()])
+    # Joined on group and partition: no key owns more rows than a range partition holds.
+    ranked = rows.join(_carried(per_part, by, _SIZE, list(totals)).drop(_SIZE), [*by, _PART])
     return ranked.withColumn(
         out, F.col(_CARRY) + F.col(_ROW) - F.col(_FIRST) + F.lit(1)
-    ).select(*df.columns, out)
+    ).select(*df.columns, out, *totals)
 
 
 def running_total(
@@ -77,20 +85,23 @@ def running_total(
     order: Sequence[str | Column],
     by: Sequence[str] = (),
     out: str = "running",
+    total: str | None = None,
 ) -> DataFrame:
-    """Inclusive running sum of ``value`` over ``order`` inside each ``by`` group."""
-    by = list(by)
+    """Inclusive running sum of ``value`` over ``order`` inside each ``by`` group.
+
+    ``total`` names an extra column for the sum over the whole group.
+    """
+    by, extra = list(by), [total] if total else []
     rows = _placed(df, by, order)
-    per_part = rows.groupBy(*by, _PART).agg(F.sum(value).alias(_SIZE))
-    carried = _carried(per_part, by, _SIZE).drop(_SIZE)
-    if not by:
-        carried = F.broadcast(carried)  # one row per range partition
+    per_part = rows.groupBy(*by, _PART).agg(
+        F.sum(value).alias(_SIZE), *[F.sum(value).alias(t) for t in extra])
     local = (
         Window.partitionBy(_PART, *by).orderBy(_SLOT)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = rows.withColumn(out, F.sum(value).over(local)).join(carried, [*by, _PART])
-    return summed.withColumn(out, F.col(_CARRY) + F.col(out)).select(*df.columns, out)
+    summed = rows.withColumn(out, F.sum(value).over(local)).join(
+        _carried(per_part, by, _SIZE, extra).drop(_SIZE), [*by, _PART])
+    return summed.withColumn(out, F.col(_CARRY) + F.col(out)).select(*df.columns, out, *extra)
 
 
 def dense_key(df: DataFrame, cols: Sequence[str], out: str = "key") -> DataFrame:
@@ -129,12 +140,7 @@ def quantile_edges(
         df.filter(F.col(col).isNotNull())
         .groupBy(*by, col).agg(F.count(F.lit(1)).alias("__n"))
     )
-    running = running_total(counts, "__n", [col], by, out="__upto")
-    sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__total"))
-    if by:
-        placed = running.join(sizes, by)
-    else:
-        placed = running.withColumn("__total", sizes.scalar())
+    placed = running_total(counts, "__n", [col], by, out="__upto", total="__total")
     # Position p*(n-1) lies between the rows at its floor and its ceiling.
     wanted = F.array(*[
         F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("__total") - 1)).alias("h"))

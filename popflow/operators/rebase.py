@@ -14,6 +14,7 @@ from popflow.functions.columns import (
     null_skipping_sum, quoted, ratio, ratio_sql, replaced, round_to_long,
 )
 from popflow.operators.ordering import keep_first
+from popflow.session import cut
 from popflow.specs import CONTROL_ORDER, ESTIMATED_VARIABLES
 
 
@@ -50,8 +51,12 @@ def apply_factor(
     df: DataFrame, factors: DataFrame, on: str | Sequence[str], cols: Sequence[str],
     factor: str = "factor", default: float | None = None,
 ) -> DataFrame:
-    """Scale ``cols`` by the factor of their zone; unmatched rows get ``default`` or null."""
-    joined = df.join(factors, [on] if isinstance(on, str) else list(on), "left")
+    """Scale ``cols`` by the factor of their zone; unmatched rows get ``default`` or null.
+
+    The factors, one row per zone, are written first: the planner then knows their size and
+    broadcasts them below its threshold, so ``df`` is not shuffled by a key as coarse as a state.
+    """
+    joined = df.join(cut(factors), [on] if isinstance(on, str) else list(on), "left")
     by = factor if default is None else f"coalesce({factor}, {float(default)}D)"
     return joined.selectExpr(*replaced(df, {c: f"{quoted(c)} * {by}" for c in cols}))
 

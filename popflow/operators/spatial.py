@@ -131,9 +131,9 @@ def within(
     zones have in its band. Points on a shared boundary fall to one side (half-open rule).
     """
     edges = zone_edges(zones, [zone_id])
-    banded = edges.filter(F.col("y0") != F.col("y1")).select(
-        "*", _cells(F.least("y0", "y1"), F.greatest("y0", "y1"), cell_deg).alias("__band"))
-    cover = (
+    banded = cut(edges.filter(F.col("y0") != F.col("y1")).select(
+        "*", _cells(F.least("y0", "y1"), F.greatest("y0", "y1"), cell_deg).alias("__band")))
+    cover = cut(
         banded.groupBy(zone_id, "__band")
         .agg(F.min(F.least("x0", "x1")).alias("__lo"), F.max(F.greatest("x0", "x1")).alias("__hi"))
         .select(zone_id, "__band", _cells(F.col("__lo"), F.col("__hi"), cell_deg).alias("__col"))

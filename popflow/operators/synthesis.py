@@ -244,12 +244,12 @@ def integerize(
     by, key = list(by), list(key)
     whole = F.floor(weight).cast("bigint")
     split = df.withColumns({"__whole": whole, "__frac": F.col(weight) - whole})
-    wanted = F.rint(F.sum(weight)).cast("bigint") if total is None else F.max(total)
-    missing = split.groupBy(*by).agg((wanted - F.sum("__whole")).alias("__missing"))
-    ranked = rank_rows(split, [F.col("__frac").desc(), *key], by, out="__rank")
-    bump = (F.col("__rank") <= F.col("__missing")).cast("bigint")
-    return ranked.join(missing, by).withColumn(out, F.col("__whole") + bump).select(
-        *df.columns, out)
+    ranked = rank_rows(
+        split, [F.col("__frac").desc(), *key], by, out="__rank",
+        totals={"__sum": weight, "__whole_sum": "__whole"})
+    wanted = F.rint("__sum").cast("bigint") if total is None else F.col(total)
+    bump = (F.col("__rank") <= wanted - F.col("__whole_sum")).cast("bigint")
+    return ranked.withColumn(out, F.col("__whole") + bump).select(*df.columns, out)
 
 
 # --------------------------------------------------------------------------

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
+_written: list[str] = []
 
 
 def get_spark(app: str = "popflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -56,4 +57,15 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/popflow-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables ``cut`` wrote; call it once no result depends on them any more."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    count = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        count += bool(path.getFileSystem(hadoop).delete(path, True))
+    return count

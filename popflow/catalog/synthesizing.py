@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from popflow.catalog.registry import query
 from popflow.catalog.roles import Roles
 from popflow.operators import synthesis as ops
-from popflow.plans.synthesize import household_categories
+from popflow.plans.synthesize import household_categories, synthesize
+from popflow.plans.validate import stats
+from popflow.session import cut
 from popflow.specs import (
     CONTROLS, HOUSEHOLD_CONTROLS, PERSON_CONTROLS, SYNTHETIC_HOUSEHOLD_COLS,
     SYNTHETIC_PERSON_COLS,
@@ -254,3 +256,54 @@ SELECT 'o_orderstatus', 'string', count(o_orderstatus), count(*) - count(o_order
        min(o_orderstatus), max(o_orderstatus) FROM orders""")
 def schema_report(t: Roles) -> DataFrame:
     return ops.schema_report(t.table("orders").select("o_custkey", "o_orderstatus"))
+
+
+# --- the whole job ---------------------------------------------------------
+_GROUPS = ("h_total", "p_total", "h_size", "h_income", "p_sex", "p_age", "p_mode")
+PLAN_CONTROLS = [c for c in CONTROLS if c.control_group in _GROUPS]
+_PLAN_BG = [c for c in PLAN_CONTROLS if c.geography == "BG"]
+_PLAN_TRACT = [c for c in PLAN_CONTROLS if c.geography == "TRACT"]
+
+
+def _known_population(t: Roles) -> dict[str, DataFrame]:
+    """Seeds, crosswalk and controls of a population that is known to exist.
+
+    Household k lives in the block group of customer k / 10 with a known weight, so the controls
+    agree with each other and with the seeds.
+    """
+    hh, per = keyed(t.hh()), keyed(t.per())
+    inc = cut(ops.incidence(hh, per, PLAN_CONTROLS, keep=("PUMA", "WGTP", "NP")))
+    known = F.col("WGTP") * (2 + F.col("NP") % 3)
+    at_home = inc.withColumns({
+        "known": known, "BG": F.floor(F.col("hh_id") / 10).cast("bigint"),
+        "TRACT": F.floor(F.col("hh_id") / 30).cast("bigint")})
+    xwalk = t.table("customer").selectExpr(
+        "c_custkey AS BG", "CAST(floor(c_custkey / 3) AS BIGINT) AS TRACT",
+        "CAST(floor(c_custkey / 30) AS BIGINT) AS PUMA",
+        "1 + CAST(floor(c_custkey / 30) AS BIGINT) % 5 AS STATE", "1 AS REGION")
+    tables = {"households": hh, "persons": per, "xwalk": xwalk}
+    for zone, controls in (("BG", _PLAN_BG), ("TRACT", _PLAN_TRACT)):
+        sums = at_home.groupBy(zone).agg(*[
+            F.expr(f"sum(known * {c.target}) AS {c.control_field}") for c in controls])
+        tables[zone.lower()] = cut(sums)
+    return tables
+
+
+def _synthesized(t: Roles) -> dict[str, DataFrame]:
+    known = _known_population(t)
+    return synthesize(
+        known["households"], known["persons"], known["xwalk"], known["bg"], known["tract"],
+        PLAN_CONTROLS, ("h_size", "h_income"), fit_iter=4)
+
+
+@query("synthesize_zone_totals", f"""
+WITH {_INC}
+SELECT PUMA AS id, CAST(sum(WGTP * (2 + NP % 3)) AS BIGINT) AS h_total_control,
+       CAST(sum(WGTP * (2 + NP % 3)) AS BIGINT) AS h_total_result FROM inc GROUP BY PUMA""")
+def synthesize_zone_totals(t: Roles) -> DataFrame:
+    return _synthesized(t)["summary_BG_PUMA"].select("id", "h_total_control", "h_total_result")
+
+
+@query("synthesize_fit")
+def synthesize_fit(t: Roles) -> DataFrame:
+    return stats(_synthesized(t), PLAN_CONTROLS)

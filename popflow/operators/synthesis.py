@@ -70,7 +70,7 @@ def controls_to_zone(
 # Raking
 # --------------------------------------------------------------------------
 def _moments(k: int, cap: float):
-    """Per task: sums of w*x and w*x*x' per zone, one output row per zone seen."""
+    """Per task: sums of w, w*x and w*x*x' per zone, one output row per zone seen."""
     upper = np.triu_indices(k)
     flush_at = 512  # zones held at once, k*k doubles each
 
@@ -90,7 +90,7 @@ def _moments(k: int, cap: float):
                 factor = np.exp(np.minimum(x @ lam, 700.0))
                 free = factor < cap
                 w = w0 * np.minimum(factor, cap)
-                m = x.T @ w
+                m = np.concatenate([[w.sum()], x.T @ w])
                 h = (x * (w * free)[:, None]).T @ x
                 if zone in sums:
                     sums[zone] = (sums[zone][0] + m, sums[zone][1] + h)
@@ -116,18 +116,20 @@ def _newton_step(k: int):
                 v = np.asarray(r.moments, dtype=float)
                 lam, goal = np.asarray(r.lam, dtype=float), np.asarray(r.goal, dtype=float)
                 ridge = np.asarray(r.ridge, dtype=float)
-                gap = goal - v[:k] - ridge * lam
+                gap = goal - v[1:k + 1] - ridge * lam
                 err = float(np.max(np.abs(gap) / np.maximum(goal, 1.0)))
                 norm = float(np.sum(gap * gap / np.maximum(goal, 1.0)))
                 if norm <= r.best_norm:
                     h = np.zeros((k, k))
-                    h[upper] = v[k:]
-                    h = h + np.triu(h, 1).T + np.diag(ridge)
+                    h[upper] = v[k + 1:]
+                    spread = h + np.triu(h, 1).T
+                    h = spread + np.diag(ridge)
                     # Rows and columns are scaled alike, so totals and small cells weigh the same.
                     s = 1.0 / np.sqrt(np.maximum(np.diag(h), 1e-12))
                     delta = s * np.linalg.lstsq(h * s[:, None] * s, gap * s, rcond=1e-14)[0]
-                    longest = float(np.max(np.abs(delta))) if k else 0.0
-                    delta = delta * min(1.0, 4.0 / longest) if longest > 0 else delta
+                    # No step changes the logarithms of the weights by more than 2 on average.
+                    change = np.sqrt(max(float(delta @ spread @ delta), 0.0) / max(v[0], 1e-12))
+                    delta = delta * min(1.0, 2.0 / change) if change > 0 else delta
                     state = (lam, delta, 1.0, norm, err)
                 else:
                     state = (np.asarray(r.best), np.asarray(r.delta), r.step / 2,
@@ -199,7 +201,7 @@ def rake_weights(
             partial.select("zone", F.posexplode("moments").alias("pos", "v"))
             .groupBy("zone", "pos").agg(F.sum("v").alias("v"))
         )
-        # k + k(k+1)/2 entries per zone, whatever the number of households.
+        # 1 + k + k(k+1)/2 entries per zone, whatever the number of households.
         packed = summed.groupBy("zone").agg(F.transform(
             F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda e: e["v"]).alias("moments"))
         state = cut(
@@ -329,7 +331,8 @@ def allocate_to_children(
     Returns one row per household and child: ``key``, ``by``, ``child`` and ``weight``.
     """
     cats = list(cell_controls)
-    weights = cut(weights.select(by, *cats, key, weight))
+    # A household outside all categories is in a class of its own that no child asks for.
+    weights = cut(weights.select(by, *cats, key, weight).fillna("", cats))
     child_controls = cut(child_controls.select(
         by, child, total, *[c for columns in cell_controls.values() for c in columns.values()]))
     cell_totals = cut(weights.groupBy(by, *cats).agg(F.sum(weight).alias("goal")))
@@ -375,9 +378,8 @@ def allocate_to_children(
     offered = slots(
         places.select(by, *cats, child, "places"), "places", [child], [by, *cats], spread=True)
     wanted = slots(weights.select(by, *cats, key, weight), weight, [key], [by, *cats])
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (by, *cats, "slot")]
-    matched = wanted.alias("a").join(offered.alias("b"), same).select(
-        F.col(f"a.{by}").alias(by), key, child)
+    matched = wanted.select(by, *cats, "slot", key).join(
+        offered.select(by, *cats, "slot", child), [by, *cats, "slot"])
     return matched.groupBy(key, by, child).agg(F.count(F.lit(1)).alias(weight))
 
 

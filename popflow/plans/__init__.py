@@ -1,8 +1 @@
-"""Complete jobs composed of the operators."""
-
-from popflow.plans.prepare import prepare
-from popflow.plans.rebase import rebase
-from popflow.plans.synthesize import synthesize
-from popflow.plans.validate import validate
-
-__all__ = ["prepare", "rebase", "synthesize", "validate"]
+"""Complete jobs composed of the operators: prepare, rebase, synthesize and validate."""

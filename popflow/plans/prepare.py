@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from popflow.functions.geoid import compose_geoids, zfill
 from popflow.operators import checks, seeds, spatial, targets
-from popflow.specs import CONTROLS, FIXED_RENAMES, REMAINDERS, SUB_GEOGRAPHIES
+from popflow.specs import CONTROLS, FIXED_RENAMES, REMAINDERS, SUB_GEOGRAPHIES, Remainder
 
 
 def prepare_targets(
     acs: Mapping[str, DataFrame], agg: Mapping[str, Mapping[str, Sequence[str]]],
-    states: Sequence[str] | None = None,
+    states: Sequence[str] | None = None, remainders: Mapping[str, Remainder] = REMAINDERS,
 ) -> dict[str, DataFrame]:
     """Control totals per geography, STATE and REGION.
 
@@ -27,7 +27,7 @@ def prepare_targets(
     }
     by_state, region = targets.state_and_region_totals(
         {geo: (df, list(agg[geo])) for geo, df in tables.items()})
-    for name, spec in REMAINDERS.items():
+    for name, spec in remainders.items():
         tables[spec.geography] = targets.remainder_control(tables, name, spec)
     out = {geo: targets.format_targets(df) for geo, df in tables.items()}
     out["STATE"] = by_state.withColumn("STATE", F.col("STATE").cast("bigint"))
@@ -65,14 +65,14 @@ def prepare(
     hh: DataFrame, per: DataFrame, acs: Mapping[str, DataFrame],
     agg: Mapping[str, Mapping[str, Sequence[str]]],
     bg: DataFrame | None = None, tract: DataFrame | None = None, puma: DataFrame | None = None,
-    states: Sequence[str] | None = None,
+    states: Sequence[str] | None = None, remainders: Mapping[str, Remainder] = REMAINDERS,
 ) -> dict[str, DataFrame]:
     """All inputs of the synthesis as lazy tables, with the check reports under ``check_*``."""
     numbers = None if states is None else [int(s) for s in states]
     seed = seeds.build_seeds(hh, per, numbers)
     out = {"seed_households": seed.households, "seed_persons": seed.persons}
     out["check_seeds"] = checks.check_seeds(seed.households, seed.persons)
-    totals = prepare_targets(acs, agg, states)
+    totals = prepare_targets(acs, agg, states, remainders)
     out |= {f"control_totals_{geo}": df for geo, df in totals.items() if geo != "REGION"}
     out["scaled_control_totals_meta"] = totals["REGION"]
     present = {c for df in totals.values() for c in df.columns}

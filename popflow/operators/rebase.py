@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popflow.functions.columns import (
-    null_skipping_sum, quoted, ratio, ratio_sql, replaced, round_to_long,
+    null_skipping_sum, quoted, ratio, ratio_sql, replaced, round_to_long, sums,
 )
 from popflow.operators.ordering import keep_first
 from popflow.session import cut
@@ -39,11 +39,17 @@ def zone_and_state_factors(
     df1: DataFrame, df5: DataFrame, weight: str, out: str, state: str = "STATE",
     zone: str = "PUMA",
 ) -> tuple[DataFrame, DataFrame]:
-    """Zone factors and state factors; state sums are built from the zone sums."""
-    zones5 = df5.groupBy(state, zone).agg(F.sum(weight).alias(weight))
-    zones1 = df1.groupBy(state, zone).agg(F.sum(weight).alias(weight))
-    by_zone = weight_factor(zones1, zones5, weight, (state, zone), out)
-    by_state = weight_factor(zones1, zones5, weight, (state,), out)
+    """Zone factors and state factors from one written table of zone sums.
+
+    A zone that only the one-year data have counts in its state but has no factor.
+    """
+    sum5 = df5.groupBy(state, zone).agg(F.sum(weight).alias("sum_5yr"))
+    sum1 = df1.groupBy(state, zone).agg(F.sum(weight).alias("sum_1yr"))
+    zones = cut(sum5.join(sum1, [state, zone], "full_outer"))
+    states = zones.groupBy(state).agg(*sums(["sum_5yr", "sum_1yr"]))
+    by_zone, by_state = (
+        df.filter("sum_5yr IS NOT NULL").withColumn(out, ratio("sum_1yr", "sum_5yr"))
+        for df in (zones, states))
     return by_zone.select(state, zone, out), by_state.select(state, out)
 
 
@@ -66,12 +72,13 @@ def zone_factors(
 ) -> DataFrame:
     """Household and person factors of each zone, through one seed zone per zone.
 
-    A zone listed under several seed zones keeps the one of its first block group.
+    A zone listed under several seed zones keeps the one of its first block group. The result is
+    written, as every control table of the zone is scaled by it.
     """
     order = ["BG"] if "BG" in xwalk.columns and zone != "BG" else [seed_zone]
     link = keep_first(
         xwalk.select(zone, seed_zone, *[c for c in order if c != seed_zone]), zone, order)
-    return (
+    return cut(
         link.select(zone, seed_zone)
         .join(hh.select(seed_zone, "ADJ_FACTOR_HH"), seed_zone, "left")
         .join(per.select(seed_zone, "ADJ_FACTOR_PER"), seed_zone, "left")
@@ -99,10 +106,10 @@ def scale_by_state(
     hh_cols: Sequence[str], per_cols: Sequence[str], state: str = "STATE",
 ) -> DataFrame:
     """Scale state-level controls by the state factors."""
-    scaled = apply_factor(states, hh_state, state,
-                          [c for c in hh_cols if c in states.columns], "ADJ_FACTOR_HH")
-    return apply_factor(scaled, per_state, state,
-                        [c for c in per_cols if c in states.columns], "ADJ_FACTOR_PER")
+    factors = hh_state.join(per_state, state, "full_outer")
+    new = {c: f"{quoted(c)} * ADJ_FACTOR_HH" for c in hh_cols}
+    new |= {c: f"{quoted(c)} * ADJ_FACTOR_PER" for c in per_cols}
+    return states.join(factors, state, "left").selectExpr(*replaced(states, new))
 
 
 def derive_targets(
@@ -121,8 +128,8 @@ def match_total(
     df: DataFrame, weight: str, targets: DataFrame, target: str, by: str = "STATE"
 ) -> DataFrame:
     """Scale ``weight`` so that its sum per ``by`` equals the target."""
-    sums = df.groupBy(by).agg(F.sum(weight).alias("__sum"))
-    factors = targets.join(sums, by).select(by, ratio(target, "__sum").alias("__factor"))
+    totals = df.groupBy(by).agg(F.sum(weight).alias("__sum"))
+    factors = targets.join(totals, by).select(by, ratio(target, "__sum").alias("__factor"))
     return apply_factor(df, factors, by, [weight], "__factor")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,6 +105,24 @@ def _moments(k: int, cap: float):
     return run
 
 
+def _added_up(partial: DataFrame, salts: int = 64) -> DataFrame:
+    """Element-wise sum of the ``moments`` of each zone.
+
+    A zone has one array per task that saw it. They are added in two levels, so that not even a
+    zone found in every task brings more than its share of tasks / ``salts`` arrays together.
+    """
+    def added(arrays: Column) -> Column:
+        return F.aggregate(
+            F.slice(arrays, F.lit(2), F.size(arrays)), arrays[0],
+            lambda acc, m: F.zip_with(acc, m, lambda a, b: a + b))
+
+    salted = partial.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    for keys in (["zone", "salt"], ["zone"]):
+        salted = salted.groupBy(*keys).agg(
+            F.collect_list("moments").alias("all")).select(*keys, added(F.col("all")).alias("moments"))
+    return salted
+
+
 def _newton_step(k: int):
     """One damped Newton step per zone on the penalised dual; one row per zone."""
     upper = np.triu_indices(k)
@@ -162,9 +180,9 @@ def rake_weights(
     ``controls`` has ``by`` and one column per target. Targets that contradict each other are
     met in proportion to their importance through a small ridge.
 
-    Equal incidence rows are merged first. A round sums moments per task in numpy, adds them up
-    with an ordinary aggregation over (zone, entry), and solves one small system per zone; only
-    the table of zone multipliers passes from round to round, through the shared folder.
+    Equal incidence rows are merged first. A round sums moments per task in numpy, adds the
+    tasks' sums per zone, and solves one small system per zone; only the table of zone
+    multipliers passes from round to round, through the shared folder.
     Returns ``key``, ``by``, ``weight`` and ``out``.
     """
     k = len(targets)
@@ -197,15 +215,8 @@ def rake_weights(
             merged.join(state.select("zone", "lam"), "zone").select("zone", "x", "w0", "lam")
             .mapInPandas(_moments(k, max_expansion), moment_schema)
         )
-        summed = (
-            partial.select("zone", F.posexplode("moments").alias("pos", "v"))
-            .groupBy("zone", "pos").agg(F.sum("v").alias("v"))
-        )
-        # 1 + k + k(k+1)/2 entries per zone, whatever the number of households.
-        packed = summed.groupBy("zone").agg(F.transform(
-            F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda e: e["v"]).alias("moments"))
-        state = cut(
-            state.join(packed, "zone").mapInPandas(_newton_step(k), state_schema))
+        state = cut(state.join(_added_up(partial), "zone").mapInPandas(
+            _newton_step(k), state_schema))
         worst = state.agg(F.max("best_err")).first()[0]
         if worst is None or worst < tol:
             break

@@ -174,6 +174,18 @@ def spec_field_lists(t: Roles) -> DataFrame:
     return targets.field_lists(_spec(t)).withColumn("fields", F.array_join("fields", ","))
 
 
+@query("spec_expression_fields", """
+SELECT DISTINCT p_brand AS field FROM part
+WHERE p_name NOT LIKE '%red%' AND p_brand <> 'Brand#1'""")
+def spec_expression_fields(t: Roles) -> DataFrame:
+    target = F.when(F.contains("p_name", F.lit("red")), F.concat(F.lit("#"), "p_name"))
+    spec = t.table("part").select(
+        target.otherwise(F.col("p_name")).alias("target"),
+        F.concat(F.lit("(households."), "p_brand", F.lit(" <= 4) & (households.WGTP > 0)"))
+        .alias("expression"))
+    return targets.expression_fields(spec, ignore=["Brand#1"])
+
+
 @query("spec_type_map", f"""
 WITH {_SPEC}, f AS (
   SELECT geography, field, max_by(type, pos) AS type FROM spec

@@ -204,7 +204,7 @@ SELECT PUMA, count(*) AS n_households, true AS capped, """
        + ", ".join(f"CAST(sum(WGTP * (2 + NP % 3) * {t}) AS BIGINT) AS {t}" for t in TARGETS)
        + " FROM inc GROUP BY PUMA")
 def rake_weights(t: Roles) -> DataFrame:
-    inc = incidence(t, "NP")
+    inc = cut(incidence(t, "NP"))
     raked = ops.rake_weights(
         inc, _consistent_goals(inc), TARGETS,
         importance={c.target: c.importance for c in CONTROLS})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from popflow.functions.columns import null_skipping_sum, quoted, sums
 from popflow.functions.geoid import compose_geoids
+from popflow.functions.text import first_field
 from popflow.specs import FIXED_RENAMES, GEOID_STRUCTURE, REGION, REMAINDERS, Remainder
 
 
@@ -18,6 +19,19 @@ def non_blank(spec: DataFrame, col: str = "control_field") -> DataFrame:
     return spec.filter(F.trim(col) != "")
 
 
+def without_comments(spec: DataFrame, col: str = "target") -> DataFrame:
+    """Spec rows whose ``col`` does not start with ``#``."""
+    return spec.filter(~F.startswith(col, F.lit("#")))
+
+
+def expression_fields(
+    spec: DataFrame, expression: str = "expression", ignore: Sequence[str] = ("SERIALNO",)
+) -> DataFrame:
+    """The seed fields that the expressions of a spec name first, comments left out."""
+    fields = without_comments(spec).select(first_field(expression).alias("field")).distinct()
+    return fields.filter(F.col("field").isNotNull() & ~F.col("field").isin(list(ignore)))
+
+
 def field_lists(spec: DataFrame, order: str = "pos") -> DataFrame:
     """Source fields of each (geography, control), in spec order.
 

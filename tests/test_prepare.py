@@ -129,6 +129,14 @@ def test_specs_as_lists_and_maps(spark):
     assert maps == {"BG": {"f1": "str", "f2": "int"}, "TRACT": {"g": "str"}}
 
 
+def test_fields_named_by_expressions(spark, rows):
+    spec = spark.createDataFrame([
+        ("p_a", "(persons.AGEP <= 4) & (persons.PWGTP > 0)"), ("#p_b", "(persons.SEX == 1)"),
+        ("p_c", "(persons.SERIALNO != 1)"), ("p_d", "(persons.AGEP > 4)"), ("p_e", "true")],
+        "target string, expression string")
+    assert rows(targets.expression_fields(spec)) == [("AGEP",)]
+
+
 def test_seed_groups_report(spark, microdata):
     hh, per = microdata
     report = {r.control_group: r for r in checks.check_seeds(hh, per).collect()}

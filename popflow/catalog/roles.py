@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from popflow.functions.columns import sums
 from popflow.sources.microdata import fill_sentinel
-from popflow.specs import ESTIMATED_VARIABLES, MODE_COLS, PUMS_HH, PUMS_PER
+from popflow.specs import ESTIMATED_VARIABLES, MODE_COLS, PUMS_HH, PUMS_PER, REMAINDERS
 
 FIELDS = sorted({f for fields in ESTIMATED_VARIABLES.values() for f in fields})
 
@@ -241,12 +241,12 @@ class Roles:
             *[F.expr(f"nullif(sum({f}) % 9973, 0) AS {f}") for f in FIELDS])
 
     def prepared(self, *wanted: str) -> dict[str, DataFrame]:
-        """Control totals made by the preparation job, as the tables later jobs read."""
+        """Control totals made by the preparation job; all of them unless some are named."""
         from popflow.plans.prepare import prepare_targets
-        from popflow.session import cut
         bg = self.acs_bg_raw(BG_CONTROLS).drop("puma").withColumnRenamed(
             "block_group", "block group")
-        tract = self.acs_tract().drop("puma")
-        tables = prepare_targets({"BG": bg, "TRACT": tract},
-                                 {"BG": BG_CONTROLS, "TRACT": TRACT_CONTROLS})
-        return {name: cut(tables[name]) for name in wanted or tables}
+        acs, agg = {"BG": bg}, {"BG": BG_CONTROLS}
+        if set(wanted) != {"BG"}:
+            acs["TRACT"], agg["TRACT"] = self.acs_tract().drop("puma"), TRACT_CONTROLS
+        return prepare_targets(acs, agg, remainders={
+            name: spec for name, spec in REMAINDERS.items() if spec.geography in acs})

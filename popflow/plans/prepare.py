@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from popflow.functions.geoid import compose_geoids, zfill
 from popflow.operators import checks, seeds, spatial, targets
+from popflow.session import cut
 from popflow.specs import CONTROLS, FIXED_RENAMES, REMAINDERS, SUB_GEOGRAPHIES, Remainder
 
 
@@ -19,10 +20,11 @@ def prepare_targets(
     """Control totals per geography, STATE and REGION.
 
     ``acs`` and ``agg`` are keyed by geography; state and region totals are taken before the
-    remainder controls are added, so they do not hold them.
+    remainder controls are added, so they do not hold them. The controls are written once per
+    geography; the wide published tables are scanned only for that.
     """
     tables = {
-        geo: targets.aggregate_controls(seeds.select_states(df, states, "state"), agg[geo])
+        geo: cut(targets.aggregate_controls(seeds.select_states(df, states, "state"), agg[geo]))
         for geo, df in acs.items()
     }
     by_state, region = targets.state_and_region_totals(
@@ -67,7 +69,7 @@ def prepare(
     bg: DataFrame | None = None, tract: DataFrame | None = None, puma: DataFrame | None = None,
     states: Sequence[str] | None = None, remainders: Mapping[str, Remainder] = REMAINDERS,
 ) -> dict[str, DataFrame]:
-    """All inputs of the synthesis as lazy tables, with the check reports under ``check_*``."""
+    """All inputs of the synthesis, with the check reports under ``check_*``."""
     numbers = None if states is None else [int(s) for s in states]
     seed = seeds.build_seeds(hh, per, numbers)
     out = {"seed_households": seed.households, "seed_persons": seed.persons}

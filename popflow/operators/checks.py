@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from popflow.functions.columns import is_close, quoted
+from popflow.session import cut
 from popflow.specs import CHECK_RTOL, CONTROLS, TOTAL_TARGETS, Control
 
 
@@ -65,7 +66,7 @@ def check_seeds(
     rtol: float = CHECK_RTOL,
 ) -> DataFrame:
     """Groups of seed controls against the record totals of their tables."""
-    counts = control_counts(households, persons, controls)
+    counts = cut(control_counts(households, persons, controls))  # one row per control
     totals = counts.filter(F.col("target").isin(list(TOTAL_TARGETS.values()))).select(
         "seed_table", F.col("n").alias("total"))
     return check_groups(counts, totals, "n", rtol)
@@ -86,6 +87,7 @@ def check_targets(
         meta = _meta(mine) | {"geography": [c.geography for c in mine]}
         part = _unpivoted(row, meta, "value")
         sums = part if sums is None else sums.unionByName(part)
+    sums = cut(sums)  # one row per control
     totals = sums.filter(F.col("target").isin(list(TOTAL_TARGETS.values()))).select(
         "seed_table", F.col("value").alias("total"))
     return check_groups(sums, totals, "value", rtol,

@@ -304,6 +304,20 @@ def synthesize_zone_totals(t: Roles) -> DataFrame:
     return _synthesized(t)["summary_BG_PUMA"].select("id", "h_total_control", "h_total_result")
 
 
-@query("synthesize_fit")
+_OBSERVED = " UNION ALL ".join(
+    f"SELECT '{c.control_field}' AS control_name, '{c.geography}' AS geography, "
+    f"CAST(sum(v) AS DOUBLE) AS observed, count(*) FILTER (WHERE v > 0) AS N, true AS close "
+    f"FROM (SELECT sum(known * {c.target}) AS v FROM homes GROUP BY {c.geography})"
+    for c in PLAN_CONTROLS)
+
+
+@query("synthesize_fit", f"""
+WITH {_INC}, homes AS (
+  SELECT *, WGTP * (2 + NP % 3) AS known, floor(hh_id / 10) AS BG, floor(hh_id / 30) AS TRACT
+  FROM inc)
+{_OBSERVED}""")
 def synthesize_fit(t: Roles) -> DataFrame:
-    return stats(_synthesized(t), PLAN_CONTROLS)
+    """Published sums, and whether the synthetic sums are within a thousandth of them."""
+    fits = stats(_synthesized(t), PLAN_CONTROLS)
+    return fits.select("control_name", "geography", "observed", "N",
+                       (F.abs("pct_difference") < 0.1).alias("close"))

@@ -268,6 +268,9 @@ def integerize(
 # --------------------------------------------------------------------------
 # Allocation to child zones
 # --------------------------------------------------------------------------
+_BLOCK = 32  # places per block; bounds the rows of either side that share a join key
+
+
 def rake_cells(
     cells: DataFrame, margins: Sequence[tuple[Sequence[str], DataFrame]], value: str = "n",
     max_iter: int = 10,
@@ -319,6 +322,24 @@ def _repeated(df: DataFrame, n: str, spread: bool, chunk: int = 4096) -> DataFra
     )
 
 
+def _laid_out(
+    df: DataFrame, n: str, order: Sequence[str], by: Sequence[str], spread: bool = False
+) -> DataFrame:
+    """Lay the rows of a group end to end, each ``n`` long, and cut them at block borders.
+
+    A piece has its ``block`` and the stretch ``[lo, hi)`` it covers there.
+    """
+    ends = running_total(df.filter(F.col(n) > 0), n, order, by, out="__end")
+    first = F.floor((F.col("__end") - F.col(n)) / _BLOCK).cast("bigint")
+    last = F.floor((F.col("__end") - 1) / _BLOCK).cast("bigint")
+    counted = ends.withColumns({"__first": first, "__blocks": last - first + 1})
+    block = F.col("__first") + F.col("__copy") - 1
+    return _repeated(counted, "__blocks", spread).withColumn("block", block).withColumns({
+        "lo": F.greatest(F.col("__end") - F.col(n), F.col("block") * _BLOCK),
+        "hi": F.least(F.col("__end"), (F.col("block") + 1) * _BLOCK),
+    }).drop("__first", "__blocks", "__end", "__copy", n)
+
+
 def allocate_to_children(
     weights: DataFrame,
     child_controls: DataFrame,
@@ -335,9 +356,10 @@ def allocate_to_children(
     ``cell_controls`` maps a category column of ``weights`` to {category value: control column
     of child_controls}. Households fall into cells, the combinations of their categories. The
     cell totals of a zone are spread over its children by fitting a (child, cell) table to the
-    children's controls; the table is rounded with the cell totals kept. Copies of households
-    and places in children are then numbered within each cell and matched number by number. No
-    household ever meets more than its own share of places, and its copies always add up.
+    children's controls; the table is rounded with the cell totals kept. The copies of households
+    and the places in children are then laid out along the same line within each cell, and what
+    overlaps is matched. Both are cut into blocks of fixed length, so a household meets only the
+    children of its own blocks, and its copies always add up.
 
     Returns one row per household and child: ``key``, ``by``, ``child`` and ``weight``.
     """
@@ -386,12 +408,17 @@ def allocate_to_children(
     )
     places = integerize(quota, "n", [by, *cats], [child], out="places", total="goal")
 
-    offered = slots(
-        places.select(by, *cats, child, "places"), "places", [child], [by, *cats], spread=True)
-    wanted = slots(weights.select(by, *cats, key, weight), weight, [key], [by, *cats])
-    matched = wanted.select(by, *cats, "slot", key).join(
-        offered.select(by, *cats, "slot", child), [by, *cats, "slot"])
-    return matched.groupBy(key, by, child).agg(F.count(F.lit(1)).alias(weight))
+    cell = [by, *cats]
+    offered = _laid_out(
+        places.select(*cell, child, "places"), "places", [child], cell, spread=True)
+    wanted = _laid_out(weights.select(*cell, key, weight), weight, [key], cell)
+    matched = wanted.join(
+        offered.withColumnsRenamed({"lo": "__lo", "hi": "__hi"}), [*cell, "block"])
+    shared = F.least("hi", "__hi") - F.greatest("lo", "__lo")
+    return (
+        matched.select(key, by, child, shared.alias(weight)).filter(F.col(weight) > 0)
+        .groupBy(key, by, child).agg(F.sum(weight).alias(weight))
+    )
 
 
 # --------------------------------------------------------------------------

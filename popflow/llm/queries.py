@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popflow.llm import cascade, mixing, pu_quality, shuffle, toxicity
+from popflow.llm import (
+    ann, cascade, mixing, near_dup, pieces, pu_quality, shuffle, templates, toxicity,
+)
 from popflow.llm.common import bucket_of, n_words_of
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +170,42 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score(docs, network).select(
         "doc_id", held_out.alias("held_out"), F.col("goodness").alias("score"),
         (F.col("goodness") >= 0.7).cast("int").alias("predicted"))
+
+
+# --- HTML extraction
+
+@query("op2_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return templates.extract(pages).select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+# --- approximate nearest neighbours
+
+@query("op5_nearest_neighbours")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, dim = ann.valid_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    is_query = F.col("id") % 50 == 0
+    return ann.search(ann.build(rows, dim, is_query), is_query)
+
+
+# --- near duplicates
+
+@query("op9_near_duplicates")
+def near_duplicate_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    classes = near_dup.near_duplicates(docs)
+    return near_dup.with_class(docs, classes).select("doc_id", "class_id", "class_rows")
+
+
+# --- SentencePiece
+
+@query("op10_sentencepiece")
+def sentencepiece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.load(pieces.default_model())
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    return coded.select(
+        "doc_id", F.size("pieces").cast("bigint").alias("n_pieces"), "pieces",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))

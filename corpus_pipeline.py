@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popflow.llm import cascade, mixing, pu_quality
+from popflow.llm import cascade, mixing, near_dup, pieces, pu_quality
 from popflow.llm.common import bucket_of, n_words_of
 from popflow.session import cut
 
@@ -23,6 +23,11 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cascade.apply_rules(docs).filter("broken_rule IS NULL").select(*docs.columns)
 
 
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal or near equal texts."""
+    return near_dup.keep_one(docs, near_dup.near_duplicates(docs)).select(*docs.columns)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's target asks for, 0 to 3 times."""
     mixed = mixing.mix_sources(docs.withColumn("__size", n_words_of(F.col("text"))), "__size")
@@ -31,10 +36,20 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     ).select(*docs.columns)
 
 
+def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of the pieces of every document, whose decoding is its text again."""
+    vocabulary = pieces.load(pieces.default_model())
+    coded = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    return coded.select("doc_id", "lang", "source", "pieces", (
+        F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 STAGES = [
     ("quality classifier", quality_stage),
     ("quality rules", rules_stage),
-    ("mixing", mixing_stage),
+    ("MinHash near-dedup", near_dup_stage),
+    ("mixing sources to target weights", mixing_stage),
+    ("SentencePiece encoding and decoding", pieces_stage),
 ]
 ORACLE_SQL = None  # trained and approximate stages; tested stage by stage
 

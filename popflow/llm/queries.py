@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popflow.llm import (
-    ann, cascade, mixing, near_dup, pieces, pu_quality, shuffle, templates, toxicity,
+    ann, cascade, mixing, near_dup, ngram_lm, pieces, pu_quality, shuffle, templates, toxicity,
 )
 from popflow.llm.common import bucket_of, n_words_of
 
@@ -209,3 +209,14 @@ def sentencepiece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(
         "doc_id", F.size("pieces").cast("bigint").alias("n_pieces"), "pieces",
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+# --- language-model scores
+
+@query("op1_lm_scores")
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = bucket_of(F.col("doc_id"), 5) == 1
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", held_out.alias("held_out"))
+    return ngram_lm.score_documents(docs, ~F.col("held_out")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

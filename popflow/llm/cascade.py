@@ -113,8 +113,9 @@ def measure_rules(
 ) -> dict[str, tuple[float, float]]:
     """(seconds, share rejected) of each rule alone on a sample of about ``sample_rows`` texts."""
     rows = df.count()
+    # Dealt anew, not coalesced: one task would hold the readers of all its files until it ends.
     sample = cut(df.select(F.coalesce(F.col(text), F.lit("")).alias("t")).sample(
-        False, min(1.0, sample_rows / max(1, rows)), seed).coalesce(4))
+        False, min(1.0, sample_rows / max(1, rows)), seed).repartition(4))
 
     def timed(rejects: Column) -> tuple[float, float]:
         best, share = float("inf"), 0.0

@@ -1,16 +1,17 @@
 """Encoding into the pieces of a SentencePiece vocabulary, and back.
 
 The text, with one blank before it as SentencePiece adds it, is cut into words: letters, digits or
-other signs with at most one blank before them, and single white-space characters. For each
-different word of the corpus a lattice is built as a relation: its substrings up to the longest
-piece are exploded, equi-joined with the piece table, and the edges are grouped by word. A fold over
-the positions (Viterbi) keeps the best way to each, the last one being the word's pieces. A
-character no piece covers becomes its UTF-8 bytes, which the vocabulary has as pieces of their own,
-so every text can be decoded exactly; U+2581, which stands for the blank, is one of them.
-
-The result per word is a dictionary. Its most frequent part, up to a fixed number of words, is
-sent to the tasks; what texts hold beyond it is joined on the word and brought to its text. If
-the whole dictionary is within that number, the texts are not shuffled at all.
+other signs with at most one blank before them, and single white-space characters. For the
+different words of a batch of documents a lattice is built as a relation: their substrings up to
+the longest piece are exploded, equi-joined with the piece table, and the edges grouped by word and
+end. A fold with the higher-order function ``aggregate`` (Viterbi) keeps the best way to each
+position, the last one being the word's pieces, and the batch's documents are put together from
+its words. A character no piece covers becomes its UTF-8 bytes, which the vocabulary has as pieces
+of their own, so every text can be decoded exactly; U+2581, which stands for the blank, is one.
+
+Batches are bounded and nothing is shuffled: the piece table is as large as the vocabulary. (One
+dictionary for the whole corpus was tried: bringing the words of each text back to it takes a join
+on the words and another on the texts, over three times the input in shuffle files.)
 
 A vocabulary whose scores are merge ranks has no probabilities; pieces are then scored by Zipf's
 law on the rank, ``-ln(rank + 2)``.
@@ -27,12 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popflow.llm.near_dup import text_node
-from popflow.session import cut
-
 LONGEST = 48  # letters, digits or signs of a word; a longer run is several words
-FREQUENT = 1 << 19
-UNKNOWN = -20.0  # of a character written as bytes
+BATCH_TEXTS, BATCH_WORDS = 1000, 1 << 20
+UNKNOWN = -20.0  # score of a character written as bytes
 WORDS = (rf" ?\p{{L}}{{1,{LONGEST}}}| ?\p{{N}}{{1,{LONGEST}}}"
          rf"| ?[^\s\p{{L}}\p{{N}}]{{1,{LONGEST}}}|\s")
 
@@ -62,8 +60,7 @@ def load(model_file: str) -> Vocabulary:
             plain.append((piece.replace("▁", " "), i, model.get_score(i)))
     if len(byte_ids) != 256:
         raise ValueError("the vocabulary needs a piece for each byte")
-    ranks = [-s for _, _, s in plain]
-    if ranks == sorted(ranks) and all(float(s).is_integer() for s in ranks):
+    if all(float(score).is_integer() for _, _, score in plain):
         plain = [(p, i, -float(np.log(rank + 2))) for rank, (p, i, _) in enumerate(plain)]
     return Vocabulary(plain, [byte_ids[b] for b in range(256)])
 
@@ -75,66 +72,62 @@ def words_of(text: Column) -> Column:
         F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(WORDS), F.lit(0)))
 
 
-def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Edges of each ``word``: (word, edges), an edge being (end, start, score, ids)."""
-    spark, longest = words.sparkSession, vocabulary.longest
-    # As many rows as the vocabulary has pieces.
-    pieces = F.broadcast(spark.createDataFrame(
-        vocabulary.pieces, "piece string, id int, score double"))
-    n = F.length("word")
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda s: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(longest), n - s)), lambda k: F.struct(
-            s.alias("start"), (s + k).alias("end"),
-            F.substring(F.col("word"), s + 1, k).alias("part")))))
-    joined = words.select("word", F.explode(spans).alias("x")).select("word", "x.*").join(
-        pieces, F.col("part") == F.col("piece"), "left").filter(
-            F.col("id").isNotNull() | (F.col("end") == F.col("start") + 1))
-    code = F.hex(F.encode("part", "UTF-8"))
-    table = F.array(*[F.lit(i) for i in vocabulary.byte_ids])
-    as_bytes = F.transform(F.sequence(F.lit(1), F.length(code) - 1, F.lit(2)), lambda i: F.get(
-        table, F.conv(F.substring(code, i, F.lit(2)), 16, 10).cast("int")))
-    edge = F.struct(
-        "end", "start", F.coalesce("score", F.lit(UNKNOWN)).alias("score"),
-        F.when(F.col("id").isNotNull(), F.array("id")).otherwise(as_bytes).alias("ids"))
-    return joined.groupBy("word").agg(F.collect_list(edge).alias("edges"))
-
-
-def viterbi(word: Column, edges: Column) -> Column:
-    """Ids of the best way through a word's edges; ties go to the larger ids."""
-    start = F.array(F.struct(
-        F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
-
-    def step(best: Column, end: Column) -> Column:
-        ways = F.transform(F.filter(edges, lambda x: x["end"] == end), lambda x: F.struct(
-            (F.get(best, x["start"])["score"] + x["score"]).alias("score"),
-            F.concat(F.get(best, x["start"])["ids"], x["ids"]).alias("ids")))
-        return F.concat(best, F.array(F.array_max(ways)))
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step,
-                       lambda best: F.element_at(best, -1)["ids"])
-
-
-def dictionary(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, texts, ids) of every different word of the documents."""
-    words = docs.select(F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
-    # Grouped by word once; edges and ways stay in the partitions of their words.
-    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
-    kept = cut(counted)
-    ways = lattice(kept.select("word").repartition("word"), vocabulary).select(
-        "word", viterbi(F.col("word"), F.col("edges")).alias("ids"))
-    return kept.join(ways, "word")
-
-
-def _frequent(words: DataFrame, most: int) -> tuple[int, bool]:
-    """Least number of texts, a power of two, that at most ``most`` words reach; whether all do."""
-    power = F.floor(F.log2(F.col("texts"))).cast("int")
-    held, least = 0, None
-    levels = sorted(words.groupBy(power.alias("p")).count().collect(), reverse=True)
-    for p, n in levels:  # one row per power of two
-        if held + n > most:
-            return (1 << (p + 1)), False
-        held, least = held + n, p
-    return (1 << (least or 0)), True
+def lattice(words: pa.Array, pieces: pa.Array) -> pa.ListArray:
+    """Edges of each word by end position, an edge being ``start << 32 | row``.
+
+    ``row`` is the place in the piece table; a character without a piece has the table's length
+    plus its code point.
+    """
+    sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    order = np.argsort(-sizes, kind="stable")  # words long enough for a span come first
+    by_size = words.take(pa.array(order))
+    longest = pc.max(pc.utf8_length(pieces)).as_py()
+    parts, spans = [], []
+    for start in range(int(sizes.max(initial=0))):
+        for end in range(start + 1, start + 1 + longest):
+            n = int(np.searchsorted(-sizes[order], -end, "right"))
+            if not n:
+                break
+            parts.append(pc.utf8_slice_codeunits(by_size.slice(0, n), start, end))
+            spans.append((start, end, n))
+    if not parts:
+        return pa.array([[] for _ in range(len(words))], pa.list_(pa.list_(pa.int64())))
+    exploded = pa.concat_arrays(parts)
+    start, end, n = (np.array(v, np.int64) for v in zip(*spans))
+    word = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    start, end = np.repeat(start, n), np.repeat(end, n)
+    row = pc.index_in(exploded, value_set=pieces).to_numpy(zero_copy_only=False)
+    joined = ~np.isnan(row) if row.dtype.kind == "f" else np.ones(len(row), bool)
+    code = np.where(joined, row, 0).astype(np.int64)
+    alone = np.flatnonzero(~joined & (end == start + 1))
+    code[alone] = len(pieces) + np.array(
+        [ord(c) for c in exploded.take(pa.array(alone)).to_pylist()], np.int64)
+    keep = np.flatnonzero(joined | (end == start + 1))
+    # Grouped by word and end: every position of a word has at least one edge.
+    firsts = np.cumsum(sizes) - sizes
+    place = firsts[word[keep]] + end[keep] - 1
+    keep, place = keep[np.argsort(place, kind="stable")], np.sort(place, kind="stable")
+    ends = pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(place, np.arange(sizes.sum() + 1)).astype(np.int32)),
+        pa.array(start[keep] << 32 | code[keep]))
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), ends)
+
+
+def viterbi(ends: Column, scores: Column) -> Column:
+    """Rows of the best way through a word's edges; ties go to the larger rows."""
+    nothing = F.array(F.struct(
+        F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("rows")))
+
+    def step(best: Column, ways: Column) -> Column:
+        def reach(edge: Column) -> Column:
+            row = edge.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+            before = F.get(best, F.shiftright(edge, 32).cast("int"))
+            return F.struct(
+                (before["score"] + F.coalesce(F.get(scores, row), F.lit(UNKNOWN))).alias("score"),
+                F.concat(before["rows"], F.array(row)).alias("rows"))
+        return F.concat(best, F.array(F.array_max(F.transform(ways, reach))))
+
+    return F.aggregate(ends, nothing, step, lambda best: F.element_at(best, -1)["rows"])
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -143,76 +136,90 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return offsets - offsets[0], column.flatten()
 
 
-def _ids_of(flat: pa.Array, words: pa.Array, ids: pa.ListArray):
-    """Lengths and values of the ids of each word; every word must be in ``words``."""
-    coded = flat.dictionary_encode()
-    at = pc.index_in(coded.dictionary, value_set=words)
-    if at.null_count:
-        raise ValueError("a word is missing from the dictionary")
-    found = ids.take(at).take(coded.indices)
-    return pc.list_value_length(found).to_numpy(zero_copy_only=False), found.flatten()
+def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of documents with at most BATCH_TEXTS texts and about BATCH_WORDS words."""
+    a, n = 0, len(offsets) - 1
+    while a < n:
+        b = int(np.searchsorted(offsets, offsets[a] + BATCH_WORDS, "right")) - 1
+        b = min(n, a + BATCH_TEXTS, max(a + 1, b))
+        yield a, b
+        a = b
 
 
-def encode(
-    docs: DataFrame, vocabulary: Vocabulary, text: str = "text", frequent: int = FREQUENT,
-) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
     """``docs`` with ``pieces``, the ids of the text's pieces; none for null or empty texts.
 
     Other columns, the text among them, stay; an input column ``pieces`` is replaced.
     """
     rest = [c for c in docs.columns if c != "pieces"]
-    given = docs.select(*rest)
-    words = cut(dictionary(docs.select(F.col(text).alias("text")), vocabulary))
-    least, whole = _frequent(words, frequent)
-    # At most ``frequent`` words.
-    common = words.filter(F.col("texts") >= least).select("word", "ids").toArrow().combine_chunks()
-
-    def array(name: str) -> pa.Array:
-        column = common.column(name)
-        return column.chunk(0) if column.num_chunks else pa.array([], column.type)
-
-    known, known_ids = array("word").cast(pa.string()), array("ids").cast(pa.list_(pa.int32()))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema)
-    rows = given.withColumn("__words", words_of(F.col(text)))
-    if not whole:
-        rare = words.filter(F.col("texts") < least).select("word", "ids")
-
-        def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                offsets, flat = _flat(batch.column("words"))
-                new = pc.is_null(pc.index_in(flat.cast(pa.string()), value_set=known))
-                at = np.flatnonzero(new.to_numpy(zero_copy_only=False))
-                of = np.searchsorted(offsets, at, "right") - 1
+    kinds = {f.name: f.dataType.simpleString() for f in docs.select(*rest).schema}
+    named = {c: f"c{i}" for i, c in enumerate(rest)}
+    table = pa.array([p for p, _, _ in vocabulary.pieces], pa.string())
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per batch of documents: their columns, words by number, words' lattices."""
+        def one(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+        for batch in batches:
+            offsets, _ = _flat(batch.column("words"))
+            for a, b in _slices(offsets):
+                part = batch.slice(a, b - a)
+                counts, flat = _flat(part.column("words"))
+                coded = flat.cast(pa.string()).dictionary_encode()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("node").take(pa.array(of)), flat.take(pa.array(at))],
-                    names=["node", "word"])
-
-        one_each = given.select(
-            text_node(F.col(text)).alias("node"),
-            F.array_distinct(words_of(F.col(text))).alias("words"))
-        missing = one_each.mapInArrow(others, "node binary, word string").distinct()
-        fills = cut(missing.join(rare, "word").groupBy("node").agg(
-            F.collect_list(F.struct("word", "ids")).alias("__fill")))
-        rows = rows.join(fills, text_node(F.col(text)) == fills["node"], "left").select(
-            *rest, "__words", F.col("__fill.word").alias("__more"),
-            F.col("__fill.ids").alias("__more_ids"))
+                    [one(part.column(n)) for n in named.values()]
+                    + [one(pa.array(counts.astype(np.int32))), one(coded.indices),
+                       one(lattice(coded.dictionary, table))],
+                    names=[*named.values(), "counts", "codes", "lattices"])
+
+    rows = docs.select(*rest).withColumnsRenamed(named).withColumn(
+        "words", words_of(F.col(named[text])))
+    batched = rows.mapInArrow(edges, ", ".join(
+        f"{n} array<{kinds[c]}>" for c, n in named.items())
+        + ", counts array<int>, codes array<int>, lattices array<array<array<bigint>>>")
+    # As many scores as the vocabulary has pieces.
+    scores = F.lit(np.array([score for _, _, score in vocabulary.pieces]))
+    best = batched.select(*named.values(), "counts", "codes", F.transform(
+        "lattices", lambda ends: viterbi(ends, scores)).alias("ways"))
+    ids = np.array([i for _, i, _ in vocabulary.pieces], np.int32)
+    bytes_of = np.array(vocabulary.byte_ids, np.int32)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            offsets, flat = _flat(batch.column("__words"))
-            words, ids = known, known_ids
-            if not whole:
-                more = batch.column("__more").flatten().cast(pa.string())
-                more_ids = batch.column("__more_ids").flatten().cast(pa.list_(pa.int32()))
-                words, ids = pa.concat_arrays([words, more]), pa.concat_arrays([ids, more_ids])
-            lengths, values = _ids_of(flat.cast(pa.string()), words, ids)
-            ends = np.r_[0, np.cumsum(lengths)][offsets].astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in rest]
-                + [pa.ListArray.from_arrays(pa.array(ends), values.cast(pa.int32()))],
-                names=[*rest, "pieces"])
-
-    return rows.mapInArrow(apply, f"{schema}, pieces array<int>")
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                counts, codes = (row.column(n).flatten() for n in ("counts", "codes"))
+                sizes, values = _pieces_of(row.column("ways").flatten(), ids, bytes_of)
+                found = pa.ListArray.from_arrays(
+                    pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(values)
+                ).take(codes)
+                upto, flat = _flat(found)
+                yield pa.RecordBatch.from_arrays(
+                    [row.column(n).flatten() for n in named.values()] + [
+                        pa.ListArray.from_arrays(
+                            pa.array(upto[counts.to_numpy()].astype(np.int32)), flat)],
+                    names=[*rest, "pieces"])
+
+    return best.mapInArrow(apply, ", ".join(
+        f"`{c}` {k}" for c, k in kinds.items()) + ", pieces array<int>")
+
+
+def _pieces_of(ways: pa.ListArray, ids: np.ndarray, bytes_of: np.ndarray):
+    """Number of pieces of each word, and the pieces of all."""
+    offsets, rows = _flat(ways)
+    rows = rows.to_numpy(zero_copy_only=False).astype(np.int64)
+    word = np.repeat(np.arange(len(ways)), np.diff(offsets))
+    known = rows < len(ids)
+    if known.all():
+        return np.diff(offsets), ids[rows]
+    codes = [chr(r - len(ids)).encode() if r >= len(ids) else b"" for r in rows.tolist()]
+    width = np.where(known, 1, [len(c) for c in codes])
+    out = np.repeat(np.where(known, ids[np.where(known, rows, 0)], 0), width)
+    at = np.cumsum(width) - width
+    for i in np.flatnonzero(~known):
+        out[at[i]:at[i] + width[i]] = bytes_of[list(codes[i])]
+    return np.bincount(word, width, len(ways)).astype(np.int64), out.astype(np.int32)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, out: str = "decoded") -> DataFrame:

@@ -5,7 +5,7 @@ are small. Every vector is then put into the leaf its centres lead to. A query w
 bin first: a priority queue holds unopened nodes by the similarity of their centre, the best one is
 opened, and leaves come out in the order in which they should be visited. How many leaves a query
 visits is calibrated: a bounded set of queries is answered by brute force over all rows, and the
-number of leaves is doubled until their recall reaches the target.
+visits are widened until their recall reaches the target.
 
 Leaves are packed into blocks of bounded size by (leaf, part); a leaf with a third of all vectors
 has many parts. Queries meet the blocks of their leaves in an equi-join on that key, and every pair
@@ -294,12 +294,12 @@ def build(
              for i, v in zip(q_ids, unit(q))}
     needed = np.array([order[r["query_id"]][r["leaf"]] + 1
                        for r in truth.select("query_id", "leaf").collect()])
-    least, reached = 1, 0.0
-    while len(needed):
+    least, reached = 1, 1.0
+    if len(needed):
         reached = float((needed <= least).mean())
-        if reached >= recall or least >= tree.leaves:
-            break
-        least = min(tree.leaves, 2 * least)
+        while reached < recall and least < tree.leaves:  # one leaf more at a time
+            least += 1
+            reached = float((needed <= least).mean())
     return Index(tree, sizes, placed, dim, least, reached)
 
 
@@ -344,11 +344,33 @@ def search(index: Index, is_query: Column, k: int = 5, block_rows: int = BLOCK_R
         "q_ids", "q", "ids", "block")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Best candidates of the task's pairs of blocks; those of one query are merged here."""
+        held, n = [], 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            q_ids, ids, score = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((ids, -score, q_ids))
+            q_ids, ids, score = q_ids[order], ids[order], score[order]
+            rank = np.arange(len(q_ids)) - np.searchsorted(q_ids, q_ids)
+            keep = np.flatnonzero(rank < k)
+            return q_ids[keep], ids[keep], score[keep]
+
         for batch in batches:
             for row in batch.to_pylist():
                 q_ids, ids = (np.frombuffer(row[c], np.int64) for c in ("q_ids", "ids"))
                 q, x = (np.frombuffer(row[c], np.float64).reshape(-1, dim) for c in ("q", "block"))
-                yield _found(q_ids, ids, top_k(q_ids, q, ids, x, k))
+                at_q, at_x, score = top_k(q_ids, q, ids, x, k)
+                held.append((q_ids[at_q], ids[at_x], score))
+                n += len(score)
+                if n > 1 << 18:
+                    held = [merged()]
+                    n = len(held[0][0])
+                    if n > 1 << 17:  # many different queries: let them go
+                        yield _found(held[0][0], held[0][1], (slice(None), slice(None), held[0][2]))
+                        held, n = [], 0
+        if held:
+            q_ids, ids, score = merged()
+            yield _found(q_ids, ids, (slice(None), slice(None), score))
 
     found = both.mapInArrow(meet, _FOUND)
     return _best(found, k).select("query_id", "rank", "vec_id", "score")

@@ -93,3 +93,14 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
             out[a:b] = mix(out[a:b] * np.uint64(3) + (sums[e] - sums[s]) * down[s])
         a = b
     return out, counts
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote and that nothing reads any more."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            spark = table.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            if path.getName().startswith("popflow-"):
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popflow.llm.common import mix, text_bytes, word_hashes
+from popflow.llm.common import forget, mix, text_bytes, word_hashes
 from popflow.llm.elias_fano import EliasFano
 from popflow.session import cut
 
 END = np.uint64(0x3C6EF372FE94F82B)  # the token after the last word
 START = np.uint64(0xA54FF53A5F1D36F1)  # the context of the first token
 SHARD_BYTES = 1 << 25  # of text to a shard
-BATCH_BYTES, BATCH_TEXTS = 1 << 24, 1 << 16  # packed at a time
+BATCH_BYTES, BATCH_TEXTS = 3 << 22, 1 << 16  # packed at a time
 BUFFER_EVENTS = 1 << 21  # looked up in one pass over a shard's levels
 LEVELS = 255  # of the quantised logarithms
 
@@ -65,31 +65,43 @@ def _owner(hashes: np.ndarray, shards: int) -> np.ndarray:
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every token, of the token before it, and the number of tokens of each text."""
+    """Different tokens (START among them), their numbers in order, and each text's count.
+
+    The numbers have START before the first token of every text, so that the context of a token is
+    the number before it; the counts are without it.
+    """
     words, counts = word_hashes(texts, lower=True)
-    sizes = counts + 1
+    sizes = counts + 2
     ends = np.cumsum(sizes) - 1
-    out = np.empty(len(words) + len(texts), np.uint64)
+    out = np.empty(len(words) + 2 * len(texts), np.uint64)
     inner = np.ones(len(out), bool)
-    inner[ends] = False
-    out[inner], out[ends] = words, END
-    before = np.empty_like(out)
-    before[1:], before[ends - counts] = out[:-1], START
-    return out, before, sizes
-
-
-def _grouped(words, before, texts, weight):
-    """Distinct (before, word, text) in order, with summed weights and the distinct hashes."""
-    names, ids = np.unique(np.concatenate([words, before]), return_inverse=True)
-    word, first = ids[:len(words)].astype(np.uint64), ids[len(words):].astype(np.uint64)
-    n, m = np.uint64(len(names)), np.uint64(int(texts.max()) + 1 if len(texts) else 1)
-    key = (first * n + word) * m + texts.astype(np.uint64)
+    inner[ends] = inner[ends - sizes + 1] = False
+    out[inner], out[ends], out[ends - sizes + 1] = words, END, START
+    del words, inner
+    names, numbers = np.unique(out, return_inverse=True)
+    return names, numbers.astype(np.int32), counts + 1
+
+
+def _grouped(names: np.ndarray, numbers: np.ndarray, sizes: np.ndarray, texts: np.ndarray,
+             weight: np.ndarray):
+    """Distinct (context, word, text) in order, with summed weights; ``texts`` and ``weight`` are
+    per text."""
+    n, m = np.uint64(len(names)), np.uint64(int(texts.max()) + 1)
+    token = np.ones(len(numbers), bool)
+    token[np.cumsum(sizes + 1) - sizes - 1] = False
+    at = np.flatnonzero(token)
+    key = (numbers[at - 1].astype(np.uint64) * n + numbers[at].astype(np.uint64)) * m
+    key += np.repeat(texts, sizes).astype(np.uint64)
+    del token, at
     order = np.argsort(key)
-    new = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
-    total = np.add.reduceat(weight[order], new)
-    key = key[order][new]
-    return names, (key // m // n).astype(np.int64), (key // m % n).astype(np.int64), (
-        key % m).astype(np.int64), total
+    key = key[order]
+    new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    total = np.add.reduceat(np.repeat(weight, sizes)[order], new)
+    key = key[new]
+    del order
+    pair = key // m
+    return (pair // n).astype(np.int32), (pair % n).astype(np.int32), (
+        key - pair * m).astype(np.int32), total
 
 
 def _packed(names, first, word, rest: list[np.ndarray], shards: int, hot: np.ndarray):
@@ -115,9 +127,9 @@ def _pack_counts(shards: int, hot: np.ndarray):
     """Bigrams of a stream of (text, train) with their training counts; 0 for held-out ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, rest in _portions_of_rows(batches):
-            word, before, sizes = tokens(texts)
-            weight = np.repeat(rest.column("train").to_numpy().astype(np.int64), sizes)
-            names, f, w, _, n = _grouped(word, before, np.zeros(len(word), np.int64), weight)
+            names, numbers, sizes = tokens(texts)
+            weight = rest.column("train").to_numpy().astype(np.int32)
+            f, w, _, n = _grouped(names, numbers, sizes, np.zeros(len(texts), np.int32), weight)
             yield _blobs([(s, 0, dump(*a)) for s, a in _packed(names, f, w, [n], shards, hot)])
     return run
 
@@ -136,6 +148,7 @@ def _portions_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[
                 yield texts, pa.Table.from_batches(
                     [*tables, rest.slice(start, i + 1 - start)]).combine_chunks()
                 texts, tables, size, start = [], [], 0, i + 1
+                pa.default_memory_pool().release_unused()
         if start < len(rows):
             tables.append(rest.slice(start))
     if texts:
@@ -367,9 +380,9 @@ def _pack_events(shards: int, hot: np.ndarray):
     """Bigrams of each document for the shards (kind 1), and the documents' other columns (2)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, rest in _portions_of_rows(batches):
-            word, before, sizes = tokens(texts)
-            text = np.repeat(np.arange(len(texts)), sizes)
-            names, f, w, t, n = _grouped(word, before, text, np.ones(len(word), np.int64))
+            names, numbers, sizes = tokens(texts)
+            f, w, t, n = _grouped(names, numbers, sizes, np.arange(len(texts)),
+                                  np.ones(len(texts), np.int32))
             ids, out = rest.column("row").to_numpy(), []
             for s, arrays in _packed(names, f, w, [t, n], shards, hot):
                 used, arrays[4] = np.unique(arrays[4], return_inverse=True)
@@ -440,7 +453,8 @@ def _frequent_words(docs: DataFrame, shards: int, sample: int = 2000) -> np.ndar
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-            words, n = np.unique(tokens([t or b"" for t in texts])[1], return_counts=True)
+            words, numbers, _ = tokens([t or b"" for t in texts])
+            n = np.bincount(numbers, minlength=len(words))
             keep = n * 16 * shards >= n.sum()  # at most 16 words a shard
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words[keep].view(np.int64)), pa.array(n[keep]),
@@ -485,6 +499,7 @@ def score_documents(
     model = cut(_gathered(
         counted.filter("kind = 0").unionByName(answers.filter("kind = 1")), shards)
         .mapInArrow(_build(totals), _BLOBS))
+    forget(counted, answers)
     # One job numbers the rows, packs them and brings their sums together again.
     numbered = given.select(
         *rest, F.col("__text").alias("text"), F.monotonically_increasing_id().alias("row"))

@@ -32,7 +32,7 @@ from popflow.session import cut
 
 END = np.uint64(0x3C6EF372FE94F82B)  # the token after the last word
 START = np.uint64(0xA54FF53A5F1D36F1)  # the context of the first token
-SHARD_BYTES = 1 << 25  # of text to a shard
+SHARD_BYTES = 5 << 22  # of text to a shard
 BATCH_BYTES, BATCH_TEXTS = 3 << 22, 1 << 16  # packed at a time
 BUFFER_EVENTS = 1 << 21  # looked up in one pass over a shard's levels
 LEVELS = 255  # of the quantised logarithms
@@ -41,16 +41,25 @@ _BLOBS = "shard int, kind int, payload binary"
 
 
 def dump(*arrays: np.ndarray) -> bytes:
-    """Arrays with integers as narrow as they can be, compressed."""
-    small = [a.astype(np.min_scalar_type(a.max())) if a.dtype.kind in "iu" and len(a) else a
-             for a in arrays]
+    """Arrays, compressed: sorted hashes as the bytes of their differences, plane by plane, and
+    other integers as narrow as they can be."""
+    small = []
+    for a in arrays:
+        if a.dtype == np.uint64 and len(a) > 1 and (a[1:] > a[:-1]).all():
+            a = np.ascontiguousarray(np.diff(a, prepend=np.uint64(0)).view(np.uint8)
+                                     .reshape(-1, 8).T)
+        elif a.dtype.kind in "iu" and len(a):
+            a = a.astype(np.min_scalar_type(a.max()))
+        small.append(a)
     raw = pickle.dumps(small, protocol=5)
     return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
 
 
 def undump(blob: bytes) -> list[np.ndarray]:
-    return pickle.loads(pa.Codec("zstd").decompress(
+    arrays = pickle.loads(pa.Codec("zstd").decompress(
         blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True))
+    return [np.cumsum(np.ascontiguousarray(a.T).view(np.uint64)[:, 0], dtype=np.uint64)
+            if a.ndim == 2 else a for a in arrays]
 
 
 def _blobs(rows: list[tuple]) -> pa.RecordBatch:
@@ -173,6 +182,7 @@ def _by_shard(batches: Iterator[pa.RecordBatch]):
         yield shard, inside
         for _ in inside:  # what the caller left
             pass
+        pa.default_memory_pool().release_unused()
 
 
 def _merge(parts: list[list[np.ndarray]]) -> list[np.ndarray]:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONGEST = 48  # letters, digits or signs of a word; a longer run is several words
-BATCH_TEXTS, BATCH_WORDS = 1000, 1 << 20
+BATCH_TEXTS, BATCH_WORDS = 250, 1 << 17
 UNKNOWN = -20.0  # score of a character written as bytes
 WORDS = (rf" ?\p{{L}}{{1,{LONGEST}}}| ?\p{{N}}{{1,{LONGEST}}}"
          rf"| ?[^\s\p{{L}}\p{{N}}]{{1,{LONGEST}}}|\s")

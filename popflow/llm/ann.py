@@ -270,7 +270,9 @@ def build(
     if not len(x):
         _, x = some(rows, total, total, "fit")
     wanted = min(most_leaves, max(1, total // leaf_rows))
-    tree = fit_tree(unit(x), max(1, len(x) // wanted))
+    # Without vectors the tree is one leaf.
+    tree = (fit_tree(unit(x), max(1, len(x) // wanted)) if len(x)
+            else Tree(np.zeros((1, dim)), [[]], np.array([0])))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

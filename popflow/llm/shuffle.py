@@ -141,5 +141,5 @@ def shuffle_to_shards(
         dealt.withColumn("__at", F.row_number().over(again))
         .join(parts, ["shard", "__part"])
         .withColumn("slot", F.col("__before") + F.col("__at") - 1)
-        .drop("__part", "__at", "__before")
+        .select(*[c for c in df.columns if c not in ("shard", "slot")], "shard", "slot")
     )

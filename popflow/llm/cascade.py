@@ -98,14 +98,25 @@ def too_repetitive(repeats: Column, words: Column) -> Column:
     return 100 * repeats > 20 * words
 
 
-RULES = (
-    Rule("few_words", lambda t: too_short(n_words(t))),
-    Rule("repeated_windows", lambda t: too_repetitive(n_repeat_words(t), n_words(t))),
-    Rule("symbols", lambda t: 10 * n_symbols(t) > n_words(t)),
-    Rule("shouting", lambda t: upper_share(t) > 0.5),
-    Rule("stutter", lambda t: 5 * n_stutters(t) > n_words(t)),
-    Rule("repeated_lines", lambda t: 2 * n_dup_lines(t) > F.size(F.split(t, "\n"))),
-)
+def rules_over(measures: Mapping[str, Column]) -> tuple[Rule, ...]:
+    """The rules, with the measures that are already columns taken from there."""
+    def of(measure: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        have = measures.get(measure.__name__)
+        return measure if have is None else lambda text: have
+
+    words, symbols, repeats = of(n_words), of(n_symbols), of(n_repeat_words)
+    stutters, lines = of(n_stutters), of(n_dup_lines)
+    return (
+        Rule("few_words", lambda t: too_short(words(t))),
+        Rule("repeated_windows", lambda t: too_repetitive(repeats(t), words(t))),
+        Rule("symbols", lambda t: 10 * symbols(t) > words(t)),
+        Rule("shouting", lambda t: upper_share(t) > 0.5),
+        Rule("stutter", lambda t: 5 * stutters(t) > words(t)),
+        Rule("repeated_lines", lambda t: 2 * lines(t) > F.size(F.split(t, "\n"))),
+    )
+
+
+RULES = rules_over({})
 
 
 def measure_rules(
@@ -150,13 +161,17 @@ def first_broken(text: Column, ordered: Sequence[Rule]) -> Column:
 
 
 def apply_rules(
-    df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, sample_rows: int = 2000,
+    df: DataFrame, text: str = "text", measures: Mapping[str, Column] | None = None,
+    sample_rows: int = 2000,
 ) -> DataFrame:
     """``df`` with ``broken_rule``: the rule that stopped the cascade, null for kept rows.
 
     Null and empty texts have no words and break the shortest-text rule. Which of several broken
-    rules is named depends on the measured order; whether one is named does not. An input column
+    rules is named depends on the measured order; whether one is named does not. ``measures`` maps
+    names of measures to columns of ``df`` that hold them already. An input column
     ``broken_rule`` is replaced.
     """
-    figures = measure_rules(df, text, rules, sample_rows)
-    return df.withColumn("broken_rule", first_broken(F.col(text), in_order(rules, figures)))
+    order = [r.name for r in in_order(RULES, measure_rules(df, text, RULES, sample_rows))]
+    by_name = {r.name: r for r in rules_over(measures or {})}
+    return df.withColumn(
+        "broken_rule", first_broken(F.col(text), [by_name[n] for n in order]))

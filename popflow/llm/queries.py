@@ -95,19 +95,15 @@ FROM b"""
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    text = F.col("text")
-    judged = cascade.apply_rules(docs).select(
-        "doc_id", "broken_rule",
-        cascade.n_words(text).alias("n_words"),
-        cascade.word_chars(text).alias("word_chars"),
-        cascade.n_symbols(text).alias("n_symbols"),
-        cascade.n_dup_lines(text).alias("n_dup_lines"),
-        cascade.n_repeat_words(text).alias("n_repeat_words"))
+    base = {m.__name__: m for m in (
+        cascade.n_words, cascade.word_chars, cascade.n_symbols, cascade.n_dup_lines,
+        cascade.n_repeat_words)}
+    measured = docs.withColumns({name: m(F.col("text")) for name, m in base.items()})
+    judged = cascade.apply_rules(measured, measures={name: F.col(name) for name in base})
     failed = (cascade.too_short(F.col("n_words"))
               | cascade.too_repetitive(F.col("n_repeat_words"), F.col("n_words")))
-    return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), F.col("broken_rule").isNull().alias("kept"))
+    return judged.select("doc_id", *base, failed.alias("base_failed"),
+                         F.col("broken_rule").isNull().alias("kept"))
 
 
 # --- toxicity

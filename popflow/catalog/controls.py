@@ -201,24 +201,22 @@ def spec_type_map(t: Roles) -> DataFrame:
 
 
 def _thin_data(t: Roles, bg: Column) -> DataFrame:
-    """Household counts by block group. The identifier stays text, so it is not counted."""
-    return t.acs_bg().select(bg.cast("string").alias("BG"), F.col("B11005_001E").alias("n"))
+    """Household counts by block group."""
+    return t.acs_bg().select(
+        bg.cast("bigint").alias("BG"), F.lit(1).alias("REGION"), F.col("B11005_001E").alias("n"))
 
 
 @query("crosswalk_prune", f"""
 SELECT BG, TRACT, PUMA FROM xwalk
 WHERE BG IN (SELECT {COMPOSED_BG} FROM acs_bg WHERE coalesce("B11005_001E", 0) <> 0)""")
 def crosswalk_prune(t: Roles) -> DataFrame:
-    xwalk = t.xwalk().withColumn("BG", F.col("BG").cast("string"))
-    return spatial.prune_crosswalk(xwalk, _thin_data(t, F.expr(COMPOSED_BG)), "BG").select(
-        F.col("BG").cast("bigint").alias("BG"), "TRACT", "PUMA")
+    return spatial.prune_crosswalk(
+        t.xwalk(), _thin_data(t, F.expr(COMPOSED_BG)), "BG").select("BG", "TRACT", "PUMA")
 
 
 @query("data_without_crosswalk", f"""
 SELECT {COMPOSED_BG} + 2 AS BG FROM acs_bg
 WHERE coalesce("B11005_001E", 0) <> 0 AND {COMPOSED_BG} + 2 NOT IN (SELECT BG FROM xwalk)""")
 def data_without_crosswalk(t: Roles) -> DataFrame:
-    xwalk = t.xwalk().select(F.col("BG").cast("string").alias("BG"))
-    shifted = _thin_data(t, F.expr(COMPOSED_BG) + 2)
-    return spatial.data_without_crosswalk(xwalk, shifted, "BG").select(
-        F.col("BG").cast("bigint").alias("BG"))
+    return spatial.data_without_crosswalk(
+        t.xwalk().select("BG"), _thin_data(t, F.expr(COMPOSED_BG) + 2), "BG").select("BG")

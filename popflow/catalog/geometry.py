@@ -100,7 +100,7 @@ def nearest_zone(t: Roles) -> DataFrame:
 @query("nearest_zone_any_distance", f"""WITH {_GEO}
 SELECT point_id, GEOID, round(dist_m, 3) AS dist_m FROM best""")
 def nearest_zone_any_distance(t: Roles) -> DataFrame:
-    return spatial.nearest_any(points(t), zones(t), steps=4).withColumn(
+    return spatial.nearest_any(points(t), zones(t)).filter("GEOID IS NOT NULL").withColumn(
         "dist_m", F.round("dist_m", 3))
 
 
@@ -243,8 +243,16 @@ def crosswalk_dedupe(t: Roles) -> DataFrame:
 
 
 @query("crs_check", """
-SELECT CAST(1 AS BIGINT) AS n_crs, true AS same_crs, count(*) AS n FROM supplier""")
+WITH s AS (SELECT 4269 + s_nationkey % 2 AS srid FROM supplier),
+     c AS (SELECT 4269 + c_nationkey % 3 AS srid FROM customer),
+     one AS (SELECT srid FROM s WHERE srid = 4269 UNION ALL SELECT srid FROM c WHERE srid = 4269),
+     many AS (SELECT srid FROM s UNION ALL SELECT srid FROM c)
+SELECT 'one' AS tables, count(DISTINCT srid) AS n_crs, count(DISTINCT srid) = 1 AS same_crs FROM one
+UNION ALL
+SELECT 'many', count(DISTINCT srid), count(DISTINCT srid) = 1 FROM many""")
 def crs_check(t: Roles) -> DataFrame:
-    a = t.table("supplier").select(F.lit(4269).alias("srid"))
-    b = t.table("customer").select(F.lit(4269).alias("srid"))
-    return spatial.same_crs(a, b).withColumn("n", a.groupBy().count().scalar())
+    a = t.table("supplier").select((4269 + F.col("s_nationkey") % 2).alias("srid"))
+    b = t.table("customer").select((4269 + F.col("c_nationkey") % 3).alias("srid"))
+    one = spatial.same_crs(a.filter("srid = 4269"), b.filter("srid = 4269"))
+    return one.select(F.lit("one").alias("tables"), "*").unionByName(
+        spatial.same_crs(a, b).select(F.lit("many").alias("tables"), "*"))

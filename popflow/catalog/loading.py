@@ -9,6 +9,7 @@ from popflow.catalog.registry import query
 from popflow.catalog.roles import Roles
 from popflow.functions import text
 from popflow.sources import census, files, listing, microdata
+from popflow.session import new_path
 from popflow.specs import PUMS_HH, STATES
 
 
@@ -116,8 +117,8 @@ def file_name_parse(t: Roles) -> DataFrame:
         F.endswith(F.rtrim("href"), F.lit("s")).alias("ends_s"))
 
 
-_FIPS = [f for f, _, _ in STATES[:20]]
-_ABBR = [a for _, a, _ in STATES[:20]]
+_ABBR = ["AL", "AK", "AZ", "CA", "CT", "DC", "FL", "ID", "KS", "ME", "NE", "NY"]  # wanted
+_FIPS = [f for f, a, _ in STATES if a in _ABBR]
 _FILES = """found AS (
   SELECT 'https://example.org/' || c_mktsegment AS url,
          CASE WHEN c_acctbal < 0 THEN 'readme_' || c_custkey || '.txt'
@@ -146,7 +147,7 @@ def listing_boundary_files(t: Roles) -> DataFrame:
 
 
 @query("listing_microdata_files", f"""
-WITH s(fips, abbr) AS (VALUES {", ".join(f"('{f}', '{a}')" for f, a, _ in STATES[:20])}),
+WITH s(fips, abbr) AS (VALUES {", ".join(f"('{f}', '{a}')" for f, a, _ in STATES if a in _ABBR)}),
 found AS (
   SELECT 'https://example.org/' || o_orderstatus AS url,
          CASE WHEN o_totalprice < 100000 THEN 'notes.pdf'
@@ -206,3 +207,45 @@ def missing_states(t: Roles) -> DataFrame:
     present = t.table("supplier").select(F.col("s_suppkey").alias("state"))
     return files.missing_states(
         present, t.table("orders").select(F.col("o_custkey").alias("state")))
+
+
+# --- files written to the shared folder and read back -----------------------
+@query("microdata_csv", f"SELECT {', '.join(PUMS_HH)} FROM hh")
+def microdata_csv(t: Roles) -> DataFrame:
+    """Two files with their columns in opposite order, read by name."""
+    raw = t.hh_raw().select(*[F.col(c).cast(k).alias(c) for c, k in PUMS_HH.items()])
+    paths = []
+    for part, columns in ((0, list(PUMS_HH)), (1, list(PUMS_HH)[::-1])):
+        paths.append(new_path(raw.sparkSession))
+        chosen = raw.filter(F.pmod(F.xxhash64("SERIALNO"), F.lit(2)) == part)
+        files.write_csv(chosen.select(*columns), paths[-1])
+    return microdata.read_microdata(raw.sparkSession, paths, PUMS_HH)
+
+
+@query("named_inputs", "WITH names(name) AS (VALUES " + ", ".join(
+    f"('{name}')" for name in files.INPUT_FILES) + """)
+SELECT name, count(*) AS n_rows, CAST(sum(c_custkey) AS BIGINT) AS id_sum
+FROM names, customer GROUP BY name""")
+def named_inputs(t: Roles) -> DataFrame:
+    """All named tables of a folder, with input columns renamed."""
+    customer = t.table("customer").select(F.col("c_custkey").alias("hhnum"))
+    folder = new_path(customer.sparkSession)
+    files.write_tables({f: customer for f in files.INPUT_FILES.values()}, folder)
+    tables = files.read_inputs(customer.sparkSession, folder)
+    return files.union_tables([
+        files.map_inputs(df).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("hh_id").alias("id_sum"))
+        .select(F.lit(name).alias("name"), "n_rows", "id_sum") for name, df in tables.items()])
+
+
+@query("projection_and_casts", """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus,
+       'o_custkey,o_orderstatus,o_totalprice,o_orderkey' AS column_order FROM orders""")
+def projection_and_casts(t: Roles) -> DataFrame:
+    """Undeclared columns first, declared ones cast from text."""
+    texts = t.table("orders").select(*[F.col(c).cast("string").alias(c) for c in (
+        "o_totalprice", "o_orderkey", "o_orderstatus", "o_custkey")])
+    typed = census.cast_columns(
+        texts, {"o_totalprice": "double", "o_orderkey": "bigint", "o_custkey": "bigint",
+                "absent": "int"})
+    ordered = census.extras_first(typed, ["o_totalprice", "o_orderkey"])
+    return ordered.withColumn("column_order", F.lit(",".join(ordered.columns)))

@@ -12,12 +12,6 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def not_true(condition: str | Column) -> Column:
-    """Negation under which an unknown condition counts as false, so its negation is true."""
-    condition = F.expr(condition) if isinstance(condition, str) else condition
-    return ~F.coalesce(condition, F.lit(False))
-
-
 def quoted(name: str) -> str:
     """A column name in SQL text. Wide tables are built from SQL text: one call per column."""
     return "`" + name.replace("`", "``") + "`"

@@ -168,13 +168,17 @@ def ratio_adjust(
     df: DataFrame, ratios: DataFrame, on: str = "STATE",
     include: Sequence[str] | None = None, exclude: Sequence[str] = (),
 ) -> DataFrame:
-    """Multiply each column by the ratio of the same name."""
+    """Multiply each column by the ratio of the same name.
+
+    The ratios are written first, so that the join knows their size: below the broadcast
+    threshold the zones are not dealt out by a key that a few states share.
+    """
     cols = [
         c for c in df.columns
         if c in ratios.columns and c != on and c not in exclude
         and (include is None or c in include)
     ]
-    renamed = ratios.selectExpr(on, *[f"{quoted(c)} AS {quoted('__' + c)}" for c in cols])
+    renamed = cut(ratios.selectExpr(on, *[f"{quoted(c)} AS {quoted('__' + c)}" for c in cols]))
     return df.join(renamed, on, "left").selectExpr(
         *replaced(df, {c: f"{quoted(c)} * {quoted('__' + c)}" for c in cols}))
 

@@ -221,20 +221,30 @@ def nearest(
     ).filter(F.col("dist_m") < max_m)
 
 
+HALF_GLOBE_M = 2.1e7
+
+
 def nearest_any(
-    points: DataFrame, zones: DataFrame, first_m: float = NEAREST_CAP_M, steps: int = 6,
+    points: DataFrame, zones: DataFrame, first_m: float = NEAREST_CAP_M,
     factor: float = 8.0, by: str | None = "STATEFP", point_id: str = "point_id",
     zone_id: str = "GEOID",
 ) -> DataFrame:
-    """The nearest zone at any distance: the reach grows for the points still unmatched."""
+    """The nearest zone at any distance: the reach grows for the points still unmatched.
+
+    It grows up to half the way round the globe. A point whose ``by`` has no zone at all comes
+    back with a null zone and distance.
+    """
     found, left, reach = [], cut(points), first_m
-    for _ in range(steps):
+    while True:
         hit = cut(nearest(left, zones, reach, by, point_id, zone_id))
         found.append(hit)
         left = cut(left.join(hit.select(point_id), point_id, "left_anti"))
-        if left.isEmpty():
+        if left.isEmpty() or reach > HALF_GLOBE_M:
             break
         reach *= factor
+    kinds = found[0].schema
+    found.append(left.select(point_id, *[
+        F.lit(None).cast(kinds[c].dataType).alias(c) for c in (zone_id, "dist_m")]))
     return reduce(DataFrame.unionByName, found)
 
 

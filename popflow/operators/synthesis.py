@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from popflow.functions.columns import quoted, ratio, ratio_sql, replaced, sums
+from popflow.functions.columns import quoted, ratio_sql, replaced, sums
 from popflow.operators.ordering import rank_rows, running_total
 from popflow.session import cut
 from popflow.specs import (
@@ -123,7 +124,7 @@ def _added_up(partial: DataFrame, salts: int = 64) -> DataFrame:
     return salted
 
 
-def _newton_step(k: int):
+def _newton_step(k: int, tol: float):
     """One damped Newton step per zone on the penalised dual; one row per zone."""
     upper = np.triu_indices(k)
 
@@ -137,7 +138,10 @@ def _newton_step(k: int):
                 gap = goal - v[1:k + 1] - ridge * lam
                 err = float(np.max(np.abs(gap) / np.maximum(goal, 1.0)))
                 norm = float(np.sum(gap * gap / np.maximum(goal, 1.0)))
+                done = False
                 if norm <= r.best_norm:
+                    # Met, or no longer gaining.
+                    done = err < tol or norm > 0.999 * r.best_norm
                     h = np.zeros((k, k))
                     h[upper] = v[k + 1:]
                     spread = h + np.triu(h, 1).T
@@ -152,44 +156,43 @@ def _newton_step(k: int):
                 else:
                     state = (np.asarray(r.best), np.asarray(r.delta), r.step / 2,
                              r.best_norm, r.best_err)
+                    done = r.step < 1e-6  # the line has no better point
                 best, delta, size, best_norm, best_err = state
                 out.append((r.zone, best + size * delta, best, delta, size, best_norm, best_err,
-                            goal, ridge))
+                            goal, ridge, r.rounds + 1, done))
             yield pd.DataFrame(out, columns=[
-                "zone", "lam", "best", "delta", "step", "best_norm", "best_err", "goal", "ridge"])
+                "zone", "lam", "best", "delta", "step", "best_norm", "best_err", "goal", "ridge",
+                "rounds", "done"])
 
     return step
 
 
-def rake_weights(
+def rake_multipliers(
     inc: DataFrame,
     controls: DataFrame,
     targets: Sequence[str],
     by: str = "PUMA",
     weight: str = "WGTP",
     importance: Mapping[str, float] | None = None,
-    max_iter: int = 30,
     tol: float = 1e-6,
     max_expansion: float = MAX_EXPANSION,
-    key: str = "hh_id",
-    out: str = "final_weight",
 ) -> DataFrame:
-    """Weights ``weight * exp(x.lambda)``, capped, that meet the zone controls.
+    """Multipliers of every zone: (``by``, multipliers, error, rounds).
 
     Generalized raking (Deville, Saerndal and Sautory 1993) by Newton steps on the dual.
-    ``controls`` has ``by`` and one column per target. Targets that contradict each other are
-    met in proportion to their importance through a small ridge.
+    Targets that contradict each other are met in proportion to their importance through a small
+    ridge. A zone leaves when its penalised gap is below ``tol``, or when neither a step nor any
+    shorter one gains; the rounds go on with the other zones only, so one with contradictions
+    costs no more than itself. ``error`` is the largest relative gap that is left.
 
-    Equal incidence rows are merged first. A round sums moments per task in numpy, adds the
-    tasks' sums per zone, and solves one small system per zone; only the table of zone
+    Equal incidence rows are merged and written once. A round sums moments per task in numpy, adds
+    the tasks' sums per zone, and solves one small system per zone; only the table of zone
     multipliers passes from round to round, through the shared folder.
-    Returns ``key``, ``by``, ``weight`` and ``out``.
     """
     k = len(targets)
     imp = [float((importance or {}).get(t, 1000.0)) for t in targets]
     zone_type = inc.schema[by].dataType.simpleString()
-    x = F.expr(f"array({', '.join(f'CAST({t} AS DOUBLE)' for t in targets)})")
-
+    x = _incidence_array(targets)
     merged = cut(
         inc.select(F.col(by).alias("zone"), x.alias("x"), F.col(weight).cast("double").alias("w"))
         .groupBy("zone", "x").agg(F.sum("w").alias("w0"))
@@ -206,37 +209,91 @@ def rake_weights(
         .select(
             "zone", zeros.alias("lam"), zeros.alias("best"), zeros.alias("delta"),
             F.lit(1.0).alias("step"), F.lit(float("inf")).alias("best_norm"),
-            F.lit(float("inf")).alias("best_err"), "goal", "ridge")
+            F.lit(float("inf")).alias("best_err"), "goal", "ridge",
+            F.lit(0).alias("rounds"), F.lit(False).alias("done"))
     )
     state_schema = state.schema
     moment_schema = f"zone {zone_type}, moments array<double>"
-    for _ in range(max_iter):
+    finished = []
+    while True:
         partial = (
             merged.join(state.select("zone", "lam"), "zone").select("zone", "x", "w0", "lam")
             .mapInPandas(_moments(k, max_expansion), moment_schema)
         )
-        state = cut(state.join(_added_up(partial), "zone").mapInPandas(
-            _newton_step(k), state_schema))
-        worst = state.agg(F.max("best_err")).first()[0]
-        if worst is None or worst < tol:
+        after = cut(state.join(_added_up(partial), "zone").mapInPandas(
+            _newton_step(k, tol), state_schema))
+        finished.append(after.filter("done"))
+        state = after.filter("NOT done")
+        if state.isEmpty():
             break
+    return reduce(DataFrame.unionByName, finished).select(
+        F.col("zone").alias(by), F.col("best").alias("multipliers"),
+        F.col("best_err").alias("error"), "rounds")
 
-    found = state.select(F.col("zone").alias(by), F.col("best").alias("__lam"))
-    dot = F.aggregate(
-        F.zip_with(x, "__lam", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+
+def _incidence_array(targets: Sequence[str]) -> Column:
+    return F.expr(f"array({', '.join(f'CAST({t} AS DOUBLE)' for t in targets)})")
+
+
+def rake_weights(
+    inc: DataFrame,
+    controls: DataFrame,
+    targets: Sequence[str],
+    by: str = "PUMA",
+    weight: str = "WGTP",
+    importance: Mapping[str, float] | None = None,
+    tol: float = 1e-6,
+    max_expansion: float = MAX_EXPANSION,
+    key: str = "hh_id",
+    out: str = "final_weight",
+) -> DataFrame:
+    """Weights ``weight * exp(x.lambda)``, capped, that meet the zone controls.
+
+    ``controls`` has ``by`` and one column per target; see ``rake_multipliers``.
+    Returns ``key``, ``by``, ``weight`` and ``out``.
+    """
+    found = rake_multipliers(
+        inc, controls, targets, by, weight, importance, tol, max_expansion).select(
+            by, F.col("multipliers").alias("__lam"))
+    dot = F.aggregate(F.zip_with(_incidence_array(targets), "__lam", lambda a, b: a * b),
+                      F.lit(0.0), lambda acc, v: acc + v)
     capped = F.least(F.exp(dot), F.lit(float(max_expansion)))
     return inc.join(found, by).select(
         key, by, weight, (F.col(weight) * capped).alias(out))
 
 
+def residuals(
+    weights: DataFrame, inc: DataFrame, controls: DataFrame, targets: Sequence[str],
+    by: str = "PUMA", weight: str = "final_weight", key: str = "hh_id",
+) -> DataFrame:
+    """(``by``, target, control, result, relative_gap) of every zone and target after raking."""
+    made = weights.select(key, by, weight).join(inc.select(key, *targets), key).groupBy(by).agg(
+        *[F.expr(f"sum({weight} * {t}) AS {t}") for t in targets])
+
+    def long(df: DataFrame, name: str) -> DataFrame:
+        return df.select(by, F.explode(F.array(*[
+            F.struct(F.lit(t).alias("target"), F.col(t).cast("double").alias(name))
+            for t in targets])).alias("e")).select(by, "e.*")
+
+    both = long(controls.select(by, *targets), "control").join(
+        long(made, "result"), [by, "target"], "left")
+    gap = F.abs(F.coalesce("result", F.lit(0.0)) - F.coalesce("control", F.lit(0.0)))
+    return both.withColumn("relative_gap", gap / F.greatest(
+        F.coalesce("control", F.lit(0.0)), F.lit(1.0)))
+
+
 def scale_to_parent(
     df: DataFrame, cols: Sequence[str], parent: str, totals: DataFrame
 ) -> DataFrame:
-    """Scale zone columns so that their sums meet the parent's columns of the same name."""
+    """Scale zone columns so that their sums meet the parent's columns of the same name.
+
+    The factors are written first: the join knows their size and need not deal the zones out by
+    a key that few parents share.
+    """
     current = df.groupBy(parent).agg(*sums(cols))
-    factors = totals.alias("t").join(current.alias("c"), parent).selectExpr(
+    factors = cut(totals.alias("t").join(current.alias("c"), parent).selectExpr(
         parent, *[f"{ratio_sql(f't.{quoted(c)}', f'c.{quoted(c)}')} AS {quoted('__' + c)}"
-                  for c in cols])
+                  for c in cols]))
     return df.join(factors, parent, "left").selectExpr(
         *replaced(df, {c: f"{quoted(c)} * {quoted('__' + c)}" for c in cols}))
 
@@ -271,26 +328,107 @@ def integerize(
 _BLOCK = 32  # places per block; bounds the rows of either side that share a join key
 
 
-def rake_cells(
-    cells: DataFrame, margins: Sequence[tuple[Sequence[str], DataFrame]], value: str = "n",
-    max_iter: int = 10,
-) -> DataFrame:
-    """Iterative proportional fitting of a contingency table.
+def _shares(x: np.ndarray, goal: np.ndarray, wanted: np.ndarray, upper: np.ndarray,
+            parent: np.ndarray, tol: float = 1e-4) -> np.ndarray:
+    """Share of each cell's households in each child, at greatest entropy for the controls.
 
-    ``margins`` lists (key columns, table with the keys and ``goal``); the last one is met
-    exactly. One aggregation and one join per margin and round.
+    ``x`` holds the incidence of the cells, first the children's targets, then those of the
+    parents; ``wanted`` the children's and ``upper`` the parents' controls, ``parent`` the parent of
+    each child. A share is proportional to exp(x . multipliers of the child and of its parent) and
+    a cell's shares add up to one, so its households always do. The dual is concave; each child
+    and parent takes its own Newton step with the curvature its households have alone, which
+    bounds the true one, and all of them together are shortened until the dual grows. It ends when
+    the controls are met or a step gains next to nothing.
+    """
+    k = wanted.shape[1]
+    own, theirs = x[:, :k], x[:, k:]
+    lam, mu = np.zeros_like(wanted), np.zeros_like(upper)
+    # Controls that contradict each other are met in proportion to their size.
+    ridge, ridge_up = 1e-3 * np.maximum(wanted, 1.0), 1e-3 * np.maximum(upper, 1.0)
+
+    def state(lam: np.ndarray, mu: np.ndarray):
+        z = own @ lam.T + (theirs @ mu.T)[:, parent]
+        top = z.max(axis=1, keepdims=True)
+        e = np.exp(z - top)
+        total = e.sum(axis=1, keepdims=True)
+        dual = ((lam * wanted).sum() + (mu * upper).sum() - goal @ (top + np.log(total))[:, 0]
+                - 0.5 * ((ridge * lam ** 2).sum() + (ridge_up * mu ** 2).sum()))
+        return e / total, dual
+
+    def newton(rows: np.ndarray, gap: np.ndarray, n: np.ndarray, ridge: np.ndarray):
+        """Steps of all zones, from their gaps (zone, target) and households (cell, zone)."""
+        h = np.stack([(rows * n[:, b, None]).T @ rows for b in range(len(gap))])
+        at = np.arange(rows.shape[1])
+        h[:, at, at] += ridge
+        scale = 1 / np.sqrt(h[:, at, at])
+        h *= scale[:, :, None] * scale[:, None, :]
+        h[:, at, at] += 1e-9  # targets can add up to others
+        return scale * np.linalg.solve(h, (gap * scale)[:, :, None])[:, :, 0]
+
+    share, dual = state(lam, mu)
+    while True:
+        n = share * goal[:, None]
+        gap = wanted - n.T @ own - ridge * lam
+        by_parent = np.zeros((len(x), len(upper)))
+        np.add.at(by_parent.T, parent, n.T)
+        gap_up = upper - by_parent.T @ theirs - ridge_up * mu
+        worst = max(np.abs(g / np.maximum(c, 1.0)).max(initial=0.0)
+                    for g, c in ((gap, wanted), (gap_up, upper)))
+        if worst < tol:
+            return share
+        step = newton(own, gap, n, ridge)
+        up = newton(theirs, gap_up, by_parent, ridge_up) if upper.shape[1] else mu
+        # A multiplier moves by no more than 3 at a time: zero controls lie at minus infinity.
+        size = min(1.0, 3.0 / max(np.abs(step).max(initial=0.0), np.abs(up).max(initial=0.0),
+                                  1e-12))
+        while True:
+            tried, value = state(lam + size * step, mu + size * up)
+            if value - dual > 1e-6 * goal.sum():
+                break
+            if size < 1e-3:
+                return share
+            size /= 4
+        lam, mu, share, dual = lam + size * step, mu + size * up, tried, value
+
+
+def _whole_places(share: np.ndarray, x: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    """Integer places with the cells' totals kept, rounding so that errors cancel per child.
+
+    Cells come one after the other, the heaviest first. What rounding has taken from a child's
+    controls so far, measured along the cell's own incidence, is added to the child's fraction;
+    the places beyond the whole parts go to the largest.
     """
-    current = cells
-    for _ in range(max_iter):
-        for keys, goals in margins:
-            keys = list(keys)
-            sums = current.groupBy(*keys).agg(F.sum(value).alias("__sum"))
-            factors = goals.join(sums, keys).select(
-                *keys, F.coalesce(ratio("goal", "__sum"), F.lit(0.0)).alias("__f"))
-            current = current.join(factors, keys).withColumn(
-                value, F.col(value) * F.col("__f")).drop("__f")
-        current = cut(current)
-    return current
+    out = np.floor(share * goal[:, None] + 1e-9).astype(np.int64)
+    short = np.zeros((share.shape[1], x.shape[1]))
+    for s in np.lexsort((np.arange(len(goal)), -goal)):
+        n = share[s] * goal[s]
+        rest = int(goal[s] - out[s].sum())
+        if rest > 0:
+            score = n - out[s] + short @ x[s] / (x[s] @ x[s] + 1.0)
+            out[s, np.argsort(-score, kind="stable")[:rest]] += 1
+        short += np.outer(n - out[s], x[s])
+    return out
+
+
+def _place_cells(by: str, child: str):
+    """Places of each (child, cell) of one zone."""
+    def run(cells: pd.DataFrame, children: pd.DataFrame) -> pd.DataFrame:
+        columns = [by, child, "cell", "places"]
+        if cells.empty or children.empty:
+            return pd.DataFrame({c: [] for c in columns}).astype("int64")
+        cells = cells.sort_values("cell")
+        children = children.sort_values(child)
+        x, goal = np.array(cells["x"].tolist(), float), cells["goal"].to_numpy(float)
+        parent, first = np.unique(children["parent"].to_numpy(), return_index=True)
+        of = np.searchsorted(parent, children["parent"].to_numpy())
+        wanted = np.array(children["own"].tolist(), float)
+        upper = np.array(children["upper"].tolist(), float).reshape(len(children), -1)[first]
+        places = _whole_places(_shares(x, goal, wanted, upper, of), x, goal)
+        s, b = np.nonzero(places)
+        return pd.DataFrame({
+            by: cells[by].iloc[0], child: children[child].to_numpy()[b],
+            "cell": cells["cell"].to_numpy()[s], "places": places[s, b]})
+    return run
 
 
 def slots(
@@ -342,76 +480,64 @@ def _laid_out(
 
 def allocate_to_children(
     weights: DataFrame,
-    child_controls: DataFrame,
+    inc: DataFrame,
+    children: DataFrame,
     child: str,
-    cell_controls: Mapping[str, Mapping[str, str]],
+    fields: Mapping[str, str],
+    parent: str | None = None,
+    parents: DataFrame | None = None,
+    parent_fields: Mapping[str, str] | None = None,
     by: str = "PUMA",
     weight: str = "int_weight",
     key: str = "hh_id",
-    max_iter: int = 10,
-    total: str = "h_total",
 ) -> DataFrame:
     """Distribute integer household weights over the child zones of their zone.
 
-    ``cell_controls`` maps a category column of ``weights`` to {category value: control column
-    of child_controls}. Households fall into cells, the combinations of their categories. The
-    cell totals of a zone are spread over its children by fitting a (child, cell) table to the
-    children's controls; the table is rounded with the cell totals kept. The copies of households
-    and the places in children are then laid out along the same line within each cell, and what
-    overlaps is matched. Both are cut into blocks of fixed length, so a household meets only the
-    children of its own blocks, and its copies always add up.
-
-    Returns one row per household and child: ``key``, ``by``, ``child`` and ``weight``.
+    ``fields`` maps every target to its column in ``children``, ``parent_fields`` those that are
+    published for ``parent`` zones to their column in ``parents``; ``inc`` has the incidence of
+    all of them. Households with equal incidence form a cell. The cells of a zone are shared among
+    its children so that the children's and the parents' controls are met (see ``_shares``), and
+    rounded with the cells' totals kept. The copies of households and the places in children are
+    then laid out along the same line within each cell, and what overlaps is matched, in blocks
+    of fixed length, so a household meets only the children of its own blocks.
+
+    One task fits one zone, from one row per different incidence and one per child. A seed zone
+    is bounded by its definition (some hundred children, some thousand seed households). Weights
+    of a zone without children are not placed. Returns ``key``, ``by``, ``child`` and ``weight``.
     """
-    cats = list(cell_controls)
-    # A household outside all categories is in a class of its own that no child asks for.
-    weights = cut(weights.select(by, *cats, key, weight).fillna("", cats))
-    child_controls = cut(child_controls.select(
-        by, child, total, *[c for columns in cell_controls.values() for c in columns.values()]))
-    cell_totals = cut(weights.groupBy(by, *cats).agg(F.sum(weight).alias("goal")))
-    links = child_controls.select(by, child)
-    # Cells are combinations of a fixed set of categories, so this grows with the children.
-    table = links.join(cell_totals, by).select(
-        by, child, *cats, F.col("goal").cast("double").alias("n"))
-    margins: list[tuple[Sequence[str], DataFrame]] = []
-    margins.append(([by, child], child_controls.select(
-        by, child, F.col(total).cast("double").alias("goal"))))
-    for cat, columns in cell_controls.items():
-        entries = F.array(*[
-            F.struct(F.lit(value).alias(cat), F.col(c).cast("double").alias("goal"))
-            for value, c in columns.items()
-        ])
-        goals = child_controls.select(by, child, F.explode(entries).alias("e")).select(
-            by, child, "e.*")
-        margins.append(([by, child, cat], goals))
-    margins.append(([by, *cats], cell_totals.select(
-        by, *cats, F.col("goal").cast("double").alias("goal"))))
-    fitted = rake_cells(cut(table), margins, "n", max_iter)
-
-    # Cells no child asks for are shared out by the size of the children.
-    left_over = (
-        cell_totals.join(
-            fitted.groupBy(by, *cats).agg(F.sum("n").alias("__n")).filter("__n > 0"),
-            [by, *cats], "left_anti"))
-    sizes = child_controls.select(by, child, F.col(total).cast("double").alias("__size"))
-    size_sums = sizes.groupBy(by).agg(
-        F.sum("__size").alias("__sizes"), F.count(F.lit(1)).alias("__m"))
-    shared = (
-        left_over.join(sizes, by).join(size_sums, by)
-        .select(by, child, *cats, (F.col("goal") * F.coalesce(
-            F.try_divide(F.col("__size"), F.col("__sizes")), 1 / F.col("__m"))).alias("n"))
-    )
-    quota = cut(
-        fitted.join(shared.select(by, *cats).distinct(), [by, *cats], "left_anti")
-        .select(by, child, *cats, "n").unionByName(shared)
-        .join(cell_totals, [by, *cats])
-    )
-    places = integerize(quota, "n", [by, *cats], [child], out="places", total="goal")
-
-    cell = [by, *cats]
-    offered = _laid_out(
-        places.select(*cell, child, "places"), "places", [child], cell, spread=True)
-    wanted = _laid_out(weights.select(*cell, key, weight), weight, [key], cell)
+    upper = dict(parent_fields or {})
+    x = F.expr("array(" + ", ".join(f"CAST({t} AS BIGINT)" for t in [*fields, *upper]) + ")")
+
+    def goals(columns: Sequence[str]) -> Column:
+        return F.expr("CAST(array(" + ", ".join(
+            f"coalesce(CAST({c} AS DOUBLE), 0D)" for c in columns) + ") AS ARRAY<DOUBLE>)")
+
+    rows = cut(weights.select(key, by, weight).filter(F.col(weight) > 0).join(
+        inc.select(key, x.alias("x")), key))
+    cells = cut(rows.groupBy(by, "x").agg(
+        F.min(key).alias("cell"), F.sum(weight).alias("goal")))
+    zones = children.select(
+        by, child, (F.col(parent) if parent else F.lit(0)).alias("parent"),
+        goals(list(fields.values())).alias("own"))
+    if upper:
+        zones = zones.join(parents.select(
+            F.col(parent).alias("parent"), goals(list(upper.values())).alias("upper")),
+            "parent", "left")
+    else:
+        zones = zones.withColumn("upper", F.array().cast("array<double>"))
+    # A parent without published values asks for nothing of its own.
+    zones = zones.withColumn("upper", F.coalesce(
+        "upper", F.array_repeat(F.lit(0.0), len(upper))))
+    kinds = {f.name: f.dataType.simpleString() for f in (*cells.schema, *zones.schema)}
+    places = cut(cells.groupBy(by).cogroup(zones.groupBy(by)).applyInPandas(
+        _place_cells(by, child), f"{by} {kinds[by]}, {child} {kinds[child]}, "
+        f"cell {kinds['cell']}, places bigint"))
+
+    cell = [by, "cell"]
+    offered = _laid_out(places, "places", [child], cell, spread=True)
+    # One row per cell and zone on the right: the rows of a frequent incidence split by AQE.
+    named = rows.join(cells.select(by, "x", "cell"), [by, "x"]).select(*cell, key, weight)
+    wanted = _laid_out(named, weight, [key], cell)
     matched = wanted.join(
         offered.withColumnsRenamed({"lo": "__lo", "hi": "__hi"}), [*cell, "block"])
     shared = F.least("hi", "__hi") - F.greatest("lo", "__lo")

@@ -145,8 +145,11 @@ def format_targets(df: DataFrame, region: int = REGION) -> DataFrame:
     return compose_geoids(df.withColumnsRenamed(renamed)).withColumn("REGION", F.lit(region))
 
 
-def drop_empty_zones(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
-    """Remove zones whose numeric columns sum to zero, ``ignore`` aside."""
+IDENTIFIERS = ("BG", "TRACT", "COUNTY", "PUMA", "STATE", "ST", "REGION", "BLKGRP")
+
+
+def drop_empty_zones(df: DataFrame, ignore: Sequence[str] = IDENTIFIERS) -> DataFrame:
+    """Remove zones whose numeric columns sum to zero; identifiers are not counted."""
     numeric = [
         f.name for f in df.schema.fields
         if f.dataType.typeName() in ("integer", "long", "double", "float", "short")

@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popflow.functions.geoid import compose_geoids, zfill
+from popflow.functions.geoid import compose_geoids
 from popflow.operators import checks, seeds, spatial, targets
 from popflow.session import cut
+from popflow.sources.geometry import strip_vintage
 from popflow.specs import CONTROLS, FIXED_RENAMES, REMAINDERS, SUB_GEOGRAPHIES, Remainder
 
 
@@ -45,7 +46,8 @@ def prepare_crosswalk(
 
     ``data`` maps BG, TRACT and PUMA to tables with composed identifiers.
     """
-    bg, tract, puma = (seeds.select_states(z, states, "STATEFP") for z in (bg, tract, puma))
+    bg, tract, puma = (
+        seeds.select_states(strip_vintage(z), states, "STATEFP") for z in (bg, tract, puma))
     xwalk = spatial.build_crosswalk(bg, puma)
     areas = compose_geoids(puma.select(
         F.col("STATEFP").alias("STATE"), F.substring("GEOID", 3, 5).alias("PUMA"),
@@ -87,8 +89,3 @@ def prepare(
         out["geo_cross_walk"] = prepare_crosswalk(
             bg, tract, puma, data, None if states is None else list(states))
     return out
-
-
-def wanted_states(df: DataFrame, col: str = "state") -> DataFrame:
-    """State codes of a table as two-digit text."""
-    return df.select(zfill(col, 2).alias("state")).distinct()

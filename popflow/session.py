@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,8 +13,14 @@ _local_scratch: tempfile.TemporaryDirectory | None = None
 _written: list[str] = []
 
 
-def get_spark(app: str = "popflow", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the package is designed for; an existing one is reused."""
+def get_spark(
+    app: str = "popflow", master: str | None = None, partitions: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings the package is designed for; an existing one is reused.
+
+    ``partitions`` is the number that shuffles start from. Adaptive execution merges small ones
+    but makes none: set it to the bytes of the largest input over about 128 MB.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -26,6 +34,9 @@ def get_spark(app: str = "popflow", master: str | None = None, **conf: str) -> S
     )
     if master:
         builder = builder.master(master)
+    if partitions:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -48,6 +59,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_scratch.name
 
 
+def new_path(spark: SparkSession) -> str:
+    """An unused path in the shared folder; ``release`` deletes what is written there."""
+    path = f"{shared_folder(spark)}/popflow-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -55,17 +73,29 @@ def cut(df: DataFrame) -> DataFrame:
     produced it, and values such as partition numbers are fixed once and for all.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/popflow-{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
-    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the tables ``cut`` wrote; call it once no result depends on them any more."""
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end the tables ``cut`` wrote inside, and none of those written before."""
+    start = len(_written)
+    try:
+        yield
+    finally:
+        release(spark, start)
+
+
+def release(spark: SparkSession, start: int = 0) -> int:
+    """Delete the tables ``cut`` wrote; call it once no result depends on them any more.
+
+    ``start`` keeps that many of the first ones, those of other jobs of the process.
+    """
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     count = 0
-    while _written:
+    while len(_written) > start:
         path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
         count += bool(path.getFileSystem(hadoop).delete(path, True))
     return count

@@ -8,9 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popflow.functions.columns import as_col
-from popflow.functions.geoid import pad_concat
-
 
 def json_cells(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per data row of each payload, as a map from header name to text value."""
@@ -28,12 +25,15 @@ def json_table(
     df: DataFrame, payload: str, types: Mapping[str, str], keep: Sequence[str] = ()
 ) -> DataFrame:
     """Typed table from payloads whose first row is the header. A value that does not fit its
-    type stops the job."""
+    type stops the job, and so does a declared column that a header lacks."""
     cells = json_cells(df, payload, keep)
+
+    def value(name: str) -> Column:
+        return F.when(F.map_contains_key("cells", name), F.element_at("cells", F.lit(name))
+                      ).otherwise(F.raise_error(F.lit(f"column not found: {name}")))
+
     return cells.select(*keep, *[
-        F.try_element_at("cells", F.lit(name)).cast(kind).alias(name)
-        for name, kind in types.items()
-    ])
+        value(name).cast(kind).alias(name) for name, kind in types.items()])
 
 
 def read_json_table(
@@ -94,13 +94,3 @@ def best_effort_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> Dat
         if kind:
             casts[c] = F.col(c).cast(kind)
     return df.withColumns(casts) if casts else df
-
-
-def puma_key(df: DataFrame) -> DataFrame:
-    """Replace PUMA by the seven-digit text of state and PUMA."""
-    return df.withColumns({
-        "ST": pad_concat({"ST": 2}), "PUMA": pad_concat({"ST": 2, "PUMA": 5})})
-
-
-def decode_json(c: str | Column) -> Column:
-    return F.from_json(as_col(c), "array<array<string>>")

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popflow.functions.text import summary_geography
 from popflow.specs import INPUT_RENAMES
 
 # File names of a prepared state folder (fixed values)
@@ -27,7 +26,7 @@ def read_csv(spark: SparkSession, path: str | list[str], types: Mapping[str, str
              ) -> DataFrame:
     """CSV by header name. Columns are doubles or bigints by ``types``, text if named so, and
     bigint by default; no inference pass over the data."""
-    raw = spark.read.csv(path, header=True)
+    raw = by_header(spark, path)
     kinds = types or {}
     return raw.select(*[
         F.col(c).cast(kinds.get(c, "string" if c in TEXT_COLUMNS else "bigint")).alias(c)
@@ -35,6 +34,17 @@ def read_csv(spark: SparkSession, path: str | list[str], types: Mapping[str, str
     ])
 
 
+def by_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """CSV files as text columns, bound by the names in their headers.
+
+    Paths of a list may differ in the order and the set of their columns; what one lacks is null.
+    Files of one path must agree: a file whose header differs stops the job.
+    """
+    parts = [spark.read.csv(p, header=True, enforceSchema=False)
+             for p in ([path] if isinstance(path, str) else path)]
+    return union_tables(parts)
+
+
 def read_inputs(
     spark: SparkSession, folder: str, types: Mapping[str, str] | None = None
 ) -> dict[str, DataFrame]:
@@ -79,11 +89,6 @@ def read_summaries(
     }
 
 
-def with_geography(df: DataFrame) -> DataFrame:
-    """Attach the geography key found in the name of the file a row comes from."""
-    return df.withColumn("geography", summary_geography(F.input_file_name()))
-
-
 def present_states(spark: SparkSession, root: str, file: str) -> DataFrame:
     """State folders that hold ``file``; lists files without reading them."""
     listing = (
@@ -106,9 +111,12 @@ def combine_states(
     """Rows of one file over all wanted state folders, and the states that lack it."""
     wanted = spark.createDataFrame([(s,) for s in states], "state string")
     missing = missing_states(present_states(spark, root, file), wanted)
-    everything = read_csv(spark, f"{root}/*/{file}", types)
-    state = F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1)
-    return everything.filter(state.isin(list(states))), missing
+    # At most one path per state; no other state is read.
+    lacking = {r["state"] for r in missing.collect()}
+    paths = [f"{root}/{s}/{file}" for s in states if s not in lacking]
+    if not paths:
+        raise ValueError(f"no state of {list(states)} has {file}")
+    return read_csv(spark, paths, types), missing
 
 
 def union_tables(tables: Sequence[DataFrame]) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from popflow.sources.files import by_header
 from popflow.specs import SENTINEL
 
 
@@ -26,7 +27,7 @@ def read_microdata(
     spark: SparkSession, path: str | list[str], fields: Mapping[str, str]
 ) -> DataFrame:
     """Read CSV files by column name, only the declared columns, nulls as sentinel."""
-    raw = spark.read.csv(path, header=True)
+    raw = by_header(spark, path)
     lacking = [c for c in fields if c not in raw.columns]
     if lacking:
         raise ValueError(f"columns not found: {lacking}")
@@ -65,8 +66,9 @@ def append_states(
 ) -> DataFrame:
     """Add the states the cache lacks; rebuild it when the cache misses columns.
 
-    Only partitions of new states are written, so a repeated run adds nothing. ``cached=False``
-    starts the cache.
+    Only partitions of new states are written, so a repeated run adds nothing. A rebuild replaces
+    every state, so the incoming rows must hold all states of the cache; if they do not, the
+    lacking ones are named and the cache stays as it is. ``cached=False`` starts the cache.
     """
     if cached:
         present = spark.read.parquet(path)
@@ -74,5 +76,8 @@ def append_states(
             fresh = new_rows(incoming, present, key)
             fresh.write.mode("append").partitionBy(key).parquet(path)
             return spark.read.parquet(path)
+        lost = sorted(str(r[0]) for r in missing_keys(incoming, present, key).collect())
+        if lost:  # one row per state
+            raise ValueError(f"a rebuild would lose {key} {lost}")
     incoming.write.mode("overwrite").partitionBy(key).parquet(path)
     return spark.read.parquet(path)

@@ -57,68 +57,64 @@ SYNTHETIC_PERSON_COLS = [
 # --------------------------------------------------------------------------
 # States (fixed values): FIPS code, abbreviation, name
 # --------------------------------------------------------------------------
-_STATES = """
-01 AL Alabama
-02 AK Alaska
-04 AZ Arizona
-05 AR Arkansas
-06 CA California
-08 CO Colorado
-09 CT Connecticut
-10 DE Delaware
-11 DC District of Columbia
-12 FL Florida
-13 GA Georgia
-15 HI Hawaii
-16 ID Idaho
-17 IL Illinois
-18 IN Indiana
-19 IA Iowa
-20 KS Kansas
-21 KY Kentucky
-22 LA Louisiana
-23 ME Maine
-24 MD Maryland
-25 MA Massachusetts
-26 MI Michigan
-27 MN Minnesota
-28 MS Mississippi
-29 MO Missouri
-30 MT Montana
-31 NE Nebraska
-32 NV Nevada
-33 NH New Hampshire
-34 NJ New Jersey
-35 NM New Mexico
-36 NY New York
-37 NC North Carolina
-38 ND North Dakota
-39 OH Ohio
-40 OK Oklahoma
-41 OR Oregon
-42 PA Pennsylvania
-44 RI Rhode Island
-45 SC South Carolina
-46 SD South Dakota
-47 TN Tennessee
-48 TX Texas
-49 UT Utah
-50 VT Vermont
-51 VA Virginia
-53 WA Washington
-54 WV West Virginia
-55 WI Wisconsin
-56 WY Wyoming
-"""
-STATES = [tuple(line.split(" ", 2)) for line in _STATES.strip().splitlines()]
+STATES = [
+    ("01", "AL", "Alabama"),
+    ("02", "AK", "Alaska"),
+    ("04", "AZ", "Arizona"),
+    ("05", "AR", "Arkansas"),
+    ("06", "CA", "California"),
+    ("08", "CO", "Colorado"),
+    ("09", "CT", "Connecticut"),
+    ("10", "DE", "Delaware"),
+    ("11", "DC", "District of Columbia"),
+    ("12", "FL", "Florida"),
+    ("13", "GA", "Georgia"),
+    ("15", "HI", "Hawaii"),
+    ("16", "ID", "Idaho"),
+    ("17", "IL", "Illinois"),
+    ("18", "IN", "Indiana"),
+    ("19", "IA", "Iowa"),
+    ("20", "KS", "Kansas"),
+    ("21", "KY", "Kentucky"),
+    ("22", "LA", "Louisiana"),
+    ("23", "ME", "Maine"),
+    ("24", "MD", "Maryland"),
+    ("25", "MA", "Massachusetts"),
+    ("26", "MI", "Michigan"),
+    ("27", "MN", "Minnesota"),
+    ("28", "MS", "Mississippi"),
+    ("29", "MO", "Missouri"),
+    ("30", "MT", "Montana"),
+    ("31", "NE", "Nebraska"),
+    ("32", "NV", "Nevada"),
+    ("33", "NH", "New Hampshire"),
+    ("34", "NJ", "New Jersey"),
+    ("35", "NM", "New Mexico"),
+    ("36", "NY", "New York"),
+    ("37", "NC", "North Carolina"),
+    ("38", "ND", "North Dakota"),
+    ("39", "OH", "Ohio"),
+    ("40", "OK", "Oklahoma"),
+    ("41", "OR", "Oregon"),
+    ("42", "PA", "Pennsylvania"),
+    ("44", "RI", "Rhode Island"),
+    ("45", "SC", "South Carolina"),
+    ("46", "SD", "South Dakota"),
+    ("47", "TN", "Tennessee"),
+    ("48", "TX", "Texas"),
+    ("49", "UT", "Utah"),
+    ("50", "VT", "Vermont"),
+    ("51", "VA", "Virginia"),
+    ("53", "WA", "Washington"),
+    ("54", "WV", "West Virginia"),
+    ("55", "WI", "Wisconsin"),
+    ("56", "WY", "Wyoming"),
+]
 STATE_ABBR = {fips: abbr for fips, abbr, _ in STATES}
 
 # --------------------------------------------------------------------------
 # Controls (fixed values). Each group partitions its seed table.
 # --------------------------------------------------------------------------
-_WORKING = "ESR IN (1, 2, 4, 5)"
-
-
 @dataclass(frozen=True)
 class Control:
     """One target: a predicate on a seed table and the published column it must meet."""
@@ -145,100 +141,97 @@ class Control:
         return f"coalesce(({self.condition}) AND {weight}, false)"
 
 
-_GROUPS = [
-    # group, geography, seed table, {target: condition}
-    ("h_total", "BG", "households", {"h_total": "true"}),
-    ("p_total", "BG", "persons", {"p_total": "true"}),
-    ("p_sex", "BG", "persons", {"p_male": "SEX = 1", "p_female": "SEX = 2"}),
-    ("p_age", "BG", "persons", {
-        "p_age_0_4": "AGEP <= 4",
-        "p_age_5_17": "AGEP > 4 AND AGEP <= 17",
-        "p_age_18_34": "AGEP > 17 AND AGEP <= 34",
-        "p_age_35_49": "AGEP > 34 AND AGEP <= 49",
-        "p_age_50_64": "AGEP > 49 AND AGEP <= 64",
-        "p_age_65plus": "AGEP > 64",
-    }),
-    ("p_race", "BG", "persons", {
-        "p_race_white": "RAC1P = 1",
-        "p_race_black": "RAC1P = 2",
-        "p_race_aapi": "RAC1P IN (6, 7)",
-        "p_race_other": "NOT coalesce(RAC1P IN (1, 2, 6, 7), false)",
-    }),
-    ("p_hispanic", "BG", "persons", {
-        "p_hispanic": "NOT coalesce(HISP = 1, false)",
-        "p_non_hispanic": "HISP = 1",
-    }),
-    ("h_size", "BG", "households", {
-        "h_size_1": "NP = 1",
-        "h_size_2": "NP = 2",
-        "h_size_3": "NP = 3",
-        "h_size_4": "NP = 4",
-        "h_size_5_plus": "NP >= 5",
-    }),
-    ("h_veh", "BG", "households", {
-        "h_no_veh": "VEH = 0",
-        "h_veh_1": "VEH = 1",
-        "h_veh_2": "VEH = 2",
-        "h_veh_3": "VEH = 3",
-        "h_veh_4more": "VEH IN (4, 5, 6)",
-    }),
-    ("p_mode", "TRACT", "persons", {
-        "p_mode_auto_other": "JWTRNS IN (1, 7, 8, 12)",
-        "p_mode_transit": "JWTRNS IN (2, 3, 4, 5, 6)",
-        "p_mode_walk_bike": "JWTRNS IN (9, 10)",
-        "p_mode_wfh": "JWTRNS = 11",
-        "p_mode_na": "JWTRNS IS NULL OR JWTRNS = 995",
-    }),
-    ("h_children", "BG", "households", {
-        "h_children": "NOT coalesce(HUPAC = 4, false)",
-        "h_no_children": "HUPAC = 4",
-    }),
-    ("p_university", "BG", "persons", {
-        "p_university": "SCHG IN (15, 16)",
-        "p_non_university": "NOT coalesce(SCHG IN (15, 16), false)",
-    }),
-    ("h_income", "BG", "households", {
-        "h_income_0_25": "HINCP <= 25000",
-        "h_income_25_50": "HINCP > 25000 AND HINCP <= 50000",
-        "h_income_50_75": "HINCP > 50000 AND HINCP <= 75000",
-        "h_income_75_100": "HINCP > 75000 AND HINCP <= 100000",
-        "h_income_100_150": "HINCP > 100000 AND HINCP <= 150000",
-        "h_income_150plus": "HINCP > 150000",
-    }),
-    ("p_emp", "BG", "persons", {
-        "p_full_time": f"WKHP >= 35 AND {_WORKING}",
-        "p_part_time": f"WKHP < 35 AND {_WORKING}",
-        "p_non_worker": f"NOT coalesce({_WORKING}, false)",
-    }),
-    ("h_payment", "BG", "households", {
-        "h_mortgage_0_799": "SMOCP <= 799 AND TEN = 1",
-        "h_mortgage_800_1499": "SMOCP > 799 AND SMOCP <= 1499 AND TEN = 1",
-        "h_mortgage_1500_2499": "SMOCP > 1499 AND SMOCP <= 2499 AND TEN = 1",
-        "h_mortgage_2500plus": "SMOCP > 2499 AND TEN = 1",
-        "h_no_mortgage_0_799": "SMOCP <= 799 AND TEN = 2",
-        "h_no_mortgage_800_1499": "SMOCP > 799 AND SMOCP <= 1499 AND TEN IN (2, 4)",
-        "h_no_mortgage_1500plus": "SMOCP > 1499 AND TEN = 2",
-        "h_rent_0_799": "GRNTP <= 799 AND TEN IN (3, 4)",
-        "h_rent_800_1249": "GRNTP > 799 AND GRNTP <= 1249 AND TEN = 3",
-        "h_rent_1250_1999": "GRNTP > 1249 AND GRNTP <= 1999 AND TEN = 3",
-        "h_rent_2000plus": "GRNTP > 1999 AND TEN = 3",
-    }),
-    ("h_ownership", "BG", "households", {
-        "h_owner": "TEN IN (1, 2)",
-        "h_renter": "TEN IN (3, 4)",
-    }),
-]
-
-
-def _field(target: str) -> str:
-    return "H_SIZE_5PLUS" if target == "h_size_5_plus" else target.upper()
-
-
+# target, geography, seed table, importance, control field, control group, condition
 CONTROLS = [
-    Control(target, geography, table, 100000 if target == group and "total" in group else 1000,
-            _field(target), group, condition)
-    for group, geography, table, targets in _GROUPS
-    for target, condition in targets.items()
+    Control("h_total", "BG", "households", 100000, "H_TOTAL", "h_total", "true"),
+    Control("p_total", "BG", "persons", 100000, "P_TOTAL", "p_total", "true"),
+    Control("p_male", "BG", "persons", 1000, "P_MALE", "p_sex", "SEX = 1"),
+    Control("p_female", "BG", "persons", 1000, "P_FEMALE", "p_sex", "SEX = 2"),
+    Control("p_age_0_4", "BG", "persons", 1000, "P_AGE_0_4", "p_age", "AGEP <= 4"),
+    Control("p_age_5_17", "BG", "persons", 1000, "P_AGE_5_17", "p_age", "AGEP > 4 AND AGEP <= 17"),
+    Control("p_age_18_34", "BG", "persons", 1000, "P_AGE_18_34", "p_age",
+            "AGEP > 17 AND AGEP <= 34"),
+    Control("p_age_35_49", "BG", "persons", 1000, "P_AGE_35_49", "p_age",
+            "AGEP > 34 AND AGEP <= 49"),
+    Control("p_age_50_64", "BG", "persons", 1000, "P_AGE_50_64", "p_age",
+            "AGEP > 49 AND AGEP <= 64"),
+    Control("p_age_65plus", "BG", "persons", 1000, "P_AGE_65PLUS", "p_age", "AGEP > 64"),
+    Control("p_race_white", "BG", "persons", 1000, "P_RACE_WHITE", "p_race", "RAC1P = 1"),
+    Control("p_race_black", "BG", "persons", 1000, "P_RACE_BLACK", "p_race", "RAC1P = 2"),
+    Control("p_race_aapi", "BG", "persons", 1000, "P_RACE_AAPI", "p_race", "RAC1P IN (6, 7)"),
+    Control("p_race_other", "BG", "persons", 1000, "P_RACE_OTHER", "p_race",
+            "NOT coalesce(RAC1P IN (1, 2, 6, 7), false)"),
+    Control("p_hispanic", "BG", "persons", 1000, "P_HISPANIC", "p_hispanic",
+            "NOT coalesce(HISP = 1, false)"),
+    Control("p_non_hispanic", "BG", "persons", 1000, "P_NON_HISPANIC", "p_hispanic", "HISP = 1"),
+    Control("h_size_1", "BG", "households", 1000, "H_SIZE_1", "h_size", "NP = 1"),
+    Control("h_size_2", "BG", "households", 1000, "H_SIZE_2", "h_size", "NP = 2"),
+    Control("h_size_3", "BG", "households", 1000, "H_SIZE_3", "h_size", "NP = 3"),
+    Control("h_size_4", "BG", "households", 1000, "H_SIZE_4", "h_size", "NP = 4"),
+    Control("h_size_5_plus", "BG", "households", 1000, "H_SIZE_5PLUS", "h_size", "NP >= 5"),
+    Control("h_no_veh", "BG", "households", 1000, "H_NO_VEH", "h_veh", "VEH = 0"),
+    Control("h_veh_1", "BG", "households", 1000, "H_VEH_1", "h_veh", "VEH = 1"),
+    Control("h_veh_2", "BG", "households", 1000, "H_VEH_2", "h_veh", "VEH = 2"),
+    Control("h_veh_3", "BG", "households", 1000, "H_VEH_3", "h_veh", "VEH = 3"),
+    Control("h_veh_4more", "BG", "households", 1000, "H_VEH_4MORE", "h_veh", "VEH IN (4, 5, 6)"),
+    Control("p_mode_auto_other", "TRACT", "persons", 1000, "P_MODE_AUTO_OTHER", "p_mode",
+            "JWTRNS IN (1, 7, 8, 12)"),
+    Control("p_mode_transit", "TRACT", "persons", 1000, "P_MODE_TRANSIT", "p_mode",
+            "JWTRNS IN (2, 3, 4, 5, 6)"),
+    Control("p_mode_walk_bike", "TRACT", "persons", 1000, "P_MODE_WALK_BIKE", "p_mode",
+            "JWTRNS IN (9, 10)"),
+    Control("p_mode_wfh", "TRACT", "persons", 1000, "P_MODE_WFH", "p_mode", "JWTRNS = 11"),
+    Control("p_mode_na", "TRACT", "persons", 1000, "P_MODE_NA", "p_mode",
+            "JWTRNS IS NULL OR JWTRNS = 995"),
+    Control("h_children", "BG", "households", 1000, "H_CHILDREN", "h_children",
+            "NOT coalesce(HUPAC = 4, false)"),
+    Control("h_no_children", "BG", "households", 1000, "H_NO_CHILDREN", "h_children", "HUPAC = 4"),
+    Control("p_university", "BG", "persons", 1000, "P_UNIVERSITY", "p_university",
+            "SCHG IN (15, 16)"),
+    Control("p_non_university", "BG", "persons", 1000, "P_NON_UNIVERSITY", "p_university",
+            "NOT coalesce(SCHG IN (15, 16), false)"),
+    Control("h_income_0_25", "BG", "households", 1000, "H_INCOME_0_25", "h_income",
+            "HINCP <= 25000"),
+    Control("h_income_25_50", "BG", "households", 1000, "H_INCOME_25_50", "h_income",
+            "HINCP > 25000 AND HINCP <= 50000"),
+    Control("h_income_50_75", "BG", "households", 1000, "H_INCOME_50_75", "h_income",
+            "HINCP > 50000 AND HINCP <= 75000"),
+    Control("h_income_75_100", "BG", "households", 1000, "H_INCOME_75_100", "h_income",
+            "HINCP > 75000 AND HINCP <= 100000"),
+    Control("h_income_100_150", "BG", "households", 1000, "H_INCOME_100_150", "h_income",
+            "HINCP > 100000 AND HINCP <= 150000"),
+    Control("h_income_150plus", "BG", "households", 1000, "H_INCOME_150PLUS", "h_income",
+            "HINCP > 150000"),
+    Control("p_full_time", "BG", "persons", 1000, "P_FULL_TIME", "p_emp",
+            "WKHP >= 35 AND ESR IN (1, 2, 4, 5)"),
+    Control("p_part_time", "BG", "persons", 1000, "P_PART_TIME", "p_emp",
+            "WKHP < 35 AND ESR IN (1, 2, 4, 5)"),
+    Control("p_non_worker", "BG", "persons", 1000, "P_NON_WORKER", "p_emp",
+            "NOT coalesce(ESR IN (1, 2, 4, 5), false)"),
+    Control("h_mortgage_0_799", "BG", "households", 1000, "H_MORTGAGE_0_799", "h_payment",
+            "SMOCP <= 799 AND TEN = 1"),
+    Control("h_mortgage_800_1499", "BG", "households", 1000, "H_MORTGAGE_800_1499", "h_payment",
+            "SMOCP > 799 AND SMOCP <= 1499 AND TEN = 1"),
+    Control("h_mortgage_1500_2499", "BG", "households", 1000, "H_MORTGAGE_1500_2499", "h_payment",
+            "SMOCP > 1499 AND SMOCP <= 2499 AND TEN = 1"),
+    Control("h_mortgage_2500plus", "BG", "households", 1000, "H_MORTGAGE_2500PLUS", "h_payment",
+            "SMOCP > 2499 AND TEN = 1"),
+    Control("h_no_mortgage_0_799", "BG", "households", 1000, "H_NO_MORTGAGE_0_799", "h_payment",
+            "SMOCP <= 799 AND TEN = 2"),
+    Control("h_no_mortgage_800_1499", "BG", "households", 1000, "H_NO_MORTGAGE_800_1499", "h_payment",
+            "SMOCP > 799 AND SMOCP <= 1499 AND TEN IN (2, 4)"),
+    Control("h_no_mortgage_1500plus", "BG", "households", 1000, "H_NO_MORTGAGE_1500PLUS", "h_payment",
+            "SMOCP > 1499 AND TEN = 2"),
+    Control("h_rent_0_799", "BG", "households", 1000, "H_RENT_0_799", "h_payment",
+            "GRNTP <= 799 AND TEN IN (3, 4)"),
+    Control("h_rent_800_1249", "BG", "households", 1000, "H_RENT_800_1249", "h_payment",
+            "GRNTP > 799 AND GRNTP <= 1249 AND TEN = 3"),
+    Control("h_rent_1250_1999", "BG", "households", 1000, "H_RENT_1250_1999", "h_payment",
+            "GRNTP > 1249 AND GRNTP <= 1999 AND TEN = 3"),
+    Control("h_rent_2000plus", "BG", "households", 1000, "H_RENT_2000PLUS", "h_payment",
+            "GRNTP > 1999 AND TEN = 3"),
+    Control("h_owner", "BG", "households", 1000, "H_OWNER", "h_ownership", "TEN IN (1, 2)"),
+    Control("h_renter", "BG", "households", 1000, "H_RENTER", "h_ownership", "TEN IN (3, 4)"),
 ]
 HOUSEHOLD_CONTROLS = [c for c in CONTROLS if c.seed_table == "households"]
 PERSON_CONTROLS = [c for c in CONTROLS if c.seed_table == "persons"]
@@ -265,71 +258,94 @@ REMAINDERS = {
 
 
 # --------------------------------------------------------------------------
-# One-year variables behind each control (fixed values): table and line numbers
+# One-year variables behind each control (fixed values)
 # --------------------------------------------------------------------------
-def _lines(table: str, *spans: int | tuple[int, int]) -> list[str]:
-    numbers: list[int] = []
-    for span in spans:
-        first, last = span if isinstance(span, tuple) else (span, span)
-        numbers.extend(range(first, last + 1))
-    return [f"{table}_{n:03d}E" for n in numbers]
-
-
 ESTIMATED_VARIABLES = {
-    "H_TOTAL": _lines("B11005", 1),
-    "H_CHILDREN": _lines("B11005", 2),
-    "H_NO_CHILDREN": _lines("B11005", 11),
-    "H_INCOME_0_25": _lines("B19001", (2, 5)),
-    "H_INCOME_25_50": _lines("B19001", (6, 10)),
-    "H_INCOME_50_75": _lines("B19001", (11, 12)),
-    "H_INCOME_75_100": _lines("B19001", 13),
-    "H_INCOME_100_150": _lines("B19001", (14, 15)),
-    "H_INCOME_150PLUS": _lines("B19001", (16, 17)),
-    "H_SIZE_1": _lines("B25009", 3, 11),
-    "H_SIZE_2": _lines("B25009", 4, 12),
-    "H_SIZE_3": _lines("B25009", 5, 13),
-    "H_SIZE_4": _lines("B25009", 6, 14),
-    "H_SIZE_5PLUS": _lines("B25009", (7, 9), (15, 17)),
-    "H_NO_VEH": _lines("B25044", 3, 10),
-    "H_VEH_1": _lines("B25044", 4, 11),
-    "H_VEH_2": _lines("B25044", 5, 12),
-    "H_VEH_3": _lines("B25044", 6, 13),
-    "H_VEH_4MORE": _lines("B25044", (7, 8), (14, 15)),
-    "H_OWNER": _lines("B25087", 1),
-    "H_RENTER": _lines("B25063", 1),
-    "H_MORTGAGE_0_799": _lines("B25087", (3, 9)),
-    "H_MORTGAGE_800_1499": _lines("B25087", (10, 12), 32),
-    "H_MORTGAGE_1500_2499": _lines("B25087", (14, 15)),
-    "H_MORTGAGE_2500PLUS": _lines("B25087", (16, 19)),
-    "H_NO_MORTGAGE_0_799": _lines("B25087", (21, 31)),
-    "H_NO_MORTGAGE_800_1499": _lines("B25087", (32, 38)),
-    "H_NO_MORTGAGE_1500PLUS": _lines("B25087", 39),
-    "H_RENT_0_799": _lines("B25063", (3, 17), 27),
-    "H_RENT_800_1249": _lines("B25063", (18, 20)),
-    "H_RENT_1250_1999": _lines("B25063", (21, 22)),
-    "H_RENT_2000PLUS": _lines("B25063", (23, 26)),
-    "P_TOTAL": _lines("B01001", 1),
-    "P_MALE": _lines("B01001", 2),
-    "P_FEMALE": _lines("B01001", 26),
-    "P_AGE_0_4": _lines("B01001", 3, 27),
-    "P_AGE_5_17": _lines("B01001", (4, 6), (28, 30)),
-    "P_AGE_18_34": _lines("B01001", (7, 12), (31, 36)),
-    "P_AGE_35_49": _lines("B01001", (13, 15), (37, 39)),
-    "P_AGE_50_64": _lines("B01001", (16, 19), (40, 43)),
-    "P_AGE_65PLUS": _lines("B01001", (20, 25), (44, 49)),
-    "P_RACE_WHITE": _lines("B02001", 2),
-    "P_RACE_BLACK": _lines("B02001", 3),
-    "P_RACE_OTHER": _lines("B02001", 4, (7, 8)),
-    "P_RACE_AAPI": _lines("B02001", (5, 6)),
-    "P_NON_HISPANIC": _lines("B03003", 2),
-    "P_HISPANIC": _lines("B03003", 3),
-    "P_FULL_TIME": _lines("B23022", 4, 28) + _lines("B23026", 4, 28),
-    "P_PART_TIME": _lines("B23022", 11, 18, 35, 42) + _lines("B23026", 11, 18, 35, 42),
-    "P_UNIVERSITY": _lines("B14002", 19, 22, 43, 46),
-    "P_MODE_AUTO_OTHER": _lines("B08301", 2, (16, 17), 20),
-    "P_MODE_TRANSIT": _lines("B08301", 10),
-    "P_MODE_WALK_BIKE": _lines("B08301", (18, 19)),
-    "P_MODE_WFH": _lines("B08301", 21),
+    "H_TOTAL": ["B11005_001E"],
+    "H_CHILDREN": ["B11005_002E"],
+    "H_NO_CHILDREN": ["B11005_011E"],
+    "H_INCOME_0_25": ["B19001_002E", "B19001_003E", "B19001_004E", "B19001_005E"],
+    "H_INCOME_25_50": ["B19001_006E", "B19001_007E", "B19001_008E", "B19001_009E", "B19001_010E"],
+    "H_INCOME_50_75": ["B19001_011E", "B19001_012E"],
+    "H_INCOME_75_100": ["B19001_013E"],
+    "H_INCOME_100_150": ["B19001_014E", "B19001_015E"],
+    "H_INCOME_150PLUS": ["B19001_016E", "B19001_017E"],
+    "H_SIZE_1": ["B25009_003E", "B25009_011E"],
+    "H_SIZE_2": ["B25009_004E", "B25009_012E"],
+    "H_SIZE_3": ["B25009_005E", "B25009_013E"],
+    "H_SIZE_4": ["B25009_006E", "B25009_014E"],
+    "H_SIZE_5PLUS": [
+        "B25009_007E", "B25009_008E", "B25009_009E", "B25009_015E", "B25009_016E", "B25009_017E",
+    ],
+    "H_NO_VEH": ["B25044_003E", "B25044_010E"],
+    "H_VEH_1": ["B25044_004E", "B25044_011E"],
+    "H_VEH_2": ["B25044_005E", "B25044_012E"],
+    "H_VEH_3": ["B25044_006E", "B25044_013E"],
+    "H_VEH_4MORE": ["B25044_007E", "B25044_008E", "B25044_014E", "B25044_015E"],
+    "H_OWNER": ["B25087_001E"],
+    "H_RENTER": ["B25063_001E"],
+    "H_MORTGAGE_0_799": [
+        "B25087_003E", "B25087_004E", "B25087_005E", "B25087_006E", "B25087_007E", "B25087_008E",
+        "B25087_009E",
+    ],
+    "H_MORTGAGE_800_1499": ["B25087_010E", "B25087_011E", "B25087_012E", "B25087_032E"],
+    "H_MORTGAGE_1500_2499": ["B25087_014E", "B25087_015E"],
+    "H_MORTGAGE_2500PLUS": ["B25087_016E", "B25087_017E", "B25087_018E", "B25087_019E"],
+    "H_NO_MORTGAGE_0_799": [
+        "B25087_021E", "B25087_022E", "B25087_023E", "B25087_024E", "B25087_025E", "B25087_026E",
+        "B25087_027E", "B25087_028E", "B25087_029E", "B25087_030E", "B25087_031E",
+    ],
+    "H_NO_MORTGAGE_800_1499": [
+        "B25087_032E", "B25087_033E", "B25087_034E", "B25087_035E", "B25087_036E", "B25087_037E",
+        "B25087_038E",
+    ],
+    "H_NO_MORTGAGE_1500PLUS": ["B25087_039E"],
+    "H_RENT_0_799": [
+        "B25063_003E", "B25063_004E", "B25063_005E", "B25063_006E", "B25063_007E", "B25063_008E",
+        "B25063_009E", "B25063_010E", "B25063_011E", "B25063_012E", "B25063_013E", "B25063_014E",
+        "B25063_015E", "B25063_016E", "B25063_017E", "B25063_027E",
+    ],
+    "H_RENT_800_1249": ["B25063_018E", "B25063_019E", "B25063_020E"],
+    "H_RENT_1250_1999": ["B25063_021E", "B25063_022E"],
+    "H_RENT_2000PLUS": ["B25063_023E", "B25063_024E", "B25063_025E", "B25063_026E"],
+    "P_TOTAL": ["B01001_001E"],
+    "P_MALE": ["B01001_002E"],
+    "P_FEMALE": ["B01001_026E"],
+    "P_AGE_0_4": ["B01001_003E", "B01001_027E"],
+    "P_AGE_5_17": [
+        "B01001_004E", "B01001_005E", "B01001_006E", "B01001_028E", "B01001_029E", "B01001_030E",
+    ],
+    "P_AGE_18_34": [
+        "B01001_007E", "B01001_008E", "B01001_009E", "B01001_010E", "B01001_011E", "B01001_012E",
+        "B01001_031E", "B01001_032E", "B01001_033E", "B01001_034E", "B01001_035E", "B01001_036E",
+    ],
+    "P_AGE_35_49": [
+        "B01001_013E", "B01001_014E", "B01001_015E", "B01001_037E", "B01001_038E", "B01001_039E",
+    ],
+    "P_AGE_50_64": [
+        "B01001_016E", "B01001_017E", "B01001_018E", "B01001_019E", "B01001_040E", "B01001_041E",
+        "B01001_042E", "B01001_043E",
+    ],
+    "P_AGE_65PLUS": [
+        "B01001_020E", "B01001_021E", "B01001_022E", "B01001_023E", "B01001_024E", "B01001_025E",
+        "B01001_044E", "B01001_045E", "B01001_046E", "B01001_047E", "B01001_048E", "B01001_049E",
+    ],
+    "P_RACE_WHITE": ["B02001_002E"],
+    "P_RACE_BLACK": ["B02001_003E"],
+    "P_RACE_OTHER": ["B02001_004E", "B02001_007E", "B02001_008E"],
+    "P_RACE_AAPI": ["B02001_005E", "B02001_006E"],
+    "P_NON_HISPANIC": ["B03003_002E"],
+    "P_HISPANIC": ["B03003_003E"],
+    "P_FULL_TIME": ["B23022_004E", "B23022_028E", "B23026_004E", "B23026_028E"],
+    "P_PART_TIME": [
+        "B23022_011E", "B23022_018E", "B23022_035E", "B23022_042E", "B23026_011E", "B23026_018E",
+        "B23026_035E", "B23026_042E",
+    ],
+    "P_UNIVERSITY": ["B14002_019E", "B14002_022E", "B14002_043E", "B14002_046E"],
+    "P_MODE_AUTO_OTHER": ["B08301_002E", "B08301_016E", "B08301_017E", "B08301_020E"],
+    "P_MODE_TRANSIT": ["B08301_010E"],
+    "P_MODE_WALK_BIKE": ["B08301_018E", "B08301_019E"],
+    "P_MODE_WFH": ["B08301_021E"],
 }
 
 # --------------------------------------------------------------------------

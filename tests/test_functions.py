@@ -43,11 +43,6 @@ def test_padding_keeps_longer_values(spark):
     assert df.select(zfill("PUMA", 2)).first()[0] == "100"
 
 
-def test_negation_of_unknown_is_true(spark):
-    df = spark.createDataFrame([(1,), (2,), (None,)], "x int")
-    assert [r[0] for r in df.select(columns.not_true("x = 1")).collect()] == [False, True, True]
-
-
 def test_sums_and_rounding(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "a long, b long")
     assert [r[0] for r in df.selectExpr(columns.null_skipping_sum(["a", "b"])).collect()] == [1, 0]

@@ -1,4 +1,5 @@
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from popflow import session
@@ -21,6 +22,10 @@ def test_json_tables_and_rejoin(spark, tmp_path, rows):
     bad = census.read_json_table(spark, str(tmp_path / "a.json"), {"NAME": "bigint"})
     with pytest.raises(PySparkException):
         bad.collect()
+    absent = census.read_json_table(spark, str(tmp_path / "a.json"), {"NAME": "string",
+                                                                      "f9": "bigint"})
+    with pytest.raises(PySparkException, match="f9"):
+        absent.collect()
 
 
 def test_column_groups():
@@ -45,11 +50,6 @@ def test_best_effort_numbers(spark):
     assert {r.i for r in got.collect()} == {1, 2}
 
 
-def test_seven_digit_zone_key(spark):
-    df = spark.createDataFrame([("6", "101")], "ST string, PUMA string")
-    assert tuple(census.puma_key(df).first()) == ("06", "0600101")
-
-
 def test_microdata_csv(spark, tmp_path):
     (tmp_path / "h.csv").write_text(
         "RT,SERIALNO,WGTP,ST,EXTRA\nH,2019HU1,5,09,zz\nH,,,36,\n")
@@ -60,6 +60,18 @@ def test_microdata_csv(spark, tmp_path):
         microdata.read_microdata(spark, str(tmp_path), {"NOPE": "bigint"})
 
 
+def test_files_with_other_column_orders(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("WGTP,ST\n5,9\n")
+    (tmp_path / "b.csv").write_text("ST,WGTP\n36,7\n")
+    fields = {"ST": "bigint", "WGTP": "bigint"}
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
+    got = microdata.read_microdata(spark, paths, fields)
+    assert {tuple(r) for r in got.collect()} == {(9, 5), (36, 7)}
+    # One path with both: the job stops instead of binding by position.
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        microdata.read_microdata(spark, str(tmp_path), fields).collect()
+
+
 def test_cache_grows_by_state_and_rebuilds_on_new_columns(spark, tmp_path):
     path = str(tmp_path / "cache")
     first = spark.createDataFrame([(9, 1), (9, 2)], "ST int, x int")
@@ -69,8 +81,12 @@ def test_cache_grows_by_state_and_rebuilds_on_new_columns(spark, tmp_path):
         got = microdata.append_states(spark, more, path)
         assert {tuple(r) for r in got.select("ST", "x").collect()} == {(9, 1), (9, 2), (36, 3)}
     wider = spark.createDataFrame([(9, 1, 5)], "ST int, x int, y int")
-    got = microdata.append_states(spark, wider, path)
-    assert {tuple(r) for r in got.select("ST", "x", "y").collect()} == {(9, 1, 5)}
+    with pytest.raises(ValueError, match="36"):
+        microdata.append_states(spark, wider, path)
+    assert spark.read.parquet(path).count() == 3
+    both = spark.createDataFrame([(9, 1, 5), (36, 3, 6)], "ST int, x int, y int")
+    got = microdata.append_states(spark, both, path)
+    assert {tuple(r) for r in got.select("ST", "x", "y").collect()} == {(9, 1, 5), (36, 3, 6)}
 
 
 def test_coverage(spark):
@@ -82,7 +98,7 @@ def test_coverage(spark):
 
 
 def test_combined_states(spark, tmp_path):
-    for state, body in {"CT": "hh_id,WGTP\n1,5\n2,6\n", "NY": "hh_id,WGTP\n3,7\n",
+    for state, body in {"CT": "hh_id,WGTP\n1,5\n2,6\n", "NY": "WGTP,hh_id\n7,3\n",
                         "ZZ": "hh_id,WGTP\n9,9\n"}.items():
         (tmp_path / state).mkdir()
         (tmp_path / state / "seed_households.csv").write_text(body)
@@ -97,8 +113,6 @@ def test_summaries_inputs_and_outputs(spark, tmp_path):
     (tmp_path / "final_summary_BG.csv").write_text("id,t_control,t_result\n1,4,5\n")
     got = files.read_summaries(spark, str(tmp_path), ["BG"])["BG"]
     assert tuple(got.first()) == (1, 4.0, 5.0)
-    located = files.with_geography(spark.read.csv(str(tmp_path / "*summary*.csv"), header=True))
-    assert located.first()["geography"] == "BG"
     for name in files.INPUT_FILES.values():
         (tmp_path / name).write_text("hhnum,NAME\n1,n\n")
     tables = files.read_inputs(spark, str(tmp_path))

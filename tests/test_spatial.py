@@ -178,7 +178,6 @@ def test_prune_and_prepare_crosswalk(spark, rows):
     bg = bg.withColumn("TRACTCE", F.lit("000100")).withColumn(
         "GEOID", F.concat("STATEFP", "COUNTYFP", "TRACTCE", "BLKGRPCE"))
     tract = zones(spark, [("09001000100", "09", [square(0.01, 0.01, 0.05)])])
-    ids = "cast(BG as string) as BG"
     data = {
         "BG": spark.createDataFrame(
             [(90010001001, 5), (90010001002, 7), (90010001003, 1)], "BG long, n long"),
@@ -187,11 +186,13 @@ def test_prune_and_prepare_crosswalk(spark, rows):
     made = prepare_crosswalk(bg, tract, pumas, data)
     assert rows(made, "BG", "PUMA") == [
         (90010001001, 900100), (90010001002, 900100), (90010001003, 900100)]
-    empty = spark.createDataFrame([("90010001001", 0), ("90010001002", 7)], "BG string, n long")
-    named = made.selectExpr(ids, "PUMA")
-    assert rows(spatial.prune_crosswalk(named, empty, "BG"), "BG") == [("90010001002",)]
-    extra = spark.createDataFrame([("1", 4), ("2", 0)], "BG string, n long")
-    assert rows(spatial.data_without_crosswalk(named, extra, "BG")) == [("1",)]
+    empty = spark.createDataFrame([(90010001001, 1, 0), (90010001002, 1, 7)],
+                                  "BG long, REGION int, n long")
+    assert rows(spatial.prune_crosswalk(made, empty, "BG"), "BG") == [(90010001002,)]
+    fewer = prepare_crosswalk(bg, tract, pumas, {**data, "BG": empty})
+    assert rows(fewer, "BG") == [(90010001002,)]
+    extra = spark.createDataFrame([(1, 4), (2, 0)], "BG long, n long")
+    assert rows(spatial.data_without_crosswalk(made, extra, "BG")) == [(1,)]
 
 
 def test_same_reference_system(spark):

@@ -29,8 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONGEST = 48  # letters, digits or signs of a word; a longer run is several words
-BATCH_TEXTS, BATCH_WORDS = 250, 1 << 17
+BATCH_TEXTS, BATCH_WORDS = 500, 1 << 17
 UNKNOWN = -20.0  # score of a character written as bytes
+_ROW_BITS, _STARTS = 21, 64  # of an edge: place in the piece table, position where it starts
+_EDGE_BITS = _ROW_BITS + 6
+_SCORE_MASK = -(1 << _EDGE_BITS)
+_UNIT = 1 << 16  # scores are multiples of 1 / _UNIT
 WORDS = (rf" ?\p{{L}}{{1,{LONGEST}}}| ?\p{{N}}{{1,{LONGEST}}}"
          rf"| ?[^\s\p{{L}}\p{{N}}]{{1,{LONGEST}}}|\s")
 
@@ -72,11 +76,10 @@ def words_of(text: Column) -> Column:
         F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(WORDS), F.lit(0)))
 
 
-def lattice(words: pa.Array, pieces: pa.Array) -> pa.ListArray:
-    """Edges of each word by end position, an edge being ``start << 32 | row``.
+def lattice(words: pa.Array, pieces: pa.Array, scores: np.ndarray) -> pa.ListArray:
+    """Edges of each word by end position: score, start and row of the piece in one number.
 
-    ``row`` is the place in the piece table; a character without a piece has the table's length
-    plus its code point.
+    A character without a piece has as its row the length of the table plus its code point.
     """
     sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     order = np.argsort(-sizes, kind="stable")  # words long enough for a span come first
@@ -107,27 +110,29 @@ def lattice(words: pa.Array, pieces: pa.Array) -> pa.ListArray:
     firsts = np.cumsum(sizes) - sizes
     place = firsts[word[keep]] + end[keep] - 1
     keep, place = keep[np.argsort(place, kind="stable")], np.sort(place, kind="stable")
+    row = code[keep]
+    score = np.where(row < len(pieces), scores[np.minimum(row, len(pieces) - 1)], UNKNOWN)
+    edges = (np.rint(score * _UNIT).astype(np.int64) << _EDGE_BITS) + (
+        start[keep] << _ROW_BITS) + row
     ends = pa.ListArray.from_arrays(
         pa.array(np.searchsorted(place, np.arange(sizes.sum() + 1)).astype(np.int32)),
-        pa.array(start[keep] << 32 | code[keep]))
+        pa.array(edges))
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), ends)
 
 
-def viterbi(ends: Column, scores: Column) -> Column:
-    """Rows of the best way through a word's edges; ties go to the larger rows."""
-    nothing = F.array(F.struct(
-        F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("rows")))
+def viterbi(ends: Column) -> Column:
+    """Best way to each position of a word: the score above, its last edge below.
 
+    An edge carries its score, start and row in one number, so a step adds the best score at the
+    start to it and the greatest sum wins; ties go to the later start, then the larger row.
+    """
     def step(best: Column, ways: Column) -> Column:
         def reach(edge: Column) -> Column:
-            row = edge.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-            before = F.get(best, F.shiftright(edge, 32).cast("int"))
-            return F.struct(
-                (before["score"] + F.coalesce(F.get(scores, row), F.lit(UNKNOWN))).alias("score"),
-                F.concat(before["rows"], F.array(row)).alias("rows"))
+            start = F.shiftright(edge, _ROW_BITS).bitwiseAND(F.lit(_STARTS - 1)).cast("int")
+            return F.get(best, start).bitwiseAND(F.lit(_SCORE_MASK)) + edge
         return F.concat(best, F.array(F.array_max(F.transform(ways, reach))))
 
-    return F.aggregate(ends, nothing, step, lambda best: F.element_at(best, -1)["rows"])
+    return F.aggregate(ends, F.array(F.lit(0).cast("bigint")), step)
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -153,8 +158,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
     """
     rest = [c for c in docs.columns if c != "pieces"]
     kinds = {f.name: f.dataType.simpleString() for f in docs.select(*rest).schema}
+    # The text itself travels as its words; whether it is null goes in its place.
     named = {c: f"c{i}" for i, c in enumerate(rest)}
+    sent = {c: "boolean" if c == text else k for c, k in kinds.items()}
     table = pa.array([p for p, _, _ in vocabulary.pieces], pa.string())
+    scores = np.array([s for _, _, s in vocabulary.pieces])
+    if len(table) + 0x110000 > 1 << _ROW_BITS or LONGEST >= _STARTS:
+        raise ValueError("the vocabulary or the words are too large for the edges")
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row per batch of documents: their columns, words by number, words' lattices."""
@@ -170,18 +180,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [one(part.column(n)) for n in named.values()]
                     + [one(pa.array(counts.astype(np.int32))), one(coded.indices),
-                       one(lattice(coded.dictionary, table))],
-                    names=[*named.values(), "counts", "codes", "lattices"])
+                       one(coded.dictionary), one(lattice(coded.dictionary, table, scores))],
+                    names=[*named.values(), "counts", "codes", "dictionary", "lattices"])
 
-    rows = docs.select(*rest).withColumnsRenamed(named).withColumn(
-        "words", words_of(F.col(named[text])))
+    rows = docs.select(*[
+        (F.col(c).isNull() if c == text else F.col(c)).alias(n) for c, n in named.items()],
+        words_of(F.col(text)).alias("words"))
     batched = rows.mapInArrow(edges, ", ".join(
-        f"{n} array<{kinds[c]}>" for c, n in named.items())
-        + ", counts array<int>, codes array<int>, lattices array<array<array<bigint>>>")
-    # As many scores as the vocabulary has pieces.
-    scores = F.lit(np.array([score for _, _, score in vocabulary.pieces]))
-    best = batched.select(*named.values(), "counts", "codes", F.transform(
-        "lattices", lambda ends: viterbi(ends, scores)).alias("ways"))
+        f"{n} array<{sent[c]}>" for c, n in named.items())
+        + ", counts array<int>, codes array<int>, dictionary array<string>"
+        ", lattices array<array<array<bigint>>>")
+    best = batched.select(*named.values(), "counts", "codes", "dictionary", F.transform(
+        "lattices", viterbi).alias("best"))
     ids = np.array([i for _, i, _ in vocabulary.pieces], np.int32)
     bytes_of = np.array(vocabulary.byte_ids, np.int32)
 
@@ -189,37 +199,67 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                counts, codes = (row.column(n).flatten() for n in ("counts", "codes"))
-                sizes, values = _pieces_of(row.column("ways").flatten(), ids, bytes_of)
+                counts, codes, words = (
+                    row.column(n).flatten() for n in ("counts", "codes", "dictionary"))
+                counts = counts.to_numpy()
+                sizes, values = _pieces_of(_rows_of(row.column("best").flatten()), ids, bytes_of)
                 found = pa.ListArray.from_arrays(
                     pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(values)
                 ).take(codes)
                 upto, flat = _flat(found)
+                texts = pc.binary_join(pa.ListArray.from_arrays(
+                    pa.array(counts), words.cast(pa.string()).take(codes)), "")
+                columns = []
+                for c, n in named.items():
+                    values = row.column(n).flatten()
+                    if c == text:  # without the blank before it
+                        values = pc.if_else(values, pa.scalar(None, pa.string()),
+                                            pc.utf8_slice_codeunits(texts, 1))
+                    columns.append(values)
                 yield pa.RecordBatch.from_arrays(
-                    [row.column(n).flatten() for n in named.values()] + [
-                        pa.ListArray.from_arrays(
-                            pa.array(upto[counts.to_numpy()].astype(np.int32)), flat)],
+                    [*columns, pa.ListArray.from_arrays(
+                        pa.array(upto[counts].astype(np.int32)), flat)],
                     names=[*rest, "pieces"])
 
     return best.mapInArrow(apply, ", ".join(
         f"`{c}` {k}" for c, k in kinds.items()) + ", pieces array<int>")
 
 
-def _pieces_of(ways: pa.ListArray, ids: np.ndarray, bytes_of: np.ndarray):
+def _rows_of(best: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and rows of the pieces of each word, followed back from its last position."""
+    offsets, flat = _flat(best)
+    edge = flat.to_numpy(zero_copy_only=False)
+    words, at = np.arange(len(best)), np.diff(offsets) - 1
+    found = []
+    while len(words):
+        last = edge[offsets[words] + at]
+        found.append((words, last & ((1 << _ROW_BITS) - 1)))
+        at = last >> _ROW_BITS & (_STARTS - 1)
+        words, at = words[at > 0], at[at > 0]
+    if not found:
+        return np.zeros(1, np.int64), np.empty(0, np.int64)
+    word = np.concatenate([w for w, _ in found[::-1]])
+    rows = np.concatenate([r for _, r in found[::-1]])
+    order = np.argsort(word, kind="stable")
+    return np.searchsorted(word[order], np.arange(len(best) + 1)), rows[order]
+
+
+def _pieces_of(ways: tuple[np.ndarray, np.ndarray], ids: np.ndarray, bytes_of: np.ndarray):
     """Number of pieces of each word, and the pieces of all."""
-    offsets, rows = _flat(ways)
-    rows = rows.to_numpy(zero_copy_only=False).astype(np.int64)
-    word = np.repeat(np.arange(len(ways)), np.diff(offsets))
+    offsets, rows = ways
     known = rows < len(ids)
     if known.all():
         return np.diff(offsets), ids[rows]
-    codes = [chr(r - len(ids)).encode() if r >= len(ids) else b"" for r in rows.tolist()]
-    width = np.where(known, 1, [len(c) for c in codes])
+    word = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    codes = {i: chr(rows[i] - len(ids)).encode() for i in np.flatnonzero(~known).tolist()}
+    width = np.ones(len(rows), np.int64)
+    for i, c in codes.items():
+        width[i] = len(c)
     out = np.repeat(np.where(known, ids[np.where(known, rows, 0)], 0), width)
     at = np.cumsum(width) - width
-    for i in np.flatnonzero(~known):
-        out[at[i]:at[i] + width[i]] = bytes_of[list(codes[i])]
-    return np.bincount(word, width, len(ways)).astype(np.int64), out.astype(np.int32)
+    for i, c in codes.items():
+        out[at[i]:at[i] + width[i]] = bytes_of[list(c)]
+    return np.bincount(word, width, len(offsets) - 1).astype(np.int64), out.astype(np.int32)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, out: str = "decoded") -> DataFrame:

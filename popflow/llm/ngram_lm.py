@@ -10,7 +10,7 @@ is found by a successor search relative to its context.
 
 What a shard cannot know alone (counts of words, totals of split contexts) is asked from a second
 set of shards by word. Documents reach the shards as bigrams grouped by context, and leave them as
-one partial sum per document and shard. The number of shards follows the bytes of text, so a shard
+partial sums, packed by batch of documents. The number of shards follows the bytes of text, so a shard
 stays as large as it is; no model, vocabulary or count is ever in one place as a whole.
 """
 
@@ -387,71 +387,99 @@ class Trie:
 
 
 def _pack_events(shards: int, hot: np.ndarray):
-    """Bigrams of each document for the shards (kind 1), and the documents' other columns (2)."""
+    """Bigrams of each document for the shards (kind 1), and the documents' other columns (2).
+
+    Documents are numbered inside their batch, a batch by the number of its first row.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, rest in _portions_of_rows(batches):
             names, numbers, sizes = tokens(texts)
             f, w, t, n = _grouped(names, numbers, sizes, np.arange(len(texts)),
                                   np.ones(len(texts), np.int32))
-            ids, out = rest.column("row").to_numpy(), []
+            batch, out = rest.column("row")[0].as_py(), []
             for s, arrays in _packed(names, f, w, [t, n], shards, hot):
                 used, arrays[4] = np.unique(arrays[4], return_inverse=True)
-                out.append((s, 1, dump(*arrays, ids[used])))
-            rest = rest.append_column("n_tokens", pa.array(sizes))
+                out.append((s, 1, dump(*arrays, used, np.array([batch]))))
+            rest = rest.drop_columns(["row"]).append_column("n_tokens", pa.array(sizes))
+            rest = rest.append_column("batch", pa.array(np.full(len(sizes), batch)))
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, rest.schema) as writer:
                 writer.write_table(rest)
-            out.append((int(ids[0] % shards), 2, sink.getvalue().to_pybytes()))
+            out.append((int(batch % shards), 2, sink.getvalue().to_pybytes()))
             yield _blobs(out)
     return run
 
 
-def _score(schema: pa.Schema):
-    """Partial sums of the documents from the bigrams of each shard, and the documents."""
-    def partial(columns: dict[str, np.ndarray | pa.Array]) -> pa.RecordBatch:
-        n = len(columns["row"])
+_SUMS = "batch bigint, kind int, payload binary"
+
+
+def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over a shard's bigrams for the documents of each batch (kind 1), and the batch (0)."""
+    def row(batch: int, kind: int, payload: bytes) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(columns[f.name]).cast(f.type) if f.name in columns
-             else pa.nulls(n, f.type) for f in schema], schema=schema)
+            [pa.array([batch], pa.int64()), pa.array([kind], pa.int32()),
+             pa.array([payload], pa.binary())], names=["batch", "kind", "payload"])
 
-    def settle(trie: Trie, held: list[list[np.ndarray]]) -> pa.RecordBatch:
+    def settle(trie: Trie, held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         contexts, c_ids = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
         words, w_ids = np.unique(np.concatenate([h[2] for h in held]), return_inverse=True)
-        context, word, text, n, c_at, w_at, t_at = [], [], [], [], 0, 0, 0
+        context, word, c_at, w_at = [], [], 0, 0
         for h in held:
             c, w = c_ids[c_at:c_at + len(h[0])], w_ids[w_at:w_at + len(h[2])]
             c_at, w_at = c_at + len(h[0]), w_at + len(h[2])
             context.append(np.repeat(c, h[1].astype(np.int64)))
             word.append(w[h[3]])
-            text.append(h[4].astype(np.int64) + t_at)
-            n.append(h[5].astype(np.int64))
-            t_at += len(h[6])
-        context, word, text, n = map(np.concatenate, (context, word, text, n))
-        score, base, known = trie.score(contexts, words, context, word)
-        return partial({
-            "row": np.concatenate([h[6] for h in held]).astype(np.int64),
-            "n_known": np.bincount(text, n * known, t_at).astype(np.int64),
-            "base_score": np.bincount(text, n * base, t_at),
-            "score": np.bincount(text, n * score, t_at)})
-
+        score, base, known = trie.score(
+            contexts, words, np.concatenate(context), np.concatenate(word))
+        at = 0
+        for h in held:
+            mine = slice(at, at + len(h[3]))
+            at += len(h[3])
+            sums = [np.bincount(h[4], h[5] * v[mine], len(h[6])) for v in (known, base, score)]
+            yield row(int(h[7][0]), 1, dump(h[6], sums[0].astype(np.int64), *sums[1:]))
+
+    for _, payloads in _by_shard(batches):
+        trie, held, size = None, [], 0
+        for kind, payload in payloads:
+            if kind == 0:
+                trie = Trie(payload)
+            elif kind == 2:
+                first = next(iter(pa.ipc.open_stream(payload)))
+                yield row(first.column("batch")[0].as_py(), 0, payload)
+            else:
+                held.append(undump(payload))
+                size += len(held[-1][3])
+                if size >= BUFFER_EVENTS:
+                    yield from settle(trie, held)
+                    held, size = [], 0
+        if held:
+            yield from settle(trie, held)
+
+
+def _add_up(schema: pa.Schema):
+    """The documents of each batch with the sums over all shards; rows sorted by batch and kind."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, payloads in _by_shard(batches):
-            trie, held, size = None, [], 0
-            for kind, payload in payloads:
+        table, sums = None, []
+
+        def result() -> Iterator[pa.RecordBatch]:
+            columns = [table.column(f.name) if f.name in table.column_names
+                       else pa.array(sums[schema.names[-3:].index(f.name)]) for f in schema]
+            return iter(pa.table(columns, schema=schema).to_batches())
+
+        for batch in batches:
+            for kind, payload in zip(batch.column("kind").to_pylist(),
+                                     batch.column("payload").to_pylist()):
                 if kind == 0:
-                    trie = Trie(payload)
-                elif kind == 2:
-                    table = pa.ipc.open_stream(payload).read_all().combine_chunks()
-                    yield partial({c: table.column(c).combine_chunks()
-                                   for c in table.column_names})
+                    if table is not None:
+                        yield from result()
+                    table = pa.ipc.open_stream(payload).read_all()
+                    sums = [np.zeros(len(table), t) for t in (np.int64, np.float64, np.float64)]
                 else:
-                    held.append(undump(payload))
-                    size += len(held[-1][3])
-                    if size >= BUFFER_EVENTS:
-                        yield settle(trie, held)
-                        held, size = [], 0
-            if held:
-                yield settle(trie, held)
+                    used, *parts = undump(payload)
+                    for total, part in zip(sums, parts):
+                        total[used] += part.astype(total.dtype)
+        if table is not None:
+            yield from result()
     return run
 
 
@@ -515,18 +543,15 @@ def score_documents(
         *rest, F.col("__text").alias("text"), F.monotonically_increasing_id().alias("row"))
     renamed = {c: f"c{i}" for i, c in enumerate(rest)}
     events = numbered.withColumnsRenamed(renamed).mapInArrow(_pack_events(shards, hot), _BLOBS)
-    kinds = ", ".join(f"{renamed[f.name]} {f.dataType.simpleString()}"
-                      for f in given.select(*rest).schema)
-    out = (f"{kinds}, " if rest else "") + (
-        "row bigint, n_tokens bigint, n_known bigint, base_score double, score double")
-    empty = df_schema(docs, out)
-    parts = _gathered(model.unionByName(events), shards).mapInArrow(_score(empty), out)
-    summed = parts.groupBy("row").agg(
-        *[F.first(n, ignorenulls=True).alias(c) for c, n in renamed.items()],
-        F.max("n_tokens").alias("n_tokens"),
-        *[F.sum(c).alias(c) for c in ("n_known", "base_score", "score")])
-    return summed.withColumn("train_tokens", F.lit(int(totals[0]))).select(
-        *rest, *results)
+    kinds = [f"{renamed[f.name]} {f.dataType.simpleString()}" for f in given.select(*rest).schema]
+    out = ", ".join([*kinds, "n_tokens bigint", "n_known bigint", "base_score double",
+                     "score double"])
+    parts = _gathered(model.unionByName(events), shards).mapInArrow(_score, _SUMS)
+    # Neither a batch nor its sums are ever rows of documents: they stay packed until here.
+    summed = parts.repartition("batch").sortWithinPartitions("batch", "kind").mapInArrow(
+        _add_up(df_schema(docs, out)), out).withColumnsRenamed(
+            {n: c for c, n in renamed.items()})
+    return summed.withColumn("train_tokens", F.lit(int(totals[0]))).select(*rest, *results)
 
 
 def df_schema(docs: DataFrame, ddl: str) -> pa.Schema:

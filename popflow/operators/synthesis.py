@@ -366,6 +366,7 @@ def _shares(x: np.ndarray, goal: np.ndarray, wanted: np.ndarray, upper: np.ndarr
         return scale * np.linalg.solve(h, (gap * scale)[:, :, None])[:, :, 0]
 
     share, dual = state(lam, mu)
+    last = None
     while True:
         n = share * goal[:, None]
         gap = wanted - n.T @ own - ridge * lam
@@ -376,19 +377,28 @@ def _shares(x: np.ndarray, goal: np.ndarray, wanted: np.ndarray, upper: np.ndarr
                     for g, c in ((gap, wanted), (gap_up, upper)))
         if worst < tol:
             return share
-        step = newton(own, gap, n, ridge)
-        up = newton(theirs, gap_up, by_parent, ridge_up) if upper.shape[1] else mu
+        towards = newton(own, gap, n, ridge), (
+            newton(theirs, gap_up, by_parent, ridge_up) if upper.shape[1] else mu)
+        # Conjugate to the last direction, with the block-wise Newton steps as preconditioner.
+        slope = (gap * towards[0]).sum() + (gap_up * towards[1]).sum()
+        turn = 0.0 if last is None else max(0.0, (
+            slope - (last[0] * towards[0]).sum() - (last[1] * towards[1]).sum()) / last[2])
+        step = towards if last is None else tuple(
+            t + turn * w for t, w in zip(towards, last[3]))
+        if (gap * step[0]).sum() + (gap_up * step[1]).sum() <= 0.1 * slope:
+            step = towards
+        last = (gap, gap_up, max(slope, 1e-300), step)
         # A multiplier moves by no more than 3 at a time: zero controls lie at minus infinity.
-        size = min(1.0, 3.0 / max(np.abs(step).max(initial=0.0), np.abs(up).max(initial=0.0),
-                                  1e-12))
+        size = min(1.0, 3.0 / max(np.abs(step[0]).max(initial=0.0),
+                                  np.abs(step[1]).max(initial=0.0), 1e-12))
         while True:
-            tried, value = state(lam + size * step, mu + size * up)
-            if value - dual > 1e-6 * goal.sum():
+            tried, value = state(lam + size * step[0], mu + size * step[1])
+            if value - dual > 3e-6 * goal.sum():
                 break
-            if size < 1e-3:
+            if size < 1e-2:
                 return share
             size /= 4
-        lam, mu, share, dual = lam + size * step, mu + size * up, tried, value
+        lam, mu, share, dual = lam + size * step[0], mu + size * step[1], tried, value
 
 
 def _whole_places(share: np.ndarray, x: np.ndarray, goal: np.ndarray) -> np.ndarray:

@@ -10,8 +10,10 @@ is found by a successor search relative to its context.
 
 What a shard cannot know alone (counts of words, totals of split contexts) is asked from a second
 set of shards by word. Documents reach the shards as bigrams grouped by context, and leave them as
-partial sums, packed by batch of documents. The number of shards follows the bytes of text, so a shard
-stays as large as it is; no model, vocabulary or count is ever in one place as a whole.
+partial sums, packed by batch of documents. The number of shards follows the bytes of text, so a
+shard stays as large as it is; no model, vocabulary or count is ever in one place as a whole. (For
+inputs of many terabytes, raise the bytes per shard and per batch with the memory of the workers:
+the number of packets is that of batches times shards.)
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ position, the last one being the word's pieces, and the batch's documents are pu
 its words. A character no piece covers becomes its UTF-8 bytes, which the vocabulary has as pieces
 of their own, so every text can be decoded exactly; U+2581, which stands for the blank, is one.
 
-Batches are bounded and nothing is shuffled: the piece table is as large as the vocabulary. (One
+Batches are bounded and nothing is shuffled: the piece table is as large as the vocabulary. A task
+keeps the words it has seen, up to a fixed number, and builds lattices for new ones only. (One
 dictionary for the whole corpus was tried: bringing the words of each text back to it takes a join
 on the words and another on the texts, over three times the input in shuffle files.)
 
@@ -29,7 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONGEST = 48  # letters, digits or signs of a word; a longer run is several words
-BATCH_TEXTS, BATCH_WORDS = 500, 1 << 17
+BATCH_TEXTS, BATCH_WORDS = 250, 1 << 16
+KNOWN_WORDS, LATTICE_WORDS = 1 << 19, 1 << 13  # kept by a task; exploded at a time
 UNKNOWN = -20.0  # score of a character written as bytes
 _ROW_BITS, _STARTS = 21, 64  # of an edge: place in the piece table, position where it starts
 _EDGE_BITS = _ROW_BITS + 6
@@ -167,21 +169,34 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
         raise ValueError("the vocabulary or the words are too large for the edges")
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per batch of documents: their columns, words by number, words' lattices."""
+        """One row per batch of documents: their columns, words by number, and the words that
+        are new since the row that began afresh, with their lattices."""
         def one(values: pa.Array) -> pa.Array:
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
+        known, afresh = pa.array([], pa.string()), True
         for batch in batches:
             offsets, _ = _flat(batch.column("words"))
             for a, b in _slices(offsets):
                 part = batch.slice(a, b - a)
                 counts, flat = _flat(part.column("words"))
                 coded = flat.cast(pa.string()).dictionary_encode()
+                if len(known) > KNOWN_WORDS:
+                    known, afresh = pa.array([], pa.string()), True
+                at = pc.index_in(coded.dictionary, value_set=known)
+                new = coded.dictionary.filter(pc.is_null(at))
+                place = at.fill_null(-1).to_numpy().astype(np.int32)
+                place[place < 0] = len(known) + np.arange(len(new), dtype=np.int32)
+                known = pa.concat_arrays([known, new])
+                lattices = [lattice(new.slice(i, LATTICE_WORDS), table, scores)
+                            for i in range(0, max(len(new), 1), LATTICE_WORDS)]
                 yield pa.RecordBatch.from_arrays(
                     [one(part.column(n)) for n in named.values()]
-                    + [one(pa.array(counts.astype(np.int32))), one(coded.indices),
-                       one(coded.dictionary), one(lattice(coded.dictionary, table, scores))],
-                    names=[*named.values(), "counts", "codes", "dictionary", "lattices"])
+                    + [one(pa.array(counts.astype(np.int32))),
+                       one(pa.array(place[coded.indices.to_numpy()])), one(new),
+                       one(pa.concat_arrays(lattices)), pa.array([afresh])],
+                    names=[*named.values(), "counts", "codes", "dictionary", "lattices", "afresh"])
+                afresh = False
 
     rows = docs.select(*[
         (F.col(c).isNull() if c == text else F.col(c)).alias(n) for c, n in named.items()],
@@ -189,26 +204,30 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
     batched = rows.mapInArrow(edges, ", ".join(
         f"{n} array<{sent[c]}>" for c, n in named.items())
         + ", counts array<int>, codes array<int>, dictionary array<string>"
-        ", lattices array<array<array<bigint>>>")
-    best = batched.select(*named.values(), "counts", "codes", "dictionary", F.transform(
+        ", lattices array<array<array<bigint>>>, afresh boolean")
+    best = batched.select(*named.values(), "counts", "codes", "dictionary", "afresh", F.transform(
         "lattices", viterbi).alias("best"))
     ids = np.array([i for _, i, _ in vocabulary.pieces], np.int32)
     bytes_of = np.array(vocabulary.byte_ids, np.int32)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The rows of a task come in the order in which they left ``edges``.
+        words, found = pa.array([], pa.string()), pa.array([], pa.list_(pa.int32()))
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                counts, codes, words = (
+                counts, codes, new = (
                     row.column(n).flatten() for n in ("counts", "codes", "dictionary"))
                 counts = counts.to_numpy()
+                if row.column("afresh")[0].as_py():
+                    words, found = words.slice(0, 0), found.slice(0, 0)
                 sizes, values = _pieces_of(_rows_of(row.column("best").flatten()), ids, bytes_of)
-                found = pa.ListArray.from_arrays(
-                    pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(values)
-                ).take(codes)
-                upto, flat = _flat(found)
+                words = pa.concat_arrays([words, new.cast(pa.string())])
+                found = pa.concat_arrays([found, pa.ListArray.from_arrays(
+                    pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(values))])
+                upto, flat = _flat(found.take(codes))
                 texts = pc.binary_join(pa.ListArray.from_arrays(
-                    pa.array(counts), words.cast(pa.string()).take(codes)), "")
+                    pa.array(counts), words.take(codes)), "")
                 columns = []
                 for c, n in named.items():
                     values = row.column(n).flatten()

@@ -128,8 +128,9 @@ def test_pieces_round_trip(spark, vocabulary, monkeypatch):
              " lead", "trail ", "\n", "Straße naïve coöperate", "word " * 3000]
     df = spark.createDataFrame(
         [(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, pieces string")
-    for n in (250, 2):
+    for n, known in ((250, 1000), (2, 5)):  # also batches after a task has forgotten its words
         monkeypatch.setattr(pieces, "BATCH_TEXTS", n)
+        monkeypatch.setattr(pieces, "KNOWN_WORDS", known)
         coded = cut(pieces.encode(df, vocabulary))
         back = pieces.decode(coded, vocabulary).toPandas().sort_values("doc_id")
         assert back["decoded"].tolist() == [t or "" for t in texts]

@@ -186,11 +186,13 @@ def test_prune_and_prepare_crosswalk(spark, rows):
     made = prepare_crosswalk(bg, tract, pumas, data)
     assert rows(made, "BG", "PUMA") == [
         (90010001001, 900100), (90010001002, 900100), (90010001003, 900100)]
-    empty = spark.createDataFrame([(90010001001, 1, 0), (90010001002, 1, 7)],
-                                  "BG long, REGION int, n long")
-    assert rows(spatial.prune_crosswalk(made, empty, "BG"), "BG") == [(90010001002,)]
+    empty = spark.createDataFrame(
+        [(90010001001, 1, 0), (90010001002, 1, 7), (90010001003, 1, 2)],
+        "BG long, REGION int, n long")
+    left = [(90010001002,), (90010001003,)]
+    assert rows(spatial.prune_crosswalk(made, empty, "BG"), "BG") == left
     fewer = prepare_crosswalk(bg, tract, pumas, {**data, "BG": empty})
-    assert rows(fewer, "BG") == [(90010001002,)]
+    assert rows(fewer, "BG") == left
     extra = spark.createDataFrame([(1, 4), (2, 0)], "BG long, n long")
     assert rows(spatial.data_without_crosswalk(made, extra, "BG")) == [(1,)]
 

@@ -139,8 +139,10 @@ def _pack_counts(shards: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, rest in _portions_of_rows(batches):
             names, numbers, sizes = tokens(texts)
+            texts.clear()
             weight = rest.column("train").to_numpy().astype(np.int32)
-            f, w, _, n = _grouped(names, numbers, sizes, np.zeros(len(texts), np.int32), weight)
+            f, w, _, n = _grouped(names, numbers, sizes, np.zeros(len(sizes), np.int32), weight)
+            del numbers
             yield _blobs([(s, 0, dump(*a)) for s, a in _packed(names, f, w, [n], shards, hot)])
     return run
 
@@ -148,20 +150,20 @@ def _pack_counts(shards: int, hot: np.ndarray):
 def _portions_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], pa.Table]]:
     """Texts in portions of about BATCH_BYTES, with the table of the other columns."""
     texts, tables, size = [], [], 0
-    for batch in batches:
-        rows = batch.column("text").cast(pa.large_binary()).to_pylist()
-        rest = batch.drop_columns(["text"])
-        start = 0
-        for i, text in enumerate(rows):
-            texts.append(text or b"")
-            size += len(texts[-1])
-            if size >= BATCH_BYTES or len(texts) >= BATCH_TEXTS:
-                yield texts, pa.Table.from_batches(
-                    [*tables, rest.slice(start, i + 1 - start)]).combine_chunks()
-                texts, tables, size, start = [], [], 0, i + 1
-                pa.default_memory_pool().release_unused()
-        if start < len(rows):
-            tables.append(rest.slice(start))
+    for whole in batches:
+        for first in range(0, whole.num_rows, 64):  # few texts as objects at a time
+            batch = whole.slice(first, 64)
+            rest, start = batch.drop_columns(["text"]), 0
+            for i, text in enumerate(batch.column("text").cast(pa.large_binary()).to_pylist()):
+                texts.append(text or b"")
+                size += len(texts[-1])
+                if size >= BATCH_BYTES or len(texts) >= BATCH_TEXTS:
+                    yield texts, pa.Table.from_batches(
+                        [*tables, rest.slice(start, i + 1 - start)]).combine_chunks()
+                    texts, tables, size, start = [], [], 0, i + 1
+                    pa.default_memory_pool().release_unused()
+            if start < batch.num_rows:
+                tables.append(rest.slice(start))
     if texts:
         yield texts, pa.Table.from_batches(tables).combine_chunks()
 
@@ -396,8 +398,11 @@ def _pack_events(shards: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, rest in _portions_of_rows(batches):
             names, numbers, sizes = tokens(texts)
-            f, w, t, n = _grouped(names, numbers, sizes, np.arange(len(texts)),
-                                  np.ones(len(texts), np.int32))
+            n_texts = len(texts)
+            texts.clear()
+            f, w, t, n = _grouped(names, numbers, sizes, np.arange(n_texts),
+                                  np.ones(n_texts, np.int32))
+            del numbers
             batch, out = rest.column("row")[0].as_py(), []
             for s, arrays in _packed(names, f, w, [t, n], shards, hot):
                 used, arrays[4] = np.unique(arrays[4], return_inverse=True)

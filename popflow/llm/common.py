@@ -29,6 +29,18 @@ def bucket_of(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> None:
+    """Let at most ``rows`` rows of the session go to Python in one Arrow batch.
+
+    The default of 10,000 texts, their words and the copies of both are a large part of a worker's
+    memory. The setting is one of speed only; it is lowered for the session and stays.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(name))
+    if now <= 0 or now > rows:
+        conf.set(name, str(rows))
+
+
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """UTF-8 bytes of all texts."""
     return df.agg(F.sum(F.octet_length(text))).first()[0] or 0

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popflow.llm.common import forget, mix, text_bytes, word_hashes
+from popflow.llm.common import forget, mix, small_batches, text_bytes, word_hashes
 from popflow.llm.elias_fano import EliasFano
 from popflow.session import cut
 
@@ -529,6 +529,7 @@ def score_documents(
     same probability. Repeated rows are scored each. Input columns with the names of the results
     are replaced. ``train`` must not be null.
     """
+    small_batches(docs)
     results = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     rest = [c for c in docs.columns if c not in (*results, text)]
     given = docs.select(*rest, F.col(text).alias("__text"), train.alias("__train"))

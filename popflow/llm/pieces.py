@@ -29,6 +29,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from popflow.llm.common import small_batches
+
 LONGEST = 48  # letters, digits or signs of a word; a longer run is several words
 BATCH_TEXTS, BATCH_WORDS = 250, 1 << 16
 KNOWN_WORDS, LATTICE_WORDS = 1 << 19, 1 << 13  # kept by a task; exploded at a time
@@ -158,6 +160,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
 
     Other columns, the text among them, stay; an input column ``pieces`` is replaced.
     """
+    small_batches(docs)
     rest = [c for c in docs.columns if c != "pieces"]
     kinds = {f.name: f.dataType.simpleString() for f in docs.select(*rest).schema}
     # The text itself travels as its words; whether it is null goes in its place.

@@ -29,16 +29,19 @@ def bucket_of(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
-def small_batches(df: DataFrame, rows: int = 1000) -> None:
-    """Let at most ``rows`` rows of the session go to Python in one Arrow batch.
+def small_batches(df: DataFrame, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Let at most ``rows`` rows and ``size`` bytes of the session go to Python in one Arrow batch.
 
-    The default of 10,000 texts, their words and the copies of both are a large part of a worker's
-    memory. The setting is one of speed only; it is lowered for the session and stays.
+    The defaults of 10,000 rows and 64 MB, with the copies that are made of them, are a large part
+    of a worker's memory. The settings are ones of speed only; they are lowered for the session
+    and stay.
     """
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(conf.get(name))
-    if now <= 0 or now > rows:
-        conf.set(name, str(rows))
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = int(conf.get(name).removesuffix("b"))
+        if now <= 0 or now > most:
+            conf.set(name, str(most))
 
 
 def text_bytes(df: DataFrame, text: str = "text") -> int:

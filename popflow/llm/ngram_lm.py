@@ -34,8 +34,8 @@ from popflow.session import cut
 
 END = np.uint64(0x3C6EF372FE94F82B)  # the token after the last word
 START = np.uint64(0xA54FF53A5F1D36F1)  # the context of the first token
-SHARD_BYTES = 5 << 22  # of text to a shard
-BATCH_BYTES, BATCH_TEXTS = 3 << 22, 1 << 16  # packed at a time
+SHARD_BYTES = 1 << 24  # of text to a shard
+BATCH_BYTES, BATCH_TEXTS = 1 << 23, 1 << 16  # packed at a time
 BUFFER_EVENTS = 1 << 19  # looked up in one pass over a shard's levels
 LEVELS = 255  # of the quantised logarithms
 

@@ -68,6 +68,26 @@ def test_near_duplicates_against_all_pairs(spark, copies, block_nodes):
     assert kept.columns == df.columns and kept.count() == want.nunique()
 
 
+def test_one_bridging_pair_in_a_large_bucket(spark, monkeypatch):
+    # All texts share every band; only one pair is alike, so a deal mostly keeps it apart.
+    monkeypatch.setattr(near_dup, "band_keys", lambda texts, bands, rows: np.ones(
+        (len(texts), bands), np.uint64))
+    rng = random.Random(6)
+    texts = [text_of(rng, 60) for _ in range(100)]
+    texts.append(edited(rng, texts[0], 1))
+    rows = [(i, t) for i, t in enumerate(texts)]
+    # A class of more than half a block beside it, with a partner of one member only.
+    chain = [text_of(rng, 80)]
+    for _ in range(12):
+        chain.append(edited(rng, chain[-1], 1))
+    rows += [(200 + i, t) for i, t in enumerate(chain)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dup.with_class(df, near_dup.near_duplicates(df, block_nodes=4)).toPandas()
+    got = got.sort_values("doc_id")
+    want = [rows[k][0] for k in brute_classes([(*r, None) for r in rows])]
+    assert got["class_id"].tolist() == want and want[100] == 0 and want[-1] == 200
+
+
 def test_common_shingles_lose_their_weight(spark):
     rng = random.Random(4)
     passage = text_of(rng, 60)

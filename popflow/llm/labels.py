@@ -26,11 +26,13 @@ def sample_ids(
 ) -> DataFrame:
     """Of (doc_id, bytes, ``by``): about ``max_docs`` rows and ``max_bytes`` bytes a class at most.
 
-    The expected size is bounded by the two parameters whatever the size of the input.
+    The expected size is bounded by the two parameters whatever the size of the input. ``weight``
+    says for how many rows of its class a row stands.
     """
     shares = sized.groupBy(by).agg(
         F.least(F.lit(1.0), F.lit(float(max_docs)) / F.count(F.lit(1)),
                 F.lit(float(max_bytes)) / F.greatest(F.sum("bytes"), F.lit(1))).alias("__share"))
     # One row per class.
     return sized.join(F.broadcast(shares), by).filter(
-        share_below(F.col("doc_id"), F.col("__share"), salt)).drop("__share")
+        share_below(F.col("doc_id"), F.col("__share"), salt)).withColumn(
+            "weight", 1 / F.col("__share")).drop("__share")

@@ -49,6 +49,19 @@ def test_toxic_expressions_are_learnt(labelled):
     assert got.loc[1000, "toxicity"] == got.loc[1001, "toxicity"]
 
 
+def test_toxicity_keeps_the_odds_of_the_whole_table(spark):
+    # A quarter of the documents with the word are toxic, however few ordinary ones are taken.
+    rows = [(i, " ".join(f"u{i}x{j}" for j in range(20)) + (" swine" if i < 800 else ""), int(
+        i < 800 and i % 4 == 0)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    means = []
+    for max_docs in (10_000, 600):
+        model = toxicity.fit(df, df, F.lit(True), max_docs=max_docs, margin=1.0)
+        got = toxicity.score(df, model).filter("doc_id < 800")
+        means.append(got.agg(F.avg("toxicity")).first()[0])
+    assert means == pytest.approx([0.25, 0.25], abs=0.12)
+
+
 def test_toxicity_without_labels_is_even(labelled):
     docs, labels = labelled
     model = toxicity.fit(docs, labels.limit(0), F.lit(True))

@@ -193,6 +193,17 @@ def test_article_without_its_surroundings():
                    "cut", "a"]
 
 
+def test_names_of_wrappers_do_not_lose_the_page():
+    article = "<article class='post social'><p>Text</p><article class='comment'>No</article></article>"
+    for body in (f"<body class='has-sidebar'>{article}</body>",
+                 f"<html class=nav><body id='search' class='menu-open'>{article}</body></html>",
+                 f"<div class='content-with-sidebar'>{article}<div class='widget'>No</div></div>",
+                 "<main class='modal'><p>Text</p><div class='x related_links'>No</div></main>",
+                 "<div role=main class=banner><p>Text</p><ul class='ad-list'><li>No</ul></div>",
+                 "<body class='sidebar'><p>Text</p><div class='share box'>No</div></body>"):
+        assert templates.main_texts([body]) == ["Text"], body
+
+
 def test_template_words_are_left_out_where_no_article_is_marked():
     pages = [page(f"<div><p>Story {i} of day {i * i}</p></div><div><p>Contact us any time</p></div>")
              for i in range(8)]

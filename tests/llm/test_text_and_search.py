@@ -231,6 +231,19 @@ def test_pages_of_a_large_host_are_cut_into_groups(spark):
     assert templates.extract(df.limit(0)).count() == 0
 
 
+def test_every_page_of_a_host_loses_its_template(spark):
+    def rows(host, n):
+        return [(i, f"http://{host}/{i}", page(f"<div>Only {i}</div><div>Same on all</div>"))
+                for i in range(n)]
+
+    # A page over a host's full group, and pages of which few make a full group by their bytes.
+    df = spark.createDataFrame(rows("a", 65) + rows("b", 66) + rows("c", 300) + rows("d", 67),
+                               "page_id long, url string, html string")
+    for spread, chars in ((1, 1 << 23), (40, 1 << 23), (3, 300)):
+        got = templates.extract(df.repartition(spread), group_chars=chars).collect()
+        assert len(got) == 498 and all(r.text == f"Only {r.page_id}" for r in got)
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(30, 16))

@@ -219,6 +219,34 @@ def test_equivalence_classes():
     assert "w2" not in found
 
 
+def test_slots_of_the_nested_template():
+    # The same words in different slots are text; in one slot they are the template's.
+    rain = "<p>Rain today</p>"
+    pages = [page("<h1>Site</h1>" + (f"{rain}<h2>News</h2>" if i % 2 else f"<h2>News</h2>{rain}")
+                  + f"<div>Text {i * i}</div>") for i in range(6)]
+    pages += [page(f"<h1>Site</h1><h2>News</h2><div>Text {i * i}</div>") for i in (6, 7)]
+    assert templates.main_texts(pages) == [
+        "Rain today\n" * (i < 6) + f"Text {i * i}" for i in range(8)]
+    # Equal pages count once, so copies are no template.
+    assert templates.main_texts(pages[:3] + [pages[0]] * 9)[-1] == "Site\nNews\nRain today\nText 0"
+    # A mark chooses among the slots and keeps what its articles share.
+    marked = [page(f"<p>Out {i}</p><p>Top</p><article>One for all</article>") for i in range(8)]
+    assert templates.main_texts(marked) == ["One for all"] * 8
+
+
+def test_classes_are_nested_in_slots():
+    pages = [["</b", "</b/i", "/b/i x", f"/b/i {i}", "</b/u", "/b/u y"][:6 - 2 * (i % 2)]
+             for i in range(6)]
+    found = templates.nested_template(pages, 3)
+    assert found["</b"].parent is None and found["/b/i x"][:2] == (0, None)
+    assert found["/b/u y"].number == found["</b/u"].number > 0
+    assert found["/b/u y"][1:] == (0, 3)  # after the three tokens of the root
+    # A token on the other side of its parent's tokens on some pages is text.
+    moved = [["</b", "/b z", "</b/i", "w"] if i % 3 else ["</b", "</b/i", "/b z", "w"]
+             for i in range(6)] + [["</b", "</b/i", "w"]]
+    assert "/b z" not in templates.nested_template(moved, 3)
+
+
 def test_pages_of_a_large_host_are_cut_into_groups(spark):
     rows = [(i, "http://h.example/x" if i % 3 else None, page(
         f"<div>Only {i}</div><div>Same on all</div>"), "c") for i in range(100)]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popflow.llm import (
-    ann, cascade, mixing, near_dup, ngram_lm, pieces, pu_quality, shuffle, templates, toxicity,
+    ann, audit, cascade, mixing, near_dup, ngram_lm, pieces, pu_quality, shuffle, templates, toxicity,
 )
 from popflow.llm.common import bucket_of, n_words_of
 
@@ -216,3 +216,51 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", held_out.alias("held_out"))
     return ngram_lm.score_documents(docs, ~F.col("held_out")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+# --- filter interaction audit
+
+_AUDIT_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT doc_id, part,
+    len(w) < 200 AS A, 100 * len(list_distinct(w)) < 50 * len(w) AS B,
+    100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t) AS C,
+    regexp_matches(t, '[#$%&*|]') AS D,
+    coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) AS E FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+             max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, concat(CASE WHEN A THEN 'A' ELSE '' END, CASE WHEN B THEN 'B' ELSE '' END,
+        CASE WHEN C THEN 'C' ELSE '' END, CASE WHEN D THEN 'D' ELSE '' END,
+        CASE WHEN E THEN 'E' ELSE '' END) AS failed,
+        coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+      FROM f LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+      FROM m GROUP BY part, failed),
+p AS (SELECT '' AS o UNION ALL
+      SELECT p.o || x.f FROM p, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f) x
+      WHERE NOT contains(p.o, x.f)),
+s AS (SELECT o AS filter_order, step, substr(o, step, 1) AS f, substr(o, 1, step - 1) AS earlier
+      FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS step) WHERE length(o) = 5),
+e AS (SELECT part, filter_order, step, f, n, good, toxic, failed, contains(failed, f) AS hit,
+             earlier <> '' AND translate(failed, earlier, '') <> failed AS gone FROM c, s),
+g AS (SELECT part, filter_order, step, f,
+    sum(CASE WHEN NOT hit AND NOT gone THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN failed = f THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM e GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM g"""
+
+
+@query("op13_filter_audit", _AUDIT_SQL)
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popflow.llm import (
-    ann, audit, cascade, mixing, near_dup, ngram_lm, pieces, pu_quality, shuffle, templates, toxicity,
+    ann, audit, cascade, importance, mixing, near_dup, ngram_lm, pieces, pu_quality, shuffle, templates, toxicity,
 )
 from popflow.llm.common import bucket_of, n_words_of
 
@@ -264,3 +264,58 @@ FROM g"""
 @query("op13_filter_audit", _AUDIT_SQL)
 def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# --- target-distribution importance resampling
+
+_RESAMPLE_SQL = r"""
+WITH crc AS MATERIALIZED (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+x AS (SELECT 0 AS target, doc_id AS id, row_number() OVER () AS r, coalesce(text, '') AS text
+      FROM documents
+      UNION ALL SELECT 1, item_id, row_number() OVER (), coalesce(text, '') FROM benchmark),
+w AS (SELECT target, r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM (
+        SELECT target, r, regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM x)),
+b AS (SELECT word, list_transform(range(0, CAST(len(h) / 2 AS BIGINT)),
+             lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)) AS bytes
+      FROM (SELECT DISTINCT word, hex(encode(word)) AS h FROM w)),
+s1 AS (SELECT target, r, pos, bytes, list_reduce(bytes,
+         lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1]), 4294967295) AS s1
+       FROM w JOIN b USING (word), crc),
+s2 AS (SELECT s1.*, list_reduce(list_prepend(32, bytes),
+         lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1]), p) AS s2
+       FROM (SELECT *, lag(s1) OVER (PARTITION BY target, r ORDER BY pos) AS p FROM s1) s1, crc),
+s3 AS (SELECT s2.*, list_reduce(list_prepend(32, bytes),
+         lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1]), q) AS s3
+       FROM (SELECT *, lag(s2) OVER (PARTITION BY target, r ORDER BY pos) AS q FROM s2) s2, crc),
+f AS (SELECT target, r, xor(s, 4294967295) % 10000 AS bucket FROM (
+        SELECT target, r, s1 AS s FROM s3
+        UNION ALL SELECT target, r, s2 FROM s3 WHERE pos > 1
+        UNION ALL SELECT target, r, s3 FROM s3 WHERE pos > 2)),
+n AS (SELECT bucket, count(*) FILTER (WHERE target = 0) AS s, count(*) FILTER (WHERE target = 1) AS t
+      FROM f GROUP BY bucket),
+a AS (SELECT coalesce(sum(s), 0)::DOUBLE AS s_all, coalesce(sum(t), 0)::DOUBLE AS t_all FROM n),
+g AS (SELECT bucket, CAST(floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))
+        AS BIGINT) AS gain FROM n, a),
+d AS (SELECT r, count(*) AS n_features, sum(gain) AS weight FROM f JOIN g USING (bucket)
+      WHERE target = 0 GROUP BY r),
+m AS (SELECT r, max(pos) AS n_words FROM w WHERE target = 0 GROUP BY r),
+z AS (SELECT x.id AS doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_features, 0) AS n_features,
+        coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((
+          CAST('0x' || substr(sha256('42:' || coalesce(CAST(x.id AS VARCHAR), '')), 1, 8) AS BIGINT)
+          + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+      FROM x LEFT JOIN d USING (r) LEFT JOIN m USING (r) WHERE x.target = 0),
+o AS (SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20
+        ORDER BY score DESC, doc_id NULLS LAST) END AS place,
+        5 * count(*) FILTER (WHERE n_words >= 20) OVER () // 100 AS drawn FROM z)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight,
+  CAST(score AS BIGINT) AS score, CAST(CASE WHEN place <= drawn THEN place END AS BIGINT) AS rank
+FROM o"""
+
+
+@query("op11_importance_resampling", _RESAMPLE_SQL)
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popflow.llm import (
-    ann, audit, cascade, importance, mixing, near_dup, ngram_lm, pieces, pu_quality, shuffle, templates, toxicity,
+    ann, audit, cascade, importance, inner_products, mixing, near_dup, ngram_lm, pieces,
+    pu_quality, shuffle, templates, toxicity,
 )
 from popflow.llm.common import bucket_of, n_words_of
 
@@ -319,3 +320,22 @@ FROM o"""
 def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+# --- exact largest inner products
+
+@query("op12_inner_products", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id AS query_id, min(v) AS q FROM v WHERE vec_id % 50 = 0 GROUP BY vec_id),
+s AS (SELECT query_id, vec_id, CAST(list_inner_product(q, v) AS BIGINT) AS score
+      FROM q JOIN v ON vec_id <> query_id)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5""")
+def largest_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = inner_products.whole_vectors(
+        table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return inner_products.top_products(rows, F.col("id") % 50 == 0)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popflow.catalog.registry import query
 from popflow.catalog.roles import Roles
 from popflow.operators import synthesis as ops
+from popflow.operators.allocation import allocate_to_children as allocate
 from popflow.plans.synthesize import synthesize
 from popflow.plans.validate import stats
 from popflow.session import cut
@@ -291,7 +294,7 @@ def _allocated(t: Roles) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
         known["xwalk"].select("BG", "PUMA"), F.floor(F.col("hh_id") / 10) == F.col("BG")))
     weights = inc.select("hh_id", "PUMA", (F.col("WGTP") * (2 + F.col("NP") % 3)).alias("n"))
     link = known["xwalk"].select("BG", "PUMA", F.col("TRACT").alias("tract_id"))
-    placed = ops.allocate_to_children(
+    placed = allocate(
         weights, inc, known["bg"].join(link, "BG"), "BG",
         {c.target: c.control_field for c in _PLAN_BG}, "tract_id",
         known["tract"].withColumnRenamed("TRACT", "tract_id"),
@@ -334,6 +337,37 @@ def allocate_child_fit(t: Roles) -> DataFrame:
         for geo, controls in (("BG", _PLAN_BG), ("TRACT", _PLAN_TRACT))}, CONTROLS))
 
 
+_GAPS = " UNION ALL ".join(
+    f"SELECT {c.geography} AS id, '{c.target}' AS target, CAST(sum(known * {c.target}) AS BIGINT) "
+    f"AS control, true AS met FROM homes GROUP BY {c.geography}" for c in CONTROLS)
+
+
+@query("allocate_child_gaps", f"""
+WITH {_INC}, homes AS (
+  SELECT *, WGTP * (2 + NP % 3) AS known, CAST(floor(hh_id / 10) AS BIGINT) AS BG,
+         CAST(floor(hh_id / 30) AS BIGINT) AS TRACT FROM inc)
+{_GAPS}""")
+def allocate_child_gaps(t: Roles) -> DataFrame:
+    """Every control of every child and parent, and whether the allocation is within 3 households
+    and three in a hundred of the zone's."""
+    known, inc, placed = _allocated(t)
+    at = placed.join(known["xwalk"].select("BG", "TRACT"), "BG")
+    size = at.groupBy("BG", "TRACT").agg(F.sum("n").alias("n"))
+    parts = []
+    for geo, controls in (("BG", _PLAN_BG), ("TRACT", _PLAN_TRACT)):
+        targets = [c.target for c in controls]
+        near = 3 + 0.03 * F.coalesce("n", F.lit(0))
+        parts.append(
+            ops.summarize(at, inc, known[geo.lower()], geo, targets, _FIELDS, "n")
+            .join(size.groupBy(F.col(geo).alias("id")).agg(F.sum("n").alias("n")), "id", "left")
+            .select("id", near.alias("near"), F.explode(F.array(*[F.struct(
+                F.lit(x).alias("target"), F.col(f"{x}_control").alias("control"),
+                F.coalesce(f"{x}_result", F.lit(0)).alias("result")) for x in targets])).alias("e")))
+    return reduce(DataFrame.unionByName, parts).select(
+        "id", "e.target", F.col("e.control").cast("bigint").alias("control"),
+        (F.abs(F.col("e.result") - F.col("e.control")) <= F.col("near")).alias("met"))
+
+
 def _synthesized(t: Roles) -> dict[str, DataFrame]:
     known = _known_population(t)
     return synthesize(

@@ -1,9 +1,8 @@
-"""Synthesis: incidence, raking, integerizing, allocation to child zones and expansion."""
+"""Synthesis: incidence, raking, integerizing and expansion."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 
 from popflow.functions.columns import quoted, ratio_sql, replaced, sums
 from popflow.operators.ordering import rank_rows, running_total
+from popflow.operators.rounds import doubles, incidence_array, packed, rounds, unpacked
 from popflow.session import cut
 from popflow.specs import (
     CONTROLS, MAX_EXPANSION, SYNTHETIC_HOUSEHOLD_COLS, SYNTHETIC_PERSON_COLS, Control,
@@ -71,102 +71,54 @@ def controls_to_zone(
 # Raking
 # --------------------------------------------------------------------------
 def _moments(k: int, cap: float):
-    """Per task: sums of w, w*x and w*x*x' per zone, one output row per zone seen."""
-    upper = np.triu_indices(k)
-    flush_at = 512  # zones held at once, k*k doubles each
-
-    def rows(sums: dict) -> pd.DataFrame:
-        return pd.DataFrame({
-            "zone": list(sums),
-            "moments": [np.concatenate([m, h[upper]]) for m, h in sums.values()],
-        })
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict = {}
-        for batch in batches:
-            for zone, part in batch.groupby("zone", sort=False):
-                x = np.array(part["x"].tolist(), dtype=float)
-                lam = np.asarray(part["lam"].iloc[0], dtype=float)
-                w0 = part["w0"].to_numpy(dtype=float)
-                factor = np.exp(np.minimum(x @ lam, 700.0))
-                free = factor < cap
-                w = w0 * np.minimum(factor, cap)
-                m = np.concatenate([[w.sum()], x.T @ w])
-                h = (x * (w * free)[:, None]).T @ x
-                if zone in sums:
-                    sums[zone] = (sums[zone][0] + m, sums[zone][1] + h)
-                else:
-                    sums[zone] = (m, h)
-            if len(sums) >= flush_at:
-                yield rows(sums)
-                sums = {}
-        if sums:
-            yield rows(sums)
-
-    return run
-
-
-def _added_up(partial: DataFrame, salts: int = 64) -> DataFrame:
-    """Element-wise sum of the ``moments`` of each zone.
-
-    A zone has one array per task that saw it. They are added in two levels, so that not even a
-    zone found in every task brings more than its share of tasks / ``salts`` arrays together.
-    """
-    def added(arrays: Column) -> Column:
-        return F.aggregate(
-            F.slice(arrays, F.lit(2), F.size(arrays)), arrays[0],
-            lambda acc, m: F.zip_with(acc, m, lambda a, b: a + b))
-
-    salted = partial.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    for keys in (["zone", "salt"], ["zone"]):
-        salted = salted.groupBy(*keys).agg(
-            F.collect_list("moments").alias("all")).select(*keys, added(F.col("all")).alias("moments"))
-    return salted
-
-
-def _newton_step(k: int, tol: float):
-    """One damped Newton step per zone on the penalised dual; one row per zone."""
-    upper = np.triu_indices(k)
-
-    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for r in batch.itertuples(index=False):
-                v = np.asarray(r.moments, dtype=float)
-                lam, goal = np.asarray(r.lam, dtype=float), np.asarray(r.goal, dtype=float)
-                ridge = np.asarray(r.ridge, dtype=float)
-                gap = goal - v[1:k + 1] - ridge * lam
-                err = float(np.max(np.abs(gap) / np.maximum(goal, 1.0)))
-                norm = float(np.sum(gap * gap / np.maximum(goal, 1.0)))
-                done = False
-                if norm <= r.best_norm:
-                    # Met, or no longer gaining.
-                    done = err < tol or norm > 0.999 * r.best_norm
-                    h = np.zeros((k, k))
-                    h[upper] = v[k + 1:]
-                    spread = h + np.triu(h, 1).T
-                    h = spread + np.diag(ridge)
-                    # Rows and columns are scaled alike, so totals and small cells weigh the same.
-                    s = 1.0 / np.sqrt(np.maximum(np.diag(h), 1e-12))
-                    delta = s * np.linalg.lstsq(h * s[:, None] * s, gap * s, rcond=1e-14)[0]
-                    # No step changes the logarithms of the weights by more than 2 on average.
-                    change = np.sqrt(max(float(delta @ spread @ delta), 0.0) / max(v[0], 1e-12))
-                    delta = delta * min(1.0, 2.0 / change) if change > 0 else delta
-                    state = (lam, delta, 1.0, norm, err)
-                else:
-                    state = (np.asarray(r.best), np.asarray(r.delta), r.step / 2,
-                             r.best_norm, r.best_err)
-                    done = r.step < 1e-6  # the line has no better point
-                best, delta, size, best_norm, best_err = state
-                out.append((r.zone, best + size * delta, best, delta, size, best_norm, best_err,
-                            goal, ridge, r.rounds + 1, done))
-            yield pd.DataFrame(out, columns=[
-                "zone", "lam", "best", "delta", "step", "best_norm", "best_err", "goal", "ridge",
-                "rounds", "done"])
+    """Sums of w, w*x and w*x*x' of a block at the multipliers of its zone."""
+    def sums(row: dict) -> list[np.ndarray]:
+        x, w0 = unpacked(row, k)
+        factor = np.exp(np.minimum(x @ doubles(row["lam"]), 700.0))
+        w = w0 * np.minimum(factor, cap)
+        return [w.sum(keepdims=True), x.T @ w, (x * (w * (factor < cap))[:, None]).T @ x]
+    return sums
+
+
+def _newton_step(tol: float):
+    """One damped Newton step of a zone on the penalised dual."""
+    def step(now: dict, totals: Sequence[np.ndarray]) -> dict:
+        total, made, spread = totals
+        lam, goal, ridge = (doubles(now[c]) for c in ("lam", "goal", "ridge"))
+        k = len(lam)
+        spread = spread.reshape(k, k)
+        gap = goal - made - ridge * lam
+        err = float(np.max(np.abs(gap) / np.maximum(goal, 1.0)))
+        norm = float(np.sum(gap * gap / np.maximum(goal, 1.0)))
+        if norm <= now["best_norm"]:
+            # Met, or no longer gaining.
+            done = err < tol or norm > 0.999 * now["best_norm"]
+            h = spread + np.diag(ridge)
+            # Rows and columns are scaled alike, so totals and small cells weigh the same.
+            s = 1.0 / np.sqrt(np.maximum(np.diag(h), 1e-12))
+            delta = s * np.linalg.lstsq(h * s[:, None] * s, gap * s, rcond=1e-14)[0]
+            # No step changes the logarithms of the weights by more than 2 on average.
+            change = np.sqrt(max(float(delta @ spread @ delta), 0.0) / max(total[0], 1e-12))
+            delta = delta * min(1.0, 2.0 / change) if change > 0 else delta
+            best, size, found = lam, 1.0, {"best_norm": norm, "best_err": err}
+        else:
+            done = now["step"] < 1e-6  # the line has no better point
+            best, delta, size, found = doubles(now["best"]), doubles(now["delta"]), now["step"] / 2, {}
+        return {"lam": (best + size * delta).tobytes(), "best": best.tobytes(),
+                "delta": delta.tobytes(), "step": size, "rounds": now["rounds"] + 1, "done": done,
+                **found}
 
     return step
 
 
+def as_bytes(column: Column) -> Column:
+    """Doubles of an array as the bytes that ``rounds`` works on."""
+    @F.pandas_udf("binary")
+    def convert(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: np.asarray(v, np.float64).tobytes())
+    return convert(column)
+
+
 def rake_multipliers(
     inc: DataFrame,
     controls: DataFrame,
@@ -185,54 +137,31 @@ def rake_multipliers(
     shorter one gains; the rounds go on with the other zones only, so one with contradictions
     costs no more than itself. ``error`` is the largest relative gap that is left.
 
-    Equal incidence rows are merged and written once. A round sums moments per task in numpy, adds
-    the tasks' sums per zone, and solves one small system per zone; only the table of zone
-    multipliers passes from round to round, through the shared folder.
+    Equal incidence rows are merged and packed into blocks once. A round sums the moments of the
+    blocks in numpy and solves one small system per zone; the multipliers alone go from round to
+    round, once per block, through the shared folder. A zone without seeds keeps multipliers of 0.
     """
     k = len(targets)
     imp = [float((importance or {}).get(t, 1000.0)) for t in targets]
-    zone_type = inc.schema[by].dataType.simpleString()
-    x = _incidence_array(targets)
-    merged = cut(
-        inc.select(F.col(by).alias("zone"), x.alias("x"), F.col(weight).cast("double").alias("w"))
-        .groupBy("zone", "x").agg(F.sum("w").alias("w0"))
-        .repartitionByRange("zone", F.xxhash64("x"))
-    )
+    blocks = packed(
+        inc.select(F.col(by).alias("zone"), incidence_array(targets).alias("x"),
+                   F.col(weight).cast("double").alias("w"))
+        .groupBy("zone", "x").agg(F.sum("w").alias("w")), k)
     goal = F.expr(
         f"array({', '.join(f'coalesce(CAST({t} AS DOUBLE), 0D)' for t in targets)})")
     weights = F.expr(f"array({', '.join(f'{v}D' for v in imp)})")
-    zeros = F.array_repeat(F.lit(0.0), k)
-    state = cut(
-        controls.select(F.col(by).alias("zone"), goal.alias("goal"))
-        .withColumn("ridge", F.zip_with(
-            "goal", weights, lambda c, i: F.greatest(c, F.lit(1.0)) * F.lit(1e-3) / i))
-        .select(
-            "zone", zeros.alias("lam"), zeros.alias("best"), zeros.alias("delta"),
-            F.lit(1.0).alias("step"), F.lit(float("inf")).alias("best_norm"),
-            F.lit(float("inf")).alias("best_err"), "goal", "ridge",
-            F.lit(0).alias("rounds"), F.lit(False).alias("done"))
-    )
-    state_schema = state.schema
-    moment_schema = f"zone {zone_type}, moments array<double>"
-    finished = []
-    while True:
-        partial = (
-            merged.join(state.select("zone", "lam"), "zone").select("zone", "x", "w0", "lam")
-            .mapInPandas(_moments(k, max_expansion), moment_schema)
-        )
-        after = cut(state.join(_added_up(partial), "zone").mapInPandas(
-            _newton_step(k, tol), state_schema))
-        finished.append(after.filter("done"))
-        state = after.filter("NOT done")
-        if state.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, finished).select(
-        F.col("zone").alias(by), F.col("best").alias("multipliers"),
-        F.col("best_err").alias("error"), "rounds")
-
-
-def _incidence_array(targets: Sequence[str]) -> Column:
-    return F.expr(f"array({', '.join(f'CAST({t} AS DOUBLE)' for t in targets)})")
+    ridge = F.zip_with(goal, weights, lambda c, i: F.greatest(c, F.lit(1.0)) * F.lit(1e-3) / i)
+    zeros = F.lit(bytes(8 * k))
+    state = cut(controls.select(
+        F.col(by).alias("zone"), *[zeros.alias(c) for c in ("lam", "best", "delta")],
+        F.lit(1.0).alias("step"), F.lit(float("inf")).alias("best_norm"),
+        F.lit(float("inf")).alias("best_err"), as_bytes(goal).alias("goal"),
+        as_bytes(ridge).alias("ridge"), F.lit(0).alias("rounds"), F.lit(False).alias("done")))
+    found = rounds(blocks, state, ["lam"], _moments(k, max_expansion), _newton_step(tol))
+    as_array = F.pandas_udf(lambda v: v.map(lambda b: np.frombuffer(b, np.float64)),
+                            "array<double>")
+    return found.select(F.col("zone").alias(by), as_array("best").alias("multipliers"),
+                        F.col("best_err").alias("error"), "rounds")
 
 
 def rake_weights(
@@ -255,7 +184,7 @@ def rake_weights(
     found = rake_multipliers(
         inc, controls, targets, by, weight, importance, tol, max_expansion).select(
             by, F.col("multipliers").alias("__lam"))
-    dot = F.aggregate(F.zip_with(_incidence_array(targets), "__lam", lambda a, b: a * b),
+    dot = F.aggregate(F.zip_with(incidence_array(targets), "__lam", lambda a, b: a * b),
                       F.lit(0.0), lambda acc, v: acc + v)
     capped = F.least(F.exp(dot), F.lit(float(max_expansion)))
     return inc.join(found, by).select(
@@ -323,124 +252,8 @@ def integerize(
 
 
 # --------------------------------------------------------------------------
-# Allocation to child zones
+# Copies
 # --------------------------------------------------------------------------
-_BLOCK = 32  # places per block; bounds the rows of either side that share a join key
-
-
-def _shares(x: np.ndarray, goal: np.ndarray, wanted: np.ndarray, upper: np.ndarray,
-            parent: np.ndarray, tol: float = 1e-4) -> np.ndarray:
-    """Share of each cell's households in each child, at greatest entropy for the controls.
-
-    ``x`` holds the incidence of the cells, first the children's targets, then those of the
-    parents; ``wanted`` the children's and ``upper`` the parents' controls, ``parent`` the parent of
-    each child. A share is proportional to exp(x . multipliers of the child and of its parent) and
-    a cell's shares add up to one, so its households always do. The dual is concave; each child
-    and parent takes its own Newton step with the curvature its households have alone, which
-    bounds the true one, and all of them together are shortened until the dual grows. It ends when
-    the controls are met or a step gains next to nothing.
-    """
-    k = wanted.shape[1]
-    own, theirs = x[:, :k], x[:, k:]
-    lam, mu = np.zeros_like(wanted), np.zeros_like(upper)
-    # Controls that contradict each other are met in proportion to their size.
-    ridge, ridge_up = 1e-3 * np.maximum(wanted, 1.0), 1e-3 * np.maximum(upper, 1.0)
-
-    def state(lam: np.ndarray, mu: np.ndarray):
-        z = own @ lam.T + (theirs @ mu.T)[:, parent]
-        top = z.max(axis=1, keepdims=True)
-        e = np.exp(z - top)
-        total = e.sum(axis=1, keepdims=True)
-        dual = ((lam * wanted).sum() + (mu * upper).sum() - goal @ (top + np.log(total))[:, 0]
-                - 0.5 * ((ridge * lam ** 2).sum() + (ridge_up * mu ** 2).sum()))
-        return e / total, dual
-
-    def newton(rows: np.ndarray, gap: np.ndarray, n: np.ndarray, ridge: np.ndarray):
-        """Steps of all zones, from their gaps (zone, target) and households (cell, zone)."""
-        h = np.stack([(rows * n[:, b, None]).T @ rows for b in range(len(gap))])
-        at = np.arange(rows.shape[1])
-        h[:, at, at] += ridge
-        scale = 1 / np.sqrt(h[:, at, at])
-        h *= scale[:, :, None] * scale[:, None, :]
-        h[:, at, at] += 1e-9  # targets can add up to others
-        return scale * np.linalg.solve(h, (gap * scale)[:, :, None])[:, :, 0]
-
-    share, dual = state(lam, mu)
-    last = None
-    while True:
-        n = share * goal[:, None]
-        gap = wanted - n.T @ own - ridge * lam
-        by_parent = np.zeros((len(x), len(upper)))
-        np.add.at(by_parent.T, parent, n.T)
-        gap_up = upper - by_parent.T @ theirs - ridge_up * mu
-        worst = max(np.abs(g / np.maximum(c, 1.0)).max(initial=0.0)
-                    for g, c in ((gap, wanted), (gap_up, upper)))
-        if worst < tol:
-            return share
-        towards = newton(own, gap, n, ridge), (
-            newton(theirs, gap_up, by_parent, ridge_up) if upper.shape[1] else mu)
-        # Conjugate to the last direction, with the block-wise Newton steps as preconditioner.
-        slope = (gap * towards[0]).sum() + (gap_up * towards[1]).sum()
-        turn = 0.0 if last is None else max(0.0, (
-            slope - (last[0] * towards[0]).sum() - (last[1] * towards[1]).sum()) / last[2])
-        step = towards if last is None else tuple(
-            t + turn * w for t, w in zip(towards, last[3]))
-        if (gap * step[0]).sum() + (gap_up * step[1]).sum() <= 0.1 * slope:
-            step = towards
-        last = (gap, gap_up, max(slope, 1e-300), step)
-        # A multiplier moves by no more than 3 at a time: zero controls lie at minus infinity.
-        size = min(1.0, 3.0 / max(np.abs(step[0]).max(initial=0.0),
-                                  np.abs(step[1]).max(initial=0.0), 1e-12))
-        while True:
-            tried, value = state(lam + size * step[0], mu + size * step[1])
-            if value - dual > 3e-6 * goal.sum():
-                break
-            if size < 1e-2:
-                return share
-            size /= 4
-        lam, mu, share, dual = lam + size * step[0], mu + size * step[1], tried, value
-
-
-def _whole_places(share: np.ndarray, x: np.ndarray, goal: np.ndarray) -> np.ndarray:
-    """Integer places with the cells' totals kept, rounding so that errors cancel per child.
-
-    Cells come one after the other, the heaviest first. What rounding has taken from a child's
-    controls so far, measured along the cell's own incidence, is added to the child's fraction;
-    the places beyond the whole parts go to the largest.
-    """
-    out = np.floor(share * goal[:, None] + 1e-9).astype(np.int64)
-    short = np.zeros((share.shape[1], x.shape[1]))
-    for s in np.lexsort((np.arange(len(goal)), -goal)):
-        n = share[s] * goal[s]
-        rest = int(goal[s] - out[s].sum())
-        if rest > 0:
-            score = n - out[s] + short @ x[s] / (x[s] @ x[s] + 1.0)
-            out[s, np.argsort(-score, kind="stable")[:rest]] += 1
-        short += np.outer(n - out[s], x[s])
-    return out
-
-
-def _place_cells(by: str, child: str):
-    """Places of each (child, cell) of one zone."""
-    def run(cells: pd.DataFrame, children: pd.DataFrame) -> pd.DataFrame:
-        columns = [by, child, "cell", "places"]
-        if cells.empty or children.empty:
-            return pd.DataFrame({c: [] for c in columns}).astype("int64")
-        cells = cells.sort_values("cell")
-        children = children.sort_values(child)
-        x, goal = np.array(cells["x"].tolist(), float), cells["goal"].to_numpy(float)
-        parent, first = np.unique(children["parent"].to_numpy(), return_index=True)
-        of = np.searchsorted(parent, children["parent"].to_numpy())
-        wanted = np.array(children["own"].tolist(), float)
-        upper = np.array(children["upper"].tolist(), float).reshape(len(children), -1)[first]
-        places = _whole_places(_shares(x, goal, wanted, upper, of), x, goal)
-        s, b = np.nonzero(places)
-        return pd.DataFrame({
-            by: cells[by].iloc[0], child: children[child].to_numpy()[b],
-            "cell": cells["cell"].to_numpy()[s], "places": places[s, b]})
-    return run
-
-
 def slots(
     df: DataFrame, n: str, order: Sequence[str], by: Sequence[str], spread: bool = False
 ) -> DataFrame:
@@ -451,11 +264,11 @@ def slots(
     """
     used = df.filter(F.col(n) > 0)
     ends = running_total(used, n, order, by, out="__end")
-    return _repeated(ends, n, spread).withColumn(
+    return repeated(ends, n, spread).withColumn(
         "slot", F.col("__end") - F.col(n) + F.col("__copy")).drop("__end", "__copy")
 
 
-def _repeated(df: DataFrame, n: str, spread: bool, chunk: int = 4096) -> DataFrame:
+def repeated(df: DataFrame, n: str, spread: bool, chunk: int = 4096) -> DataFrame:
     """``n`` copies of each row with ``__copy`` = 1..n, generated in bounded pieces."""
     pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(n) - 1) / chunk).cast("bigint"))
     last = F.least(F.lit(chunk).cast("bigint"), F.col(n) - F.col("__piece") * chunk)
@@ -470,93 +283,6 @@ def _repeated(df: DataFrame, n: str, spread: bool, chunk: int = 4096) -> DataFra
     )
 
 
-def _laid_out(
-    df: DataFrame, n: str, order: Sequence[str], by: Sequence[str], spread: bool = False
-) -> DataFrame:
-    """Lay the rows of a group end to end, each ``n`` long, and cut them at block borders.
-
-    A piece has its ``block`` and the stretch ``[lo, hi)`` it covers there.
-    """
-    ends = running_total(df.filter(F.col(n) > 0), n, order, by, out="__end")
-    first = F.floor((F.col("__end") - F.col(n)) / _BLOCK).cast("bigint")
-    last = F.floor((F.col("__end") - 1) / _BLOCK).cast("bigint")
-    counted = ends.withColumns({"__first": first, "__blocks": last - first + 1})
-    block = F.col("__first") + F.col("__copy") - 1
-    return _repeated(counted, "__blocks", spread).withColumn("block", block).withColumns({
-        "lo": F.greatest(F.col("__end") - F.col(n), F.col("block") * _BLOCK),
-        "hi": F.least(F.col("__end"), (F.col("block") + 1) * _BLOCK),
-    }).drop("__first", "__blocks", "__end", "__copy", n)
-
-
-def allocate_to_children(
-    weights: DataFrame,
-    inc: DataFrame,
-    children: DataFrame,
-    child: str,
-    fields: Mapping[str, str],
-    parent: str | None = None,
-    parents: DataFrame | None = None,
-    parent_fields: Mapping[str, str] | None = None,
-    by: str = "PUMA",
-    weight: str = "int_weight",
-    key: str = "hh_id",
-) -> DataFrame:
-    """Distribute integer household weights over the child zones of their zone.
-
-    ``fields`` maps every target to its column in ``children``, ``parent_fields`` those that are
-    published for ``parent`` zones to their column in ``parents``; ``inc`` has the incidence of
-    all of them. Households with equal incidence form a cell. The cells of a zone are shared among
-    its children so that the children's and the parents' controls are met (see ``_shares``), and
-    rounded with the cells' totals kept. The copies of households and the places in children are
-    then laid out along the same line within each cell, and what overlaps is matched, in blocks
-    of fixed length, so a household meets only the children of its own blocks.
-
-    One task fits one zone, from one row per different incidence and one per child. A seed zone
-    is bounded by its definition (some hundred children, some thousand seed households). Weights
-    of a zone without children are not placed. Returns ``key``, ``by``, ``child`` and ``weight``.
-    """
-    upper = dict(parent_fields or {})
-    x = F.expr("array(" + ", ".join(f"CAST({t} AS BIGINT)" for t in [*fields, *upper]) + ")")
-
-    def goals(columns: Sequence[str]) -> Column:
-        return F.expr("CAST(array(" + ", ".join(
-            f"coalesce(CAST({c} AS DOUBLE), 0D)" for c in columns) + ") AS ARRAY<DOUBLE>)")
-
-    rows = cut(weights.select(key, by, weight).filter(F.col(weight) > 0).join(
-        inc.select(key, x.alias("x")), key))
-    cells = cut(rows.groupBy(by, "x").agg(
-        F.min(key).alias("cell"), F.sum(weight).alias("goal")))
-    zones = children.select(
-        by, child, (F.col(parent) if parent else F.lit(0)).alias("parent"),
-        goals(list(fields.values())).alias("own"))
-    if upper:
-        zones = zones.join(parents.select(
-            F.col(parent).alias("parent"), goals(list(upper.values())).alias("upper")),
-            "parent", "left")
-    else:
-        zones = zones.withColumn("upper", F.array().cast("array<double>"))
-    # A parent without published values asks for nothing of its own.
-    zones = zones.withColumn("upper", F.coalesce(
-        "upper", F.array_repeat(F.lit(0.0), len(upper))))
-    kinds = {f.name: f.dataType.simpleString() for f in (*cells.schema, *zones.schema)}
-    places = cut(cells.groupBy(by).cogroup(zones.groupBy(by)).applyInPandas(
-        _place_cells(by, child), f"{by} {kinds[by]}, {child} {kinds[child]}, "
-        f"cell {kinds['cell']}, places bigint"))
-
-    cell = [by, "cell"]
-    offered = _laid_out(places, "places", [child], cell, spread=True)
-    # One row per cell and zone on the right: the rows of a frequent incidence split by AQE.
-    named = rows.join(cells.select(by, "x", "cell"), [by, "x"]).select(*cell, key, weight)
-    wanted = _laid_out(named, weight, [key], cell)
-    matched = wanted.join(
-        offered.withColumnsRenamed({"lo": "__lo", "hi": "__hi"}), [*cell, "block"])
-    shared = F.least("hi", "__hi") - F.greatest("lo", "__lo")
-    return (
-        matched.select(key, by, child, shared.alias(weight)).filter(F.col(weight) > 0)
-        .groupBy(key, by, child).agg(F.sum(weight).alias(weight))
-    )
-
-
 # --------------------------------------------------------------------------
 # Expansion, summaries, outputs
 # --------------------------------------------------------------------------

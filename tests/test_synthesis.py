@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from popflow.operators import synthesis as ops
+from popflow.operators.allocation import allocate_to_children
 from popflow.plans.synthesize import synthesize
 from popflow.plans.validate import validate
 from popflow.specs import CONTROLS
@@ -116,7 +117,7 @@ def test_allocation_keeps_households_and_meets_children(spark, population):
 
     own, upper = ["h", "s0", "s1"], ["s2"]
     children = sums("child", own).merge(pdf[["child", "PUMA", "group"]].drop_duplicates())
-    got = ops.allocate_to_children(
+    got = allocate_to_children(
         spark.createDataFrame(pdf[["hh_id", "PUMA", "n"]]), spark.createDataFrame(population),
         spark.createDataFrame(children), "child", {t: f"C_{t}" for t in own},
         "group", spark.createDataFrame(sums("group", upper)), {t: f"C_{t}" for t in upper},

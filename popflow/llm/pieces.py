@@ -1,7 +1,8 @@
 """Encoding into the pieces of a SentencePiece vocabulary, and back.
 
 The text, with one blank before it as SentencePiece adds it, is cut into words: letters, digits or
-other signs with at most one blank before them, and single white-space characters. For the
+other signs with at most one blank before them, runs of blanks up to the last one, and single other
+white-space characters. A run of more than ``LONGEST`` characters is several words. For the
 different words of a batch of documents a lattice is built as a relation: their substrings up to
 the longest piece are exploded, equi-joined with the piece table, and the edges grouped by word and
 end. A fold with the higher-order function ``aggregate`` (Viterbi) keeps the best way to each
@@ -10,12 +11,12 @@ its words. A character no piece covers becomes its UTF-8 bytes, which the vocabu
 of their own, so every text can be decoded exactly; U+2581, which stands for the blank, is one.
 
 Batches are bounded and nothing is shuffled: the piece table is as large as the vocabulary. A task
-keeps the words it has seen, up to a fixed number, and builds lattices for new ones only. (One
+keeps the words it has seen, up to a number of bytes, and builds lattices for new ones only. (One
 dictionary for the whole corpus was tried: bringing the words of each text back to it takes a join
 on the words and another on the texts, over three times the input in shuffle files.)
 
 A vocabulary whose scores are merge ranks has no probabilities; pieces are then scored by Zipf's
-law on the rank, ``-ln(rank + 2)``.
+law on the rank, ``-ln(rank + 2)``. Decoding is a column expression over the table of pieces.
 """
 
 from __future__ import annotations
@@ -31,15 +32,15 @@ from pyspark.sql import functions as F
 
 from popflow.llm.common import small_batches
 
-LONGEST = 48  # letters, digits or signs of a word; a longer run is several words
+LONGEST = 4096  # letters, digits, signs or blanks of a word; a longer run is several words
 BATCH_TEXTS, BATCH_WORDS = 250, 1 << 16
-KNOWN_WORDS, LATTICE_WORDS = 1 << 19, 1 << 13  # kept by a task; exploded at a time
+KNOWN_BYTES, LATTICE_CHARS = 3 << 20, 1 << 16  # of words a task keeps; of words exploded at a time
 UNKNOWN = -20.0  # score of a character written as bytes
-_ROW_BITS, _STARTS = 21, 64  # of an edge: place in the piece table, position where it starts
+_ROW_BITS, _LENGTHS = 21, 64  # of an edge: place in the piece table, and how long the piece is
 _EDGE_BITS = _ROW_BITS + 6
 _SCORE_MASK = -(1 << _EDGE_BITS)
 _UNIT = 1 << 16  # scores are multiples of 1 / _UNIT
-WORDS = (rf" ?\p{{L}}{{1,{LONGEST}}}| ?\p{{N}}{{1,{LONGEST}}}"
+WORDS = (rf" {{1,{LONGEST}}}(?= )| ?\p{{L}}{{1,{LONGEST}}}| ?\p{{N}}{{1,{LONGEST}}}"
          rf"| ?[^\s\p{{L}}\p{{N}}]{{1,{LONGEST}}}|\s")
 
 
@@ -81,8 +82,10 @@ def words_of(text: Column) -> Column:
 
 
 def lattice(words: pa.Array, pieces: pa.Array, scores: np.ndarray) -> pa.ListArray:
-    """Edges of each word by end position: score, start and row of the piece in one number.
+    """Edges of each word by end position: score, length and row of the piece in one number.
 
+    The length is held as what it lacks to the longest possible, so that a larger number is the
+    edge that starts later.
     A character without a piece has as its row the length of the table plus its code point.
     """
     sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -117,7 +120,7 @@ def lattice(words: pa.Array, pieces: pa.Array, scores: np.ndarray) -> pa.ListArr
     row = code[keep]
     score = np.where(row < len(pieces), scores[np.minimum(row, len(pieces) - 1)], UNKNOWN)
     edges = (np.rint(score * _UNIT).astype(np.int64) << _EDGE_BITS) + (
-        start[keep] << _ROW_BITS) + row
+        _LENGTHS - 1 - end[keep] + start[keep] << _ROW_BITS) + row
     ends = pa.ListArray.from_arrays(
         pa.array(np.searchsorted(place, np.arange(sizes.sum() + 1)).astype(np.int32)),
         pa.array(edges))
@@ -127,12 +130,13 @@ def lattice(words: pa.Array, pieces: pa.Array, scores: np.ndarray) -> pa.ListArr
 def viterbi(ends: Column) -> Column:
     """Best way to each position of a word: the score above, its last edge below.
 
-    An edge carries its score, start and row in one number, so a step adds the best score at the
-    start to it and the greatest sum wins; ties go to the later start, then the larger row.
+    An edge carries its score, length and row in one number, so a step adds the best score where it
+    starts to it and the greatest sum wins; ties go to the later start, then the larger row.
     """
     def step(best: Column, ways: Column) -> Column:
         def reach(edge: Column) -> Column:
-            start = F.shiftright(edge, _ROW_BITS).bitwiseAND(F.lit(_STARTS - 1)).cast("int")
+            start = F.size(best) - (_LENGTHS - 1) + F.shiftright(edge, _ROW_BITS).bitwiseAND(
+                F.lit(_LENGTHS - 1)).cast("int")
             return F.get(best, start).bitwiseAND(F.lit(_SCORE_MASK)) + edge
         return F.concat(best, F.array(F.array_max(F.transform(ways, reach))))
 
@@ -168,8 +172,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
     sent = {c: "boolean" if c == text else k for c, k in kinds.items()}
     table = pa.array([p for p, _, _ in vocabulary.pieces], pa.string())
     scores = np.array([s for _, _, s in vocabulary.pieces])
-    if len(table) + 0x110000 > 1 << _ROW_BITS or LONGEST >= _STARTS:
-        raise ValueError("the vocabulary or the words are too large for the edges")
+    if len(table) + 0x110000 > 1 << _ROW_BITS or vocabulary.longest >= _LENGTHS:
+        raise ValueError("the vocabulary or its pieces are too large for the edges")
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row per batch of documents: their columns, words by number, and the words that
@@ -184,15 +188,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
                 part = batch.slice(a, b - a)
                 counts, flat = _flat(part.column("words"))
                 coded = flat.cast(pa.string()).dictionary_encode()
-                if len(known) > KNOWN_WORDS:
+                if known.nbytes > KNOWN_BYTES:
                     known, afresh = pa.array([], pa.string()), True
                 at = pc.index_in(coded.dictionary, value_set=known)
                 new = coded.dictionary.filter(pc.is_null(at))
                 place = at.fill_null(-1).to_numpy().astype(np.int32)
                 place[place < 0] = len(known) + np.arange(len(new), dtype=np.int32)
                 known = pa.concat_arrays([known, new])
-                lattices = [lattice(new.slice(i, LATTICE_WORDS), table, scores)
-                            for i in range(0, max(len(new), 1), LATTICE_WORDS)]
+                ends = np.cumsum(pc.utf8_length(new).to_numpy(zero_copy_only=False))
+                borders = np.unique(np.r_[0, np.searchsorted(ends, np.arange(
+                    LATTICE_CHARS, ends[-1] if len(ends) else 0, LATTICE_CHARS)), len(new)])
+                lattices = [lattice(new.slice(i, j - i), table, scores)
+                            for i, j in zip(borders, borders[1:])] or [lattice(new, table, scores)]
                 yield pa.RecordBatch.from_arrays(
                     [one(part.column(n)) for n in named.values()]
                     + [one(pa.array(counts.astype(np.int32))),
@@ -256,7 +263,7 @@ def _rows_of(best: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     while len(words):
         last = edge[offsets[words] + at]
         found.append((words, last & ((1 << _ROW_BITS) - 1)))
-        at = last >> _ROW_BITS & (_STARTS - 1)
+        at = at - (_LENGTHS - 1) + (last >> _ROW_BITS & (_LENGTHS - 1))
         words, at = words[at > 0], at[at > 0]
     if not found:
         return np.zeros(1, np.int64), np.empty(0, np.int64)
@@ -285,25 +292,19 @@ def _pieces_of(ways: tuple[np.ndarray, np.ndarray], ids: np.ndarray, bytes_of: n
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, out: str = "decoded") -> DataFrame:
-    """``encoded`` with the text its ``pieces`` stand for; an input column ``out`` is replaced."""
-    rest = [c for c in encoded.columns if c != out]
-    rows = encoded.select(*rest)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    """``encoded`` with the text its ``pieces`` stand for; an input column ``out`` is replaced.
+
+    Ids outside the vocabulary stand for nothing, null or no pieces for the empty text.
+    """
     parts: dict[int, bytes] = {i: p.encode() for p, i, _ in vocabulary.pieces}
     parts.update({i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)})
-    table = pa.array([parts.get(i, b"") for i in range(max(parts) + 1)], pa.binary())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            offsets, flat = _flat(batch.column("pieces"))
-            texts = pc.binary_join(pa.ListArray.from_arrays(
-                pa.array(offsets.astype(np.int32)), table.take(flat)), b"")
-            # The blank that encoding put before the text goes.
-            texts = pa.array([t[1:].decode() for t in texts.to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in rest] + [texts], names=[*rest, out])
-
-    return rows.mapInArrow(run, f"{schema}, {out} string")
+    # One constant of the plan, as large as the vocabulary.
+    table = F.split(F.lit(",".join(parts.get(i, b"").hex() for i in range(max(parts) + 1))), ",")
+    joined = F.array_join(F.transform("pieces", lambda p: F.get(table, p)), "")
+    # The blank that encoding put before the text goes.
+    text = F.substring(F.unhex(joined).cast("string"), 2, 1 << 30)
+    rest = [F.col(c) for c in encoded.columns if c != out]
+    return encoded.select(*rest, F.coalesce(text, F.lit("")).alias(out))
 
 
 def default_model() -> str:

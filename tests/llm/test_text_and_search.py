@@ -148,9 +148,9 @@ def test_pieces_round_trip(spark, vocabulary, monkeypatch):
              " lead", "trail ", "\n", "Straße naïve coöperate", "word " * 3000]
     df = spark.createDataFrame(
         [(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, pieces string")
-    for n, known in ((250, 1000), (2, 5)):  # also batches after a task has forgotten its words
+    for n, known in ((250, 1 << 20), (2, 5)):  # also batches after a task has forgotten its words
         monkeypatch.setattr(pieces, "BATCH_TEXTS", n)
-        monkeypatch.setattr(pieces, "KNOWN_WORDS", known)
+        monkeypatch.setattr(pieces, "KNOWN_BYTES", known)
         coded = cut(pieces.encode(df, vocabulary))
         back = pieces.decode(coded, vocabulary).toPandas().sort_values("doc_id")
         assert back["decoded"].tolist() == [t or "" for t in texts]
@@ -158,6 +158,34 @@ def test_pieces_round_trip(spark, vocabulary, monkeypatch):
     assert pieces.encode(df.limit(0), vocabulary).count() == 0
 
 
+def test_long_runs_are_one_word(spark, vocabulary):
+    """Runs of letters, signs and blanks of some hundred characters, against Viterbi on whole runs."""
+    rng = np.random.default_rng(4)
+    runs = ["".join(rng.choice(list("aeinrstloché"), 700)), "=" * 300, "-=" * 200, " " * 301 + "end",
+            "7" * 333, "x" * 5000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(runs)], "doc_id long, text string")
+    score = {i: s for _, i, s in vocabulary.pieces}
+    for r in pieces.encode(df, vocabulary).collect():
+        if r.text[0] == " ":  # the last blank goes with the word, the blank added with the others
+            words = [" " * 301, " end"]
+        elif len(r.text) > pieces.LONGEST:
+            words = [" " + r.text[:pieces.LONGEST], r.text[pieces.LONGEST:]]
+        else:
+            words = [" " + r.text]
+        want = sum(brute_viterbi(w, vocabulary)[0] for w in words)
+        known = [score[p] for p in r.pieces if p in score]
+        lost = sum(c not in {p for p, _, _ in vocabulary.pieces} for c in r.text)
+        assert sum(known) + pieces.UNKNOWN * lost == pytest.approx(want, rel=1e-4)
+    blanks = {i for p, i, _ in vocabulary.pieces if p.strip(" ") == "" and len(p) > 1}
+    assert blanks & set(pieces.encode(df, vocabulary).filter("doc_id = 3").first().pieces)
+
+
+def test_decoding_ignores_foreign_ids(spark, vocabulary):
+    ids = {p: i for p, i, _ in vocabulary.pieces}
+    df = spark.createDataFrame([([ids[" a"], 10 ** 6, -1, ids["b"]],), ([],), (None,)], "pieces array<int>")
+    assert [r.decoded for r in pieces.decode(df, vocabulary).collect()] == ["ab", "", ""]
+
+
 def test_pieces_are_the_best_way(spark, vocabulary):
     rng = random.Random(1)
     texts = ["".join(rng.choice("abcdeéßñ tion ing,.") for _ in range(30)) for _ in range(20)]

@@ -34,7 +34,7 @@ from popflow.llm.common import small_batches
 
 LONGEST = 4096  # letters, digits, signs or blanks of a word; a longer run is several words
 BATCH_TEXTS, BATCH_WORDS = 250, 1 << 16
-KNOWN_BYTES, LATTICE_CHARS = 3 << 20, 1 << 16  # of words a task keeps; of words exploded at a time
+KNOWN_BYTES, LATTICE_CHARS = 8 << 20, 1 << 16  # of words a task keeps; of words exploded at a time
 UNKNOWN = -20.0  # score of a character written as bytes
 _ROW_BITS, _LENGTHS = 21, 64  # of an edge: place in the piece table, and how long the piece is
 _EDGE_BITS = _ROW_BITS + 6

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,18 +57,18 @@ def remainder_control(t: Roles) -> DataFrame:
     return t.prepared("TRACT")["TRACT"]
 
 
-@query("remainder_negative", "SELECT BG, P_NON_UNIVERSITY AS remainder, "
+@query("remainder_negative", "SELECT BG AS zone, P_NON_UNIVERSITY AS remainder, "
        "'P_NON_UNIVERSITY' AS name FROM bg_controls WHERE P_NON_UNIVERSITY <= 0 "
        "UNION ALL SELECT BG, P_NON_WORKER, 'P_NON_WORKER' FROM bg_controls "
-       "WHERE P_NON_WORKER <= 0")
+       "WHERE P_NON_WORKER <= 0 "
+       "UNION ALL SELECT TRACT, P_MODE_NA, 'P_MODE_NA' FROM tract_controls WHERE P_MODE_NA <= 0")
 def remainder_negative(t: Roles) -> DataFrame:
-    bg = t.prepared("BG")["BG"]
-    parts = [
-        targets.negative_remainders(bg, name, ["BG"]).select(
-            "BG", F.col(name).alias("remainder"), F.lit(name).alias("name"))
-        for name, spec in REMAINDERS.items() if spec.geography == "BG"
-    ]
-    return parts[0].unionByName(parts[1])
+    made = t.prepared("BG", "TRACT")
+    return reduce(DataFrame.unionByName, [
+        targets.negative_remainders(made[spec.geography], name, [spec.geography]).select(
+            F.col(spec.geography).alias("zone"), F.col(name).alias("remainder"),
+            F.lit(name).alias("name"))
+        for name, spec in REMAINDERS.items()])
 
 
 @query("drop_empty_zones", """

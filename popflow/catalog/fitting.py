@@ -10,8 +10,7 @@ from popflow.catalog.roles import Roles
 from popflow.operators import fit
 from popflow.specs import CONTROLS
 
-_BG = [c for c in CONTROLS if c.geography == "BG"]
-PAIRS = [(c.target, c.control_field) for c in _BG]
+PAIRS = [(c.target, c.control_field) for c in CONTROLS]
 
 
 def _summary_columns() -> dict[str, str]:

@@ -98,10 +98,10 @@ def nearest_zone(t: Roles) -> DataFrame:
 
 
 @query("nearest_zone_any_distance", f"""WITH {_GEO}
-SELECT point_id, GEOID, round(dist_m, 3) AS dist_m FROM best""")
+SELECT p.point_id, GEOID, round(dist_m, 3) AS dist_m FROM points p LEFT JOIN best USING (point_id)""")
 def nearest_zone_any_distance(t: Roles) -> DataFrame:
-    return spatial.nearest_any(points(t), zones(t)).filter("GEOID IS NOT NULL").withColumn(
-        "dist_m", F.round("dist_m", 3))
+    """Points of states without zones are rows without a zone."""
+    return spatial.nearest_any(points(t), zones(t)).withColumn("dist_m", F.round("dist_m", 3))
 
 
 _E2 = 0.0066943799901413165

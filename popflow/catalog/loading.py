@@ -9,7 +9,7 @@ from popflow.catalog.registry import query
 from popflow.catalog.roles import Roles
 from popflow.functions import text
 from popflow.sources import census, files, listing, microdata
-from popflow.session import new_path
+from popflow.session import cut, new_path
 from popflow.specs import PUMS_HH, STATES
 
 
@@ -48,6 +48,27 @@ def incremental_new_keys(t: Roles) -> DataFrame:
     return microdata.new_rows(incoming, cached, "o_orderkey")
 
 
+@query("cache_versions", """
+SELECT 2 AS version, SERIALNO, ST, WGTP, NULL AS NP FROM hh_raw
+UNION ALL SELECT 3, SERIALNO, ST, WGTP, NP FROM hh_raw""")
+def cache_versions(t: Roles) -> DataFrame:
+    """A cache begun with two states, given the others, asked again in vain, and rebuilt with one
+    more column; beside it lies what a stopped job has written."""
+    raw = t.hh_raw().select("SERIALNO", "ST", "WGTP", "NP")
+    path = new_path(t.spark)
+    some = raw.drop("NP")
+    microdata.append_states(t.spark, some.filter("ST <= 2"), path, cached=False)
+    for _ in range(2):
+        microdata.append_states(t.spark, some, path)
+    microdata.append_states(t.spark, raw, path)
+    raw.withColumn("WGTP", F.lit(-1)).write.partitionBy("ST").parquet(f"{path}/parts/part=stopped")
+    second = microdata.read_cache(t.spark, path, 2).withColumn(
+        "NP", F.lit(None).cast(raw.schema["NP"].dataType))
+    return second.withColumn("version", F.lit(2)).unionByName(
+        microdata.read_cache(t.spark, path).withColumn("version", F.lit(3))).select(
+            "version", "SERIALNO", F.col("ST").cast("bigint").alias("ST"), "WGTP", "NP")
+
+
 @query("coverage_gaps", """
 SELECT count(*) AS n_missing_keys, 'o_clerk' AS missing_columns, false AS complete
 FROM (SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN
@@ -237,6 +258,46 @@ def named_inputs(t: Roles) -> DataFrame:
         .select(F.lit(name).alias("name"), "n_rows", "id_sum") for name, df in tables.items()])
 
 
+@query("combined_states", """
+SELECT STATE, BG, H_TOTAL, P_TOTAL FROM bg_controls WHERE STATE <> 3
+UNION ALL SELECT 3, NULL, NULL, NULL""")
+def combined_states(t: Roles) -> DataFrame:
+    """Block groups of the states' folders, whose columns differ in order; state 3 has no file."""
+    bg = cut(t.prepared("BG")["BG"].select("STATE", "BG", "H_TOTAL", "P_TOTAL"))
+    root, name = new_path(t.spark), files.INPUT_FILES["BG"]
+    for state in (1, 2, 4, 5):
+        columns = bg.columns if state % 2 else bg.columns[::-1]
+        files.write_csv(bg.filter(F.col("STATE") == state).select(*columns),
+                        f"{root}/{state}/{name}")
+    files.write_csv(bg.select("BG"), f"{root}/9/{name}")  # not asked for
+    got, missing = files.combine_states(t.spark, root, name, [str(s) for s in range(1, 6)])
+    return got.select(*bg.columns).unionByName(
+        missing.select(F.col("state").cast("bigint").alias("STATE")), allowMissingColumns=True)
+
+
+@query("summaries_by_file", """
+SELECT 'BG' AS geography, c_custkey AS id, CAST(c_nationkey AS DOUBLE) AS a_control,
+       c_acctbal AS a_result, NULL AS b_control FROM customer
+UNION ALL SELECT 'BG_PUMA', c_nationkey, count(*), round(sum(c_acctbal), 2), NULL FROM customer
+GROUP BY c_nationkey
+UNION ALL SELECT 'TRACT', s_suppkey, NULL, s_acctbal, s_nationkey FROM supplier""")
+def summaries_by_file(t: Roles) -> DataFrame:
+    """Summaries written as files and read by geography, two of them with one header."""
+    tables = {
+        "BG": t.table("customer").selectExpr(
+            "c_custkey AS id", "c_nationkey AS a_control", "c_acctbal AS a_result"),
+        "BG_PUMA": t.table("customer").groupBy(F.col("c_nationkey").alias("id")).agg(
+            F.count(F.lit(1)).alias("a_control"), F.round(F.sum("c_acctbal"), 2).alias("a_result")),
+        "TRACT": t.table("supplier").selectExpr(
+            "s_acctbal AS a_result", "s_suppkey AS id", "s_nationkey AS b_control")}
+    folder = new_path(t.spark)
+    files.write_tables({f"final_summary_{geo}.csv": df for geo, df in tables.items()}, folder)
+    found = files.read_summaries(t.spark, folder, list(tables))
+    return files.union_tables([
+        found[geo].withColumn("geography", F.lit(geo)) for geo in tables]).select(
+            "geography", "id", "a_control", "a_result", "b_control")
+
+
 @query("projection_and_casts", """
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus,
        'o_custkey,o_orderstatus,o_totalprice,o_orderkey' AS column_order FROM orders""")

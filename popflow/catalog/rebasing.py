@@ -9,7 +9,7 @@ from popflow.catalog.registry import query
 from popflow.catalog.roles import BG_CONTROLS, Roles, row_sum
 from popflow.functions.geoid import compose_geoids
 from popflow.operators import ordering, rebase as ops, targets
-from popflow.plans.rebase import rebase_controls, rebase_seeds
+from popflow.plans.rebase import rebase, rebase_controls, rebase_seeds, surveyed_states
 from popflow.specs import (
     BG_PERSON_COLS, ESTIMATED_VARIABLES, FIXED_RENAMES, HOUSEHOLD_COLS, MODE_COLS, PERSON_COLS,
 )
@@ -259,6 +259,38 @@ def rebase_controls_region(t: Roles) -> DataFrame:
     return _rebased_controls(t)["scaled_control_totals_meta"]
 
 
+def _whole_job(t: Roles) -> dict[str, DataFrame]:
+    """The whole re-basing; the one-year table lacks state 3."""
+    seeds = compose_geoids(
+        t.hh().select("SERIALNO", "ST", "PUMA", "WGTP").withColumnsRenamed(FIXED_RENAMES))
+    persons = compose_geoids(
+        t.per().select("SERIALNO", "SPORDER", "ST", "PUMA", "PWGTP", "AGEP")
+        .withColumnsRenamed(FIXED_RENAMES))
+    return rebase(seeds, persons, t.prepared("BG", "TRACT", "STATE"), t.xwalk(), *surveys(t),
+                  t.acs1().filter("STATE <> 3"))
+
+
+@query("rebase_job_bg", _REBASED + " SELECT b.COUNTY, b.BG, b.TRACT, b.STATE, b.NAME, "
+       + _rounded(HOUSEHOLD_COLS + BG_PERSON_COLS, "b")
+       + " FROM bg_scaled b JOIN ratios r USING (STATE) WHERE STATE <> 3")
+def rebase_job_bg(t: Roles) -> DataFrame:
+    return _whole_job(t)["control_totals_BG"].drop("REGION")
+
+
+@query("rebase_job_region", _REBASED + " SELECT 1 AS REGION, "
+       + ", ".join(f"CAST(round_even(sum(s.{c} * r.{c}), 0) AS BIGINT) AS {c}"
+                   for c in HOUSEHOLD_COLS + PERSON_COLS)
+       + " FROM state_scaled s JOIN ratios r USING (STATE) WHERE STATE <> 3")
+def rebase_job_region(t: Roles) -> DataFrame:
+    return _whole_job(t)["scaled_control_totals_meta"]
+
+
+@query("rebase_job_states", "SELECT DISTINCT STATE, STATE <> 3 AS surveyed FROM xwalk")
+def rebase_job_states(t: Roles) -> DataFrame:
+    hh1, _, per1, _ = surveys(t)
+    return surveyed_states(t.xwalk(), hh1, per1, t.acs1().filter("STATE <> 3"))
+
+
 @query("keep_first_zone", """
 SELECT TRACT, min_by(BG, BG) AS BG, min_by(PUMA, BG) AS PUMA FROM xwalk GROUP BY TRACT""")
 def keep_first_zone(t: Roles) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popflow.catalog.registry import query
-from popflow.catalog.roles import Roles
+from popflow.catalog.roles import HOUSEHOLD, Roles
 from popflow.operators import synthesis as ops
 from popflow.operators.allocation import allocate_to_children as allocate
 from popflow.plans.synthesize import synthesize
@@ -149,13 +149,16 @@ def synthetic_persons(t: Roles) -> DataFrame:
 
 
 # A household's tract is the tract its key falls in; its weight is its number of copies.
-_SUMMARY_TARGETS = [c.target for c in CONTROLS if c.control_group in (
-    "h_total", "p_total", "h_size", "p_sex", "p_age")]
+_SUMMARY_TARGETS = [c.target for c in CONTROLS]
 _FIELDS = {c.target: c.control_field for c in CONTROLS}
+_OF_BG = sorted({c.control_field for c in CONTROLS if c.geography == "BG"})
+_OF_TRACT = sorted({c.control_field for c in CONTROLS if c.geography == "TRACT"})
 _TRACT_CONTROLS = (
-    "tc AS (SELECT TRACT % 1000000 AS zone, "
-    + ", ".join(f"CAST(sum({_FIELDS[t]}) AS BIGINT) AS {_FIELDS[t]}" for t in _SUMMARY_TARGETS)
-    + " FROM bg_controls GROUP BY TRACT)")
+    "bgs AS (SELECT TRACT, "
+    + ", ".join(f"CAST(sum({f}) AS BIGINT) AS {f}" for f in _OF_BG)
+    + " FROM bg_controls GROUP BY TRACT), "
+    f"tc AS (SELECT TRACT % 1000000 AS zone, bgs.*, {', '.join(_OF_TRACT)} "
+    "FROM bgs JOIN tract_controls USING (TRACT))")
 
 
 @query("summary_by_zone", f"""
@@ -174,8 +177,10 @@ def _summary(t: Roles) -> DataFrame:
     controls = [c for c in CONTROLS if c.target in _SUMMARY_TARGETS]
     inc = ops.incidence(keyed(t.hh()), keyed(t.per()), controls)
     weights = _copies(t).withColumn("zone", F.floor(F.col("hh_id") / 30).cast("bigint"))
-    published = t.prepared("BG")["BG"].withColumn("zone", F.col("TRACT") % 1000000).groupBy(
-        "zone").agg(*[F.sum(_FIELDS[x]).alias(_FIELDS[x]) for x in _SUMMARY_TARGETS])
+    made = t.prepared("BG", "TRACT")
+    published = made["BG"].groupBy("TRACT").agg(*[F.sum(f).alias(f) for f in _OF_BG]).join(
+        made["TRACT"].select("TRACT", *_OF_TRACT), "TRACT").withColumn(
+            "zone", F.col("TRACT") % 1000000)
     return ops.summarize(weights, inc, published, "zone", _SUMMARY_TARGETS, _FIELDS, "n")
 
 
@@ -194,6 +199,27 @@ def summary_by_super_zone(t: Roles) -> DataFrame:
     return ops.super_summary(_summary(t), xwalk, "zone", "puma", _SUMMARY_TARGETS)
 
 
+@query("summary_by_all_zones", f"""
+WITH {_INC}, {_COPIES}, {_TRACT_CONTROLS},
+res AS (SELECT CAST(floor(i.hh_id / 30) AS BIGINT) AS zone, """
+       + ", ".join(f"CAST(sum(c.n * i.{t}) AS BIGINT) AS {t}_result" for t in _SUMMARY_TARGETS)
+       + """ FROM inc i JOIN copies c ON c.hh_id = i.hh_id GROUP BY 1),
+x AS (SELECT DISTINCT TRACT % 1000000 AS zone, CAST(PUMA % 100000 AS BIGINT) AS puma,
+             CAST(STATE AS BIGINT) AS state, 1 AS region FROM xwalk)
+SELECT CASE WHEN grouping(puma) = 0 THEN 'puma' WHEN grouping(state) = 0 THEN 'state'
+       ELSE 'region' END AS geo, coalesce(puma, state, region) AS id, """
+       + ", ".join(f"CAST(sum({_FIELDS[t]}) AS BIGINT) AS {t}_control, "
+                   f"CAST(sum({t}_result) AS BIGINT) AS {t}_result" for t in _SUMMARY_TARGETS)
+       + """ FROM tc JOIN x USING (zone) LEFT JOIN res USING (zone)
+GROUP BY GROUPING SETS ((puma), (state), (region))""")
+def summary_by_all_zones(t: Roles) -> DataFrame:
+    xwalk = t.xwalk().select(
+        (F.col("TRACT") % 1000000).alias("zone"), (F.col("PUMA") % 100000).alias("puma"),
+        F.col("STATE").alias("state"), F.lit(1).alias("region"))
+    return ops.super_summaries(
+        _summary(t), xwalk, "zone", ["puma", "state", "region"], _SUMMARY_TARGETS)
+
+
 def _consistent_goals(inc: DataFrame) -> DataFrame:
     """Controls some weights are known to meet: larger households weigh up to half as much again."""
     true = F.col("WGTP") * (2 + F.col("NP") % 3)
@@ -240,14 +266,14 @@ def raking_residuals(t: Roles) -> DataFrame:
 
 
 @query("schema_report", """
-SELECT 'o_custkey' AS "column", 'bigint' AS type, count(o_custkey) AS n_values,
-       count(*) - count(o_custkey) AS n_missing, CAST(min(o_custkey) AS VARCHAR) AS min_value,
-       CAST(max(o_custkey) AS VARCHAR) AS max_value FROM orders
-UNION ALL
-SELECT 'o_orderstatus', 'string', count(o_orderstatus), count(*) - count(o_orderstatus),
-       min(o_orderstatus), max(o_orderstatus) FROM orders""")
+""" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{'string' if c == 'SERIALNO' else 'bigint'}' AS type,
+       count({c}) AS n_values, count(*) - count({c}) AS n_missing,
+       CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM hh_raw"""
+    for c in HOUSEHOLD))
 def schema_report(t: Roles) -> DataFrame:
-    return ops.schema_report(t.table("orders").select("o_custkey", "o_orderstatus"))
+    return ops.schema_report(t.hh_raw().select(*[
+        F.col(c).cast("string" if c == "SERIALNO" else "bigint").alias(c) for c in HOUSEHOLD]))
 
 
 # --- the whole job ---------------------------------------------------------

@@ -238,15 +238,17 @@ def integerize(
 
     Rows are ranked by fraction, then key, over range partitions, so a group of any size is
     ranked by many tasks. ``total`` names a column with the group's wanted integer total; the
-    default is the rounded sum of the weights.
+    default is the rounded sum of the weights, which are added as decimals of 10 places, so that it
+    does not depend on the order in which tasks add them.
     """
     by, key = list(by), list(key)
     whole = F.floor(weight).cast("bigint")
     split = df.withColumns({"__whole": whole, "__frac": F.col(weight) - whole})
     ranked = rank_rows(
         split, [F.col("__frac").desc(), *key], by, out="__rank",
-        totals={"__sum": weight, "__whole_sum": "__whole"})
-    wanted = F.rint("__sum").cast("bigint") if total is None else F.col(total)
+        totals={
+            "__sum": f"CAST({quoted(weight)} AS DECIMAL(28, 10))", "__whole_sum": "__whole"})
+    wanted = F.bround("__sum", 0).cast("bigint") if total is None else F.col(total)
     bump = (F.col("__rank") <= wanted - F.col("__whole_sum")).cast("bigint")
     return ranked.withColumn(out, F.col("__whole") + bump).select(*df.columns, out)
 
@@ -321,6 +323,25 @@ def super_summary(
     )
 
 
+def super_summaries(
+    summary: DataFrame, xwalk: DataFrame, child: str, parents: Sequence[str],
+    targets: Sequence[str],
+) -> DataFrame:
+    """(geo, id, ...): a child summary summed to every coarser geography in one pass.
+
+    The crosswalk is turned into one row per child, geography and zone, so a child counts once in
+    each zone it lies in, and one join and one aggregate serve all of them.
+    """
+    link = xwalk.select(child, F.explode(F.array(*[
+        F.struct(F.lit(p).alias("geo"), F.col(p).cast("bigint").alias("__zone"))
+        for p in parents])).alias("e")).select(child, "e.geo", "e.__zone").distinct()
+    cols = [c for t in targets for c in (f"{t}_control", f"{t}_result")]
+    return (
+        summary.join(link, F.col("id") == F.col(child))
+        .groupBy("geo", F.col("__zone").alias("id")).agg(*sums(cols))
+    )
+
+
 def synthetic_households(
     expanded: DataFrame, households: DataFrame, keep: Sequence[str] = (), key: str = "hh_id",
 ) -> DataFrame:

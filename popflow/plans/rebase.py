@@ -76,14 +76,40 @@ def rebase_controls(
     }
 
 
+def surveyed_states(xwalk: DataFrame, *surveys: DataFrame) -> DataFrame:
+    """(STATE, surveyed): every state of the crosswalk, and whether all one-year tables have it."""
+    states = xwalk.select("STATE").distinct()
+    for survey in surveys:
+        have = survey.select("STATE").distinct().withColumn("__in", F.lit(True))
+        flag = F.coalesce("__in", F.lit(False))
+        states = states.join(have, "STATE", "left").select(
+            "STATE", (flag & F.col("surveyed") if "surveyed" in states.columns else flag
+                      ).alias("surveyed"))
+    return states
+
+
 def rebase(
     seed_hh: DataFrame, seed_per: DataFrame,
     controls: Mapping[str, DataFrame], xwalk: DataFrame,
     hh1: DataFrame, hh5: DataFrame, per1: DataFrame, per5: DataFrame, acs1: DataFrame,
     mapping: Mapping[str, Sequence[str]] = ESTIMATED_VARIABLES,
 ) -> dict[str, DataFrame]:
-    """Re-based seeds and controls; every input has a STATE column."""
+    """Re-based seeds and controls; every input has a STATE column.
+
+    A state that a one-year table lacks cannot be re-based. It is left out of every result, the
+    region among them, and named in ``states_left_out``.
+    """
+    states = cut(surveyed_states(xwalk, hh1, per1, acs1))
+    have = states.filter("surveyed").select("STATE")  # one row per state
+
+    def kept(df: DataFrame) -> DataFrame:
+        if "STATE" not in df.columns:
+            return df
+        return df.join(have, "STATE", "left_semi").select(*df.columns)
+
     surveys = (hh1, hh5, per1, per5, acs1, mapping)
-    households, persons = rebase_seeds(seed_hh, seed_per, *surveys)
+    households, persons = rebase_seeds(kept(seed_hh), kept(seed_per), *surveys)
     return {"seed_households": households, "seed_persons": persons,
-            **rebase_controls(controls, xwalk, *surveys)}
+            **rebase_controls({name: kept(df) for name, df in controls.items()}, kept(xwalk),
+                              *surveys),
+            "states_left_out": states.filter("NOT surveyed").select("STATE")}

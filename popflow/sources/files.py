@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,15 +36,38 @@ def read_csv(spark: SparkSession, path: str | list[str], types: Mapping[str, str
     ])
 
 
+_FILE = "__file"
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """The files by their first line, from one scan of their first blocks.
+
+    One row per file reaches the driver.
+    """
+    lines = spark.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"))
+    first = lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.orderBy("file").collect():
+        found.setdefault(row["header"], []).append(unquote(row["file"]))
+    return found
+
+
 def by_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """CSV files as text columns, bound by the names in their headers.
 
     Paths of a list may differ in the order and the set of their columns; what one lacks is null.
-    Files of one path must agree: a file whose header differs stops the job.
+    Files of one path must agree: a file whose header differs stops the job. A list takes one scan
+    for the headers and one read for each different header, however many files there are.
     """
-    parts = [spark.read.csv(p, header=True, enforceSchema=False)
-             for p in ([path] if isinstance(path, str) else path)]
-    return union_tables(parts)
+    if isinstance(path, str):
+        return spark.read.csv(path, header=True, enforceSchema=False)
+    if len(path) == 1:
+        return by_header(spark, path[0])
+    return union_tables([spark.read.csv(files, header=True, enforceSchema=False)
+                         for files in headers(spark, path).values()])
 
 
 def read_inputs(
@@ -78,25 +103,30 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str, partition: str |
 def read_summaries(
     spark: SparkSession, folder: str, geographies: Sequence[str], prefix: str = "final_summary_"
 ) -> dict[str, DataFrame]:
-    """Summary tables by geography key."""
-    return {
-        geo: spark.read.csv(f"{folder}/{prefix}{geo}.csv", header=True).select(
-            F.col("id").cast("bigint").alias("id"),
-            *[F.col(c).cast("double").alias(c)
-              for c in spark.read.csv(f"{folder}/{prefix}{geo}.csv", header=True).columns
-              if c != "id"])
-        for geo in geographies
-    }
+    """Summary tables by geography key; summaries with one header are read together."""
+    names = {f"{prefix}{geo}.csv": geo for geo in geographies}
+    found = headers(spark, [f"{folder}/{name}" for name in names])
+    out = {}
+    for files in found.values():
+        df = spark.read.csv(files, header=True, enforceSchema=False).withColumn(
+            _FILE, F.col("_metadata.file_path"))
+        numbers = [F.col(c).cast("double").alias(c) for c in df.columns if c not in ("id", _FILE)]
+        for name, geo in names.items():
+            mine = rf"/{re.escape(name)}(/[^/]*)?$"
+            if any(re.search(mine, f) for f in files):
+                out[geo] = df.filter(F.url_decode(_FILE).rlike(mine)).select(
+                    F.col("id").cast("bigint").alias("id"), *numbers)
+    return out
 
 
 def present_states(spark: SparkSession, root: str, file: str) -> DataFrame:
-    """State folders that hold ``file``; lists files without reading them."""
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", file).load(root).select("path")
-    )
-    return listing.select(
-        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("state")).distinct()
+    """State folders that hold ``file``, as one file or as a folder Spark wrote; lists files
+    without reading them."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
+        root).select("path")
+    here = rf"/([^/]+)/{re.escape(file)}(/part-[^/]*)?$"
+    return listing.filter(F.col("path").rlike(here)).select(
+        F.regexp_extract("path", here, 1).alias("state")).distinct()
 
 
 def missing_states(present: DataFrame, wanted: DataFrame, col: str = "state") -> DataFrame:

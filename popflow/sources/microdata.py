@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,24 +61,81 @@ def new_rows(incoming: DataFrame, cached: DataFrame, key: str) -> DataFrame:
         *incoming.columns)
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of a cache whose list of parts was written to its end, in order."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions/*/_SUCCESS")
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(root)
+    return sorted(int(f.getPath().getParent().getName()) for f in files or [])
+
+
+def _parts(spark: SparkSession, path: str, version: int) -> list[str]:
+    listed = spark.read.schema("part string").parquet(f"{path}/versions/{version}")
+    return sorted(r["part"] for r in listed.collect())  # one row per addition
+
+
+def read_cache(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The cache as its last version, or an earlier one, has it."""
+    versions = _versions(spark, path)
+    if not versions:
+        raise ValueError(f"no cache at {path}")
+    parts = _parts(spark, path, versions[-1] if version is None else version)
+    return spark.read.option("basePath", f"{path}/parts").parquet(
+        *[f"{path}/parts/part={p}" for p in parts]).drop("part")
+
+
+def _add_part(rows: DataFrame, path: str, key: str, kept: Sequence[str], version: int) -> None:
+    """Write rows as a part, then the version that lists it; until then readers see the last one."""
+    spark, part = rows.sparkSession, uuid.uuid4().hex
+    rows.write.partitionBy(key).parquet(f"{path}/parts/part={part}")
+    listed = spark.createDataFrame([(p,) for p in [*kept, part]], "part string")
+    listed.coalesce(1).write.mode("overwrite").parquet(f"{path}/versions/{version}")
+
+
 def append_states(
     spark: SparkSession, incoming: DataFrame, path: str, key: str = "ST",
     cached: bool = True,
 ) -> DataFrame:
     """Add the states the cache lacks; rebuild it when the cache misses columns.
 
-    Only partitions of new states are written, so a repeated run adds nothing. A rebuild replaces
-    every state, so the incoming rows must hold all states of the cache; if they do not, the
-    lacking ones are named and the cache stays as it is. ``cached=False`` starts the cache.
+    Only new states are written, so a repeated run adds nothing. A rebuild replaces every state, so
+    the incoming rows must hold all states of the cache; if they do not, the lacking ones are named
+    and the cache stays as it is. ``cached=False`` starts the cache.
+
+    A cache is a folder of parts, which are never changed, and of versions, each of which lists its
+    parts. A version counts once its list is complete, so a job that stops half-way leaves the
+    last version as it was, and what it wrote is not read. ``drop_versions`` frees what is old.
     """
+    versions = _versions(spark, path)
+    last = versions[-1] if versions else 0
+    kept: list[str] = []
     if cached:
-        present = spark.read.parquet(path)
+        present = read_cache(spark, path)
         if not missing_columns(present, incoming.columns):
             fresh = new_rows(incoming, present, key)
-            fresh.write.mode("append").partitionBy(key).parquet(path)
-            return spark.read.parquet(path)
-        lost = sorted(str(r[0]) for r in missing_keys(incoming, present, key).collect())
-        if lost:  # one row per state
-            raise ValueError(f"a rebuild would lose {key} {lost}")
-    incoming.write.mode("overwrite").partitionBy(key).parquet(path)
-    return spark.read.parquet(path)
+            if fresh.isEmpty():
+                return present
+            kept, incoming = _parts(spark, path, last), fresh
+        else:
+            lost = sorted(str(r[0]) for r in missing_keys(incoming, present, key).collect())
+            if lost:  # one row per state
+                raise ValueError(f"a rebuild would lose {key} {lost}")
+    _add_part(incoming, path, key, kept, last + 1)
+    return read_cache(spark, path)
+
+
+def drop_versions(spark: SparkSession, path: str, keep: int = 1) -> int:
+    """Delete all but the last ``keep`` versions and the parts that none of those lists.
+
+    Nothing may be appending meanwhile: a part that no version lists yet would go.
+    """
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    versions = _versions(spark, path)
+    old, kept = versions[:-keep], versions[-keep:]
+    used = {p for v in kept for p in _parts(spark, path, v)}
+    for version in old:
+        fs.delete(fs_path(f"{path}/versions/{version}"), True)
+    for found in fs.globStatus(fs_path(f"{path}/parts/*")) or []:
+        if found.getPath().getName().removeprefix("part=") not in used:
+            fs.delete(found.getPath(), True)
+    return len(old)

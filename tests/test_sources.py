@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
@@ -83,10 +84,29 @@ def test_cache_grows_by_state_and_rebuilds_on_new_columns(spark, tmp_path):
     wider = spark.createDataFrame([(9, 1, 5)], "ST int, x int, y int")
     with pytest.raises(ValueError, match="36"):
         microdata.append_states(spark, wider, path)
-    assert spark.read.parquet(path).count() == 3
+    assert microdata.read_cache(spark, path).count() == 3
     both = spark.createDataFrame([(9, 1, 5), (36, 3, 6)], "ST int, x int, y int")
     got = microdata.append_states(spark, both, path)
     assert {tuple(r) for r in got.select("ST", "x", "y").collect()} == {(9, 1, 5), (36, 3, 6)}
+    assert microdata.read_cache(spark, path, 2).count() == 3  # the version before
+    assert microdata.drop_versions(spark, path) == 2
+    assert microdata.read_cache(spark, path).count() == 2
+    assert len(list((tmp_path / "cache" / "parts").iterdir())) == 1
+
+
+def test_a_stopped_job_leaves_the_cache_as_it_was(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "cache")
+    first = spark.createDataFrame([(9, 1)], "ST int, x int")
+    microdata.append_states(spark, first, path, cached=False)
+    # The part is written, its version is not.
+    (tmp_path / "cache" / "versions" / "2").mkdir()
+    first.withColumn("x", F.lit(7)).write.partitionBy("ST").parquet(f"{path}/parts/part=stopped")
+    assert [tuple(r) for r in microdata.read_cache(spark, path).select("ST", "x").collect()] == [(9, 1)]
+    more = spark.createDataFrame([(36, 3)], "ST int, x int")
+    got = microdata.append_states(spark, more, path)
+    assert {tuple(r) for r in got.select("ST", "x").collect()} == {(9, 1), (36, 3)}
+    with pytest.raises(ValueError, match="no cache"):
+        microdata.read_cache(spark, str(tmp_path / "none"))
 
 
 def test_coverage(spark):

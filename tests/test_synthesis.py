@@ -82,6 +82,15 @@ def test_integer_weights_keep_the_total(spark, population):
             assert (up["w"] % 1).min() >= (down["w"] % 1).max() - 1e-12
 
 
+def test_totals_do_not_depend_on_partitions(spark):
+    """Fractions that add up to one half exactly, in any order of addition."""
+    df = spark.createDataFrame([(i, 1, 0.1) for i in range(25)] + [(100 + i, 2, 0.7) for i in range(5)],
+                               "hh_id long, PUMA long, w double")
+    made = {tuple(sorted(tuple(r) for r in ops.integerize(df.repartition(n), "w").groupBy("PUMA").agg(
+        F.sum("int_weight")).collect())) for n in (1, 3, 7)}
+    assert made == {((1, 2), (2, 4))}  # 2.5 and 3.5, halves to even
+
+
 def test_ties_are_rounded_by_id(spark, rows):
     df = spark.createDataFrame([(i, 1, 0.5) for i in range(4)], "hh_id long, PUMA long, w double")
     assert rows(ops.integerize(df, "w"), "hh_id", "int_weight") == [(0, 1), (1, 1), (2, 0), (3, 0)]
@@ -163,6 +172,14 @@ def test_scale_to_parent(spark, rows):
         (1, 9, 1.0), (2, 9, 3.0), (3, 8, 5.0)]
 
 
+def test_a_child_counts_once_in_every_coarser_zone(spark, rows):
+    summary = spark.createDataFrame([(1, 4, 5), (2, 10, 20)], "id long, t_control long, t_result long")
+    xwalk = spark.createDataFrame(
+        [(1, 7, 3), (1, 8, 3), (2, 8, 3), (2, 8, 3)], "TRACT long, PUMA int, STATE int")
+    assert rows(ops.super_summaries(summary, xwalk, "TRACT", ["PUMA", "STATE"], ["t"])) == [
+        ("PUMA", 7, 4, 5), ("PUMA", 8, 14, 25), ("STATE", 3, 14, 25)]
+
+
 def test_schema_report(spark):
     df = spark.createDataFrame([(1, "b"), (None, "a")], "n long, s string")
     got = {r.column: tuple(r)[1:] for r in ops.schema_report(df).collect()}

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from functools import reduce
 from math import log, sqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from popflow.functions.geoid import compose_geoids
@@ -120,41 +120,96 @@ def _cells(low: Column, high: Column, size: float) -> Column:
     return F.explode(F.sequence(_cell(low, size), _cell(high, size)))
 
 
+_SHIFT = (sqrt(5) - 1) / 2  # of the grid, in cells, so that no border lies on round numbers
+
+
+def _place(c: Column, size: float) -> Column:
+    return F.floor(c / F.lit(size) + F.lit(_SHIFT)).cast("bigint")
+
+
+def _border(cell: Column, size: float) -> Column:
+    """The upper border of a cell."""
+    return (cell + 1 - F.lit(_SHIFT)) * F.lit(size)
+
+
+def _crossing(e: Column, at: Column, along: str, across: str) -> Column:
+    """Where the edge has ``along`` = ``at``; only for edges that cross there."""
+    a, b = e[f"{along}0"], e[f"{along}1"]
+    return (e[f"{across}1"] - e[f"{across}0"]) * (at - a) / (b - a) + e[f"{across}0"]
+
+
+def zone_cells(zones: DataFrame, size: float, zone_id: str = "GEOID") -> DataFrame:
+    """(zone, __band, __col, __edges, __corner): what the grid cells of a zone have of it.
+
+    ``__edges`` are the edges that touch the cell, null if none does, and ``__corner`` says whether
+    the cell's upper right corner is inside. An edge is kept once per cell it touches and nowhere
+    else; cells between a zone's leftmost and rightmost edge in a band have a row each.
+    """
+    edge = F.struct("x0", "y0", "x1", "y1")
+    slack = size * 1e-6
+    banded = zone_edges(zones, [zone_id]).select(zone_id, edge.alias("e")).withColumn(
+        "__band", F.explode(F.sequence(
+            _place(F.least("e.y0", "e.y1") - slack, size),
+            _place(F.greatest("e.y0", "e.y1") + slack, size))))
+    # The stretch of the edge inside its band bounds the columns it touches.
+    top, bottom = _border(F.col("__band"), size) + slack, _border(F.col("__band") - 1, size) - slack
+    e, dy = F.col("e"), F.col("e.y1") - F.col("e.y0")
+
+    def x_at(y: Column) -> Column:
+        t = F.coalesce(F.try_divide(y - e["y0"], dy), F.lit(0.0))
+        return e["x0"] + (e["x1"] - e["x0"]) * F.least(F.lit(1.0), F.greatest(F.lit(0.0), t))
+
+    low = F.when(dy == 0, F.least("e.x0", "e.x1")).otherwise(F.least(x_at(bottom), x_at(top)))
+    high = F.when(dy == 0, F.greatest("e.x0", "e.x1")).otherwise(
+        F.greatest(x_at(bottom), x_at(top)))
+    line = _border(F.col("__band"), size)
+    spans = (e["y0"] > line) != (e["y1"] > line)
+    banded = cut(banded.select(
+        zone_id, "__band", "e", _place(low - slack, size).alias("__lo"),
+        _place(high + slack, size).alias("__hi"),
+        F.when(spans, _crossing(e, line, "y", "x")).alias("__x")))
+    touched = banded.withColumn("__col", F.explode(F.sequence("__lo", "__hi"))).groupBy(
+        zone_id, "__band", "__col").agg(F.collect_list("e").alias("__edges"))
+    right = _border(F.col("__col"), size)
+    cover = banded.groupBy(zone_id, "__band").agg(
+        F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"),
+        F.collect_list("__x").alias("__xs")).withColumn(
+            "__col", F.explode(F.sequence("__lo", "__hi"))).select(
+                zone_id, "__band", "__col",
+                (F.size(F.filter("__xs", lambda x: x > right)) % 2 == 1).alias("__corner"))
+    return cover.join(touched, [zone_id, "__band", "__col"], "left").filter(
+        "__edges IS NOT NULL OR __corner")
+
+
 def within(
     points: DataFrame, zones: DataFrame, cell_deg: float = 0.05,
     point_id: str = "point_id", zone_id: str = "GEOID",
 ) -> DataFrame:
     """(point, zone) pairs for the points inside a zone, by crossing number.
 
-    Edges are cut into latitude bands. A band of a zone covers the cells between its leftmost
-    and rightmost edge; a point looks up the zones of its cell and then only the edges these
-    zones have in its band. Points on a shared boundary fall to one side (half-open rule).
+    A point meets the zones of its grid cell and the edges they have there, in one join, and counts
+    the edges on the way from it to the right border of the cell, along the border to its upper
+    corner, and from there on what the cell knows of the zone. Points on a shared boundary fall to
+    one side (half-open rule).
     """
-    edges = zone_edges(zones, [zone_id])
-    banded = cut(edges.filter(F.col("y0") != F.col("y1")).select(
-        "*", _cells(F.least("y0", "y1"), F.greatest("y0", "y1"), cell_deg).alias("__band")))
-    cover = cut(
-        banded.groupBy(zone_id, "__band")
-        .agg(F.min(F.least("x0", "x1")).alias("__lo"), F.max(F.greatest("x0", "x1")).alias("__hi"))
-        .select(zone_id, "__band", _cells(F.col("__lo"), F.col("__hi"), cell_deg).alias("__col"))
-    )
+    cells = cut(zone_cells(zones, cell_deg, zone_id))
     located = points.select(
         point_id, F.col("lon").alias("__px"), F.col("lat").alias("__py"),
-        _cell(F.col("lon"), cell_deg).alias("__col"), _cell(F.col("lat"), cell_deg).alias("__band"))
-    candidates = located.join(cover, ["__band", "__col"])
-    spans = (F.col("y0") > F.col("__py")) != (F.col("y1") > F.col("__py"))
-    crossing_x = (
-        (F.col("x1") - F.col("x0")) * (F.col("__py") - F.col("y0"))
-        / (F.col("y1") - F.col("y0")) + F.col("x0")
-    )
-    hits = (
-        candidates.join(banded, [zone_id, "__band"])
-        .filter(spans).filter(F.col("__px") < crossing_x)
-    )
-    return (
-        hits.groupBy(point_id, zone_id).agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") % 2 == 1).select(point_id, zone_id)
-    )
+        _place(F.col("lon"), cell_deg).alias("__col"),
+        _place(F.col("lat"), cell_deg).alias("__band"))
+    px, py = F.col("__px"), F.col("__py")
+    right, top = _border(F.col("__col"), cell_deg), _border(F.col("__band"), cell_deg)
+
+    def crossed(e: Column) -> Column:
+        x, y = _crossing(e, py, "y", "x"), _crossing(e, right, "x", "y")
+        beside = ((e["y0"] > py) != (e["y1"] > py)) & (px < x) & (x <= right)
+        above = ((e["x0"] > right) != (e["x1"] > right)) & (py < y) & (y <= top)
+        return beside.cast("int") + above.cast("int")
+
+    met = F.aggregate(F.coalesce("__edges", F.array().cast(cells.schema["__edges"].dataType)),
+                      F.col("__corner").cast("int"), lambda n, e: n + crossed(e))
+    return located.join(cells, ["__band", "__col"]).filter(met % 2 == 1).select(
+        point_id, zone_id)
 
 
 def _segment_distance(px: Column, py: Column) -> Column:
@@ -221,31 +276,89 @@ def nearest(
     ).filter(F.col("dist_m") < max_m)
 
 
-HALF_GLOBE_M = 2.1e7
+_FANOUT = 16  # cells of a level along each side of a cell of the next
+_GLOBE_DEG = 360.0
+
+
+def _pyramid(
+    zones: DataFrame, size: float, by: Sequence[str], zone_id: str,
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Edges by the finest cell they touch, and the touched cells (.., __band, __col) per level."""
+    slack = size * 1e-6
+    banded = zone_edges(zones, [zone_id, *by]).withColumn(
+        "__band", _cells(F.least("y0", "y1") - slack, F.greatest("y0", "y1") + slack, size))
+    dy = F.col("y1") - F.col("y0")
+
+    def x_at(y: Column) -> Column:
+        t = F.coalesce(F.try_divide(y - F.col("y0"), dy), F.lit(0.0))
+        return F.col("x0") + (F.col("x1") - F.col("x0")) * F.least(
+            F.lit(1.0), F.greatest(F.lit(0.0), t))
+
+    ends = (x_at(F.col("__band") * size - slack), x_at((F.col("__band") + 1) * size + slack))
+    flat = dy == 0
+    finest = cut(banded.withColumn("__col", _cells(
+        F.when(flat, F.least("x0", "x1")).otherwise(F.least(*ends)) - slack,
+        F.when(flat, F.greatest("x0", "x1")).otherwise(F.greatest(*ends)) + slack, size)))
+    levels = [cut(finest.select(*by, "__band", "__col").distinct())]
+    while size * _FANOUT ** (len(levels) - 1) < _GLOBE_DEG:
+        levels.append(levels[0].select(*by, *[
+            F.floor(F.col(c) / _FANOUT ** len(levels)).alias(c) for c in ("__band", "__col")]
+        ).distinct())
+    return finest, levels
 
 
 def nearest_any(
     points: DataFrame, zones: DataFrame, first_m: float = NEAREST_CAP_M,
-    factor: float = 8.0, by: str | None = "STATEFP", point_id: str = "point_id",
-    zone_id: str = "GEOID",
+    by: str | None = "STATEFP", point_id: str = "point_id", zone_id: str = "GEOID",
 ) -> DataFrame:
-    """The nearest zone at any distance: the reach grows for the points still unmatched.
+    """The nearest zone at any distance.
 
-    It grows up to half the way round the globe. A point whose ``by`` has no zone at all comes
-    back with a null zone and distance.
+    Points without a zone within ``first_m`` go down a pyramid of grid cells: a level's cells that
+    an edge touches are candidates while their near side is not farther than the far side of some
+    other candidate. Only the edges of the finest cells left are measured. Each edge is registered
+    once for every finest cell it touches, however far away the points are. A point whose ``by``
+    has no zone at all comes back with a null zone and distance.
     """
-    found, left, reach = [], cut(points), first_m
-    while True:
-        hit = cut(nearest(left, zones, reach, by, point_id, zone_id))
-        found.append(hit)
-        left = cut(left.join(hit.select(point_id), point_id, "left_anti"))
-        if left.isEmpty() or reach > HALF_GLOBE_M:
-            break
-        reach *= factor
-    kinds = found[0].schema
-    found.append(left.select(point_id, *[
-        F.lit(None).cast(kinds[c].dataType).alias(c) for c in (zone_id, "dist_m")]))
-    return reduce(DataFrame.unionByName, found)
+    near = cut(nearest(points, zones, first_m, by, point_id, zone_id))
+    left = cut(points.join(near, point_id, "left_anti"))
+    if left.isEmpty():
+        return near
+    keys = [by] if by else []
+    size = first_m / ARC_METERS
+    finest, levels = _pyramid(zones, size, keys, zone_id)
+    px, py = F.col("__px"), F.col("__py")
+    found = left.select(point_id, *keys, F.col("lon").alias("__px"), F.col("lat").alias("__py"))
+    # The top level has a handful of cells for each value of ``by``.
+    found = found.join(levels[-1], keys) if keys else found.join(
+        levels[-1].withColumn("__one", F.lit(1)), F.lit(1) == F.col("__one")).drop("__one")
+    for k in range(len(levels) - 1, -1, -1):
+        width = size * _FANOUT ** k
+
+        def sides(p: Column, cell: str) -> tuple[Column, Column]:
+            low, high = F.col(cell) * width, (F.col(cell) + 1) * width
+            outside = F.greatest(low - p, p - high, F.lit(0.0))
+            return outside, F.greatest(F.abs(p - low), F.abs(p - high))
+
+        (x_near, x_far), (y_near, y_far) = sides(px, "__col"), sides(py, "__band")
+        # The candidates of a point are a ring of cells, some dozens at most.
+        found = found.withColumns({
+            "__least": F.sqrt(x_near * x_near + y_near * y_near),
+            "__bound": F.min(F.sqrt(x_far * x_far + y_far * y_far)).over(
+                Window.partitionBy(point_id))}).filter(
+                    F.col("__least") <= F.col("__bound") * (1 + 1e-9) + 1e-12).drop(
+                        "__least", "__bound")
+        if k:
+            below = levels[k - 1].withColumns({
+                f"{c}_up": F.floor(F.col(c) / _FANOUT) for c in ("__band", "__col")})
+            found = found.withColumnsRenamed(
+                {c: f"{c}_up" for c in ("__band", "__col")}).join(
+                    below, [*keys, "__band_up", "__col_up"]).drop("__band_up", "__col_up")
+    measured = found.join(finest, [*keys, "__band", "__col"]).groupBy(point_id).agg(F.min(F.struct(
+        _segment_distance(px, py).alias("d"), F.col(zone_id).alias("z"))).alias("__best"))
+    far = left.select(point_id).join(measured, point_id, "left").select(
+        point_id, F.col("__best.z").alias(zone_id),
+        (F.col("__best.d") * F.lit(ARC_METERS)).alias("dist_m"))
+    return near.unionByName(far)
 
 
 # --------------------------------------------------------------------------

@@ -202,3 +202,58 @@ def test_same_reference_system(spark):
     b = spark.createDataFrame([(4326,)], "srid int")
     assert tuple(spatial.same_crs(a, a).first()) == (1, True)
     assert tuple(spatial.same_crs(a, b).first()) == (2, False)
+
+
+def star(rng, x, y, n, size):
+    """A star-shaped ring, counter-clockwise."""
+    angles = np.sort(rng.uniform(0, 2 * np.pi, n))
+    r = rng.uniform(0.2, 1.0, n) * size
+    ring = [(float(x + d * np.cos(a)), float(y + d * np.sin(a))) for a, d in zip(angles, r)]
+    return [*ring, ring[0]]
+
+
+def inside(ring, x, y):
+    return sum((b > y) != (d > y) and x < (c - a) * (y - b) / (d - b) + a
+               for (a, b), (c, d) in zip(ring, ring[1:])) % 2 == 1
+
+
+def distance(ring, x, y):
+    best = np.inf
+    for (a, b), (c, d) in zip(ring, ring[1:]):
+        dx, dy = c - a, d - b
+        t = min(1.0, max(0.0, ((x - a) * dx + (y - b) * dy) / (dx * dx + dy * dy)))
+        best = min(best, np.hypot(x - a - t * dx, y - b - t * dy))
+    return best
+
+
+def test_any_shape_against_brute_force(spark):
+    """Stars with holes, some much larger than a cell and some much smaller; points also far away."""
+    rng = np.random.default_rng(8)
+    zones = []
+    for i in range(14):
+        x, y = rng.uniform(-1, 1, 2).tolist()
+        size = [0.02, 0.3, 1.5][i % 3]
+        rings = [star(rng, x, y, 30, size)]
+        if i % 2:
+            rings.append([(x + (a - x) * 0.15, y + (b - y) * 0.15) for a, b in rings[0]][::-1])
+        zones.append((f"z{i:02}", "09", rings))
+    spots = [(float(a), float(b)) for a, b in np.r_[
+        rng.uniform(-2.5, 2.5, (250, 2)), rng.uniform(-60, 60, (12, 2))]]
+    spots += [(0.05 * i, 0.05 * i) for i in range(-20, 20)]
+    points = [(k, "09", x, y) for k, (x, y) in enumerate(spots)]
+    points += [(9999, "36", 0.0, 0.0)]
+    areas = spark.createDataFrame(
+        zones, "GEOID string, STATEFP string, rings array<array<struct<lon: double, lat: double>>>")
+    df = spark.createDataFrame(points, "point_id long, STATEFP string, lon double, lat double")
+    want = {(k, z) for k, (x, y) in enumerate(spots) for z, _, rings in zones
+            if sum(inside(r, x, y) for r in rings) % 2}
+    for cell in (0.05, 0.7):
+        assert {tuple(r) for r in spatial.within(df, areas, cell).collect()
+                if r.point_id != 9999} == want
+    found = {r.point_id: r for r in spatial.nearest_any(df, areas, 5000.0).collect()}
+    assert len(found) == len(points) and found[9999].GEOID is None and found[9999].dist_m is None
+    for k, (x, y) in enumerate(spots):
+        least = min((0.0 if (k, z) in want else min(distance(r, x, y) for r in rings), z)
+                    for z, _, rings in zones)
+        assert found[k].GEOID == least[1]
+        assert found[k].dist_m == pytest.approx(least[0] * spatial.ARC_METERS, abs=1e-6)

@@ -122,7 +122,12 @@ def visits(tree: Tree, q: np.ndarray, sizes: np.ndarray, least: int, rows: int)
 
 
 def exact_cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosine of each row pair, always summed in the same order."""
+    """Cosine of each row pair, always summed in the same order.
+
+    Rows are first divided by a power of two near their largest component, which changes no digit
+    and keeps vectors of extreme size from leaving the range of doubles.
+    """
+    q, x = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]) for v in (q, x))
     dot = (q * x).sum(axis=1)
     return dot / (np.sqrt((q * q).sum(axis=1)) * np.sqrt((x * x).sum(axis=1)))
 
@@ -157,18 +162,18 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 def valid_vectors(df: DataFrame, key: str, vector: str) -> tuple[DataFrame, int]:
     """(id, v) of the rows that take part, and their dimension.
 
-    Null ids, null, empty or zero vectors, those with null or non-finite components, and those not
-    of the most frequent length take no part.
+    Null ids, null, empty or zero vectors and those with null or non-finite components take no part.
+    A vector shorter than the longest counts as filled up with zeros.
     """
     # Absolute values below the largest finite number: false for NaN and the infinities.
     finite = F.forall("v", lambda c: c.isNotNull() & (F.abs(c) <= 1.7976931348623157e308))
     rows = df.select(F.col(key).alias("id"), F.col(vector).alias("v")).filter(
         F.col("id").isNotNull() & F.col("v").isNotNull()).filter(
             F.coalesce(finite, F.lit(False)) & F.exists("v", lambda c: c != 0))
-    # One row per vector length.
-    lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    dim = lengths["d"] if lengths else 0
-    return rows.filter(F.size("v") == dim), dim
+    dim = rows.agg(F.max(F.size("v"))).first()[0] or 0
+    zero = F.lit(0).cast(rows.schema["v"].dataType.elementType)
+    filled = F.concat("v", F.array_repeat(zero, F.lit(dim) - F.size("v")))
+    return rows.select("id", F.when(F.size("v") == dim, F.col("v")).otherwise(filled).alias("v")), dim
 
 
 def _pack(dim: int, block_rows: int, keys: list[str]):
@@ -309,7 +314,7 @@ def search(index: Index, is_query: Column, k: int = 5, block_rows: int = BLOCK_R
     """(query_id, rank, vec_id, score) of every indexed row that ``is_query`` picks.
 
     Rows that share the query's id are not its candidates; of several rows with one query id the
-    smallest vector is the query. Fewer than ``k`` rows come only where
+    smallest vector is the query. An empty table gives no rows. Fewer than ``k`` rows come only where
     there are fewer candidates.
     """
     tree, sizes, least, dim = index.tree, index.sizes, index.visits, index.dim

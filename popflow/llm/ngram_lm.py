@@ -559,7 +559,7 @@ def score_documents(
     summed = parts.repartition("batch").sortWithinPartitions("batch", "kind").mapInArrow(
         _add_up(df_schema(docs, out)), out).withColumnsRenamed(
             {n: c for c, n in renamed.items()})
-    return summed.withColumn("train_tokens", F.lit(int(totals[0]))).select(*rest, *results)
+    return summed.withColumn("train_tokens", F.lit(int(totals[0])).cast("bigint")).select(*rest, *results)
 
 
 def df_schema(docs: DataFrame, ddl: str) -> pa.Schema:

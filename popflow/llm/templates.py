@@ -38,12 +38,18 @@ LEAST_PAGES = 4  # fewer pages tell nothing about a template
 # Mean pages of the groups of a host, however long they are; 4 or more in all but one in 10^7.
 MEAN_PAGES = 24
 
+_ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
+# Comments; what holds no markup up to its end tag; what is no text of the page, if it has an end
+# tag, controls and drawings only where no block begins before it; tags, also with a stray quote.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)"
-    r"|<(script|style|noscript|template|textarea|title|iframe|svg|math|select|button|object)\b"
-    r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)"
-    r"|</?[a-zA-Z][^>]*$", re.S | re.I)
+    rf"|<(script|style)\b{_ATTRIBUTES}>.*?(?:</\1\s*>|$)"
+    rf"|<(noscript|template|textarea|title|iframe)\b{_ATTRIBUTES}>.*?</\2\s*>"
+    rf"|<(svg|select|button)\b{_ATTRIBUTES}(?<!/)>"
+    r"(?:(?!</?(?:address|article|aside|body|div|footer|form|h[1-6]|header|html|li|main|nav|ol|p"
+    r"|pre|section|table|ul)\b).)*?</\3\s*>"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>|<[!?][^>]*(?:>|$)"
+    r"|</?[a-zA-Z][^>]*(?:>|$)", re.S | re.I)
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -106,9 +112,9 @@ class Page:
             if m.start() > at:
                 parts.append(source[at:m.start()])
             at = m.end()
-            name = m.group(3)
+            name = m.group(5)
             if not name:
-                if m.group(1) and m.group(1).lower() in ("title", "iframe", "object"):
+                if (m.group(2) or "").lower() in ("title", "iframe"):
                     flush()
                 continue
             name = name.lower()
@@ -119,7 +125,7 @@ class Page:
             if name == "hr":
                 flush()
                 continue
-            if m.group(2):
+            if m.group(4):
                 found = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
                 if found:
                     close(found)
@@ -132,7 +138,7 @@ class Page:
             elif name == stack[-1][0] and name in ("li", "dt", "dd", "td", "th", "tr"):
                 del stack[-1]
             _, path, out, main = stack[-1]
-            given = ["".join(x).lower() for x in _NAMES.findall(m.group(4))] if m.group(4) else []
+            given = ["".join(x).lower() for x in _NAMES.findall(m.group(6))] if m.group(6) else []
             names = [_WORD.findall(x) for x in given]
             label = name + "".join("." + "-".join(x) for x in names)
             marks = name in MAIN or any(x == ["main"] for x in names)

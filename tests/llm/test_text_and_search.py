@@ -221,6 +221,21 @@ def test_article_without_its_surroundings():
                    "cut", "a"]
 
 
+@pytest.mark.parametrize("between, text", [
+    ('<svg width="1"/>', ""), ("<svg><title>t</title><text>x</text></svg>", ""),
+    ("<button>Go", "Go"), ("<button class=b>Go</button>", ""), ("<select><option>1", "1"),
+    ("<object data=x><p>fallback text</p></object>", "fallback text"),
+    ("<p>let <math>x+1</math> be</p>", "let x+1 be"), ("<p>a <button>no</button> b</p>", "a b"),
+    ('<a href="x>link</a>', "link"), ("<noscript>", ""), ("<template><p>no</p></template>", ""),
+    ("<textarea>no <p> no</textarea>", ""), ("<script>if (a < b) '</p>'", None),
+])
+def test_odd_markup_loses_nothing_after_it(between, text):
+    body = f"<article><p>one two three</p>{between}<p>four five six</p></article>"
+    want = "\n".join(x for x in ("one two three", text, "four five six") if x)
+    # An unclosed script holds the rest of the page, as in a browser.
+    assert templates.main_texts([body]) == ["one two three" if text is None else want]
+
+
 def test_names_of_wrappers_do_not_lose_the_page():
     article = "<article class='post social'><p>Text</p><article class='comment'>No</article></article>"
     for body in (f"<body class='has-sidebar'>{article}</body>",
@@ -307,7 +322,7 @@ def test_neighbours_against_brute_force(spark):
     x[100:900] = x[100]  # copies fill a leaf
     rows = [(i, [float(v) for v in r], "c") for i, r in enumerate(x)]
     rows += [(5000, None, "c"), (5050, [0.0] * 16, "c"), (5100, [float("nan")] * 16, "c"),
-             (5150, [1.0] * 3, "c"), (None, [1.0] * 16, "c"), (5200, [None] * 16, "c"),
+             (5150, [0.0] * 3, "c"), (None, [1.0] * 16, "c"), (5200, [None] * 16, "c"),
              (5250, [float("inf")] * 16, "c"), (5300, [], "c")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string")
     valid, dim = ann.valid_vectors(df, "vec_id", "embedding")
@@ -339,6 +354,15 @@ def test_fewer_candidates_than_neighbours(spark):
     got = ann.search(ann.build(rows, dim, is_query), is_query).collect()
     assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == [
         (0, 1, 7), (0, 2, 50), (0, 3, 50), (50, 1, 7), (50, 2, 0)]
+    short = spark.createDataFrame(
+        [(0, [1.0, 0.0, 0.0]), (1, [2.0]), (2, [1.0, 1.0]), (3, [0.0, 1.0, 1.0])],
+        "vec_id long, embedding array<double>")
+    rows, dim = ann.valid_vectors(short, "vec_id", "embedding")  # as if filled up with zeros
+    assert [(r.vec_id, round(r.score, 6)) for r in ann.search(
+        ann.build(rows, dim, is_query), is_query).orderBy("rank").collect()] == [
+            (1, 1.0), (2, 0.707107), (3, 0.0)]
+    large = np.array([[1e200, 2e200, 0.0], [3e-300, 4e-300, 0.0]])
+    assert ann.exact_cosines(large, large).tolist() == pytest.approx([1.0, 1.0])
     none, dim = ann.valid_vectors(df.limit(0), "vec_id", "embedding")
     assert ann.search(ann.build(none, dim, is_query), is_query).count() == 0
 

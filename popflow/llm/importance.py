@@ -107,7 +107,7 @@ def _spans(texts: list[bytes], span: int) -> Iterator[bytes]:
         text = text.translate(_FOLD)
         at = 0
         while at < len(text):
-            to = at + span - n
+            to = min(len(text), at + span - n)
             if to < len(text):
                 cut_at = text.rfind(b" ", at + 1, to)
                 if cut_at < at:

@@ -31,7 +31,7 @@ from popflow.session import cut
 
 BUCKETS = 10_000
 LONGEST_RUN = 3
-SPAN = 4 << 20  # bytes scanned with one dictionary
+SPAN = 1 << 17  # bytes scanned with one dictionary, small enough for it to stay in cache
 #: Bytes of words stand for themselves, A-Z in lower case; all others part words.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else
               b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))

@@ -76,9 +76,9 @@ def rebase_controls(
     }
 
 
-def surveyed_states(xwalk: DataFrame, *surveys: DataFrame) -> DataFrame:
-    """(STATE, surveyed): every state of the crosswalk, and whether all one-year tables have it."""
-    states = xwalk.select("STATE").distinct()
+def surveyed_states(zones: DataFrame, *surveys: DataFrame) -> DataFrame:
+    """(STATE, surveyed): every state of the zones, and whether all one-year tables have it."""
+    states = zones.select("STATE").distinct()
     for survey in surveys:
         have = survey.select("STATE").distinct().withColumn("__in", F.lit(True))
         flag = F.coalesce("__in", F.lit(False))
@@ -99,7 +99,7 @@ def rebase(
     A state that a one-year table lacks cannot be re-based. It is left out of every result, the
     region among them, and named in ``states_left_out``.
     """
-    states = cut(surveyed_states(xwalk, hh1, per1, acs1))
+    states = cut(surveyed_states(controls["STATE"], hh1, per1, acs1))
     have = states.filter("surveyed").select("STATE")  # one row per state
 
     def kept(df: DataFrame) -> DataFrame:

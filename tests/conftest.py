@@ -9,9 +9,10 @@ from popflow.session import get_spark  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_spark("tests", "local[4]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"})
+        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

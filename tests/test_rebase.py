@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 
 from popflow import specs
 from popflow.operators import rebase as ops
-from popflow.plans.rebase import rebase
+from popflow.plans.rebase import rebase, surveyed_states
 
 
 def weights(spark, values):
@@ -149,3 +149,10 @@ def test_rebased_seeds_meet_the_totals(whole):
     for row in out["seed_households"].groupBy("STATE").sum("WGTP").collect():
         one = next(a for a in acs1 if a["STATE"] == row["STATE"])
         assert row[1] == pytest.approx(one["B11005_001E"])
+
+
+def test_states_that_a_survey_lacks(spark, rows):
+    zones = spark.createDataFrame([(1, 10), (2, 20), (2, 21), (3, 30)], "STATE long, BG long")
+    one = spark.createDataFrame([(1, 5), (2, 5), (2, 6)], "STATE long, WGTP long")
+    other = spark.createDataFrame([(2, 5), (3, 5), (9, 1)], "STATE long, PWGTP long")
+    assert rows(surveyed_states(zones, one, other)) == [(1, False), (2, True), (3, False)]

@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from popflow.llm.common import small_batches
 
 LONGEST = 4096  # letters, digits, signs or blanks of a word; a longer run is several words
-BATCH_TEXTS, BATCH_WORDS = 250, 1 << 16
-KNOWN_BYTES, LATTICE_CHARS = 8 << 20, 1 << 16  # of words a task keeps; of words exploded at a time
+BATCH_TEXTS, BATCH_WORDS = 250, 1 << 15
+KNOWN_BYTES, LATTICE_CHARS = 3 << 20, 1 << 15  # of words a task keeps; of words exploded at a time
 UNKNOWN = -20.0  # score of a character written as bytes
 _ROW_BITS, _LENGTHS = 21, 64  # of an edge: place in the piece table, and how long the piece is
 _EDGE_BITS = _ROW_BITS + 6
@@ -207,6 +207,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
                        one(pa.concat_arrays(lattices)), pa.array([afresh])],
                     names=[*named.values(), "counts", "codes", "dictionary", "lattices", "afresh"])
                 afresh = False
+                pa.default_memory_pool().release_unused()
 
     rows = docs.select(*[
         (F.col(c).isNull() if c == text else F.col(c)).alias(n) for c, n in named.items()],
@@ -249,6 +250,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
                     [*columns, pa.ListArray.from_arrays(
                         pa.array(upto[counts].astype(np.int32)), flat)],
                     names=[*rest, "pieces"])
+                pa.default_memory_pool().release_unused()
 
     return best.mapInArrow(apply, ", ".join(
         f"`{c}` {k}" for c, k in kinds.items()) + ", pieces array<int>")

@@ -398,3 +398,29 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         empty = cut(stage(spark, empty, str(tmp_path)))
     assert empty.count() == 0
+
+
+def test_stages_take_odd_rows(spark, tmp_path):
+    """Nulls, repeated rows, a very long text and columns named like those the stages add."""
+    rng = random.Random(9)
+    text = " ".join(text_of(rng, 12).capitalize() + "." for _ in range(20))
+    rows = [(i, " ".join(text_of(rng, 12).capitalize() + "." for _ in range(4)), "s", i, "x")
+            for i in range(30)]
+    rows += [(None, text, None, 1, None), (7, None, "s", 2, "y"), (7, "", "s", 2, "y"),
+             (40, "word " * 60_000, "t", 3, "z"), (41, text, "t", 4, "z"), (41, text, "t", 4, "z")]
+    names = "doc_id long, text string, source string, __size int, copies string"
+    docs = spark.createDataFrame(rows, names).withColumns(
+        {c: F.lit("?") for c in ("lang", "node", "__copy", "size", "doc", "target", "broken_rule")})
+    spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(30)],
+                          "doc_id long, quality int, toxic int").write.parquet(
+                              str(tmp_path / "labels.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        got = cut(stage(spark, docs, str(tmp_path)))
+        assert got.columns == docs.columns, name
+        assert got.exceptAll(docs).isEmpty() or name == corpus_pipeline.STAGES[3][0], name
+        assert got.select(docs.columns).subtract(docs).isEmpty(), name
+    kept = corpus_pipeline.near_dup_stage(spark, docs, str(tmp_path))
+    assert kept.filter(F.col("text") == text).count() == 1
+    assert kept.filter(F.coalesce("text", F.lit("")) == "").count() == 1
+    last = corpus_pipeline.pieces_stage(spark, docs, str(tmp_path))
+    assert last.count() == len(rows) and last.filter("NOT round_trip").isEmpty()

@@ -169,7 +169,8 @@ def apply_rules(
     Null and empty texts have no words and break the shortest-text rule. Which of several broken
     rules is named depends on the measured order; whether one is named does not. ``measures`` maps
     names of measures to columns of ``df`` that hold them already. An input column
-    ``broken_rule`` is replaced.
+    ``broken_rule`` is replaced. Texts are read whole, however long; repeated rows are judged each
+    and alike; a table without rows stays so, with the rules in order of their cost alone.
     """
     order = [r.name for r in in_order(RULES, measure_rules(df, text, RULES, sample_rows))]
     by_name = {r.name: r for r in rules_over(measures or {})}

@@ -525,7 +525,7 @@ def score_documents(
     """``docs`` without the text, with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``
     and ``score``, all documents being scored by the model of those that ``train`` picks.
 
-    Null texts are empty ones: a single end token. Without training documents every token has the
+    Null texts are empty ones: a single end token. Texts are scored whole, however long. Without training documents every token has the
     same probability. Repeated rows are scored each. Input columns with the names of the results
     are replaced. ``train`` must not be null.
     """

@@ -188,6 +188,8 @@ def score_of(text: Column, network: Network | None) -> Column:
 def score(docs: DataFrame, network: Network | None, text: str = "text") -> DataFrame:
     """``docs`` with ``goodness`` from 0 to 1; null counts as empty text.
 
-    An input column ``goodness`` is replaced.
+    An input column ``goodness`` is replaced. Texts are read whole, however long; equal texts, in
+    repeated rows or not, have equal scores, so ties are left as they are. A table without rows
+    stays so.
     """
     return docs.withColumn("goodness", score_of(F.col(text), network))

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from popflow.llm import elias_fano, ngram_lm, pu_quality, toxicity
+from popflow.llm import cascade, elias_fano, ngram_lm, pu_quality, toxicity
 
 WORDS = [f"{a}{b}" for a in ("ba", "ko", "mi", "tu", "re", "sol") for b in "aeioulnrst"]
 
@@ -171,3 +171,24 @@ def test_language_model_without_training(spark):
     assert (got["n_known"] == 0).all() and np.isfinite(got["score"]).all()
     assert ngram_lm.score_documents(df.limit(0), F.lit(True)).count() == 0
     assert isinstance(got, pd.DataFrame)
+
+
+def test_scores_of_odd_rows(spark):
+    """Columns named like those inside the scorer, repeated rows, a very long text, no rows."""
+    rows = [(i, f"calm words about gardens {i} and rivers" if i % 2 else f"vile nasty filth {i} scum",
+             i, "kept") for i in range(40)]
+    rows += [(40, None, 1, "kept"), (40, None, 1, "kept"), (41, "vile nasty filth " * 50_000, 2, "kept")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, words int, evidence string")
+    labels = spark.createDataFrame(
+        [(i, 1 - i % 2, i % 2) for i in range(40)], "doc_id long, toxic int, quality int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    got = toxicity.score(docs, model)
+    assert got.columns == ["doc_id", "words", "evidence", "toxicity"]
+    by_id = got.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("toxicity").alias("a"),
+                                      F.max("toxicity").alias("b")).collect()
+    assert sum(r.n for r in by_id) == len(rows) and all(r.a == r.b and 0 <= r.a <= 1 for r in by_id)
+    assert got.filter("words IS NULL OR evidence != 'kept'").isEmpty()
+    assert toxicity.score(docs.limit(0), model).count() == 0
+    network = pu_quality.fit(docs, labels, F.lit(True))
+    assert pu_quality.score(docs.limit(0), network).count() == 0
+    assert cascade.apply_rules(docs.limit(0)).count() == 0

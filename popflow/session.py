@@ -78,6 +78,15 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(table: DataFrame) -> None:
+    """Delete one table ``cut`` wrote, once nothing reads it any more."""
+    spark, files = table.sparkSession, table.inputFiles()
+    if files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        if path.getName().startswith("popflow-"):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Delete at the end the tables ``cut`` wrote inside, and none of those written before."""

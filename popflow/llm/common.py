@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from contextlib import suppress
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +48,17 @@ def small_batches(df: DataFrame, rows: int = 1000, size: int = 8 << 20) -> None:
             conf.set(name, str(most))
 
 
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    A worker process outlives its task and waits for the next one; what its allocators keep until
+    then counts against the executor all the same.
+    """
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """UTF-8 bytes of all texts."""
     return df.agg(F.sum(F.octet_length(text))).first()[0] or 0

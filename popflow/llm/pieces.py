@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popflow.llm.common import small_batches
+from popflow.llm.common import give_back, small_batches
 
 LONGEST = 4096  # letters, digits, signs or blanks of a word; a longer run is several words
 BATCH_TEXTS, BATCH_WORDS = 250, 1 << 15
@@ -207,7 +207,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
                        one(pa.concat_arrays(lattices)), pa.array([afresh])],
                     names=[*named.values(), "counts", "codes", "dictionary", "lattices", "afresh"])
                 afresh = False
-                pa.default_memory_pool().release_unused()
+                give_back()
 
     rows = docs.select(*[
         (F.col(c).isNull() if c == text else F.col(c)).alias(n) for c, n in named.items()],
@@ -250,7 +250,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
                     [*columns, pa.ListArray.from_arrays(
                         pa.array(upto[counts].astype(np.int32)), flat)],
                     names=[*rest, "pieces"])
-                pa.default_memory_pool().release_unused()
+                give_back()
 
     return best.mapInArrow(apply, ", ".join(
         f"`{c}` {k}" for c, k in kinds.items()) + ", pieces array<int>")

@@ -257,3 +257,14 @@ def test_any_shape_against_brute_force(spark):
                     for z, _, rings in zones)
         assert found[k].GEOID == least[1]
         assert found[k].dist_m == pytest.approx(least[0] * spatial.ARC_METERS, abs=1e-6)
+
+
+def test_nothing_that_grows_is_broadcast(spark):
+    """Cells and edges look small to the planner however many a zone covers."""
+    zs = zones(spark, [(f"z{i}", "01", [square(i, 0, 0.5)]) for i in range(3)])
+    ps = points(spark, [(1, "01", 0.25, 0.25), (2, "01", 1.75, 0.25)])
+    for joined in (spatial.within(ps, zs, 0.01), spatial.nearest(ps, zs),
+                   spatial.nearest_any(ps, zs)):
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+        # The top level of the pyramid has a handful of cells.
+        assert plan.count("BroadcastHashJoin") <= ("__band_up" in plan), plan

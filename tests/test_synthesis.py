@@ -252,3 +252,37 @@ def test_validation_reports(synthesized):
     region = reports["NRMSE_REGION"].first()
     assert region.EXP_SYNTH == pytest.approx(2.0) and region.N == 60
     assert reports["ef_histogram_STATE"].count() >= 1
+
+
+def test_zones_of_few_blocks_write_nothing_between_rounds(spark, monkeypatch):
+    """One task goes through all rounds of such a zone; a larger one takes the same steps."""
+    from popflow.operators import rounds as module
+
+    rng = np.random.default_rng(5)
+    inc = spark.createDataFrame(
+        [(i, i % 3, 1.0 + i % 4, *map(int, rng.integers(0, 4, 3))) for i in range(90)],
+        "hh_id long, PUMA long, WGTP double, a long, b long, c long")
+    goals = inc.groupBy("PUMA").agg(*[
+        F.sum(F.col("WGTP") * (1 + F.col("hh_id") % 2) * F.col(t)).alias(t) for t in "abc"])
+    written, cut = [], module.cut
+    monkeypatch.setattr(module, "cut", lambda df: written.append(1) or cut(df))
+
+    def made(few):
+        monkeypatch.setattr(module.rounds, "__defaults__", (
+            *module.rounds.__defaults__[:-1], few))
+        written.clear()
+        found = ops.rake_multipliers(inc, goals, ["a", "b", "c"]).orderBy("PUMA").collect()
+        return found, len(written)
+
+    (one, few_written), (many, many_written) = made(8), made(0)
+    assert max(r["rounds"] for r in one) >= 3 and few_written < many_written
+    assert [r["rounds"] for r in one] == [r["rounds"] for r in many]
+    for a, b in zip(one, many):
+        assert np.allclose(a["multipliers"], b["multipliers"])
+
+
+def test_incidence_is_not_broadcast(spark):
+    inc = spark.createDataFrame([(1, 7, 2, 3)], "hh_id long, PUMA long, n long, a long")
+    controls = spark.createDataFrame([(7, 5)], "PUMA long, A long")
+    made = ops.summarize(inc, inc, controls, "PUMA", ["a"], {"a": "A"}, "n")
+    assert "Broadcast" not in made._jdf.queryExecution().sparkPlan().toString()

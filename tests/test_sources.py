@@ -197,3 +197,13 @@ def test_cut_tables_have_no_lineage(spark):
     assert df.count() == 3
     assert "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert session.release(spark) >= 1
+
+
+def test_missing_keys_joins_distinct_keys_only(spark, rows):
+    """A state of millions of rows reaches the join as one row a task, not as all of them."""
+    cached = spark.range(4000).select((F.col("id") % 2).alias("ST"))
+    wanted = spark.createDataFrame([(1,), (3,), (3,)], "ST long")
+    missing = microdata.missing_keys(cached, wanted, "ST")
+    assert rows(missing) == [(3,)]
+    plan = missing._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Join LeftAnti") == 1 and plan.count("Deduplicate") == 2, plan

@@ -192,3 +192,37 @@ def test_scores_of_odd_rows(spark):
     network = pu_quality.fit(docs, labels, F.lit(True))
     assert pu_quality.score(docs.limit(0), network).count() == 0
     assert cascade.apply_rules(docs.limit(0)).count() == 0
+
+
+def test_toxicity_learns_from_every_labelled_document(spark):
+    """No class is cut to a number of documents."""
+    n = 45_000
+    docs = spark.range(n).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit("rotter w"), F.col("id") % 50))
+        .otherwise(F.concat(F.lit("plain w"), F.col("id") % 50)).alias("text"),
+        (F.col("id") % 2 == 0).cast("int").alias("toxic"))
+    counted = []
+    count = toxicity._log_ratios
+    try:
+        toxicity._log_ratios = lambda pairs, *rest: (
+            counted.append(pairs.agg(F.sum(F.col("toxic") + F.col("plain"))).first()[0])
+            or count(pairs, *rest))
+        toxicity.fit(docs, docs, F.lit(True))
+    finally:
+        toxicity._log_ratios = count
+    folds = docs.filter(F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(4)) > 0).count()
+    assert counted == [2 * folds]  # two pairs a document
+
+
+def test_curve_matches_one_table(spark):
+    rng = np.random.default_rng(2)
+    x, n = rng.normal(0, 0.05, 300), rng.integers(1, 90, 300)
+    y = (rng.random(300) < 1 / (1 + np.exp(-40 * x))).astype(int)
+    held = spark.createDataFrame(
+        [(int(a), 1.0 + i % 3, float(b), int(c)) for i, (a, b, c) in enumerate(zip(y, x, n))],
+        "label int, weight double, evidence double, words bigint").repartition(5)
+    w, z = np.array(toxicity._fit_curve(held)), toxicity._spread(x, n)
+    p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+    slope = z.T @ ((1.0 + np.arange(300) % 3) * (p - y)) + np.array([1e-2, 1e-2, 1e-4]) * w
+    assert np.abs(slope).max() < 1e-6

@@ -47,7 +47,8 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal or near equal texts: of the text that leads the group
     the row with the smallest id, null ids last."""
-    return returned(near_dup.keep_one(held(docs), near_dup.near_duplicates(docs)), docs)
+    return returned(near_dup.keep_one(
+        held(docs), near_dup.near_duplicates(docs, idf="every")), docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

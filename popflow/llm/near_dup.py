@@ -1,7 +1,13 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF word shingles.
 
-Texts are multisets of five-word shingles. A shingle weighs its count times its inverse document
-frequency, ``min(1, ln(N / df) / ln(N / df0))`` with ``df0`` the larger of ``common * N`` and
+Texts are multisets of five-word shingles. With ``idf="every"`` a shingle weighs its count times
+its smoothed inverse document frequency ``1 + ln((1 + N) / (1 + df))``, and the document frequency
+of every shingle is counted exactly: the shingles of a batch of documents are dealt in packets to
+slices of the hash range, a slice counts its shingles over all packets, and each packet's counts
+return to its batch, which is signed there.
+
+With ``idf="common"`` only what most documents hold loses weight: the frequency counts as
+``min(1, ln(N / df) / ln(N / df0))`` with ``df0`` the larger of ``common * N`` and
 ``LEAST_DF``: what few documents share keeps its full weight whatever the size of a group of
 copies, and what most documents hold falls to nothing. Only shingles beyond df0 need a number, and
 those are few: one pass counts documents per hash bucket, a second counts the shingles of the full
@@ -12,21 +18,25 @@ that share a band are candidates; components of the candidate graph bring each n
 task, in blocks of bounded size, and there every candidate pair that is not yet linked is verified
 by weighted Jaccard similarity. In components of several blocks, the buckets of each band whose
 members are still in different classes are verified in the same way, bucket by bucket. A bucket
-larger than a block is dealt anew until it links no more, which leaves few classes; then all of its
-pairs of different classes meet, half a block against half a block, so that no candidate pair stays
-unverified. A class of more than half a block does not meet itself, and what meets it does so once,
-however many buckets they share; so beside a large class only the rest is repeated. Blocks are
+larger than a block is dealt anew until it links no more, which leaves few classes. Then, with the
+frequency of every shingle, each of its texts meets those of other classes that share a band and one
+of the rarest shingles of both, as all pairs that are similar do. With "common" ones all of its
+pairs of different classes meet, half a block against half a block. So no candidate pair stays
+unverified. There a class of more than half a block does not meet itself, and what meets it does so
+once, however many buckets they share; so beside a large class only the rest is repeated. Blocks are
 bounded in texts and in bytes.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +48,7 @@ BANDS, ROWS = 14, 4  # a pair at 0.8 shares a band with probability 0.9994
 COMMON, LEAST_DF = 0.5, 1000
 BLOCK_NODES, BLOCK_BYTES = 512, 4 << 20
 _BUCKETS, _SLICES = 1 << 18, 64
+SLICE_BYTES = 16 << 20  # of text, whose shingles are counted together
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,6 +81,11 @@ def weighted(found: tuple[np.ndarray, np.ndarray], common: np.ndarray, idf: np.n
     return keys[keep], w[keep]
 
 
+def _within(most: float, wanted: float) -> bool:
+    """Whether a sum that may be ``most`` reaches ``wanted``, but for rounding."""
+    return most >= wanted * (1 - 1e-9)
+
+
 def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Sum of the smaller over sum of the larger weights; 0 if neither has any."""
     total = a[1].sum() + b[1].sum()
@@ -80,8 +96,20 @@ def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return float(both / (total - both))
 
 
-_HALF = np.float32(2.0 ** -32)
-_PART = np.float32(2.0 ** -24)
+def _gamma_quantiles() -> np.ndarray:
+    """Quantiles of the Gamma(2, 1) distribution, 1 - (1 + x) exp(-x), for every 16-bit number."""
+    wanted = (np.arange(1 << 16) + 0.5) / (1 << 16)
+    low, high = np.zeros(1 << 16), np.full(1 << 16, 64.0)
+    for _ in range(60):
+        x = (low + high) / 2
+        below = -np.expm1(-x) - x * np.exp(-x) < wanted
+        low, high = np.where(below, x, low), np.where(below, high, x)
+    return (low + high) / 2
+
+
+_GAMMA = _gamma_quantiles().astype(np.float32)
+_LOG_GAMMA = np.log(_gamma_quantiles()).astype(np.float32)
+_BETA = np.float32(2.0 ** -16)
 
 
 def band_keys(texts: list[tuple[np.ndarray, np.ndarray]], bands: int, rows: int) -> np.ndarray:
@@ -91,26 +119,21 @@ def band_keys(texts: list[tuple[np.ndarray, np.ndarray]], bands: int, rows: int)
     full = np.flatnonzero(sizes)
     if not len(full):
         return out
-    at = 0
+    seeds = np.arange(1, bands * rows + 1, dtype=np.uint64) * _STEP
+    at, ends = 0, np.cumsum(sizes[full])
     while at < len(full):  # spans that stay in cache
-        upto = max(at + 1, int(np.searchsorted(
-            np.cumsum(sizes[full[at:]]), 1 << 15, "right")) + at)
+        done = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, done + (1 << 14), "right")))
         mine = full[at:upto]
         keys = np.concatenate([texts[i][0] for i in mine])
         log_w = np.log(np.concatenate([texts[i][1] for i in mine])).astype(np.float32)
         starts = np.cumsum(sizes[mine]) - sizes[mine]
         for k in range(bands * rows):
-            seeds = np.array([2 * k + 1, 2 * k + 2], np.uint64) * _STEP
-            u, v = mix(keys ^ seeds[0]), mix(keys ^ seeds[1])
-            r = -np.log(((u >> np.uint64(32)).astype(np.float32) + np.float32(1)) * _HALF) - np.log(
-                ((u & np.uint64(0xFFFFFFFF)).astype(np.float32) + np.float32(1)) * _HALF)
-            c = -np.log(((v >> np.uint64(40)).astype(np.float32) + np.float32(1)) * _PART) - np.log(
-                ((v >> np.uint64(16) & np.uint64(0xFFFFFF)).astype(np.float32) + np.float32(1))
-                * _PART)
-            beta = (v & np.uint64(0xFFFF)).astype(np.float32) * np.float32(2.0 ** -16)
-            r = np.maximum(r, np.float32(1e-6))
+            parts = mix(keys ^ seeds[k]).view(np.uint16)  # four numbers of 16 bits
+            r = _GAMMA[parts[0::4]]
+            beta = parts[2::4].astype(np.float32) * _BETA
             level = np.floor(log_w / r + beta)
-            a = np.log(np.maximum(c, np.float32(1e-30))) - r * (level - beta) - r
+            a = _LOG_GAMMA[parts[1::4]] - r * (level - beta + np.float32(1))
             least = np.minimum.reduceat(a, starts)
             hits = np.flatnonzero(a == np.repeat(least, sizes[mine]))
             first = hits[np.searchsorted(hits, starts)]
@@ -180,6 +203,168 @@ def common_shingles(docs: DataFrame, total: int, common: float, least_df: int):
     return keys[order], (np.log(total / df) / math.log(total / df0))[order]
 
 
+def tfidf(found: tuple[np.ndarray, np.ndarray], df: np.ndarray, total: int):
+    """Shingles and their counts times 1 + ln((1 + N) / (1 + df))."""
+    keys, counts = found
+    return keys, counts * (1 + np.log((1.0 + total) / (1.0 + df)))
+
+
+_PACKET = "batch bigint, slice int, keys binary, df binary, held binary, often binary, times binary"
+
+
+def _packets(bits: int):
+    """The shingles of each batch of (id, node, text), dealt to 2 ** ``bits`` slices by their first
+    bits, 40 further bits each, once a document; and one row of what stays with the batch."""
+    slices = 1 << bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            found = shingles(_bytes(batch.column("text")))
+            sizes = np.array([len(k) for k, _ in found], np.int64)
+            keys = np.concatenate([np.empty(0, np.uint64), *[k for k, _ in found]])
+            times = np.concatenate([np.empty(0, np.int64), *[c for _, c in found]])
+            which = (keys >> np.uint64(48)).astype(np.uint16) >> np.uint16(16 - bits)
+            low = (keys >> np.uint64(24 - bits))[np.argsort(which, kind="stable")]
+            low = low.view(np.uint8).reshape(-1, 8)[:, :5]
+            ends = np.cumsum(np.bincount(which, minlength=slices)).tolist()
+            # How many shingles of each document are in each slice, and those found repeatedly.
+            held = np.bincount(np.repeat(np.arange(len(sizes)) * slices, sizes) + which,
+                               minlength=len(sizes) * slices).astype(np.uint32)
+            often = np.flatnonzero(times > 1)
+            parts = [low[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+            some = [i for i, p in enumerate(parts) if p]
+            n, none = len(some), pa.nulls
+            of_batch = pa.array(np.full(n + 1, at))
+            rows = np.arange(2, dtype=np.int32) * batch.num_rows
+            columns = [
+                of_batch, pa.array([*some, at % slices], pa.int32()),
+                pa.array([*[parts[i] for i in some], None], pa.binary()),
+                none(n + 1, pa.binary()),
+                *[pa.array([*[None] * n, x], pa.binary()) for x in (
+                    zlib.compress(held.tobytes(), 1), often.astype(np.uint32).tobytes(),
+                    times[often].astype(np.uint32).tobytes())],
+                *[pa.concat_arrays([none(n, pa.list_(c.type)), pa.ListArray.from_arrays(
+                    pa.array(rows), c)]) for c in (batch.column("id"), batch.column("node"))]]
+            yield pa.RecordBatch.from_arrays(columns, names=[
+                "batch", "slice", "keys", "df", "held", "often", "times", "ids", "nodes"])
+            at += 1
+            del found, keys, times, which, low, held, parts, columns, batch
+            give_back()
+    return run
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
+    """The rows of each value of ``by``, one value after the other."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        key = batch.column(by).to_numpy()
+        cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if held and held[0].column(by)[0].as_py() != key[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _count_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packets with 32 bits of each shingle and the number of documents that hold it."""
+    for table in _grouped(batches, "slice"):
+        of_batch = table.filter(table["keys"].is_null())
+        if len(of_batch):
+            yield from of_batch.to_batches()
+        table = table.filter(table["keys"].is_valid())
+        packets = table["keys"].to_pylist()
+        raw = np.frombuffer(b"".join(packets), np.uint8).reshape(-1, 5)
+        keys = np.zeros((len(raw), 8), np.uint8)
+        keys[:, :5] = raw
+        keys = keys.view(np.uint64).ravel()
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+        n = np.diff(np.r_[new, len(keys)]).astype(np.uint32)
+        df = np.empty(len(keys), np.uint32)
+        df[order] = np.repeat(n, n)
+        at = 0
+        for batch in table.to_batches(max_chunksize=256):
+            sizes = [len(p) // 5 for p in batch.column("keys").to_pylist()]
+            ends = np.cumsum([at, *sizes]).tolist()
+            spans = list(zip(ends, ends[1:]))
+            at = ends[-1]
+            put = {"keys": [np.ascontiguousarray(raw[a:b, :4]).tobytes() for a, b in spans],
+                   "df": [df[a:b].tobytes() for a, b in spans]}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(put[c], pa.binary()) if c in put else batch.column(c)
+                 for c in batch.schema.names], names=batch.schema.names)
+        del table, packets, raw, keys, order, new, n, df
+        give_back()
+
+
+def _sign_counted(bits: int, total: int, least: float, bands: int, rows: int):
+    """(id, node, some, bands, df) of each batch's documents, its packets sorted by slice.
+
+    A text with more than ``1 - least`` of its weight in shingles that no other document holds is
+    not ``least`` similar to any other text; it needs no samples.
+    """
+    slices = 1 << bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _grouped(batches, "batch"):
+            own = table.filter(table["keys"].is_null()).to_pylist()
+            table = table.filter(table["keys"].is_valid())
+            keys, df = (np.frombuffer(b"".join(table[c].to_pylist()), np.uint32)
+                        for c in ("keys", "df"))
+            ids = own[0]["nodes"] if own else []
+            held = np.frombuffer(zlib.decompress(own[0]["held"]), np.uint32).reshape(
+                -1, slices) if own else np.zeros((0, slices), np.uint32)
+            if len(own) != 1 or held.sum() != len(keys):
+                raise RuntimeError("a batch of documents came back incomplete")
+            # From the order by slice back to the order by document.
+            doc = np.repeat(np.tile(np.arange(len(ids)), slices), held.T.ravel())
+            order = np.argsort(doc, kind="stable")
+            keys, df = keys[order].astype(np.uint64), df[order]
+            times = np.ones(len(keys))
+            times[np.frombuffer(own[0]["often"], np.uint32)] = np.frombuffer(
+                own[0]["times"], np.uint32)
+            ends = np.cumsum(held.sum(1, dtype=np.int64)).tolist()
+            spans = list(zip([0, *ends], ends))
+            keys, w = tfidf((keys, times), df, total)
+            some = np.array([a < b and _within(w[a:b][df[a:b] > 1].sum(), least * w[a:b].sum())
+                             for a, b in spans], bool)
+            signed = band_keys([(keys[a:b], w[a:b]) if x else (keys[:0], w[:0])
+                                for x, (a, b) in zip(some, spans)], bands, rows)
+            offsets = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * bands)
+            back = table.schema.field("ids").type.value_type
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own[0]["ids"], back), pa.array(ids, pa.binary()),
+                 pa.array(some),
+                 pa.ListArray.from_arrays(offsets, pa.array(signed.view(np.int64).ravel())),
+                 pa.array([df[a:b].tobytes() for a, b in spans], pa.binary())],
+                names=["id", "node", "some", "bands", "df"])
+            del table, own, keys, df, held, doc, order, times, w, some, signed
+            give_back()
+    return run
+
+
+def _signed_by_every(
+    given: DataFrame, total: int, size: int, least: float, bands: int, rows: int,
+) -> DataFrame:
+    """(id, node, some, bands, df) of every document, ``df`` in the order of its shingles."""
+    id_type = given.schema["id"].dataType.simpleString()
+    bits = min(16, max(0, size // SLICE_BYTES).bit_length())
+    packet = f"{_PACKET}, ids array<{id_type}>, nodes array<binary>"
+    return (
+        given.withColumn("node", text_node(F.col("text"))).mapInArrow(_packets(bits), packet)
+        .repartition("slice").sortWithinPartitions("slice").mapInArrow(_count_slices, packet)
+        .repartition("batch").sortWithinPartitions("batch", "slice")
+        .mapInArrow(_sign_counted(bits, total, least, bands, rows),
+                    f"id {id_type}, node binary, some boolean, bands array<bigint>, df binary"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of (a, b): alternating large and small stars until stable.
 
@@ -253,33 +438,40 @@ def _candidates(rows: list[dict]) -> Iterator[tuple[bytes, bytes]]:
             yield r["node"], rows[j]["node"]
 
 
-def _verify_block(rows: list[dict], least: float, common: np.ndarray, idf: np.ndarray):
+def _verify_block(rows: list[dict], least: float, weigh):
     """Node and leader of every node, after all candidate pairs of the block are settled."""
     nodes = [r["node"] for r in rows]
-    sets = dict(zip(nodes, (weighted(s, common, idf) for s in shingles(
-        [(r["text"] or "").encode() for r in rows]))))
+    sets = {r["node"]: weigh(s, r["df"]) for r, s in zip(rows, shingles(
+        [(r["text"] or "").encode() for r in rows]))}
     sums = {n: s[1].sum() for n, s in sets.items()}
+    # What a text may share is in the shingles that another text of the block holds.
+    found, times = np.unique(np.concatenate([k for k, _ in sets.values()]), return_counts=True)
+    shared = {n: w[times[np.searchsorted(found, k)] > 1].sum() for n, (k, w) in sets.items()}
     links, failed = _Links(nodes + [r["leader"] for r in rows]), set()
     for r in rows:
         links.link(r["node"], r["leader"])
     for x, y in _candidates(rows):
         if links.find(x) == links.find(y) or (x, y) in failed:
             continue
-        small, large = sorted((sums[x], sums[y]))
-        if small >= least * large and jaccard(sets[x], sets[y]) >= least:
+        most = min(shared[x], shared[y])
+        if (_within(most, least * (sums[x] + sums[y] - most))
+                and jaccard(sets[x], sets[y]) >= least):
             links.link(x, y)
         else:
             failed |= {(x, y), (y, x)}
     return [(r["node"], r["leader"], links.find(r["node"])) for r in rows]
 
 
-def _verify(least: float, common: np.ndarray, idf: np.ndarray):
-    """Streams rows sorted by (place, block); holds one block at a time."""
+def _verify(least: float, weigh):
+    """Streams rows sorted by (place, block); holds one block at a time.
+
+    ``weigh`` makes the weighted set of a text's shingles and the ``df`` that came with it.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
 
         def result() -> pa.RecordBatch:
-            columns = zip(*_verify_block(held, least, common, idf))
+            columns = zip(*_verify_block(held, least, weigh))
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.binary()) for c in columns], names=["node", "leader", "now"])
 
@@ -302,9 +494,9 @@ def _verify(least: float, common: np.ndarray, idf: np.ndarray):
 def _verified(placed: DataFrame, texts: DataFrame, verify) -> DataFrame:
     """(node, leader, now) of the rows (place, block, band, side, node, leader)."""
     return cut(
-        placed.join(texts.select("node", "bands", "text"), "node")
+        placed.join(texts.select("node", "bands", "text", "df"), "node")
         .repartition("place", "block").sortWithinPartitions("place", "block", "node")
-        .select("place", "block", "band", "side", "node", "leader", "bands", "text")
+        .select("place", "block", "band", "side", "node", "leader", "bands", "text", "df")
         .mapInArrow(verify, "node binary, leader binary, now binary"))
 
 
@@ -380,6 +572,71 @@ def _meetings(rows: DataFrame, nodes: int, most: int) -> DataFrame:
     return met.select(*columns)
 
 
+def _prefixes(total: int, least: float):
+    """(z, whole, first, node, size, leader, bands) for the rarest shingles z of each text.
+
+    Of two texts at least ``least`` similar, the rarest shingle they share is followed by
+    ``least`` of the weight of each, and by ``2 * least / (1 + least)`` of the lighter one's, which
+    ``first`` says. ``whole`` is the weight. Shingles of one document only are not shared.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z, at, whole, first = [], [], [], []
+            for i, (s, df) in enumerate(zip(shingles(_bytes(batch.column("text"))),
+                                            batch.column("df").to_pylist())):
+                df = np.frombuffer(df, np.uint32)
+                keys, w = tfidf(s, df, total)
+                order = np.lexsort((keys, df))
+                keys, w, df = keys[order], w[order], df[order]
+                left = w[::-1].cumsum()[::-1] * (1 + 1e-9)
+                take = (left >= least * w.sum()) & (df > 1)
+                z.append(keys[take].view(np.int64))
+                at.append(np.full(len(z[-1]), i))
+                whole.append(np.full(len(z[-1]), w.sum()))
+                first.append(left[take] >= 2 * least / (1 + least) * w.sum())
+            at = pa.array(np.concatenate(at))
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(np.concatenate(c)) for c in (z, whole, first)],
+                 *[batch.column(c).take(at) for c in ("node", "size", "leader", "bands")]],
+                names=["z", "whole", "first", "node", "size", "leader", "bands"])
+            give_back()
+    return run
+
+
+def _partners(
+    rows: DataFrame, texts: DataFrame, total: int, least: float, nodes: int, most: int,
+) -> DataFrame:
+    """Blocks in which each text of the rows (node, leader) meets the lighter ones of other leaders
+    that share a band with it and a shingle among the rarest of both."""
+    found = cut(rows.select("node", "leader").distinct().join(texts, "node").select(
+        "text", "df", "node", "size", "leader", "bands").mapInArrow(
+            _prefixes(total, least), "z bigint, whole double, first boolean, node binary, "
+            "size bigint, leader binary, bands array<bigint>"))
+    # Shingles that meet nothing leave before the texts' other columns move.
+    several = found.groupBy("z").agg(
+        F.min("leader").alias("a"), F.max("leader").alias("b"),
+        F.max("first").alias("any")).filter("a != b AND any").select("z")
+    found = cut(found.join(several, "z", "left_semi"))
+    guests = found.filter("first").select(
+        "z", *[F.col(c).alias(f"g_{c}") for c in ("node", "size", "leader", "bands", "whole")])
+    alike = F.exists(F.arrays_zip("bands", "g_bands"), lambda b: b["bands"] == b["g_bands"])
+    pairs = cut(found.join(guests, "z").filter(
+        (F.col("leader") != F.col("g_leader"))
+        & (F.struct("g_whole", "g_node") < F.struct("whole", "node"))
+        & (F.col("g_whole") >= F.col("whole") * least * (1 - 1e-9)) & alike).select(
+            "node", "leader", "g_node", "g_size", "g_leader").distinct())
+    parts = pairs.withColumnRenamed("g_size", "size").groupBy("node").agg(
+        _parts(2, nodes, most).alias("parts"))
+    met = cut(pairs.join(parts, "node").select(
+        F.concat(F.lit(b"host:"), "node").alias("place"),
+        F.pmod(F.xxhash64(F.lit("guest"), "g_node"), "parts").cast("string").alias("block"),
+        F.lit(None).cast("int").alias("band"), "node", "leader", "g_node", "g_leader"))
+    return met.select("place", "block", "band", F.lit(0).alias("side"), "node", "leader"
+                      ).distinct().unionByName(met.select(
+                          "place", "block", "band", F.lit(1).alias("side"),
+                          F.col("g_node").alias("node"), F.col("g_leader").alias("leader")))
+
+
 def _merged(leaders: DataFrame, found: DataFrame) -> DataFrame | None:
     """``leaders`` after the links found; None if there are none."""
     links = cut(found.filter("leader != now").select(
@@ -404,7 +661,7 @@ def _open(wide: DataFrame, leaders: DataFrame, nodes: int, most: int) -> DataFra
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.8,
     bands: int = BANDS, rows: int = ROWS, common: float = COMMON, least_df: int = LEAST_DF,
-    block_nodes: int = BLOCK_NODES, block_bytes: int = BLOCK_BYTES,
+    block_nodes: int = BLOCK_NODES, block_bytes: int = BLOCK_BYTES, idf: str = "common",
 ) -> DataFrame:
     """One row (``__node``, ``class_id``, ``class_rows``, ``first_id``, ``leader``) per text.
 
@@ -413,16 +670,26 @@ def near_duplicates(
     key with this text and ``leader`` whether this text stands for its class: exactly one does.
     Texts without words are only alike if equal. Very long texts are whole sets like others, and a
     block by themselves where they fill one. A table without rows gives none. Join with
-    ``text_node(text)``.
+    ``text_node(text)``. ``idf`` says which shingles' document frequencies count, those of "every"
+    shingle or of "common" ones only.
     """
     given = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     small_batches(given)
-    total = given.count()
-    heavy, idf = common_shingles(given.select("text"), total, common, least_df)
+    total, size = given.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    heavy, lighter = np.empty(0, np.uint64), np.empty(0)
+    if idf == "common":
+        heavy, lighter = common_shingles(given.select("text"), total, common, least_df)
+    elif idf != "every":
+        raise ValueError(f"idf is 'every' or 'common', not {idf!r}")
+
+    def weigh(found: tuple[np.ndarray, np.ndarray], df: bytes | None):
+        if df is None:
+            return weighted(found, heavy, lighter)
+        return tfidf(found, np.frombuffer(df, np.uint32), total)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [weighted(s, heavy, idf) for s in shingles(_bytes(batch.column("text")))]
+            found = [weigh(s, None) for s in shingles(_bytes(batch.column("text")))]
             keys = band_keys(found, bands, rows).view(np.int64)
             flat = pa.array(keys.ravel())
             offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * bands)
@@ -434,12 +701,16 @@ def near_duplicates(
             give_back()
 
     id_type = given.schema["id"].dataType.simpleString()
-    signed = given.withColumn("node", text_node(F.col("text"))).mapInArrow(
-        sign, f"id {id_type}, node binary, some boolean, bands array<bigint>")
+    if idf == "every":
+        signed = _signed_by_every(given, total, size or 0, least, bands, rows)
+    else:
+        signed = given.withColumn("node", text_node(F.col("text"))).mapInArrow(
+            sign, f"id {id_type}, node binary, some boolean, bands array<bigint>").withColumn(
+                "df", F.lit(None).cast("binary"))
     # Equal texts have equal bands; copies are combined before they are shuffled.
     nodes = cut(signed.groupBy("node").agg(
         F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"), F.first("some").alias("some"),
-        F.first("bands").alias("bands")))
+        F.first("bands").alias("bands"), F.first("df").alias("df")))
     members = nodes.filter("some").select("node", F.posexplode("bands").alias("band", "bucket"))
     hubs = members.groupBy("band", "bucket").agg(
         F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
@@ -450,16 +721,16 @@ def near_duplicates(
             hubs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
             ["band", "bucket", "salt"]).filter("node != hub").select(
                 F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    roots = cut(components(edges).join(nodes.select("node", "first_id", "bands"), "node"))
+    roots = cut(components(edges).join(nodes.select("node", "first_id", "bands", "df"), "node"))
     # One document per candidate text; its text crosses the network here and to its block below.
     texts = cut(
         given.withColumn("node", text_node(F.col("text")))
         .join(roots, (F.col("id").eqNullSafe(F.col("first_id")))
               & (text_node(F.col("text")) == roots["node"]))
-        .select(roots["node"], "root", "bands", "text"))
+        .select(roots["node"], "root", "bands", "df", "text"))
     texts = cut(texts.dropDuplicates(["node"]).withColumn(  # rows alike in key and text
         "size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")))
-    verify = _verify(least, heavy, idf)
+    verify = _verify(least, weigh)
     bounds = block_nodes, block_bytes
     sizes = cut(texts.groupBy("root").agg(_parts(1, *bounds).alias("parts")))
     leaders = _verified(_dealt(
@@ -480,8 +751,11 @@ def near_duplicates(
         leaders = merged
     if not wide.isEmpty():
         todo = _open(wide, leaders, *bounds)
-        leaders = _merged(
-            leaders, _verified(_meetings(todo, *bounds), texts, verify)) or leaders
+        if idf == "every":
+            blocks = _partners(todo, texts, total, least, *bounds)
+        else:
+            blocks = _meetings(todo, *bounds)
+        leaders = _merged(leaders, _verified(blocks, texts, verify)) or leaders
     classes = nodes.join(leaders, "node", "left").withColumn(
         "leader", F.coalesce("leader", "node"))
     whole = classes.groupBy("leader").agg(

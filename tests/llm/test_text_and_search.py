@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -101,6 +102,58 @@ def test_common_shingles_lose_their_weight(spark):
     assert weighed.agg(F.count_distinct("class_id")).first()[0] == 80
 
 
+def brute_tfidf_classes(texts, least=0.8):
+    """Smallest position of each text's class, with the document frequency of every shingle."""
+    sets = near_dup.shingles([(t or "").encode() for t in texts])
+    df = Counter(k for keys, _ in sets for k in keys.tolist())
+    sets = [near_dup.tfidf(s, np.array([df[k] for k in s[0].tolist()], float), len(texts))
+            for s in sets]
+    up = list(range(len(texts)))
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if (texts[i] or "") == (texts[j] or "") or near_dup.jaccard(sets[i], sets[j]) >= least:
+            up[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("block_nodes", [512, 4])
+def test_every_shingle_weighs_by_its_document_frequency(spark, monkeypatch, block_nodes):
+    monkeypatch.setattr(near_dup, "SLICE_BYTES", 1 << 12)
+    rng = random.Random(8)
+    passage = text_of(rng, 60)
+    # What 80 documents share is 56 of 64 shingles each, but tells none of them apart.
+    texts = [passage + " " + text_of(rng, 8) for _ in range(80)]
+    texts += [text_of(rng, rng.randrange(60, 160)) for _ in range(20)]
+    texts += [edited(rng, t, 1) for t in texts[80:90] for _ in range(3)]
+    texts += [texts[80], "", None, "a b", "a b", "word " * 300, "word " * 300 + "end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = near_dup.with_class(df, near_dup.near_duplicates(
+        df, idf="every", block_nodes=block_nodes)).toPandas().sort_values("doc_id")
+    assert got["class_id"].tolist() == brute_tfidf_classes(texts)
+
+
+def test_large_bucket_of_unlike_texts_meets_few_pairs(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "band_keys", lambda texts, bands, rows: np.ones(
+        (len(texts), bands), np.uint64))
+    rng = random.Random(6)
+    base = [text_of(rng, 90) for _ in range(60)]  # all share every band, each has one partner
+    texts = base + [edited(rng, t, 1) for t in base]
+    blocks = []
+    verified = near_dup._verified
+    monkeypatch.setattr(near_dup, "_verified", lambda placed, *a: (
+        blocks.append(placed.count()), verified(placed, *a))[1])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = near_dup.with_class(df, near_dup.near_duplicates(
+        df, idf="every", block_nodes=4)).toPandas().sort_values("doc_id")
+    assert got["class_id"].tolist() == [i % 60 for i in range(120)]
+    assert blocks[-1] <= 2 * len(texts)
+
+
 def test_near_duplicates_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_dup.near_duplicates(empty).count() == 0

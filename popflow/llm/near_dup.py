@@ -18,13 +18,12 @@ that share a band are candidates; components of the candidate graph bring each n
 task, in blocks of bounded size, and there every candidate pair that is not yet linked is verified
 by weighted Jaccard similarity. In components of several blocks, the buckets of each band whose
 members are still in different classes are verified in the same way, bucket by bucket. A bucket
-larger than a block is dealt anew until it links no more, which leaves few classes. Then, with the
-frequency of every shingle, each of its texts meets those of other classes that share a band and one
-of the rarest shingles of both, as all pairs that are similar do. With "common" ones all of its
-pairs of different classes meet, half a block against half a block. So no candidate pair stays
-unverified. There a class of more than half a block does not meet itself, and what meets it does so
-once, however many buckets they share; so beside a large class only the rest is repeated. Blocks are
-bounded in texts and in bytes.
+larger than a block is dealt anew until it links no more, which leaves few classes; then all of its
+pairs of different classes meet, half a block against half a block, so that no candidate pair stays
+unverified. With the frequency of every shingle, texts leave before that which share none of their
+rarest shingles with another class, as all similar pairs do. A class of more than half a block does
+not meet itself, and what meets it does so once, however many buckets they share; so beside a large
+class only the rest is repeated. Blocks are bounded in texts and in bytes.
 """
 
 from __future__ import annotations
@@ -573,15 +572,15 @@ def _meetings(rows: DataFrame, nodes: int, most: int) -> DataFrame:
 
 
 def _prefixes(total: int, least: float):
-    """(z, whole, first, node, size, leader, bands) for the rarest shingles z of each text.
+    """(z, first, node, leader) for the rarest shingles z of each text.
 
     Of two texts at least ``least`` similar, the rarest shingle they share is followed by
     ``least`` of the weight of each, and by ``2 * least / (1 + least)`` of the lighter one's, which
-    ``first`` says. ``whole`` is the weight. Shingles of one document only are not shared.
+    ``first`` says. Shingles of one document only are not shared.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            z, at, whole, first = [], [], [], []
+            z, at, first = [], [], []
             for i, (s, df) in enumerate(zip(shingles(_bytes(batch.column("text"))),
                                             batch.column("df").to_pylist())):
                 df = np.frombuffer(df, np.uint32)
@@ -592,49 +591,28 @@ def _prefixes(total: int, least: float):
                 take = (left >= least * w.sum()) & (df > 1)
                 z.append(keys[take].view(np.int64))
                 at.append(np.full(len(z[-1]), i))
-                whole.append(np.full(len(z[-1]), w.sum()))
                 first.append(left[take] >= 2 * least / (1 + least) * w.sum())
             at = pa.array(np.concatenate(at))
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(np.concatenate(c)) for c in (z, whole, first)],
-                 *[batch.column(c).take(at) for c in ("node", "size", "leader", "bands")]],
-                names=["z", "whole", "first", "node", "size", "leader", "bands"])
+                [pa.array(np.concatenate(z)), pa.array(np.concatenate(first)),
+                 batch.column("node").take(at), batch.column("leader").take(at)],
+                names=["z", "first", "node", "leader"])
             give_back()
     return run
 
 
-def _partners(
-    rows: DataFrame, texts: DataFrame, total: int, least: float, nodes: int, most: int,
-) -> DataFrame:
-    """Blocks in which each text of the rows (node, leader) meets the lighter ones of other leaders
-    that share a band with it and a shingle among the rarest of both."""
-    found = cut(rows.select("node", "leader").distinct().join(texts, "node").select(
-        "text", "df", "node", "size", "leader", "bands").mapInArrow(
-            _prefixes(total, least), "z bigint, whole double, first boolean, node binary, "
-            "size bigint, leader binary, bands array<bigint>"))
-    # Shingles that meet nothing leave before the texts' other columns move.
+def _with_partners(rows: DataFrame, texts: DataFrame, total: int, least: float) -> DataFrame:
+    """The rows (.., node, leader) whose text shares one of its rarest shingles with a text of
+    another leader, whose rarest it is too, as every similar pair does. No pairs are made."""
+    found = cut(rows.select("node", "leader").distinct().join(
+        texts.select("node", "text", "df"), "node").select("text", "df", "node", "leader")
+        .mapInArrow(_prefixes(total, least),
+                    "z bigint, first boolean, node binary, leader binary"))
     several = found.groupBy("z").agg(
         F.min("leader").alias("a"), F.max("leader").alias("b"),
         F.max("first").alias("any")).filter("a != b AND any").select("z")
-    found = cut(found.join(several, "z", "left_semi"))
-    guests = found.filter("first").select(
-        "z", *[F.col(c).alias(f"g_{c}") for c in ("node", "size", "leader", "bands", "whole")])
-    alike = F.exists(F.arrays_zip("bands", "g_bands"), lambda b: b["bands"] == b["g_bands"])
-    pairs = cut(found.join(guests, "z").filter(
-        (F.col("leader") != F.col("g_leader"))
-        & (F.struct("g_whole", "g_node") < F.struct("whole", "node"))
-        & (F.col("g_whole") >= F.col("whole") * least * (1 - 1e-9)) & alike).select(
-            "node", "leader", "g_node", "g_size", "g_leader").distinct())
-    parts = pairs.withColumnRenamed("g_size", "size").groupBy("node").agg(
-        _parts(2, nodes, most).alias("parts"))
-    met = cut(pairs.join(parts, "node").select(
-        F.concat(F.lit(b"host:"), "node").alias("place"),
-        F.pmod(F.xxhash64(F.lit("guest"), "g_node"), "parts").cast("string").alias("block"),
-        F.lit(None).cast("int").alias("band"), "node", "leader", "g_node", "g_leader"))
-    return met.select("place", "block", "band", F.lit(0).alias("side"), "node", "leader"
-                      ).distinct().unionByName(met.select(
-                          "place", "block", "band", F.lit(1).alias("side"),
-                          F.col("g_node").alias("node"), F.col("g_leader").alias("leader")))
+    left = cut(found.join(several, "z", "left_semi").select("node").distinct())
+    return cut(rows.join(left, "node", "left_semi"))
 
 
 def _merged(leaders: DataFrame, found: DataFrame) -> DataFrame | None:
@@ -752,10 +730,9 @@ def near_duplicates(
     if not wide.isEmpty():
         todo = _open(wide, leaders, *bounds)
         if idf == "every":
-            blocks = _partners(todo, texts, total, least, *bounds)
-        else:
-            blocks = _meetings(todo, *bounds)
-        leaders = _merged(leaders, _verified(blocks, texts, verify)) or leaders
+            todo = _with_partners(todo, texts, total, least)
+        leaders = _merged(
+            leaders, _verified(_meetings(todo, *bounds), texts, verify)) or leaders
     classes = nodes.join(leaders, "node", "left").withColumn(
         "leader", F.coalesce("leader", "node"))
     whole = classes.groupBy("leader").agg(

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from popflow.llm import cascade, elias_fano, ngram_lm, pu_quality, toxicity
+from popflow.llm import cascade, elias_fano, labels, ngram_lm, pu_quality, toxicity
 
 WORDS = [f"{a}{b}" for a in ("ba", "ko", "mi", "tu", "re", "sol") for b in "aeioulnrst"]
 
@@ -226,3 +226,38 @@ def test_curve_matches_one_table(spark):
     p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
     slope = z.T @ ((1.0 + np.arange(300) % 3) * (p - y)) + np.array([1e-2, 1e-2, 1e-4]) * w
     assert np.abs(slope).max() < 1e-6
+
+
+def test_only_texts_that_may_have_a_label_move(spark):
+    ids = spark.range(0, 20_000, 40).withColumnRenamed("id", "doc_id")
+    docs = spark.range(20_000).withColumnRenamed("id", "doc_id").withColumn("text", F.lit("a b"))
+    some = labels.perhaps_in(docs, ids)
+    assert some.columns == docs.columns
+    assert some.join(ids, "doc_id").count() == 500
+    assert some.count() < 600
+    assert labels.perhaps_in(docs, ids.limit(0)).count() == 0
+    other = ids.select(F.col("doc_id").cast("int"))  # hashes of other types differ
+    assert labels.perhaps_in(docs, other).count() == 20_000
+
+
+def test_pairs_of_a_word_are_exchanged_once(spark):
+    docs = spark.range(300).select(
+        F.col("id").alias("doc_id"),
+        F.concat_ws(" ", F.lit("the"), F.concat(F.lit("w"), F.col("id") % 97)).alias("text"),
+        (F.col("id") % 2).cast("int").alias("toxic"))
+    seen, whole = [], toxicity._log_ratios
+    try:
+        toxicity._log_ratios = lambda pairs, *rest: seen.append(pairs) or whole(pairs, *rest)
+        toxicity.fit(docs, docs, F.lit(True))
+    finally:
+        toxicity._log_ratios = whole
+    pairs = seen[0]
+    plan = pairs.groupBy("word", "part").count()._jdf.queryExecution().executedPlan().toString()
+    # One exchange for each side of the join with the labels, one for the pairs and their words, and
+    # one for the maps of ids.
+    assert plan.count("Exchange hashpartitioning(word") == 1, plan
+    assert "before#" not in plan.split("Exchange hashpartitioning(word")[1].split("[plan_id")[0].split(
+        ")")[0], plan
+    assert "BroadcastHashJoin [doc_id" not in plan, plan
+    got = pairs.groupBy("word").agg(F.count_distinct("before").alias("n"), F.count(F.lit(1)).alias("m"))
+    assert got.filter("n != m").count() == 0

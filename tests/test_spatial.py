@@ -268,3 +268,11 @@ def test_nothing_that_grows_is_broadcast(spark):
         plan = joined._jdf.queryExecution().sparkPlan().toString()
         # The top level of the pyramid has a handful of cells.
         assert plan.count("BroadcastHashJoin") <= ("__band_up" in plan), plan
+
+
+def test_points_without_a_near_zone_are_not_broadcast(spark):
+    """They can be most points; the top of the pyramid is a few cells a state."""
+    zs = zones(spark, [(f"z{i}", "01", [square(i, 0, 0.5)]) for i in range(3)])
+    ps = points(spark, [(i, "01", 0.25, 40.0 + i) for i in range(3)])
+    plan = spatial.nearest_any(ps, zs)._jdf.queryExecution().sparkPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan, plan

@@ -18,7 +18,7 @@ that share a band are candidates; components of the candidate graph bring each n
 task, in blocks of bounded size, and there every candidate pair that is not yet linked is verified
 by weighted Jaccard similarity. In components of several blocks, the buckets of each band whose
 members are still in different classes are verified in the same way, bucket by bucket. A bucket
-larger than a block is dealt anew until it links no more, which leaves few classes; then all of its
+larger than a block is dealt anew until it links hardly any more, which leaves few classes; then all of its
 pairs of different classes meet, half a block against half a block, so that no candidate pair stays
 unverified. With the frequency of every shingle, texts leave before that which share none of their
 rarest shingles with another class, as all similar pairs do. A class of more than half a block does
@@ -46,6 +46,8 @@ WORDS = 5
 BANDS, ROWS = 14, 4  # a pair at 0.8 shares a band with probability 0.9994
 COMMON, LEAST_DF = 0.5, 1000
 BLOCK_NODES, BLOCK_BYTES = 512, 4 << 20
+FEW_LINKS = 1 << 16  # that one task follows
+LEAST_GAIN = 0.02  # links a class, below which large buckets are not dealt again
 _BUCKETS, _SLICES = 1 << 18, 64
 SLICE_BYTES = 16 << 20  # of text, whose shingles are counted together
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -364,11 +366,28 @@ def _signed_by_every(
                     f"id {id_type}, node binary, some boolean, bands array<bigint>, df binary"))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) for the nodes of a task's few (a, b)."""
+    links = _Links([])
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            links.up.setdefault(a, a)
+            links.up.setdefault(b, b)
+            links.link(a, b)
+        kind = batch.schema.field("a").type
+    if links.up:
+        nodes = list(links.up)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, kind), pa.array([links.find(n) for n in nodes], kind)],
+            names=["node", "root"])
+
+
+def components(edges: DataFrame, few: int = FEW_LINKS) -> DataFrame:
     """(node, root) for the nodes of (a, b): alternating large and small stars until stable.
 
     The root is the smallest node of the component. Only minima are aggregated, so a node with
-    very many neighbours is pre-aggregated and never gathered.
+    very many neighbours is pre-aggregated and never gathered. Once at most ``few`` links are left,
+    which are a few MB whatever the input, one task follows them to their roots.
     """
     def state(e: DataFrame):
         row = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -378,6 +397,9 @@ def components(edges: DataFrame) -> DataFrame:
             .filter("a != b").distinct())
     seen = None
     while (now := state(e)) != seen:
+        if now[0] <= few:
+            kind = e.schema["a"].dataType.simpleString()
+            return e.coalesce(1).mapInArrow(_rooted, f"node {kind}, root {kind}")
         seen = now
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -615,12 +637,14 @@ def _with_partners(rows: DataFrame, texts: DataFrame, total: int, least: float)
     return cut(rows.join(left, "node", "left_semi"))
 
 
-def _merged(leaders: DataFrame, found: DataFrame) -> DataFrame | None:
-    """``leaders`` after the links found; None if there are none."""
-    links = cut(found.filter("leader != now").select(
+def _new_links(found: DataFrame) -> DataFrame:
+    """The links (a, b) between leaders that were found."""
+    return cut(found.filter("leader != now").select(
         F.col("leader").alias("a"), F.col("now").alias("b")).distinct())
-    if links.isEmpty():
-        return None
+
+
+def _merged(leaders: DataFrame, links: DataFrame) -> DataFrame:
+    """``leaders`` after the links."""
     to = components(links).withColumnsRenamed({"node": "leader", "root": "__to"})
     return cut(leaders.join(to, "leader", "left").select(
         "node", F.coalesce("__to", "leader").alias("leader")))
@@ -721,18 +745,24 @@ def near_duplicates(
     while not wide.isEmpty():
         turn += 1
         todo = _open(wide, leaders, *bounds)
-        merged = _merged(leaders, _verified(_dealt(todo, turn), texts, verify))
+        links = _new_links(_verified(_dealt(todo, turn), texts, verify))
         # One pass settles every pair of the buckets that fit a block.
-        wide = todo.filter("parts > 1").select("node", "size", "band", "bucket")
-        if merged is None:
+        large = todo.filter("parts > 1")
+        wide = large.select("node", "size", "band", "bucket")
+        n_links = links.count()
+        if n_links:
+            leaders = _merged(leaders, links)
+        # Another deal is worth it while classes grow by it; the meetings leave out no pair.
+        classes = large.agg(F.approx_count_distinct("leader")).first()[0]
+        if n_links < LEAST_GAIN * classes:
             break
-        leaders = merged
     if not wide.isEmpty():
         todo = _open(wide, leaders, *bounds)
         if idf == "every":
             todo = _with_partners(todo, texts, total, least)
-        leaders = _merged(
-            leaders, _verified(_meetings(todo, *bounds), texts, verify)) or leaders
+        links = _new_links(_verified(_meetings(todo, *bounds), texts, verify))
+        if not links.isEmpty():
+            leaders = _merged(leaders, links)
     classes = nodes.join(leaders, "node", "left").withColumn(
         "leader", F.coalesce("leader", "node"))
     whole = classes.groupBy("leader").agg(

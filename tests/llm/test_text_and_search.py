@@ -477,3 +477,37 @@ def test_stages_take_odd_rows(spark, tmp_path):
     assert kept.filter(F.coalesce("text", F.lit("")) == "").count() == 1
     last = corpus_pipeline.pieces_stage(spark, docs, str(tmp_path))
     assert last.count() == len(rows) and last.filter("NOT round_trip").isEmpty()
+
+
+def test_few_links_are_followed_in_one_task(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))] + [
+        (i, i + 1) for i in range(1000, 1060)]
+    edges = spark.createDataFrame([(bytes([a >> 8, a & 255]), bytes([b >> 8, b & 255]))
+                                   for a, b in pairs], "a binary, b binary")
+    written = []
+    monkeypatch.setattr(near_dup, "cut", lambda df: written.append(1) or cut(df))
+    got = {tuple(map(bytes, r)) for r in near_dup.components(edges).collect()}
+    assert len(written) == 1
+    assert got == {tuple(map(bytes, r)) for r in near_dup.components(edges, few=0).collect()}
+    assert len(written) > 3
+    assert near_dup.components(edges.limit(0)).count() == 0
+
+
+def test_buckets_are_dealt_again_only_while_classes_grow(spark, monkeypatch):
+    # One text with its ending changed: all are candidates, and few pairs are similar enough. No
+    # gain is enough here, so that the meetings have to find what one deal leaves.
+    monkeypatch.setattr(near_dup, "LEAST_GAIN", 2.0)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(words + [f"x{i}a{j}" for j in range(9)]) for i in range(240)]
+    texts += [f"{t} y" for t in texts[:60]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    turns, dealt = [], near_dup._dealt
+    monkeypatch.setattr(near_dup, "_dealt", lambda rows, turn: turns.append(turn) or dealt(rows, turn))
+    kept = near_dup.near_duplicates(df, block_nodes=16).toPandas()
+    assert turns == [0, 1]
+    sets = [(k, n.astype(float)) for k, n in near_dup.shingles([t.encode() for t in texts])]
+    alike = [(i, j) for i in range(len(texts)) for j in range(i)
+             if near_dup.jaccard(sets[i], sets[j]) >= 0.8]
+    assert alike == [(240 + i, i) for i in range(60)]
+    assert sorted(kept["class_rows"]) == [1] * 180 + [2] * 120

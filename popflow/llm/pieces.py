@@ -5,15 +5,18 @@ other signs with at most one blank before them, runs of blanks up to the last on
 white-space characters. A run of more than ``LONGEST`` characters is several words. For the
 different words of a batch of documents a lattice is built as a relation: their substrings up to
 the longest piece are exploded, equi-joined with the piece table, and the edges grouped by word and
-end. A fold with the higher-order function ``aggregate`` (Viterbi) keeps the best way to each
-position, the last one being the word's pieces, and the batch's documents are put together from
-its words. A character no piece covers becomes its UTF-8 bytes, which the vocabulary has as pieces
-of their own, so every text can be decoded exactly; U+2581, which stands for the blank, is one.
+end. Substrings are exploded a length at a time and joined with the beginnings of the pieces, so
+that those no piece begins with are not made longer. A fold with the higher-order function
+``aggregate`` (Viterbi) keeps the best way to each position, the last one being the word's pieces,
+and the batch's documents are put together from its words. A character no piece covers becomes its
+UTF-8 bytes, which the vocabulary has as pieces of their own, so every text can be decoded exactly;
+U+2581, which stands for the blank, is one.
 
 Batches are bounded and nothing is shuffled: the piece table is as large as the vocabulary. A task
-keeps the words it has seen, up to a number of bytes, and builds lattices for new ones only. (One
-dictionary for the whole corpus was tried: bringing the words of each text back to it takes a join
-on the words and another on the texts, over three times the input in shuffle files.)
+keeps the words it has seen, up to a number of bytes, and builds lattices for new ones only; they
+travel in rows of their own before the documents. (One dictionary for the whole corpus was tried:
+bringing the words of each text back to it takes a join on the words and another on the texts, over
+three times the input in shuffle files.)
 
 A vocabulary whose scores are merge ranks has no probabilities; pieces are then scored by Zipf's
 law on the rank, ``-ln(rank + 2)``. Decoding is a column expression over the table of pieces.
@@ -38,10 +41,11 @@ KNOWN_BYTES, LATTICE_CHARS = 3 << 20, 1 << 15  # of words a task keeps; of words
 UNKNOWN = -20.0  # score of a character written as bytes
 _ROW_BITS, _LENGTHS = 21, 64  # of an edge: place in the piece table, and how long the piece is
 _EDGE_BITS = _ROW_BITS + 6
-_SCORE_MASK = -(1 << _EDGE_BITS)
-_UNIT = 1 << 16  # scores are multiples of 1 / _UNIT
-WORDS = (rf" {{1,{LONGEST}}}(?= )| ?\p{{L}}{{1,{LONGEST}}}| ?\p{{N}}{{1,{LONGEST}}}"
-         rf"| ?[^\s\p{{L}}\p{{N}}]{{1,{LONGEST}}}|\s")
+_COST_MASK = -(1 << _EDGE_BITS)
+_UNIT = 1 << 16  # costs, the scores' negatives, are multiples of 1 / _UNIT
+_UNKNOWN_COST = round(-UNKNOWN * _UNIT)
+WORDS = (rf" ?\p{{L}}{{1,{LONGEST}}}| ?\p{{N}}{{1,{LONGEST}}}"
+         rf"| ?[^\s\p{{L}}\p{{N}}]{{1,{LONGEST}}}| {{1,{LONGEST}}}(?= )|\s")
 
 
 class Vocabulary(NamedTuple):
@@ -81,64 +85,82 @@ def words_of(text: Column) -> Column:
         F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(WORDS), F.lit(0)))
 
 
-def lattice(words: pa.Array, pieces: pa.Array, scores: np.ndarray) -> pa.ListArray:
-    """Edges of each word by end position: score, length and row of the piece in one number.
+class Prefixes(NamedTuple):
+    """Beginnings of one length of the pieces."""
+
+    keys: pa.Array  # number of the beginning that is a character shorter, and the last character
+    rows: np.ndarray  # place of the piece in the table, -1 for what only begins one
+
+
+def prefixes_of(pieces: list[str]) -> list[Prefixes]:
+    """The piece table by beginnings, for each length from 1."""
+    found: list[dict[str, int]] = [{} for _ in range(max(map(len, pieces), default=0))]
+    for row, piece in enumerate(pieces):
+        for n in range(1, len(piece)):
+            found[n - 1].setdefault(piece[:n], -1)
+        if piece and found[len(piece) - 1].get(piece, -1) < 0:
+            found[len(piece) - 1][piece] = row
+    out, shorter = [], {"": 0}
+    for level in found:
+        out.append(Prefixes(
+            pa.array([shorter[p[:-1]] << _ROW_BITS | ord(p[-1]) for p in level], pa.int64()),
+            np.array(list(level.values()), np.int64)))
+        shorter = {p: i for i, p in enumerate(level)}
+    return out
+
+
+def lattice(words: pa.Array, prefixes: list[Prefixes], costs: np.ndarray) -> pa.ListArray:
+    """Edges of each word by end position: cost, length less 1 and row of the piece in one number.
 
-    The length is held as what it lacks to the longest possible, so that a larger number is the
-    edge that starts later.
     A character without a piece has as its row the length of the table plus its code point.
     """
     sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-    order = np.argsort(-sizes, kind="stable")  # words long enough for a span come first
-    by_size = words.take(pa.array(order))
-    longest = pc.max(pc.utf8_length(pieces)).as_py()
-    parts, spans = [], []
-    for start in range(int(sizes.max(initial=0))):
-        for end in range(start + 1, start + 1 + longest):
-            n = int(np.searchsorted(-sizes[order], -end, "right"))
-            if not n:
-                break
-            parts.append(pc.utf8_slice_codeunits(by_size.slice(0, n), start, end))
-            spans.append((start, end, n))
-    if not parts:
-        return pa.array([[] for _ in range(len(words))], pa.list_(pa.list_(pa.int64())))
-    exploded = pa.concat_arrays(parts)
-    start, end, n = (np.array(v, np.int64) for v in zip(*spans))
-    word = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    start, end = np.repeat(start, n), np.repeat(end, n)
-    row = pc.index_in(exploded, value_set=pieces).to_numpy(zero_copy_only=False)
-    joined = ~np.isnan(row) if row.dtype.kind == "f" else np.ones(len(row), bool)
-    code = np.where(joined, row, 0).astype(np.int64)
-    alone = np.flatnonzero(~joined & (end == start + 1))
-    code[alone] = len(pieces) + np.array(
-        [ord(c) for c in exploded.take(pa.array(alone)).to_pylist()], np.int64)
-    keep = np.flatnonzero(joined | (end == start + 1))
+    ends = np.cumsum(sizes)
+    text = "".join(words.to_pylist())
+    signs = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    left = np.repeat(ends, sizes) - np.arange(len(signs))  # characters of the word from here
+    start, prefix = np.arange(len(signs)), np.zeros(len(signs), np.int64)
+    found = []
+    for n, (keys, rows) in enumerate(prefixes):
+        within = left[start] > n
+        start, prefix = start[within], prefix[within]
+        if not len(start):
+            break
+        at = pc.index_in(pa.array(prefix << _ROW_BITS | signs[start + n]), value_set=keys)
+        joined = at.is_valid().to_numpy(zero_copy_only=False)
+        at = at.fill_null(0).to_numpy().astype(np.int64)
+        row = np.where(joined, rows[at], -1)
+        if n == 0:
+            row = np.where(row < 0, len(costs) + signs, row)
+        piece = row >= 0
+        row = row[piece]
+        cost = np.where(row < len(costs), costs[np.minimum(row, len(costs) - 1)], _UNKNOWN_COST)
+        found.append((start[piece] + n, (cost << _EDGE_BITS) + (n << _ROW_BITS) + row))
+        start, prefix = start[joined], at[joined]
     # Grouped by word and end: every position of a word has at least one edge.
-    firsts = np.cumsum(sizes) - sizes
-    place = firsts[word[keep]] + end[keep] - 1
-    keep, place = keep[np.argsort(place, kind="stable")], np.sort(place, kind="stable")
-    row = code[keep]
-    score = np.where(row < len(pieces), scores[np.minimum(row, len(pieces) - 1)], UNKNOWN)
-    edges = (np.rint(score * _UNIT).astype(np.int64) << _EDGE_BITS) + (
-        _LENGTHS - 1 - end[keep] + start[keep] << _ROW_BITS) + row
-    ends = pa.ListArray.from_arrays(
-        pa.array(np.searchsorted(place, np.arange(sizes.sum() + 1)).astype(np.int32)),
-        pa.array(edges))
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), ends)
+    ways = np.zeros(len(signs), np.int64)
+    for end, _ in found:
+        ways[end] += 1
+    firsts = np.r_[0, np.cumsum(ways)]
+    edges, place = np.empty(firsts[-1], np.int64), firsts[:-1].copy()
+    for end, edge in found:
+        edges[place[end]] = edge
+        place[end] += 1
+    by_end = pa.ListArray.from_arrays(pa.array(firsts.astype(np.int32)), pa.array(edges))
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), by_end)
 
 
 def viterbi(ends: Column) -> Column:
-    """Best way to each position of a word: the score above, its last edge below.
+    """Best way to each position of a word, the last first: the cost above, its last edge below.
 
-    An edge carries its score, length and row in one number, so a step adds the best score where it
-    starts to it and the greatest sum wins; ties go to the later start, then the larger row.
+    An edge carries its cost, length and row in one number, so a step adds the least cost where it
+    starts to it and the smallest sum wins; ties go to the later start.
     """
     def step(best: Column, ways: Column) -> Column:
         def reach(edge: Column) -> Column:
-            start = F.size(best) - (_LENGTHS - 1) + F.shiftright(edge, _ROW_BITS).bitwiseAND(
-                F.lit(_LENGTHS - 1)).cast("int")
-            return F.get(best, start).bitwiseAND(F.lit(_SCORE_MASK)) + edge
-        return F.concat(best, F.array(F.array_max(F.transform(ways, reach))))
+            back = F.shiftright(edge, _ROW_BITS).bitwiseAND(F.lit(_LENGTHS - 1)).cast("int")
+            return F.get(best, back).bitwiseAND(F.lit(_COST_MASK)) + edge
+        return F.array_prepend(best, F.array_min(F.transform(ways, reach)))
 
     return F.aggregate(ends, F.array(F.lit(0).cast("bigint")), step)
 
@@ -170,44 +192,50 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
     # The text itself travels as its words; whether it is null goes in its place.
     named = {c: f"c{i}" for i, c in enumerate(rest)}
     sent = {c: "boolean" if c == text else k for c, k in kinds.items()}
-    table = pa.array([p for p, _, _ in vocabulary.pieces], pa.string())
-    scores = np.array([s for _, _, s in vocabulary.pieces])
-    if len(table) + 0x110000 > 1 << _ROW_BITS or vocabulary.longest >= _LENGTHS:
+    prefixes = prefixes_of([p for p, _, _ in vocabulary.pieces])
+    costs = np.rint([-s * _UNIT for _, _, s in vocabulary.pieces]).astype(np.int64)
+    if len(costs) + 0x110000 > 1 << _ROW_BITS or vocabulary.longest >= _LENGTHS:
         raise ValueError("the vocabulary or its pieces are too large for the edges")
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per batch of documents: their columns, words by number, and the words that
-        are new since the row that began afresh, with their lattices."""
-        def one(values: pa.Array) -> pa.Array:
-            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        """Rows of words that are new since the row that began afresh, with their lattices, and
+        rows of documents: their columns, and words by number."""
+        names = [*named.values(), "counts", "codes", "dictionary", "lattices", "afresh"]
+
+        def row(columns: list[pa.Array], afresh: bool = False) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
+                + [pa.array([afresh])], names=names)
 
         known, afresh = pa.array([], pa.string()), True
+        no_words, no_codes = known, pa.array([], pa.int32())
+        no_lattices = pa.array([], pa.list_(pa.list_(pa.int64())))
         for batch in batches:
-            offsets, _ = _flat(batch.column("words"))
-            for a, b in _slices(offsets):
-                part = batch.slice(a, b - a)
-                counts, flat = _flat(part.column("words"))
-                coded = flat.cast(pa.string()).dictionary_encode()
-                if known.nbytes > KNOWN_BYTES:
-                    known, afresh = pa.array([], pa.string()), True
-                at = pc.index_in(coded.dictionary, value_set=known)
-                new = coded.dictionary.filter(pc.is_null(at))
-                place = at.fill_null(-1).to_numpy().astype(np.int32)
-                place[place < 0] = len(known) + np.arange(len(new), dtype=np.int32)
-                known = pa.concat_arrays([known, new])
-                ends = np.cumsum(pc.utf8_length(new).to_numpy(zero_copy_only=False))
-                borders = np.unique(np.r_[0, np.searchsorted(ends, np.arange(
-                    LATTICE_CHARS, ends[-1] if len(ends) else 0, LATTICE_CHARS)), len(new)])
-                lattices = [lattice(new.slice(i, j - i), table, scores)
-                            for i, j in zip(borders, borders[1:])] or [lattice(new, table, scores)]
-                yield pa.RecordBatch.from_arrays(
-                    [one(part.column(n)) for n in named.values()]
-                    + [one(pa.array(counts.astype(np.int32))),
-                       one(pa.array(place[coded.indices.to_numpy()])), one(new),
-                       one(pa.concat_arrays(lattices)), pa.array([afresh])],
-                    names=[*named.values(), "counts", "codes", "dictionary", "lattices", "afresh"])
+            offsets, flat = _flat(batch.column("words"))
+            coded = flat.cast(pa.string()).dictionary_encode()
+            if known.nbytes > KNOWN_BYTES:
+                known, afresh = no_words, True
+            at = pc.index_in(coded.dictionary, value_set=known)
+            new = coded.dictionary.filter(pc.is_null(at))
+            place = at.fill_null(-1).to_numpy().astype(np.int32)
+            place[place < 0] = len(known) + np.arange(len(new), dtype=np.int32)
+            codes = place[coded.indices.to_numpy()]
+            known = pa.concat_arrays([known, new])
+            ends = np.cumsum(pc.utf8_length(new).to_numpy(zero_copy_only=False))
+            borders = np.unique(np.r_[0, np.searchsorted(ends, np.arange(
+                LATTICE_CHARS, ends[-1] if len(ends) else 0, LATTICE_CHARS)), len(new)])
+            columns = {n: batch.column(n) for n in named.values()}
+            nothing = [c.slice(0, 0) for c in columns.values()]
+            for i, j in zip(borders, borders[1:]):
+                part = new.slice(i, j - i)
+                edges_of = lattice(part, prefixes, costs)
+                yield row([*nothing, no_codes, no_codes, part, edges_of], afresh)
                 afresh = False
-                give_back()
+            for a, b in _slices(offsets):
+                yield row([*(c.slice(a, b - a) for c in columns.values()),
+                           pa.array((offsets[a:b + 1] - offsets[a]).astype(np.int32)),
+                           pa.array(codes[offsets[a]:offsets[b]]), no_words, no_lattices])
+            give_back()
 
     rows = docs.select(*[
         (F.col(c).isNull() if c == text else F.col(c)).alias(n) for c, n in named.items()],
@@ -223,22 +251,29 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The rows of a task come in the order in which they left ``edges``.
-        words, found = pa.array([], pa.string()), pa.array([], pa.list_(pa.int32()))
+        no_words, no_pieces = pa.array([], pa.string()), pa.array([], pa.list_(pa.int32()))
+        words, found = [no_words], [no_pieces]
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 counts, codes, new = (
                     row.column(n).flatten() for n in ("counts", "codes", "dictionary"))
-                counts = counts.to_numpy()
                 if row.column("afresh")[0].as_py():
-                    words, found = words.slice(0, 0), found.slice(0, 0)
-                sizes, values = _pieces_of(_rows_of(row.column("best").flatten()), ids, bytes_of)
-                words = pa.concat_arrays([words, new.cast(pa.string())])
-                found = pa.concat_arrays([found, pa.ListArray.from_arrays(
-                    pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(values))])
-                upto, flat = _flat(found.take(codes))
+                    words, found = [no_words], [no_pieces]
+                if len(new):
+                    ways = _rows_of(row.column("best").flatten())
+                    sizes, values = _pieces_of(ways, ids, bytes_of)
+                    words.append(new.cast(pa.string()))
+                    found.append(pa.ListArray.from_arrays(
+                        pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(values)))
+                if not len(counts):
+                    continue
+                counts = counts.to_numpy()
+                if len(words) > 1:
+                    words, found = [pa.concat_arrays(words)], [pa.concat_arrays(found)]
+                upto, flat = _flat(found[0].take(codes))
                 texts = pc.binary_join(pa.ListArray.from_arrays(
-                    pa.array(counts), words.take(codes)), "")
+                    pa.array(counts), words[0].take(codes)), "")
                 columns = []
                 for c, n in named.items():
                     values = row.column(n).flatten()
@@ -260,13 +295,16 @@ def _rows_of(best: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and rows of the pieces of each word, followed back from its last position."""
     offsets, flat = _flat(best)
     edge = flat.to_numpy(zero_copy_only=False)
-    words, at = np.arange(len(best)), np.diff(offsets) - 1
+    at, begin = offsets[:-1].astype(np.int64), offsets[1:].astype(np.int64) - 1
+    words = np.flatnonzero(at < begin)
+    at = at[words]
     found = []
     while len(words):
-        last = edge[offsets[words] + at]
+        last = edge[at]
         found.append((words, last & ((1 << _ROW_BITS) - 1)))
-        at = at - (_LENGTHS - 1) + (last >> _ROW_BITS & (_LENGTHS - 1))
-        words, at = words[at > 0], at[at > 0]
+        at = at + 1 + (last >> _ROW_BITS & (_LENGTHS - 1))
+        on = at < begin[words]
+        words, at = words[on], at[on]
     if not found:
         return np.zeros(1, np.int64), np.empty(0, np.int64)
     word = np.concatenate([w for w, _ in found[::-1]])

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,6 +257,60 @@ def test_pieces_are_the_best_way(spark, vocabulary):
         assert math.isfinite(want)
 
 
+def test_substrings_no_piece_begins_with_are_not_joined(vocabulary, monkeypatch):
+    """The lattice holds every piece of every word, though few of the substrings are looked up."""
+    words = ["xqzjkxqzjkvwxqzjk", " international", "", " ", "漢字😀é", " " * 20, "unbelievable", "a▁b"]
+    names = [p for p, _, _ in vocabulary.pieces]
+    costs = np.arange(len(names))
+    looked_up = []
+    look = pieces.pc.index_in
+
+    def counted(values, **options):
+        looked_up.append(len(values))
+        return look(values, **options)
+
+    prefixes = pieces.prefixes_of(names)
+    with monkeypatch.context() as m:
+        m.setattr(pieces.pc, "index_in", counted)
+        pieces.lattice(pa.array(words[:1]), prefixes, costs)
+    rows, longest = {p: i for i, p in enumerate(names)}, vocabulary.longest
+    substrings = sum(min(longest, len(words[0]) - i) for i in range(len(words[0])))
+    assert sum(looked_up) < substrings / 2
+    got = pieces.lattice(pa.array(words), prefixes, costs).to_pylist()
+    for word, ends in zip(words, got):
+        want = []
+        for end in range(1, len(word) + 1):
+            parts = [word[start:end] for start in range(max(0, end - longest), end)]
+            ways = {(len(p), costs[rows[p]], rows[p]) for p in parts if p in rows}
+            if parts[-1] not in rows:
+                ways.add((1, pieces._UNKNOWN_COST, len(names) + ord(parts[-1])))
+            want.append(ways)
+        low = (1 << pieces._ROW_BITS) - 1
+        assert [{((e >> pieces._ROW_BITS & pieces._LENGTHS - 1) + 1, e >> pieces._EDGE_BITS, e & low)
+                 for e in edges} for edges in ends] == want
+        assert [len(edges) for edges in ends] == [len(w) for w in want]
+
+
+def test_words_are_looked_up_once_a_batch(spark, vocabulary, monkeypatch):
+    """Also where a task forgets its words between Arrow batches, and the lattices take many rows."""
+    texts = [f"word{i % 7} naïve  {'ab' * (i % 5)}\n{i}" if i % 11 else None for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    whole = {r.doc_id: r.pieces for r in pieces.encode(df, vocabulary).collect()}
+    monkeypatch.setattr(pieces, "BATCH_WORDS", 9)
+    monkeypatch.setattr(pieces, "LATTICE_CHARS", 8)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "4")
+    try:
+        for known in (0, 100, 1 << 20):
+            monkeypatch.setattr(pieces, "KNOWN_BYTES", known)
+            coded = pieces.decode(pieces.encode(df, vocabulary), vocabulary).collect()
+            assert {r.doc_id: r.pieces for r in coded} == whole
+            assert [r.decoded for r in coded] == [t or "" for t in texts]
+    finally:
+        spark.conf.set(name, before)
+
+
 def page(body, head="<title>T</title><style>p{}</style><script>var a='</p>';</script>"):
     return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>"
 

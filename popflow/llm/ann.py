@@ -310,44 +310,60 @@ def build(
     return Index(tree, sizes, placed, dim, least, reached)
 
 
-def search(index: Index, is_query: Column, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score) of every indexed row that ``is_query`` picks.
+def _parts(index: Index, block_rows: int) -> np.ndarray:
+    """The number of parts of each leaf."""
+    return -(-index.sizes // (8 * block_rows))
 
-    Rows that share the query's id are not its candidates; of several rows with one query id the
-    smallest vector is the query. An empty table gives no rows. Fewer than ``k`` rows come only where
-    there are fewer candidates.
+
+def query_blocks(index: Index, is_query: Column, k: int, block_rows: int) -> DataFrame:
+    """(leaf, part, q_ids, q): of each block of queries those that visit the leaf, as raw numbers.
+
+    A task walks the tree for a block or two, and lets go of the queries of one leaf before it
+    gathers those of the next: what it holds does not grow with the visits.
     """
     tree, sizes, least, dim = index.tree, index.sizes, index.visits, index.dim
-    part_rows = 8 * block_rows
-    parts = -(-sizes // part_rows)
+    parts = _parts(index, block_rows)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column("v"), dim).astype(np.float64)
-            to = [visits(tree, q, sizes, least, k + 1) for q in unit(x)] if len(x) else []
-            at, leaf, part = [], [], []
-            for i, leaves in enumerate(to):
-                for n in leaves:
-                    for p in range(parts[n]):
-                        at.append(i)
-                        leaf.append(n)
-                        part.append(p)
-            rows = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(rows), batch.column("v").take(rows),
-                 pa.array(leaf, pa.int64()), pa.array(part, pa.int64())],
-                names=["id", "v", "leaf", "part"])
+            for a in range(0, batch.num_rows, block_rows):
+                ids = batch.column("id")[a:a + block_rows].to_numpy().astype(np.int64)
+                x = _matrix(batch.column("v")[a:a + block_rows], dim).astype(np.float64)
+                to = [visits(tree, q, sizes, least, k + 1) for q in unit(x)]
+                at = np.repeat(np.arange(len(to)), [len(v) for v in to])
+                leaf = np.array([n for v in to for n in v], np.int64)
+                order = np.argsort(leaf, kind="stable")
+                at, leaf = at[order], leaf[order]
+                edges = np.flatnonzero(np.diff(leaf, prepend=-1, append=-1))
+                for b, c in zip(edges[:-1], edges[1:]):
+                    block = [pa.array([v[at[b:c]].tobytes()], pa.binary()) for v in (ids, x)]
+                    for p in range(parts[leaf[b]]):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([leaf[b]], pa.int64()), pa.array([p], pa.int64()), *block],
+                            names=["leaf", "part", "q_ids", "q"])
+
+    queries = index.rows.filter(is_query).select("id", "v")
+    # The few bytes of the queries say nothing of their visits, so their number sets the tasks.
+    tasks = queries.select("id").distinct().count() // block_rows + 1
+    return queries.repartition(tasks, "id").groupBy("id").agg(F.min("v").alias("v")).mapInArrow(
+        walk, "leaf bigint, part bigint, q_ids binary, q binary")
 
-    kind = index.rows.schema["v"].dataType.simpleString()
-    asked = index.rows.filter(is_query).groupBy("id").agg(F.min("v").alias("v")).mapInArrow(
-        walk, f"id bigint, v {kind}, leaf bigint, part bigint")
+
+def search(index: Index, is_query: Column, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(query_id, rank, vec_id, score) of every indexed row that ``is_query`` picks.
+
+    Rows that share the query's id are not its candidates; of several rows with one query id the
+    smallest vector is the query. An empty table gives no rows. Fewer than ``k`` rows come only where
+    there are fewer candidates.
+    """
+    dim, parts = index.dim, _parts(index, block_rows)
+    left = query_blocks(index, is_query, k, block_rows)
     # A number of parts per leaf; both arrays are as long as the tree has leaves.
     spread = F.element_at(F.array(*[F.lit(int(p)) for p in np.maximum(parts, 1)]),
                           (F.col("leaf") + 1).cast("int"))
     stored = index.rows.withColumn("part", F.pmod(F.xxhash64("id", "v"), spread).cast("bigint"))
     keys = ["leaf", "part"]
-    left = _packed(asked, dim, block_rows, keys).withColumnsRenamed({"ids": "q_ids", "block": "q"})
-    both = left.join(_packed(stored, dim, block_rows, keys), keys).select(
+    both = left.join(_packed(stored, dim, block_rows, keys).hint("merge"), keys).select(
         "q_ids", "q", "ids", "block")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,7 +379,8 @@ def search(index: Index, is_query: Column, k: int = 5, block_rows: int = BLOCK_R
             return q_ids[keep], ids[keep], score[keep]
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):  # read in place
+                row = {c: batch.column(c)[i].as_buffer() for c in batch.schema.names}
                 q_ids, ids = (np.frombuffer(row[c], np.int64) for c in ("q_ids", "ids"))
                 q, x = (np.frombuffer(row[c], np.float64).reshape(-1, dim) for c in ("q", "block"))
                 at_q, at_x, score = top_k(q_ids, q, ids, x, k)

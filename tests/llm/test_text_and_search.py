@@ -566,3 +566,24 @@ def test_buckets_are_dealt_again_only_while_classes_grow(spark, monkeypatch):
              if near_dup.jaccard(sets[i], sets[j]) >= 0.8]
     assert alike == [(240 + i, i) for i in range(60)]
     assert sorted(kept["class_rows"]) == [1] * 180 + [2] * 120
+
+
+def test_queries_meet_leaves_in_blocks(spark):
+    """A visit is not a row: what is held and moved at once is a block, whatever the visits."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 6))
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)],
+                               "id long, v array<double>").repartition(3)
+    is_query = F.col("id") % 10 == 0
+    index = ann.build(df, 6, is_query, leaf_rows=20)
+    blocks = ann.query_blocks(index, is_query, 5, 64).collect()
+    assert len(blocks) <= (300 // 64 + 1) * ann._parts(index, 64).sum() * 2
+    seen = set()
+    for b in blocks:
+        ids = np.frombuffer(b.q_ids, np.int64)
+        assert len(ids) <= 64 and (np.frombuffer(b.q).reshape(-1, 6) == x[ids]).all()
+        assert not seen & {(b.leaf, b.part, i) for i in ids}
+        seen |= {(b.leaf, b.part, i) for i in ids}
+    q = ann.unit(x[::10])
+    assert seen == {(leaf, p, 10 * i) for i, v in enumerate(q) for leaf in ann.visits(
+        index.tree, v, index.sizes, index.visits, 6) for p in range(ann._parts(index, 64)[leaf])}

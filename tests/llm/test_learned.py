@@ -261,3 +261,36 @@ def test_pairs_of_a_word_are_exchanged_once(spark):
     assert "BroadcastHashJoin [doc_id" not in plan, plan
     got = pairs.groupBy("word").agg(F.count_distinct("before").alias("n"), F.count(F.lit(1)).alias("m"))
     assert got.filter("n != m").count() == 0
+
+
+def test_every_word_has_its_log_ratio(spark):
+    """No word is left out for a weak ratio: as two plain Kneser-Ney models over dictionaries say."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(rng.choice(WORDS + (["rotter"] if i % 3 == 0 else []), 30)), int(i % 3 == 0))
+            for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df, df, F.lit(True))
+    learnt = {r.doc_id for r in df.filter(
+        F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(4)) > 0).collect()}
+    before = {c: {} for c in (0, 1, 2)}  # 2: both
+    for i, text, label in rows:
+        if i in learnt:
+            for a, b in zip([None, *text.split()], text.split()):
+                for c in (label, 2):
+                    before[c].setdefault(b, set()).add(a)
+    n = {c: sum(map(len, before[c].values())) for c in before}
+    kept = {c: {w: max(len(v) - 2.0, 0) for w, v in before[c].items()} for c in (0, 1)}
+
+    def probability(word, c):
+        shared = (len(before[2].get(word, ())) + 0.5) / (n[2] + 0.5 * len(before[2]))
+        return kept[c].get(word, 0) / n[c] + (1 - sum(kept[c].values()) / n[c]) * shared
+
+    def ratio(word):
+        return np.log(probability(word, 1) / probability(word, 0))
+
+    texts = [text for _, text, _ in rows[:40]] + ["never seen words", "", WORDS[0]]
+    found, counts = toxicity.evidence([x.encode() for x in texts], model)
+    want = [sum(map(ratio, x.split())) / max(len(x.split()), 1) for x in texts]
+    np.testing.assert_allclose(found.sum(axis=1), want, atol=1e-6)
+    weak = [w for w in WORDS if 0 < abs(ratio(w)) < toxicity.MARGIN]
+    assert len(weak) > 50 and toxicity.evidence([weak[0].encode()], model)[0].any()

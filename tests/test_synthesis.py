@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from popflow.operators import synthesis as ops
+from popflow.operators import allocation, synthesis as ops
 from popflow.operators.allocation import allocate_to_children
 from popflow.plans.synthesize import synthesize
 from popflow.plans.validate import validate
@@ -286,3 +286,48 @@ def test_incidence_is_not_broadcast(spark):
     controls = spark.createDataFrame([(7, 5)], "PUMA long, A long")
     made = ops.summarize(inc, inc, controls, "PUMA", ["a"], {"a": "A"}, "n")
     assert "Broadcast" not in made._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_rounds_in_one_task_take_the_same_steps():
+    """What a zone keeps from round to round, and whole curvatures, change no step."""
+    rng = np.random.default_rng(5)
+    k, dim, n, children, parents = 6, 8, 120, 5, 2
+    x = rng.integers(0, 3, (n, dim)).astype(np.int32)
+    goal = rng.integers(1, 9, n).astype(float)
+    placed = goal[:, None] * rng.dirichlet(np.ones(children), n)
+    parent = np.array([0.0, 0, 0, 1, 1])
+    upper = np.stack([placed[:, parent == p].sum(axis=1) @ x[:, k:] for p in range(parents)])
+    row = {"x": x.tobytes(), "w": goal.tobytes(), "own": (placed.T @ x[:, :k]).tobytes(),
+           "upper": upper.tobytes(), "parent": parent.tobytes()}
+    cells = allocation._cells(k, dim)(row)
+
+    def solved(held, **alone):
+        size = 8 * (children * k + parents * (dim - k))
+        now = {**row, "some": row["x"], "at": bytes(size), "best": bytes(size),
+               "towards": bytes(size), "gap": b"", "past": b"", "dual": -np.inf, "size": 1.0,
+               "slope": 0.0, "left": np.inf, "mark": np.inf, "since": 0, "rounds": 0,
+               "done": False}
+        while not now["done"]:
+            totals = [np.ravel(a) for a in allocation._moments(k)(cells, {**now, **alone})]
+            now = {**now, **allocation._next_point(k, dim, 1e-4)(now, totals, held)}
+        assert now["left"] < 1e-4
+        return now["rounds"], np.frombuffer(now["best"])
+
+    (turns, best), (again, other) = solved(None), solved({}, alone=True)
+    assert turns == again
+    np.testing.assert_allclose(other, best, rtol=1e-6, atol=1e-9)
+
+
+def test_whole_places_match_a_plain_loop():
+    rng = np.random.default_rng(6)
+    share = rng.dirichlet(np.full(7, 0.3), 40)
+    x = rng.integers(0, 2, (40, 9)).astype(float)
+    goal = rng.integers(1, 50, 40).astype(float)
+    want = np.floor(share * goal[:, None] + 1e-9)
+    short = np.zeros((7, 9))
+    for s in sorted(range(40), key=lambda s: (-goal[s], s)):
+        n, rest = share[s] * goal[s], int(goal[s] - want[s].sum())
+        score = n - want[s] + short @ x[s] / (x[s] @ x[s] + 1)
+        want[s, np.argsort(-score, kind="stable")[:rest]] += 1
+        short += np.outer(n - want[s], x[s])
+    assert (allocation._whole_places(share, x, goal) == want).all()

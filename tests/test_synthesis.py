@@ -314,8 +314,7 @@ def test_rounds_in_one_task_take_the_same_steps():
         return now["rounds"], np.frombuffer(now["best"])
 
     (turns, best), (again, other) = solved(None), solved({}, alone=True)
-    assert turns == again
-    np.testing.assert_allclose(other, best, rtol=1e-6, atol=1e-9)
+    assert turns == again and (other == best).all()
 
 
 def test_whole_places_match_a_plain_loop():
